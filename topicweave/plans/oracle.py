@@ -182,8 +182,11 @@ select doc_id, w as word, round(c * idf, {ROUND}) as tfidf from tf join vocab us
 def ids_to_words() -> str:
     return f"""with {_tokens_cte()},
 {_band_cte()},
-kept as (select doc_id, list_filter(toks, lambda t: t in (select w from vocab)) as ws from tok)
-select doc_id, cast(len(ws) as integer) as n_words, array_to_string(ws, ' ') as words from kept"""
+pos as (select doc_id, unnest(toks) as w, unnest(generate_series(1, len(toks))) as p from tok),
+kept as (select doc_id, list(w order by p) as ws from pos join vocab using (w) group by doc_id)
+select doc_id, cast(coalesce(len(ws), 0) as integer) as n_words,
+       coalesce(array_to_string(ws, ' '), '') as words
+from tok left join kept using (doc_id)"""
 
 
 ARGMAX_CTE = """scored as (
