@@ -1,0 +1,161 @@
+"""LDA (M5-M10) invariants, determinism, save/load, and the stats tables."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from topicweave.functions.arrays import dist_array
+from topicweave.operators.features import to_tf_idf_features
+from topicweave.operators.report import top_items_report, top_per_topic, topic_categories
+from topicweave.operators.stats import (
+    complete_docs,
+    doc_stats,
+    term_relevance,
+    topic_prevalence,
+    vocab_stats,
+)
+from topicweave.operators.topics import (
+    assign_topics,
+    describe_topics,
+    fit_lda,
+    sweep,
+    topic_term_matrix,
+    training_input,
+)
+from topicweave.sources.adapters import document_items
+from topicweave.sources.io import load_model, save_model
+
+K, ITERS, SEED = 6, 10, 100
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    items = document_items(spark, SF_SMALL)
+    vocab, feats = to_tf_idf_features(items)
+    training = training_input(feats, "product_name", 4)
+    model = fit_lda(training, K, ITERS, SEED)
+    return vocab, feats, training, model
+
+
+def _dists(model, df):
+    rows = model.transform(df).select("product_name", dist_array("topicDistribution").alias("d")).collect()
+    return {r["product_name"]: np.array(r["d"]) for r in rows}
+
+
+def test_assignment_invariants(fitted):
+    vocab, feats, training, model = fitted
+    scored = assign_topics(model, training).collect()
+    assert len(scored) == training.count()
+    for r in scored:
+        d = r["topicDistribution"].toArray()
+        assert len(d) == K
+        s = d.sum()
+        assert abs(s - 1.0) < 1e-9 or s == 0.0
+        assert 0 <= r["topic"] < K
+        assert r["topic"] == int(np.argmax(d))
+        assert r["score"] == np.float32(d.max())
+
+
+def test_deterministic_under_layout(spark, fitted):
+    vocab, feats, training, model = fitted
+    shuffled = feats.repartition(5).sortWithinPartitions(F.rand(3))
+    training2 = training_input(shuffled, "product_name", 4)
+    model2 = fit_lda(training2, K, ITERS, SEED)
+    a, b = model.topicsMatrix().toArray(), model2.topicsMatrix().toArray()
+    assert np.array_equal(a, b)
+
+
+def test_save_load_roundtrip(fitted, scratch):
+    vocab, feats, training, model = fitted
+    path = save_model(model, f"{scratch}/lda_model")
+    loaded = load_model(path)
+    assert np.array_equal(model.topicsMatrix().toArray(), loaded.topicsMatrix().toArray())
+    a, b = _dists(model, training), _dists(loaded, training.repartition(3))
+    assert a.keys() == b.keys()
+    assert max(np.abs(a[k] - b[k]).max() for k in a) < 1e-12
+
+
+def test_describe_topics_shape(fitted):
+    vocab, feats, training, model = fitted
+    rows = describe_topics(model, vocab.vocab_df, 10).orderBy("topic").collect()
+    assert [r["topic"] for r in rows] == list(range(K))
+    raw = {r["topic"]: r for r in model.describeTopics(10).collect()}
+    for r in rows:
+        words = [t["words"] for t in r["top_terms"]]
+        weights = [t["termWeights"] for t in r["top_terms"]]
+        assert words == [vocab.vocabulary[i] for i in raw[r["topic"]]["termIndices"]]
+        assert weights == list(raw[r["topic"]]["termWeights"])
+        assert weights == sorted(weights, reverse=True)
+
+
+def test_topic_term_matrix(fitted):
+    vocab, feats, training, model = fitted
+    tm = topic_term_matrix(model, vocab.vocab_df).collect()
+    v = len(vocab.vocabulary)
+    assert len(tm) == K * v
+    mat = model.topicsMatrix().toArray()  # V x K
+    for r in tm[:500]:
+        assert abs(r["weight"] - mat[r["term_idx"], r["topic"]]) <= 1e-9 * max(1.0, abs(r["weight"]))
+    sums = {}
+    for r in tm:
+        sums[r["topic"]] = sums.get(r["topic"], 0.0) + r["prob"]
+    assert all(abs(s - 1.0) < 1e-9 for s in sums.values())
+
+
+def test_stats_tables(fitted):
+    vocab, feats, training, model = fitted
+    st = doc_stats(model.transform(training))
+    rows = st.collect()
+    assert len(rows) == training.count()
+    lengths = {r["product_name"]: r["size(cleaned_words)"] for r in training.select("product_name", F.size("cleaned_words")).collect()}
+    assert all(r["doc_length"] == lengths[r["product_name"]] for r in rows)
+    assert all(r["complete"] == (abs(r["dist_sum"] - 1) <= 1e-9) for r in rows)
+    kept = complete_docs(st).count()
+    assert kept == sum(1 for r in rows if r["complete"])
+    prev = topic_prevalence(st).collect()
+    assert len(prev) == K and abs(sum(r["prevalence"] for r in prev) - 1.0) < 1e-9
+    vs = vocab_stats(vocab.vocab_df).collect()
+    assert len(vs) == len(vocab.vocabulary)
+    rel = term_relevance(model, vocab.vocab_df, 0.6, 5).collect()
+    assert len(rel) == 5 * K
+    for r in rel:
+        expected = 0.6 * np.log(r["prob"]) + 0.4 * np.log(r["prob"] / r["p_w"])
+        assert abs(r["relevance"] - expected) < 1e-9
+
+
+def test_exact_filter_option(fitted):
+    vocab, feats, training, model = fitted
+    exact = doc_stats(model.transform(training), exact=True).where("complete").count()
+    tol = doc_stats(model.transform(training)).where("complete").count()
+    assert exact <= tol
+
+
+def test_report_topk(fitted):
+    vocab, feats, training, model = fitted
+    scored = assign_topics(model, training)
+    top = top_per_topic(scored, 3).collect()
+    per = {}
+    for r in top:
+        per.setdefault(r["topic"], []).append(r)
+    all_rows = scored.collect()
+    for t, rs in per.items():
+        cand = sorted([x for x in all_rows if x["topic"] == t], key=lambda x: (-x["score"], x["product_name"]))
+        assert [x["product_name"] for x in sorted(rs, key=lambda x: x["rank"])] == [c["product_name"] for c in cand[:3]]
+    rep = top_items_report(scored, 3)
+    assert rep.columns == ["topic", "product_name", "categories", "brands"]
+    cats = topic_categories(rep).collect()
+    assert [r["topic"] for r in cats] == sorted(per)
+
+
+def test_topk_plan_has_partial_group_limit(fitted):
+    vocab, feats, training, model = fitted
+    plan = top_per_topic(assign_topics(model, training), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_sweep(fitted):
+    vocab, feats, training, model = fitted
+    res = sweep(training, [(3, 5, 1), (4, 5, 1)])
+    assert [r.k for r in res] == [3, 4]
+    assert all(np.isfinite(r.log_likelihood) and np.isfinite(r.log_perplexity) for r in res)

@@ -132,6 +132,7 @@ def fit_features(
     n_docs = docs.count()
     band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df)
     top = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc()).limit(vocab_size)
+    top = top.withColumn("idf", idf_column(n_docs))
     rows = top.collect()  # bounded by vocab_size: this is the model
     if not rows:
         raise ValueError(
@@ -139,7 +140,7 @@ def fit_features(
             f"[{min_df}, {max_df}] of {n_docs} documents"
         )
     vocabulary = [r["word"] for r in rows]
-    idf = [idf_value(n_docs, r["doc_freq"]) for r in rows]
+    idf = [r["idf"] for r in rows]  # computed by the same JVM expression as tfidf_long
     spark = docs.sparkSession
     vocab_df = spark.createDataFrame(
         [(i, r["word"], r["doc_freq"], r["term_frequency"], idf[i]) for i, r in enumerate(rows)],

@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 
 CATEGORY_COL = "e_matched_tokens_categories_formatted"
 
+# Prices are summed as decimal(17, 6) (up to 1e11 per price, exact to 6
+# decimals), so the mean does not depend on row order or partitioning; the
+# mean is rounded half-up at 10 decimals, then returned as a double.
+PRICE_DECIMAL = "decimal(17,6)"
+
+
+def exact_mean(c: F.Column) -> F.Column:
+    """A5: order-independent mean of a price column (nulls skipped)."""
+    return F.avg(c.cast(PRICE_DECIMAL)).cast("decimal(21,10)").cast("double")
+
 
 def to_items(offers: DataFrame) -> DataFrame:
     """A1: one row per ``product_name`` (null names form their own group).
@@ -23,8 +33,9 @@ def to_items(offers: DataFrame) -> DataFrame:
       element counts as a value, like the union of Python sets would.
     * description: the smallest non-null description (A4: any member is a
       valid representative; the minimum is deterministic and null-safe).
-    * price: mean of non-null prices (A5); purchase_count: non-null item
-      codes (A6, it counts offers); sizes of the sets (A7).
+    * price: mean of non-null prices (A5), computed exactly (see
+      ``exact_mean``); purchase_count: non-null item codes (A6, it counts
+      offers); sizes of the sets (A7).
     """
     exploded = offers.select(
         "product_name",
@@ -44,7 +55,7 @@ def to_items(offers: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("category")).alias("_cats"),
         F.max(F.col("cat_pos").isNotNull() & F.col("category").isNull()).alias("_null_cat"),
         F.min("long_description").alias("description"),
-        F.avg(F.when(first, F.col("e_price"))).alias("price"),
+        exact_mean(F.when(first, F.col("e_price"))).alias("price"),
         F.count(F.when(first, F.col("item_code"))).alias("purchase_count"),
     )
     categories = F.when(

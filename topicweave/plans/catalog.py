@@ -71,7 +71,7 @@ def q_item_rollup(spark, sf_dir):
         sorted_join("retailers").alias("retailers"),
         sorted_join("categories").alias("categories"),
         "description",
-        F.round("price", ROUND).alias("price"),
+        "price",
         "purchase_count",
         "retrailer_count",
         "category_count",

@@ -66,7 +66,9 @@ items as (
          list_sort(list_distinct(list(retailer))) as retailers,
          list_sort(list_distinct(flatten(list(cats)))) as categories,
          min(long_description) as description,
-         avg(e_price) as price,
+         -- exact mean: micro-units summed as integers, rounded half-up at 1e-10
+         cast((sum(cast(round(e_price * 1000000) as hugeint)) * 20000 + count(e_price))
+              // (2 * count(e_price)) as double) / 10000000000.0 as price,
          count(item_code) as purchase_count
   from offers group by product_name
 )"""
@@ -93,7 +95,7 @@ select product_name,
        array_to_string(retailers, ',') as retailers,
        array_to_string(categories, ',') as categories,
        description,
-       round(price, {ROUND}) as price,
+       price,
        purchase_count,
        cast(len(retailers) as integer) as retrailer_count,
        cast(len(categories) as integer) as category_count,
