@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from topicweave.functions.constants import DEFAULT_VOCAB_SIZE, ENGLISH_STOP_WORDS, MAX_DF, MIN_DF
 from topicweave.functions.text import clean_markup, clean_tokens
+from topicweave.session import cut_lineage, spread
 
 
 def with_clean_description(items: DataFrame, col: str = "description", replacement: str = "") -> DataFrame:
@@ -43,8 +44,11 @@ def with_tokens(
     ngram: int | None = None,
     stop_words=ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """F1-F4 as one projection: ``out_col`` holds the cleaned token list."""
-    return items.withColumn(out_col, clean_tokens(text_col, replacement, stop_words, ngram))
+    """F1-F4 as one projection: ``out_col`` holds the cleaned token list.
+
+    Tokenizing is the CPU-heavy step, so a narrow input is spread over the
+    cores first (a no-op for a normally split scan)."""
+    return spread(items).withColumn(out_col, clean_tokens(text_col, replacement, stop_words, ngram))
 
 
 def word_counts(docs: DataFrame, words_col: str = "cleaned_words") -> DataFrame:
@@ -172,12 +176,13 @@ def to_tf_idf_features(
 ) -> tuple[FeatureModel, DataFrame]:
     """M1: items -> ``(model, product_name, brands, categories, features, cleaned_words)``.
 
-    ``items`` should be materialized (a Parquet table or a checkpoint): it is
-    read by the fit and again by the transform.
+    Tokens are computed once and reliably checkpointed: the fit reads them
+    twice (document count, vocabulary) and the transform once more.
     """
     tokens = with_tokens(items, replacement=replacement, ngram=ngram).select(
         "product_name", "brands", "categories", "cleaned_words"
     )
+    tokens = cut_lineage(tokens)
     model = fit_features(tokens, min_df=min_df, max_df=max_df, vocab_size=vocab_size)
     feats = model.transform(tokens).select(
         "product_name", "brands", "categories", "features", "cleaned_words"

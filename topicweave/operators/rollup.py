@@ -1,8 +1,8 @@
 """Item rollup and item-level descriptive queries.
 
-The rollup is ONE aggregation: categories are exploded inside the map stage,
-so partial aggregation dedups them before the shuffle and a product with a
-huge number of offers never moves more than its partial sets.
+The rollup is ONE aggregation: partial aggregation dedups every set before
+the shuffle, so a product with a huge number of offers never moves more than
+its partial sets.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicweave.functions.arrays import merge_sets
+
 CATEGORY_COL = "e_matched_tokens_categories_formatted"
 
 # Prices are summed as decimal(17, 6) (up to 1e11 per price, exact to 6
@@ -36,43 +38,32 @@ def to_items(offers: DataFrame) -> DataFrame:
     * price: mean of non-null prices (A5), computed exactly (see
       ``exact_mean``); purchase_count: non-null item codes (A6, it counts
       offers); sizes of the sets (A7).
+
+    One aggregation, one shuffle keyed by product name.  Every set is
+    de-duplicated map-side by the partial aggregate (category lists as whole
+    lists, flattened once per product), and no offer row is multiplied, so a
+    long description is never copied per category.
     """
-    exploded = offers.select(
-        "product_name",
-        "item_code",
-        "e_brand_formatted_slug",
-        "retailer_code",
-        "long_description",
-        "e_price",
-        F.posexplode_outer(CATEGORY_COL).alias("cat_pos", "category"),
-    )
-    # exactly one row per offer carries the offer-level measures
-    first = F.col("cat_pos").isNull() | (F.col("cat_pos") == 0)
-    agg = exploded.groupBy("product_name").agg(
+    agg = offers.groupBy("product_name").agg(
         F.sort_array(F.collect_set("item_code")).alias("codes"),
         F.sort_array(F.collect_set("e_brand_formatted_slug")).alias("brands"),
         F.sort_array(F.collect_set("retailer_code")).alias("retailers"),
-        F.sort_array(F.collect_set("category")).alias("_cats"),
-        F.max(F.col("cat_pos").isNotNull() & F.col("category").isNull()).alias("_null_cat"),
+        F.collect_set(CATEGORY_COL).alias("_cat_lists"),
         F.min("long_description").alias("description"),
-        exact_mean(F.when(first, F.col("e_price"))).alias("price"),
-        F.count(F.when(first, F.col("item_code"))).alias("purchase_count"),
+        exact_mean(F.col("e_price")).alias("price"),
+        F.count("item_code").alias("purchase_count"),
     )
-    categories = F.when(
-        F.coalesce(F.col("_null_cat"), F.lit(False)),
-        F.concat(F.array(F.lit(None).cast("string")), F.col("_cats")),
-    ).otherwise(F.col("_cats"))
-    return agg.select(
+    return agg.withColumn("categories", merge_sets("_cat_lists")).select(
         "product_name",
         "codes",
         "brands",
         "retailers",
-        categories.alias("categories"),
+        "categories",
         "description",
         "price",
         "purchase_count",
         F.size("retailers").alias("retrailer_count"),
-        F.size(categories).alias("category_count"),
+        F.size("categories").alias("category_count"),
         F.size("brands").alias("brand_count"),
         F.size("codes").alias("code_count"),
     )

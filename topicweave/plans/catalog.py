@@ -48,6 +48,7 @@ from topicweave.operators.topics import (
     training_input,
 )
 from topicweave.plans import oracle
+from topicweave.session import cut_lineage, spread
 from topicweave.sources.adapters import document_items, offers, table
 
 ROUND = oracle.ROUND
@@ -55,7 +56,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
 
 
@@ -104,12 +105,12 @@ def q_item_describe(spark, sf_dir):
 
 
 def q_clean_text_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", clean_markup("text").alias("cleaned"))
 
 
 def q_clean_text_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     return pages.select("page_id", clean_markup("html").alias("cleaned"))
 
 
@@ -140,7 +141,7 @@ def q_doc_lengths(spark, sf_dir):
 
 
 def _doc_feature_model(spark, sf_dir) -> tuple[FeatureModel, DataFrame]:
-    t = _doc_tokens(spark, sf_dir)
+    t = cut_lineage(_doc_tokens(spark, sf_dir))  # tokenized once, read three times
     return fit_features(t), t
 
 

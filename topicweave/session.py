@@ -77,3 +77,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     upstream plan.  Partitioning and sort order are kept."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over the cores before CPU-heavy row-wise work when
+    the input has fewer partitions than the cluster has cores.
+
+    A large input is split by the scan into many more partitions than cores
+    and is returned unchanged (no shuffle); a file stored as one big row
+    group arrives as a single partition and would otherwise be tokenized by
+    one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
