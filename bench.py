@@ -48,8 +48,9 @@ def main() -> None:
         checkpoint_dir=f"{scratch}/ckpt",
         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
     )
+    only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     times: dict[str, float] = {}
-    for name in HEADLINE:
+    for name in only or HEADLINE:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

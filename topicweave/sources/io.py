@@ -52,3 +52,13 @@ def load_model(path: str) -> LDAModel:
 def preview(df: DataFrame, n: int = 20, truncate: bool | int = False) -> None:
     """Console preview of at most ``n`` rows."""
     df.show(n, truncate)
+
+
+VIS_TABLES = ("doc_stats", "vocab", "topic_term", "prevalence", "relevance")
+
+
+def read_vis_stats(spark: SparkSession, run_dir: str) -> dict[str, DataFrame]:
+    """The visualization statistics of one run, one DataFrame per table
+    (replaces unpickling a driver-side dict)."""
+    base = run_dir.rstrip("/")
+    return {name: spark.read.parquet(f"{base}/lda_vis/{name}.parquet") for name in VIS_TABLES}
