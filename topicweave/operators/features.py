@@ -207,7 +207,9 @@ def tfidf_long(
     band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df)
     vocab = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc()).limit(vocab_size)
     vocab = vocab.select("word", idf_column(n_docs).alias("idf"))
-    tf = docs.select(key, F.explode(words_col).alias("word")).groupBy(key, "word").count()
-    return tf.join(vocab, "word").select(
-        key, "word", (F.col("count").cast("double") * F.col("idf")).alias("tfidf")
-    )
+    # the vocabulary has at most vocab_size rows: broadcasting it drops
+    # out-of-band tokens map-side, before the (doc, word) shuffle
+    tokens = docs.select(key, F.explode(words_col).alias("word"))
+    kept = tokens.join(F.broadcast(vocab), "word")
+    tf = kept.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.first("idf").alias("idf"))
+    return tf.select(key, "word", (F.col("n").cast("double") * F.col("idf")).alias("tfidf"))

@@ -1,8 +1,10 @@
 """Vocabulary lookups as joins.
 
-The reference shipped the whole vocabulary as one comma-joined string per
-row; here the vocabulary is a ``(term_idx, word)`` table and lookups are
-equi-joins, so a word containing a comma cannot shift ids.
+The vocabulary is a ``(term_idx, word)`` table and lookups are equi-joins
+(never a delimiter-joined string, so a word containing a comma cannot shift
+ids).  A vocabulary has at most ``vocab_size`` rows (2^18 by default), which
+is the proven bound that makes it the broadcast side; the regrouping is
+keyed by the caller's row key, so one task holds at most one row's ids.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ def ids_to_words(
     order kept; ids outside the vocabulary are dropped.  Rows with an empty
     or null id list keep an empty list."""
     ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "term_idx"))
-    joined = ex.join(vocab_df.select("term_idx", "word"), "term_idx", "left")
+    joined = ex.join(F.broadcast(vocab_df.select("term_idx", "word")), "term_idx", "left")
     return _regroup(joined, keys, "word", out_col)
 
 
@@ -51,5 +53,5 @@ def words_to_ids(
     """Inverse lookup: ``keys, out_col`` = term ids of the in-vocabulary words,
     in token order."""
     ex = df.select(*keys, F.posexplode_outer(words_col).alias("_pos", "word"))
-    joined = ex.join(vocab_df.select("word", "term_idx"), "word", "left")
+    joined = ex.join(F.broadcast(vocab_df.select("word", "term_idx")), "word", "left")
     return _regroup(joined, keys, "term_idx", out_col)

@@ -32,9 +32,10 @@ def doc_stats(
     ``complete`` is the sum-to-one test; ``exact=True`` uses float equality.
     """
     dist = dist_array(dist_col)
+    length = F.col("doc_length") if "doc_length" in scored_features.columns else F.size(words_col)
     return scored_features.select(
         key,
-        F.size(words_col).alias("doc_length"),
+        length.alias("doc_length"),
         dist.alias("topic_dist"),
     ).select(
         key,

@@ -53,10 +53,12 @@ def fit_lda(
     return lda.fit(features)
 
 
-def assign_topics(model: LDAModel, features: DataFrame, keep: Iterable[str] = ("product_name", "brands", "categories")) -> DataFrame:
-    """M6 + M7: ``topicDistribution`` plus the arg-max ``score`` (float) and
-    ``topic`` (int); an all-zero distribution gives score 0.0, topic 0."""
-    scored = model.transform(features)
+ITEM_KEYS = ("product_name", "brands", "categories")
+
+
+def with_assignment(scored: DataFrame, keep: Iterable[str] = ITEM_KEYS) -> DataFrame:
+    """M7 + P2: from rows holding ``topicDistribution``, the arg-max ``score``
+    (float) and ``topic`` (int); an all-zero distribution gives 0.0 / 0."""
     dist = dist_array("topicDistribution")
     return scored.select(
         *keep,
@@ -66,6 +68,21 @@ def assign_topics(model: LDAModel, features: DataFrame, keep: Iterable[str] = ("
     )
 
 
+def assign_topics(model: LDAModel, features: DataFrame, keep: Iterable[str] = ITEM_KEYS) -> DataFrame:
+    """M6 + M7: infer ``topicDistribution`` and assign the best topic."""
+    return with_assignment(model.transform(features), keep)
+
+
+def score_once(model: LDAModel, training: DataFrame, keep: Iterable[str] = ITEM_KEYS, words_col: str = "cleaned_words") -> DataFrame:
+    """M6 once for every consumer: distributions plus document length,
+    reliably checkpointed, so item topics and statistics do not each re-run
+    the per-document inference."""
+    scored = model.transform(training).select(
+        *keep, "topicDistribution", F.size(words_col).alias("doc_length")
+    )
+    return cut_lineage(scored)
+
+
 def _top_terms_long(model: LDAModel, vocab_df: DataFrame, n_terms: int) -> DataFrame:
     """T3 + J1: ``topic, term_rank, term_idx, word, weight`` for the top terms.
 

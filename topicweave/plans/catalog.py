@@ -40,12 +40,13 @@ from topicweave.operators.report import (
 from topicweave.operators.rollup import item_overview, summary_stats, to_items
 from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence
 from topicweave.operators.topics import (
-    assign_topics,
     describe_topics,
     fit_lda,
+    score_once,
     sweep_table,
     topic_terms,
     training_input,
+    with_assignment,
 )
 from topicweave.plans import oracle
 from topicweave.session import cut_lineage, spread
@@ -227,6 +228,7 @@ class _Fit:
     vocab: FeatureModel
     training: DataFrame
     model: object
+    scored: DataFrame  # checkpointed distributions + document lengths
 
 
 _FITS: dict[tuple, _Fit] = {}
@@ -242,7 +244,7 @@ def _doc_lda(spark: SparkSession, sf_dir: str, source: str = "documents") -> _Fi
         vocab, feats = to_tf_idf_features(items)
         training = training_input(feats, "product_name")
         model = fit_lda(training, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED)
-        _FITS[key] = _Fit(vocab, training, model)
+        _FITS[key] = _Fit(vocab, training, model, score_once(model, training))
     return _FITS[key]
 
 
@@ -260,13 +262,12 @@ def q_lda_describe(spark, sf_dir):
 
 def q_lda_assign(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return assign_topics(f.model, f.training).select("product_name", "score", "topic")
+    return with_assignment(f.scored).select("product_name", "score", "topic")
 
 
 def q_lda_topk(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    scored = assign_topics(f.model, f.training)
-    return top_items_report(scored).select(
+    return top_items_report(with_assignment(f.scored)).select(
         "topic", "product_name", sorted_join("categories").alias("categories"),
         sorted_join("brands").alias("brands"),
     )
@@ -274,14 +275,14 @@ def q_lda_topk(spark, sf_dir):
 
 def q_lda_doc_stats(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return doc_stats(f.model.transform(f.training)).select(
+    return doc_stats(f.scored).select(
         "product_name", "doc_length", "dist_sum", "complete"
     )
 
 
 def q_lda_prevalence(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return topic_prevalence(doc_stats(f.model.transform(f.training)))
+    return topic_prevalence(doc_stats(f.scored))
 
 
 def q_lda_relevance(spark, sf_dir):
@@ -297,8 +298,7 @@ def q_lda_sweep(spark, sf_dir):
 
 def q_offers_lda_topk(spark, sf_dir):
     f = _doc_lda(spark, sf_dir, source="offers")
-    scored = assign_topics(f.model, f.training)
-    return top_items_report(scored).select(
+    return top_items_report(with_assignment(f.scored)).select(
         "topic", "product_name", sorted_join("categories").alias("categories"),
         sorted_join("brands").alias("brands"),
     )

@@ -25,11 +25,12 @@ from topicweave.operators.features import to_tf_idf_features
 from topicweave.operators.rollup import to_items
 from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence, vocab_stats
 from topicweave.operators.topics import (
-    assign_topics,
     describe_topics,
     fit_lda,
+    score_once,
     topic_term_matrix,
     training_input,
+    with_assignment,
 )
 from topicweave.sources.io import read_offers_json, read_table, run_path, save_model, write_table
 
@@ -89,15 +90,13 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
     paths["model"] = save_model(model, f"{out}/lda_model")
 
-    item_topics = assign_topics(model, training)
-    paths["item_topics"] = write_table(item_topics, f"{out}/item_topic_df.parquet")
+    scored = score_once(model, training)  # per-document inference runs once
+    paths["item_topics"] = write_table(with_assignment(scored), f"{out}/item_topic_df.parquet")
     paths["topics"] = write_table(
         describe_topics(model, vocab_model.vocab_df, config.topic_terms), f"{out}/topics_df.parquet"
     )
 
-    stats = doc_stats(
-        model.transform(training), exact=config.exact_filter
-    )
+    stats = doc_stats(scored, exact=config.exact_filter)
     paths["doc_stats"] = write_table(stats, f"{out}/lda_vis/doc_stats.parquet")
     stats = read_table(spark, paths["doc_stats"])
     paths["topic_term"] = write_table(
