@@ -83,3 +83,16 @@ def test_vocab_size_cap(spark):
     toks = _tokens(spark)
     m = fit_features(toks, vocab_size=50)
     assert len(m.vocabulary) == 50 and m.vocab_df.count() == 50
+
+
+def test_tokenizing_evaluated_once_per_row(spark):
+    """No filter inferred from the explode re-runs the cleaning regex."""
+    from topicweave.session import spread
+
+    docs = spread(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    toks = docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
+    for df in (term_stats(toks), word_counts(toks), tfidf_long(toks, "doc_id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        per_scan = plan.count("regexp_replace")
+        scans = plan.count("FileScan") or plan.count("Scan parquet")
+        assert per_scan <= scans, plan

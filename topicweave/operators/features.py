@@ -51,10 +51,25 @@ def with_tokens(
     return spread(items).withColumn(out_col, clean_tokens(text_col, replacement, stop_words, ngram))
 
 
+def explode_words(docs: DataFrame, words_col: str, *keep: str, with_pos: bool = False) -> DataFrame:
+    """one row per token (``keep`` columns carried along).
+
+    Written as an *outer* explode plus a filter on the generated column: a
+    plain explode makes Catalyst infer ``size(tokens) > 0`` and push it below
+    the projection (and below a repartition), which evaluates the whole
+    cleaning/tokenizing expression twice per row.
+    """
+    if with_pos:
+        gen = F.posexplode_outer(words_col).alias("_pos", "word")
+    else:
+        gen = F.explode_outer(words_col).alias("word")
+    return docs.select(*keep, gen).where(F.col("word").isNotNull())
+
+
 def word_counts(docs: DataFrame, words_col: str = "cleaned_words") -> DataFrame:
     """Corpus count of every word (``explode`` + ``groupBy``)."""
     return (
-        docs.select(F.explode(words_col).alias("word"))
+        explode_words(docs, words_col)
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("term_frequency"))
     )
@@ -66,10 +81,8 @@ def term_stats(docs: DataFrame, words_col: str = "cleaned_words") -> DataFrame:
     A word contributes one document when it is the first of its run in the
     per-row sorted token array, so no per-(doc, word) shuffle is needed.
     """
-    s = F.array_sort(F.col(words_col))
-    exploded = docs.select(s.alias("_s")).select(
-        "_s", F.posexplode("_s").alias("_pos", "word")
-    )
+    sorted_docs = docs.select(F.array_sort(F.col(words_col)).alias("_s"))
+    exploded = explode_words(sorted_docs, "_s", "_s", with_pos=True)
     first = (F.col("_pos") == 0) | (F.get(F.col("_s"), F.col("_pos") - 1) != F.col("word"))
     return exploded.groupBy("word").agg(
         F.count(F.lit(1)).alias("term_frequency"),
@@ -209,7 +222,7 @@ def tfidf_long(
     vocab = vocab.select("word", idf_column(n_docs).alias("idf"))
     # the vocabulary has at most vocab_size rows: broadcasting it drops
     # out-of-band tokens map-side, before the (doc, word) shuffle
-    tokens = docs.select(key, F.explode(words_col).alias("word"))
+    tokens = explode_words(docs, words_col, key)
     kept = tokens.join(F.broadcast(vocab), "word")
     tf = kept.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.first("idf").alias("idf"))
     return tf.select(key, "word", (F.col("n").cast("double") * F.col("idf")).alias("tfidf"))

@@ -82,7 +82,7 @@ def item_overview(items: DataFrame) -> DataFrame:
     collected into a single task.  A null category element counts once,
     like the union of sets it replaces.
     """
-    kv = F.explode(
+    kv = F.explode_outer(
         F.concat(
             F.array(F.struct(F.lit("product").alias("kind"), F.col("product_name").alias("value"))),
             F.transform("retailers", lambda x: F.struct(F.lit("retailers").alias("kind"), x.alias("value"))),
@@ -90,7 +90,7 @@ def item_overview(items: DataFrame) -> DataFrame:
             F.transform("brands", lambda x: F.struct(F.lit("brands").alias("kind"), x.alias("value"))),
         )
     ).alias("kv")
-    pairs = items.select(kv).select("kv.kind", "kv.value")
+    pairs = items.select(kv).where(F.col("kv").isNotNull()).select("kv.kind", "kv.value")
     per_kind = pairs.groupBy("kind").agg(
         F.count_distinct("value").alias("n"),
         F.max(F.col("value").isNull().cast("int")).alias("has_null"),

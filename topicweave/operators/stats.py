@@ -65,7 +65,8 @@ def topic_prevalence(stats: DataFrame) -> DataFrame:
     """
     mass = (
         stats.where(F.col("complete"))
-        .select("doc_length", F.posexplode("topic_dist").alias("topic", "p"))
+        .select("doc_length", F.posexplode_outer("topic_dist").alias("topic", "p"))
+        .where(F.col("topic").isNotNull())
         .groupBy("topic")
         .agg(F.sum(F.col("doc_length") * F.col("p")).alias("token_mass"))
     )

@@ -160,7 +160,9 @@ def q_tfidf_long(spark, sf_dir):
 
 def q_tfidf_vector_unpacked(spark, sf_dir):
     model, t = _doc_feature_model(spark, sf_dir)
-    vec = model.transform(t).select("doc_id", F.explode(vector_entries("features")).alias("e"))
+    vec = model.transform(t).select(
+        "doc_id", F.explode_outer(vector_entries("features")).alias("e")
+    ).where(F.col("e").isNotNull())  # outer: no inferred filter re-running the vectorizer
     vocab = model.vocab_df.select(F.col("term_idx").alias("idx"), "word")
     return vec.select("doc_id", F.col("e.idx").alias("idx"), F.col("e.value").alias("v")).join(
         vocab, "idx"
