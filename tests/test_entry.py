@@ -11,6 +11,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from topicweave.plans.run import JobConfig, run_topic_job
 from topicweave.sources.adapters import offers
+from topicweave.sources.io import load_model, preview, read_vis_stats
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -72,8 +73,23 @@ def test_run_topic_job(spark, scratch):
     assert it.columns == ["product_name", "brands", "categories", "topicDistribution", "score", "topic"]
     for k in ("doc_stats", "topic_term", "prevalence", "relevance", "vocab", "features", "model"):
         assert os.path.exists(paths[k].replace("file:", ""))
+    run_dir = paths["items"].rsplit("/", 1)[0]
+    vis = read_vis_stats(spark, run_dir)
+    assert set(vis) == {"doc_stats", "vocab", "topic_term", "prevalence", "relevance"}
+    assert vis["doc_stats"].count() == items.count()
+    assert load_model(paths["model"]).vocabSize() == vis["vocab"].count()
 
 
 def test_config_overrides():
     cfg = JobConfig(output_base="/x").with_overrides(seed=0, k=None)
     assert cfg.seed == 0 and cfg.k == 6
+
+
+def test_preview_and_clean_description(spark, capsys):
+    from topicweave.operators.features import with_clean_description
+
+    df = spark.createDataFrame([("a<b>c 1,2",)], ["description"])
+    out = with_clean_description(df).first()["description"]
+    assert out == "ac "
+    preview(df, 60)
+    assert "description" in capsys.readouterr().out

@@ -37,10 +37,11 @@ from topicweave.operators.report import (
     top_per_topic,
     topic_categories,
 )
-from topicweave.operators.rollup import item_overview, summary_stats, to_items
-from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence
+from topicweave.operators.rollup import describe_items, item_overview, summary_stats, to_items
+from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence, vocab_stats
 from topicweave.operators.topics import (
     describe_topics,
+    topic_term_matrix,
     fit_lda,
     score_once,
     sweep_table,
@@ -298,6 +299,38 @@ def q_lda_sweep(spark, sf_dir):
     return sweep_table(f.training, grid)
 
 
+def q_lda_vocab_stats(spark, sf_dir):
+    f = _doc_lda(spark, sf_dir)
+    return vocab_stats(f.vocab.vocab_df)
+
+
+def q_lda_doc_lengths(spark, sf_dir):
+    f = _doc_lda(spark, sf_dir)
+    return doc_stats(f.scored).select("product_name", "doc_length")
+
+
+def q_lda_features_unpacked(spark, sf_dir):
+    """The TF-IDF vectors the model was trained on, as (item, word, weight)."""
+    f = _doc_lda(spark, sf_dir)
+    ent = f.training.select(
+        "product_name", F.explode_outer(vector_entries("features")).alias("e")
+    ).where(F.col("e").isNotNull())
+    vocab = f.vocab.vocab_df.select(F.col("term_idx").alias("idx"), "word")
+    return ent.select("product_name", F.col("e.idx").alias("idx"), F.col("e.value").alias("v")).join(
+        F.broadcast(vocab), "idx"
+    ).select("product_name", "word", F.round("v", ROUND).alias("tfidf"))
+
+
+def q_lda_topic_term(spark, sf_dir):
+    f = _doc_lda(spark, sf_dir)
+    return topic_term_matrix(f.model, f.vocab.vocab_df)
+
+
+def q_item_describe_text(spark, sf_dir):
+    """A11 exactly as Spark's ``describe`` prints it (strings)."""
+    return describe_items(to_items(offers(spark, sf_dir)))
+
+
 def q_offers_lda_topk(spark, sf_dir):
     f = _doc_lda(spark, sf_dir, source="offers")
     return top_items_report(with_assignment(f.scored)).select(
@@ -334,6 +367,11 @@ QUERIES: dict[str, Query] = {
     "lda_relevance": q_lda_relevance,
     "lda_sweep": q_lda_sweep,
     "offers_lda_topk": q_offers_lda_topk,
+    "lda_vocab_stats": q_lda_vocab_stats,
+    "lda_doc_lengths": q_lda_doc_lengths,
+    "lda_features_unpacked": q_lda_features_unpacked,
+    "lda_topic_term": q_lda_topic_term,
+    "item_describe_text": q_item_describe_text,
 }
 
 ORACLE: dict[str, str] = {
@@ -355,4 +393,7 @@ ORACLE: dict[str, str] = {
     "topk_per_topic": oracle.topk_per_topic(10),
     "topic_categories": oracle.topic_categories(),
     "complete_dist_filter": oracle.complete_dist_filter(),
+    "lda_vocab_stats": oracle.lda_vocab_stats(),
+    "lda_doc_lengths": oracle.lda_doc_lengths(),
+    "lda_features_unpacked": oracle.lda_features_unpacked(),
 }

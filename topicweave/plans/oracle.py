@@ -227,3 +227,23 @@ select vec_id,
        cast(list_position(dist, list_max(dist)) - 1 as integer) as topic,
        cast(len(dist) as integer) as n_topics
 from p where abs(list_sum(dist) - 1.0) <= 1e-9"""
+
+
+def lda_vocab_stats() -> str:
+    """The vocabulary the LDA model is trained on (document items)."""
+    return f"""with {_tokens_cte()},
+{_band_cte()}
+select cast(term_idx as integer) as term_idx, w as word, tf as term_frequency from vocab"""
+
+
+def lda_doc_lengths() -> str:
+    return f"""with {_tokens_cte()}
+select cast(doc_id as varchar) as product_name, cast(len(toks) as integer) as doc_length from tok"""
+
+
+def lda_features_unpacked() -> str:
+    return f"""with {_tokens_cte()},
+{_band_cte()},
+tf as (select doc_id, w, count(*) as c from words group by doc_id, w)
+select cast(doc_id as varchar) as product_name, w as word, round(c * idf, {ROUND}) as tfidf
+from tf join vocab using (w)"""
