@@ -155,7 +155,7 @@ def q_vocab_df_band(spark, sf_dir):
 
 
 def q_tfidf_long(spark, sf_dir):
-    t = tfidf_long(_doc_tokens(spark, sf_dir), "doc_id")
+    t = tfidf_long(cut_lineage(_doc_tokens(spark, sf_dir)), "doc_id")  # tokens read twice
     return t.select("doc_id", "word", F.round("tfidf", ROUND).alias("tfidf"))
 
 
