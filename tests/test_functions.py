@@ -142,3 +142,29 @@ def test_vector_entries(spark):
 def test_tokenize_min_length(spark):
     df = spark.createDataFrame([("a bb ccc",)], ["t"])
     assert df.select(tokenize("t", 2)).first()[0] == ["bb", "ccc"]
+
+
+# --- property test: native tokens equal a plain-Python model of the rules ---
+
+import re as _re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_ALPHABET = "abcXYZ éÉüß019 \t\n\x0b\f-_/\\\"():;,.!?*•|&$%'#+<>[]"
+_PY_PATTERN = _re.compile(MARKUP_PUNCT_DIGIT_PATTERN)
+_STOP = set(ENGLISH_STOP_WORDS)
+
+
+def _py_tokens(text):
+    cleaned = _PY_PATTERN.sub("", text).lower()
+    return [t for t in _re.split("[ \t\n\x0b\f\r]+", cleaned) if len(t) >= 1 and t not in _STOP]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=_ALPHABET, max_size=60), min_size=1, max_size=20))
+def test_tokens_match_python_model(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["w"] for r in df.select("i", clean_tokens("t").alias("w")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == _py_tokens(t), (t, got[i])

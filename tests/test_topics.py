@@ -159,3 +159,32 @@ def test_sweep(fitted):
     res = sweep(training, [(3, 5, 1), (4, 5, 1)])
     assert [r.k for r in res] == [3, 4]
     assert all(np.isfinite(r.log_likelihood) and np.isfinite(r.log_perplexity) for r in res)
+
+
+def test_no_vocabulary_terms_gives_topic_zero(spark, fitted):
+    """A document without vocabulary terms gets an all-zero distribution,
+    score 0.0 and topic 0; it is not 'complete'."""
+    vocab, feats, training, model = fitted
+    df = spark.createDataFrame(
+        [("empty", [], [], ["zzzqqq", "xxyyzz"])],
+        "product_name string, brands array<string>, categories array<string>, cleaned_words array<string>",
+    )
+    scored = vocab.transform(df)
+    r = assign_topics(model, scored).first()
+    assert r["score"] == 0.0 and r["topic"] == 0
+    assert r["topicDistribution"].toArray().sum() == 0.0
+    st = doc_stats(model.transform(scored)).first()
+    assert st["doc_length"] == 2 and not st["complete"]
+
+
+def test_prevalence_brute_force(fitted):
+    """V7 against numpy on the collected small fixture."""
+    vocab, feats, training, model = fitted
+    st = doc_stats(model.transform(training))
+    rows = [r for r in st.collect() if r["complete"]]
+    lengths = np.array([r["doc_length"] for r in rows], dtype=float)
+    theta = np.array([r["topic_dist"] for r in rows])
+    mass = lengths @ theta
+    expected = mass / mass.sum()
+    got = {r["topic"]: r["prevalence"] for r in topic_prevalence(st).collect()}
+    assert np.allclose([got[k] for k in range(K)], expected, rtol=1e-12, atol=0)
