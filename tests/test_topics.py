@@ -188,3 +188,16 @@ def test_prevalence_brute_force(fitted):
     expected = mass / mass.sum()
     got = {r["topic"]: r["prevalence"] for r in topic_prevalence(st).collect()}
     assert np.allclose([got[k] for k in range(K)], expected, rtol=1e-12, atol=0)
+
+
+def test_em_model_saved_as_local(fitted, scratch):
+    """The EM optimizer gives a distributed model; saving makes it local."""
+    from pyspark.ml.clustering import LocalLDAModel
+
+    vocab, feats, training, model = fitted
+    em = fit_lda(training, 3, 3, SEED, optimizer="em")
+    assert em.isDistributed()
+    path = save_model(em, f"{scratch}/em_model")
+    loaded = load_model(path)
+    assert isinstance(loaded, LocalLDAModel) and not loaded.isDistributed()
+    assert np.allclose(loaded.topicsMatrix().toArray(), em.toLocal().topicsMatrix().toArray())

@@ -15,7 +15,12 @@ def rank_within_topic(
     score_col: str = "score",
     tie_col: str = "product_name",
 ) -> DataFrame:
-    """``rank`` = row_number over (topic, score desc, tie-breaker asc)."""
+    """``rank`` = row_number over (topic, score desc, tie-breaker asc).
+
+    Without a rank limit this is a per-topic window: all rows of a topic are
+    ordered in one task.  The notebook only uses it under ``rank <= n``; use
+    ``top_per_topic`` for that, which Spark limits before the shuffle.
+    """
     w = Window.partitionBy(topic_col).orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
     return scored.withColumn("rank", F.row_number().over(w))
 
