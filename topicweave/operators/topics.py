@@ -23,7 +23,7 @@ from topicweave.functions.constants import (
     DEFAULT_SEED,
     DEFAULT_TOPIC_TERMS,
 )
-from topicweave.session import cut_lineage
+from topicweave.session import cut_lineage, spread
 
 
 def canonical_layout(df: DataFrame, key: str = "product_name", partitions: int | None = None) -> DataFrame:
@@ -33,11 +33,33 @@ def canonical_layout(df: DataFrame, key: str = "product_name", partitions: int |
     return df.repartition(n, key).sortWithinPartitions(key)
 
 
+# LDA's online optimizer runs two Spark jobs per iteration over every training
+# partition; partitions are sized by document count so a small corpus is not
+# spread thinner than the per-iteration work justifies.
+DOCS_PER_PARTITION = 1_000
+
+
+def layout_partitions(spark, n_docs: int | None, docs_per_partition: int = DOCS_PER_PARTITION) -> int:
+    """Training partitions: ceil(n_docs / docs_per_partition), at least 1 and at
+    most ``spark.sql.shuffle.partitions``.  Depends only on the data and the
+    session config, so the same input always gets the same layout."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n_docs is None:
+        return cap
+    return max(1, min(cap, -(-n_docs // docs_per_partition)))
+
+
 def training_input(
-    features: DataFrame, key: str = "product_name", partitions: int | None = None
+    features: DataFrame,
+    key: str = "product_name",
+    partitions: int | None = None,
+    n_docs: int | None = None,
 ) -> DataFrame:
-    """Canonical layout, reliably checkpointed (LDA makes one pass per iteration)."""
-    return cut_lineage(canonical_layout(features, key, partitions))
+    """Canonical layout, reliably checkpointed (LDA makes one pass per iteration).
+
+    ``partitions`` wins if given; otherwise it is derived from ``n_docs``."""
+    n = partitions or layout_partitions(features.sparkSession, n_docs)
+    return cut_lineage(canonical_layout(features, key, n))
 
 
 def fit_lda(
@@ -77,7 +99,7 @@ def score_once(model: LDAModel, training: DataFrame, keep: Iterable[str] = ITEM_
     """M6 once for every consumer: distributions plus document length,
     reliably checkpointed, so item topics and statistics do not each re-run
     the per-document inference."""
-    scored = model.transform(training).select(
+    scored = model.transform(spread(training)).select(
         *keep, "topicDistribution", F.size(words_col).alias("doc_length")
     )
     return cut_lineage(scored)

@@ -245,7 +245,7 @@ def _doc_lda(spark: SparkSession, sf_dir: str, source: str = "documents") -> _Fi
         else:
             items = to_items(offers(spark, sf_dir))
         vocab, feats = to_tf_idf_features(items)
-        training = training_input(feats, "product_name")
+        training = training_input(feats, "product_name", n_docs=vocab.n_docs)
         model = fit_lda(training, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED)
         _FITS[key] = _Fit(vocab, training, model, score_once(model, training))
     return _FITS[key]

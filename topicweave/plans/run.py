@@ -86,7 +86,9 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     features = read_table(spark, paths["features"])
     paths["vocab"] = write_table(vocab_stats(vocab_model.vocab_df), f"{out}/lda_vis/vocab.parquet")
 
-    training = training_input(features, "product_name", config.layout_partitions)
+    training = training_input(
+        features, "product_name", config.layout_partitions, n_docs=vocab_model.n_docs
+    )
     model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
     paths["model"] = save_model(model, f"{out}/lda_model")
 
