@@ -18,7 +18,7 @@ def rank_within_topic(
     """``rank`` = row_number over (topic, score desc, tie-breaker asc).
 
     Without a rank limit this is a per-topic window: all rows of a topic are
-    ordered in one task.  The notebook only uses it under ``rank <= n``; use
+    ordered in one task.  The report only needs it under ``rank <= n``; use
     ``top_per_topic`` for that, which Spark limits before the shuffle.
     """
     w = Window.partitionBy(topic_col).orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
@@ -67,7 +67,7 @@ def topic_categories(samples: DataFrame, topic_col: str = "topic") -> DataFrame:
 
 
 def topic_categories_nested(samples: DataFrame, topic_col: str = "topic") -> DataFrame:
-    """A12 written like the notebook: ``merge(collect_set(array))`` per topic.
+    """A12 as a nested-set union: ``merge(collect_set(array))`` per topic.
     Fine for the top-n samples (n rows per topic)."""
     return (
         samples.groupBy(topic_col)
