@@ -96,3 +96,32 @@ def test_tokenizing_evaluated_once_per_row(spark):
         per_scan = plan.count("regexp_replace")
         scans = plan.count("FileScan") or plan.count("Scan parquet")
         assert per_scan <= scans, plan
+
+
+def test_vectors_equal_stock_ml_pipeline(spark):
+    """Every (document, word) TF-IDF weight equals the stock ML pipeline's
+    (tokenizer -> stop words -> count vectorizer -> IDF) on sf0.01; only the
+    order of equal-count terms in the vocabulary may differ."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
+
+    from topicweave.functions.constants import MARKUP_PUNCT_DIGIT_PATTERN
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    cleaned = docs.select("doc_id", F.regexp_replace("text", MARKUP_PUNCT_DIGIT_PATTERN, "").alias("d"))
+    stock = Pipeline(stages=[
+        RegexTokenizer(inputCol="d", outputCol="w"),
+        StopWordsRemover(inputCol="w", outputCol="cw"),
+        CountVectorizer(inputCol="cw", outputCol="raw", maxDF=0.3, minDF=0.01),
+        IDF(inputCol="raw", outputCol="features"),
+    ]).fit(cleaned)
+    vocab = stock.stages[2].vocabulary
+    theirs = {}
+    for r in stock.transform(cleaned).select("doc_id", "features").collect():
+        v = r["features"]
+        for i, x in zip(v.indices, v.values):
+            theirs[(r["doc_id"], vocab[i])] = x
+    toks = docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
+    ours = _entries(fit_features(toks), toks)
+    assert ours.keys() == theirs.keys()
+    assert max(abs(ours[k] - theirs[k]) / abs(theirs[k]) for k in ours) <= 1e-12
