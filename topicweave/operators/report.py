@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import merge_sets
 from topicweave.functions.constants import DEFAULT_TOP_ITEMS
+from topicweave.operators.sets import distinct_members, gather_sets
 
 
 def rank_within_topic(
@@ -54,14 +55,20 @@ def top_items_report(scored: DataFrame, n: int = DEFAULT_TOP_ITEMS) -> DataFrame
 def topic_categories(samples: DataFrame, topic_col: str = "topic") -> DataFrame:
     """Distinct categories and brands per topic, sorted by topic.
 
-    The explode + ``collect_set`` form pre-aggregates map-side.
+    Topics are few, so each is a hot key: members are de-duplicated as
+    ``(topic, kind, value)`` first (spread over all reducers), then gathered.
+    A null element is kept once, like the nested-set union.
     """
-    cats = samples.select(topic_col, F.explode_outer("categories").alias("v"))
-    brands = samples.select(topic_col, F.explode_outer("brands").alias("v"))
-    tagged = cats.withColumn("kind", F.lit("c")).unionByName(brands.withColumn("kind", F.lit("b")))
-    per = tagged.groupBy(topic_col).agg(
-        F.sort_array(F.collect_set(F.when(F.col("kind") == "c", F.col("v")))).alias("distinct_category"),
-        F.sort_array(F.collect_set(F.when(F.col("kind") == "b", F.col("v")))).alias("distinct_brands"),
+    members = distinct_members(
+        samples,
+        topic_col,
+        {"distinct_category": F.col("categories"), "distinct_brands": F.col("brands")},
+        keep_null=("distinct_category", "distinct_brands"),
+    )
+    per = gather_sets(
+        members, topic_col, ("distinct_category", "distinct_brands"),
+        ("distinct_category", "distinct_brands"),
+        rows=samples.select(topic_col),  # topics whose lists are all empty still appear
     )
     return per.orderBy(topic_col)
 

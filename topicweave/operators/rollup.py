@@ -1,8 +1,7 @@
 """Item rollup and item-level descriptive queries.
 
-The rollup is ONE aggregation: partial aggregation dedups every set before
-the shuffle, so a product with a huge number of offers never moves more than
-its partial sets.
+The rollup never sends a hot product's rows, or its per-task partial sets,
+to one reducer: see ``to_items``.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.functions.arrays import merge_sets
+from topicweave.operators.sets import distinct_members, gather_sets
 
 CATEGORY_COL = "e_matched_tokens_categories_formatted"
 
@@ -27,6 +26,9 @@ def exact_mean(c: F.Column) -> F.Column:
     return F.avg(c.cast(PRICE_DECIMAL)).cast("decimal(21,10)").cast("double")
 
 
+SET_NAMES = ("codes", "brands", "retailers", "categories")
+
+
 def to_items(offers: DataFrame) -> DataFrame:
     """A1: one row per ``product_name`` (null names form their own group).
 
@@ -39,21 +41,38 @@ def to_items(offers: DataFrame) -> DataFrame:
       ``exact_mean``); purchase_count: non-null item codes (A6, it counts
       offers); sizes of the sets (A7).
 
-    One aggregation, one shuffle keyed by product name.  Every set is
-    de-duplicated map-side by the partial aggregate (category lists as whole
-    lists, flattened once per product), and no offer row is multiplied, so a
-    long description is never copied per category.
+    Skew-safe plan, two exchanges and no join: set members are de-duplicated
+    as ``(product, kind, value)`` rows, an exchange that spreads a hot
+    product over all reducers; then one aggregation per product gathers the
+    distinct members and computes the scalar measures, whose partial
+    (map-side) buffers are constant-size.  A hot product's reducer receives
+    its distinct values plus one partial buffer per map task.  No offer row is
+    multiplied with its description.
     """
-    agg = offers.groupBy("product_name").agg(
-        F.sort_array(F.collect_set("item_code")).alias("codes"),
-        F.sort_array(F.collect_set("e_brand_formatted_slug")).alias("brands"),
-        F.sort_array(F.collect_set("retailer_code")).alias("retailers"),
-        F.collect_set(CATEGORY_COL).alias("_cat_lists"),
-        F.min("long_description").alias("description"),
-        exact_mean(F.col("e_price")).alias("price"),
-        F.count("item_code").alias("purchase_count"),
+    members = distinct_members(
+        offers,
+        "product_name",
+        {
+            "codes": F.array("item_code"),
+            "brands": F.array("e_brand_formatted_slug"),
+            "retailers": F.array("retailer_code"),
+            "categories": F.col(CATEGORY_COL),
+        },
+        keep_null=("categories",),
+    )
+    merged = gather_sets(
+        members,
+        "product_name",
+        SET_NAMES,
+        ("categories",),
+        rows=offers.select("product_name", "long_description", "e_price", "item_code"),
+        aggs=[
+            F.min("long_description").alias("description"),
+            exact_mean(F.col("e_price")).alias("price"),
+            F.count("item_code").alias("purchase_count"),
+        ],
     )
-    return agg.withColumn("categories", merge_sets("_cat_lists")).select(
+    return merged.select(
         "product_name",
         "codes",
         "brands",

@@ -33,6 +33,7 @@ from topicweave.operators.topics import (
     with_assignment,
 )
 from topicweave.sources.io import read_offers_json, read_table, run_path, save_model, write_table
+from topicweave.sources.schemas import ROLLUP_COLUMNS
 
 
 @dataclass
@@ -75,6 +76,10 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
         offers = read_offers_json(spark, config.source_json)
 
     paths: dict[str, str] = {}
+    # the raw feed is parsed once: only the rollup's columns are landed as
+    # Parquet, which the rollup then reads (twice, column-pruned)
+    paths["offers"] = write_table(offers.select(*ROLLUP_COLUMNS), f"{out}/offers.parquet")
+    offers = read_table(spark, paths["offers"])
     # items: written once, every later step reads the table
     paths["items"] = write_table(to_items(offers), f"{out}/item_df.parquet")
     items = read_table(spark, paths["items"])
