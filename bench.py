@@ -15,11 +15,46 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
+from topicweave.operators.features import to_tf_idf_features  # noqa: E402
+from topicweave.operators.topics import fit_lda, training_input  # noqa: E402
 from topicweave.plans.catalog import QUERIES  # noqa: E402
+from topicweave.plans.run import JobConfig, run_topic_job  # noqa: E402
 from topicweave.session import local_session  # noqa: E402
+from topicweave.sources.adapters import document_items, offers  # noqa: E402
+
+
+class _Steps:
+    """Timed steps that are not single queries (they map to BASELINE rows)."""
+
+    def __init__(self, spark, sf_dir, scratch):
+        self.spark, self.sf_dir, self.scratch = spark, sf_dir, scratch
+        self.feats = self.vocab = None
+
+    def features_fit(self):
+        # baseline row: fit tokenizer + stop words + vectorizer + IDF, plus one row count
+        self.vocab, self.feats = to_tf_idf_features(document_items(self.spark, self.sf_dir))
+        self.feats.count()
+
+    def lda_fit(self):
+        # baseline row: LDA fit, k=6, 50 iterations, seed 100, on prepared features
+        if self.feats is None:
+            self.features_fit()
+        training = training_input(self.feats, n_docs=self.vocab.n_docs)
+        t0 = time.perf_counter()
+        fit_lda(training, 6, 50, 100)
+        return time.perf_counter() - t0
+
+    def topic_job(self):
+        # the whole batch job on the offer feed, all outputs written
+        cfg = JobConfig(output_base=f"{self.scratch}/out", version="bench")
+        run_topic_job(self.spark, cfg, offers=offers(self.spark, self.sf_dir))
+
+STEPS = ["features_fit", "lda_fit", "topic_job"]
 
 HEADLINE = [
     "item_rollup",
+    "features_fit",
+    "lda_fit",
     "item_overview",
     "clean_text_pages",
     "tokens_no_stopwords",
@@ -34,7 +69,8 @@ HEADLINE = [
     "lda_doc_stats",
     "lda_prevalence",
     "lda_relevance",
-    "offers_lda_topk",  # the whole offers job: rollup -> features -> LDA -> report
+    "offers_lda_topk",  # offers: rollup -> features -> LDA -> report
+    "topic_job",  # the batch job end to end, every table and the model written
 ]
 
 
@@ -50,10 +86,16 @@ def main() -> None:
     )
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     times: dict[str, float] = {}
+    steps = _Steps(spark, sf_dir, scratch)
     for name in only or HEADLINE:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        if name in STEPS:
+            inner = getattr(steps, name)()
+            elapsed = inner if inner is not None else time.perf_counter() - t0
+        else:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            elapsed = time.perf_counter() - t0
+        times[name] = round(elapsed, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
