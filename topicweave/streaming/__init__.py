@@ -1,7 +1,5 @@
 """Streaming.
 
 The modelled job is batch only: it has no stream source, watermark, window or
-state, so nothing streaming is built.  A saved model (``sources.io.load_model``)
-scores a streaming DataFrame the same way it scores a batch one, since
-``LDAModel.transform`` and the arg-max expressions are row-wise.
+state, so nothing streaming is built here.
 """
