@@ -93,3 +93,11 @@ def test_preview_and_clean_description(spark, capsys):
     assert out == "ac "
     preview(df, 60)
     assert "description" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_query_plans(spark, name):
+    """Every registered query stays in the JVM: no Python UDF / Arrow eval."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+        assert marker not in plan, (name, marker)
