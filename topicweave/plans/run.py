@@ -69,16 +69,15 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     """Run the whole job and return the written paths by output name."""
     version = config.version or str(int(time.time()))
     out = run_path(config.output_base, version, config.k, config.max_iter, config.seed)
+    paths: dict[str, str] = {}
     if offers is None:
         if not config.source_json:
             raise ValueError("give either an offers DataFrame or config.source_json")
-        offers = read_offers_json(spark, config.source_json)
-
-    paths: dict[str, str] = {}
-    # the raw feed is parsed once: only the rollup's columns are landed as
-    # Parquet, which the rollup then reads (twice, column-pruned)
-    paths["offers"] = write_table(offers.select(*ROLLUP_COLUMNS), f"{out}/offers.parquet")
-    offers = read_table(spark, paths["offers"])
+        # the raw JSON feed is parsed once: only the rollup's columns are
+        # landed as Parquet, which the rollup then reads (column-pruned)
+        raw = read_offers_json(spark, config.source_json).select(*ROLLUP_COLUMNS)
+        paths["offers"] = write_table(raw, f"{out}/offers.parquet")
+        offers = read_table(spark, paths["offers"])
     # items: written once, every later step reads the table
     paths["items"] = write_table(to_items(offers), f"{out}/item_df.parquet")
     items = read_table(spark, paths["items"])
