@@ -1,6 +1,5 @@
 """Driver contract, the batch job, and Spark-vs-DuckDB on the small tables."""
 
-import json
 import math
 import os
 

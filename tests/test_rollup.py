@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from topicweave.operators.rollup import describe_items, item_overview, summary_stats, to_items
 from topicweave.sources.io import read_offers_json
 from topicweave.sources.schemas import RAW_OFFER_SCHEMA

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import (
-    dist_array,
     is_complete,
     sorted_join,
     top_index,
