@@ -8,6 +8,7 @@ never re-reads the raw feed and two outputs of the same run cannot disagree.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,19 +97,22 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     paths["model"] = save_model(model, f"{out}/lda_model")
 
     scored = score_once(model, training)  # per-document inference runs once
-    paths["item_topics"] = write_table(with_assignment(scored), f"{out}/item_topic_df.parquet")
-    paths["topics"] = write_table(
-        describe_topics(model, vocab_model.vocab_df, config.topic_terms), f"{out}/topics_df.parquet"
-    )
-
     stats = doc_stats(scored, exact=config.exact_filter)
-    paths["doc_stats"] = write_table(stats, f"{out}/lda_vis/doc_stats.parquet")
-    stats = read_table(spark, paths["doc_stats"])
-    paths["topic_term"] = write_table(
-        topic_term_matrix(model, vocab_model.vocab_df), f"{out}/lda_vis/topic_term.parquet"
-    )
-    paths["prevalence"] = write_table(topic_prevalence(stats), f"{out}/lda_vis/prevalence.parquet")
-    paths["relevance"] = write_table(
-        term_relevance(model, vocab_model.vocab_df), f"{out}/lda_vis/relevance.parquet"
-    )
+    outputs = {
+        "item_topics": (with_assignment(scored), f"{out}/item_topic_df.parquet"),
+        "topics": (
+            describe_topics(model, vocab_model.vocab_df, config.topic_terms),
+            f"{out}/topics_df.parquet",
+        ),
+        "doc_stats": (stats, f"{out}/lda_vis/doc_stats.parquet"),
+        "topic_term": (topic_term_matrix(model, vocab_model.vocab_df), f"{out}/lda_vis/topic_term.parquet"),
+        "prevalence": (topic_prevalence(stats), f"{out}/lda_vis/prevalence.parquet"),
+        "relevance": (term_relevance(model, vocab_model.vocab_df), f"{out}/lda_vis/relevance.parquet"),
+    }
+    # independent outputs of one checkpointed scoring pass: submitted as
+    # concurrent Spark jobs so small ones do not leave the cluster idle
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        futures = {name: pool.submit(write_table, df, path) for name, (df, path) in outputs.items()}
+        for name, fut in futures.items():
+            paths[name] = fut.result()
     return paths
