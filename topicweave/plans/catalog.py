@@ -124,6 +124,15 @@ def q_tokens_no_stopwords(spark, sf_dir):
     )
 
 
+def q_conversation_tokens(spark, sf_dir):
+    """F1-F3 on the second corpus: every conversation turn, whole text."""
+    conv = spread(table(spark, sf_dir, "conversations"))
+    t = conv.select("conv_id", "turn", clean_tokens("text").alias("w"))
+    return t.select(
+        "conv_id", "turn", F.size("w").alias("n_tokens"), F.array_join("w", " ").alias("tokens")
+    )
+
+
 def q_bigrams(spark, sf_dir):
     t = _doc_tokens(spark, sf_dir).select("doc_id", ngrams("cleaned_words", 2).alias("g"))
     return t.select("doc_id", F.size("g").alias("n_bigrams"), F.array_join("g", "|").alias("bigrams"))
@@ -346,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "clean_text_documents": q_clean_text_documents,
     "clean_text_pages": q_clean_text_pages,
     "tokens_no_stopwords": q_tokens_no_stopwords,
+    "conversation_tokens": q_conversation_tokens,
     "bigrams": q_bigrams,
     "word_count": q_word_count,
     "doc_lengths": q_doc_lengths,
@@ -381,6 +391,7 @@ ORACLE: dict[str, str] = {
     "clean_text_documents": oracle.clean_documents(),
     "clean_text_pages": oracle.clean_pages(),
     "tokens_no_stopwords": oracle.doc_tokens(),
+    "conversation_tokens": oracle.conversation_tokens(),
     "bigrams": oracle.doc_bigrams(),
     "word_count": oracle.word_count(),
     "doc_lengths": oracle.doc_lengths(),

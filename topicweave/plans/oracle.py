@@ -247,3 +247,8 @@ def lda_features_unpacked() -> str:
 tf as (select doc_id, w, count(*) as c from words group by doc_id, w)
 select cast(doc_id as varchar) as product_name, w as word, round(c * idf, {ROUND}) as tfidf
 from tf join vocab using (w)"""
+
+
+def conversation_tokens() -> str:
+    return f"""with tok as (select conv_id, turn, {tokens_expr('text')} as toks from conversations)
+select conv_id, turn, cast(len(toks) as integer) as n_tokens, array_to_string(toks, ' ') as tokens from tok"""
