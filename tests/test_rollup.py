@@ -102,3 +102,61 @@ def test_rollup_plan_is_skew_safe(spark):
     assert "Join" not in plan
     assert "SortAggregate" not in plan  # hash-based aggregation throughout
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+# --- property test: rollup equals a brute-force Python rollup ---------------
+
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_names = st.sampled_from(["p", "q", "r", None])
+_vals = st.sampled_from(["a", "b", "c", None])
+_offer = st.fixed_dictionaries(
+    {
+        "product_name": _names,
+        "item_code": _vals,
+        "e_brand_formatted_slug": _vals,
+        "retailer_code": _vals,
+        CAT: st.one_of(st.none(), st.lists(_vals, max_size=3)),
+        "long_description": st.sampled_from(["x", "yy", None]),
+        "e_price": st.one_of(st.none(), st.integers(0, 100000).map(lambda c: c / 100)),
+    }
+)
+
+
+def _brute(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["product_name"], []).append(r)
+    out = {}
+    for name, rs in groups.items():
+        codes = sorted({r["item_code"] for r in rs} - {None})
+        brands = sorted({r["e_brand_formatted_slug"] for r in rs} - {None})
+        retailers = sorted({r["retailer_code"] for r in rs} - {None})
+        cats = set()
+        for r in rs:
+            if r[CAT] is not None:
+                cats |= set(r[CAT])
+        cat_list = ([None] if None in cats else []) + sorted(cats - {None})
+        descs = [r["long_description"] for r in rs if r["long_description"] is not None]
+        prices = [Decimal(repr(r["e_price"])) for r in rs if r["e_price"] is not None]
+        price = None
+        if prices:
+            mean = (sum(prices) / len(prices)).quantize(Decimal("1e-10"), rounding=ROUND_HALF_UP)
+            price = float(mean)
+        out[name] = (codes, brands, retailers, cat_list, min(descs) if descs else None, price,
+                     sum(1 for r in rs if r["item_code"] is not None))
+    return out
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(_offer, min_size=1, max_size=12))
+def test_rollup_matches_brute_force(spark, rows):
+    got = {
+        r["product_name"]: (r["codes"], r["brands"], r["retailers"], r["categories"],
+                            r["description"], r["price"], r["purchase_count"])
+        for r in to_items(_offers(spark, rows)).collect()
+    }
+    assert got == _brute(rows)
