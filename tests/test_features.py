@@ -125,3 +125,53 @@ def test_vectors_equal_stock_ml_pipeline(spark):
     ours = _entries(fit_features(toks), toks)
     assert ours.keys() == theirs.keys()
     assert max(abs(ours[k] - theirs[k]) / abs(theirs[k]) for k in ours) <= 1e-12
+
+
+# --- property tests: vocabulary statistics and lookups vs plain Python -------
+
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from topicweave.operators.lookup import ids_to_words, words_to_ids
+
+_docs = st.lists(st.lists(st.sampled_from(list("abcdefgh")), max_size=8), min_size=1, max_size=10)
+
+
+@settings(max_examples=20, deadline=None)
+@given(_docs)
+def test_term_stats_match_counter(spark, docs):
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id int, cleaned_words array<string>")
+    got = {r["word"]: (r["term_frequency"], r["doc_freq"]) for r in term_stats(df).collect()}
+    tf = Counter(w for d in docs for w in d)
+    dfreq = Counter(w for d in docs for w in set(d))
+    assert got == {w: (tf[w], dfreq[w]) for w in tf}
+
+
+@settings(max_examples=15, deadline=None)
+@given(_docs)
+def test_lookup_round_trip(spark, docs):
+    vocab = spark.createDataFrame(
+        [(i, w) for i, w in enumerate("hgfedc")], "term_idx int, word string"
+    )
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id int, cleaned_words array<string>")
+    ids = words_to_ids(df, "cleaned_words", vocab, ["doc_id"])
+    back = {r["doc_id"]: r["words"] for r in ids_to_words(ids, "term_ids", vocab, ["doc_id"]).collect()}
+    assert back == {i: [w for w in d if w in "hgfedc"] for i, d in enumerate(docs)}
+
+
+def test_spread_is_noop_when_split(spark):
+    from topicweave.session import spread
+
+    wide = spark.range(0, 1000, numPartitions=32)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_checkpoint_dir_is_the_sessions(spark):
+    from topicweave.session import ensure_checkpoint_dir
+
+    d = ensure_checkpoint_dir(spark)
+    assert d and "tw-test-ckpt-" in d  # the folder the session names, not a new one
