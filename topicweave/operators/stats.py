@@ -91,9 +91,9 @@ def term_relevance(
     terms per topic are kept (partial ``WindowGroupLimit`` before the shuffle).
     """
     tm = topic_term_matrix(model, vocab_df)
+    total = vocab_df.agg(F.sum("term_frequency")).first()[0]  # one number
     tf = vocab_df.select(
-        "term_idx",
-        (F.col("term_frequency") / F.sum("term_frequency").over(Window.partitionBy())).alias("p_w"),
+        "term_idx", (F.col("term_frequency") / F.lit(float(total))).alias("p_w")
     )
     joined = tm.join(tf, "term_idx")
     phi = F.col("prob")

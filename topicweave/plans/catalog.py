@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import (
+    dist_sum,
     is_complete,
     sorted_join,
     top_index,
@@ -222,10 +223,8 @@ def q_topic_categories(spark, sf_dir):
 def q_complete_dist_filter(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     a = F.transform("embedding", lambda x: F.abs(x.cast("double")))
-    d = e.select("vec_id", a.alias("a")).select(
-        "vec_id",
-        F.transform("a", lambda x: x / F.aggregate("a", F.lit(0.0), lambda s, y: s + y)).alias("dist"),
-    )
+    sums = e.select("vec_id", a.alias("a")).select("vec_id", "a", dist_sum("a").alias("s"))
+    d = sums.select("vec_id", F.transform("a", lambda x: x / F.col("s")).alias("dist"))
     return d.where(is_complete("dist")).select(
         "vec_id", top_index("dist").alias("topic"), F.size("dist").alias("n_topics")
     )
