@@ -201,3 +201,21 @@ def test_em_model_saved_as_local(fitted, scratch):
     loaded = load_model(path)
     assert isinstance(loaded, LocalLDAModel) and not loaded.isDistributed()
     assert np.allclose(loaded.topicsMatrix().toArray(), em.toLocal().topicsMatrix().toArray())
+
+
+def test_balanced_rank_equals_window_rank(spark):
+    """The skew-proof full ranking equals row_number() per topic, on a table
+    where one topic holds most rows (embeddings arg-max topics are skewed)."""
+    from pyspark.sql import functions as F
+
+    from topicweave.operators.report import rank_within_topic, rank_within_topic_balanced
+
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    scored = e.select(
+        "vec_id",
+        F.array_max("embedding").cast("float").alias("score"),
+        F.when(F.col("vec_id") % 10 < 7, F.lit(0)).otherwise(F.col("label")).alias("topic"),
+    )
+    a = {r["vec_id"]: r["rank"] for r in rank_within_topic(scored, tie_col="vec_id").collect()}
+    b = {r["vec_id"]: r["rank"] for r in rank_within_topic_balanced(scored, tie_col="vec_id", partitions=7).collect()}
+    assert a == b

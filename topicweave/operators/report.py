@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from topicweave.functions.arrays import merge_sets
 from topicweave.functions.constants import DEFAULT_TOP_ITEMS
 from topicweave.operators.sets import distinct_members, gather_sets
+from topicweave.session import cut_lineage
 
 
 def rank_within_topic(
@@ -20,12 +21,54 @@ def rank_within_topic(
 
     Without a rank limit this is a per-topic window: all rows of a topic are
     ordered in one task.  The report only needs it under ``rank <= n``; use
-    ``top_per_topic`` for that, which Spark limits before the shuffle.
+    ``top_per_topic`` for that, which Spark limits before the shuffle, and
+    ``rank_within_topic_balanced`` to rank every row of a skewed topic.
     """
     w = Window.partitionBy(topic_col).orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
     return scored.withColumn("rank", F.row_number().over(w))
 
 
+def rank_within_topic_balanced(
+    scored: DataFrame,
+    topic_col: str = "topic",
+    score_col: str = "score",
+    tie_col: str = "product_name",
+    partitions: int | None = None,
+) -> DataFrame:
+    """W1 for every row, without sending a topic to one task.
+
+    Rows are range-partitioned and sorted by (topic, score desc, tie), so a
+    topic holding most rows is split over many balanced partitions.  Each
+    row's position inside its partition comes from
+    ``monotonically_increasing_id`` (partition index in the high bits); the
+    rank is that position minus the first position of the topic in the
+    partition, plus the number of the topic's rows in earlier partitions.
+    Those offsets come from a (partition, topic) count table -- partitions x
+    topics rows, the only thing broadcast.  The sorted data is checkpointed
+    once so both uses see the same layout.
+    """
+    spark = scored.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(topic_col).asc(), F.col(score_col).desc(), F.col(tie_col).asc()]
+    ranged = (
+        scored.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    ranged = cut_lineage(ranged)
+    part = F.shiftright(F.col("_id"), 33)
+    runs = ranged.groupBy(part.alias("_p"), F.col(topic_col)).agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    earlier = Window.partitionBy(topic_col).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select(
+        "_p", topic_col, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    joined = ranged.withColumn("_p", part).join(F.broadcast(offsets), ["_p", topic_col])
+    rank = F.col("_id") - F.col("_first") + F.lit(1) + F.col("_before")
+    return joined.withColumn("rank", rank.cast("int")).drop("_id", "_p", "_first", "_before")
+
+
 def top_per_topic(
     scored: DataFrame,
     n: int = DEFAULT_TOP_ITEMS,

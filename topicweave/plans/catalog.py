@@ -33,6 +33,7 @@ from topicweave.operators.features import (
 )
 from topicweave.operators.lookup import ids_to_words, words_to_ids
 from topicweave.operators.report import (
+    rank_within_topic_balanced,
     top_items_report,
     top_per_topic,
     topic_categories,
@@ -207,6 +208,12 @@ def q_topk_per_topic(spark, sf_dir):
     return top.select("topic", "vec_id", "score", F.col("rank").cast("int").alias("rank"))
 
 
+def q_rank_per_topic(spark, sf_dir):
+    """W1 for every row (no limit), skew-proof."""
+    r = rank_within_topic_balanced(_argmax_embeddings(spark, sf_dir), tie_col="vec_id")
+    return r.select("vec_id", "topic", "score", "rank")
+
+
 def q_topic_categories(spark, sf_dir):
     items = document_items(spark, sf_dir).select(
         F.col("categories")[0].alias("topic"),
@@ -364,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "ids_to_words": q_ids_to_words,
     "argmax_assign": q_argmax_assign,
     "topk_per_topic": q_topk_per_topic,
+    "rank_per_topic": q_rank_per_topic,
     "topic_categories": q_topic_categories,
     "complete_dist_filter": q_complete_dist_filter,
     "lda_topics": q_lda_topics,
@@ -400,6 +408,7 @@ ORACLE: dict[str, str] = {
     "ids_to_words": oracle.ids_to_words(),
     "argmax_assign": oracle.argmax_assign(),
     "topk_per_topic": oracle.topk_per_topic(10),
+    "rank_per_topic": oracle.rank_per_topic(),
     "topic_categories": oracle.topic_categories(),
     "complete_dist_filter": oracle.complete_dist_filter(),
     "lda_vocab_stats": oracle.lda_vocab_stats(),

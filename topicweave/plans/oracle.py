@@ -252,3 +252,10 @@ from tf join vocab using (w)"""
 def conversation_tokens() -> str:
     return f"""with tok as (select conv_id, turn, {tokens_expr('text')} as toks from conversations)
 select conv_id, turn, cast(len(toks) as integer) as n_tokens, array_to_string(toks, ' ') as tokens from tok"""
+
+
+def rank_per_topic() -> str:
+    return f"""with {ARGMAX_CTE}
+select vec_id, topic, score,
+       cast(row_number() over (partition by topic order by score desc, vec_id asc) as integer) as rank
+from scored"""
