@@ -77,6 +77,15 @@ def test_run_topic_job(spark, scratch):
     assert set(vis) == {"doc_stats", "vocab", "topic_term", "prevalence", "relevance"}
     assert vis["doc_stats"].count() == items.count()
     assert load_model(paths["model"]).vocabSize() == vis["vocab"].count()
+    from topicweave.plans.explore import run_report
+
+    rep = run_report(spark, run_dir)
+    assert rep["overview"].first()["product_distinct"] == items.count()
+    top = rep["top_items"].collect()
+    assert 0 < len(top) <= 60 and [r["topic"] for r in top] == sorted(r["topic"] for r in top)
+    cats = rep["topic_categories"].collect()
+    assert {r["topic"] for r in cats} == {r["topic"] for r in top}
+    assert {r["summary"] for r in rep["describe"].collect()} >= {"count", "mean", "stddev", "min", "max"}
 
 
 def test_config_overrides():
