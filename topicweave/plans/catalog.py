@@ -309,7 +309,7 @@ def q_lda_relevance(spark, sf_dir):
 
 def q_lda_sweep(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    grid = [(k, 10, DEFAULT_SEED) for k in (5, 6, 7, 8)]
+    grid = [(k, DEFAULT_MAX_ITER, DEFAULT_SEED) for k in (5, 6, 7, 8)]  # K tried 5-8
     return sweep_table(f.training, grid)
 
 
