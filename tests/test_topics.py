@@ -159,6 +159,13 @@ def test_sweep(fitted):
     res = sweep(training, [(3, 5, 1), (4, 5, 1)])
     assert [r.k for r in res] == [3, 4]
     assert all(np.isfinite(r.log_likelihood) and np.isfinite(r.log_perplexity) for r in res)
+    # concurrent fits are still deterministic: same grid, bit-identical models;
+    # the likelihood is a distributed sum merged in task-completion order, so
+    # it may differ in the last bit
+    again = sweep(training, [(3, 5, 1), (4, 5, 1)], max_parallel=1)
+    for a, b in zip(res, again):
+        assert np.array_equal(a.model.topicsMatrix().toArray(), b.model.topicsMatrix().toArray())
+        assert abs(a.log_likelihood - b.log_likelihood) <= 1e-12 * abs(b.log_likelihood)
 
 
 def test_no_vocabulary_terms_gives_topic_zero(spark, fitted):

@@ -10,6 +10,7 @@ checkpointed to the shared checkpoint folder before the iterations start.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
@@ -187,24 +188,30 @@ def sweep(
     training: DataFrame,
     grid: Iterable[tuple[int, int, int]],
     features_col: str = "features",
+    max_parallel: int = 4,
 ) -> list[SweepResult]:
     """One fit per ``(k, iterations, seed)`` on features computed once.
 
-    ``logLikelihood`` / ``logPerplexity`` are distributed evaluations over
-    the training input.
+    The fits are independent, so they are submitted as concurrent Spark jobs
+    (each LDA iteration is a small job; run one after another they would
+    leave most of the cluster idle).  ``logLikelihood`` / ``logPerplexity``
+    are distributed evaluations over the training input.  Results keep the
+    grid order.
     """
-    out = []
-    for k, it, seed in grid:
+
+    def one(point: tuple[int, int, int]) -> SweepResult:
+        k, it, seed = point
         model = fit_lda(training, k, it, seed, features_col)
-        out.append(
-            SweepResult(
-                k, it, seed,
-                float(model.logLikelihood(training)),
-                float(model.logPerplexity(training)),
-                model,
-            )
+        return SweepResult(
+            k, it, seed,
+            float(model.logLikelihood(training)),
+            float(model.logPerplexity(training)),
+            model,
         )
-    return out
+
+    points = list(grid)
+    with ThreadPoolExecutor(max_workers=max(1, min(len(points), max_parallel))) as pool:
+        return list(pool.map(one, points))
 
 
 def sweep_table(training: DataFrame, grid: Iterable[tuple[int, int, int]], features_col: str = "features") -> DataFrame:
