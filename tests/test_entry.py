@@ -50,11 +50,20 @@ def duck():
     return con
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "double": "DOUBLE",
+                  "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_against_oracle(spark, duck, name):
-    s = E.queries()[name](spark, SF_SMALL).toPandas()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    s = sdf.toPandas()
     d = duck.execute(E.oracle_sql()[name]).fetchdf()
     assert _canon(s) == _canon(d)
+    # same column names and types on both sides
+    spark_types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"describe {E.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
 
 
 def test_run_topic_job(spark, scratch):
