@@ -10,13 +10,13 @@ it *is* the model, like Spark's own ``CountVectorizer`` vocabulary.
 
 Vectors are then produced by ``CountVectorizerModel`` (counts) and an
 ``ElementwiseProduct`` with the IDF weights ``ln((n+1)/(df+1))`` computed from
-the same document counts, i.e. exactly Spark's ``IDF`` without a second
-pass over the corpus.
+the same document counts: Spark's ``IDF`` formula (equal to within 1e-12
+relative, the log being evaluated by the JVM expression the long form uses)
+without a second pass over the corpus.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -98,11 +98,6 @@ def df_band(stats: DataFrame, n_docs: int, min_df: float = MIN_DF, max_df: float
     return stats.where((F.col("doc_freq") >= F.lit(lo)) & (F.col("doc_freq") <= F.lit(hi)))
 
 
-def idf_value(n_docs: int, doc_freq: int) -> float:
-    """Spark's smoothed inverse document frequency."""
-    return math.log((n_docs + 1.0) / (doc_freq + 1.0))
-
-
 def idf_column(n_docs: int, df_col: str = "doc_freq") -> F.Column:
     return F.log(F.lit(n_docs + 1.0) / (F.col(df_col) + F.lit(1.0)))
 

@@ -42,10 +42,10 @@ from topicweave.operators.rollup import describe_items, item_overview, summary_s
 from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence, vocab_stats
 from topicweave.operators.topics import (
     describe_topics,
-    topic_term_matrix,
     fit_lda,
     score_once,
     sweep_table,
+    topic_term_matrix,
     topic_terms,
     training_input,
     with_assignment,
