@@ -17,7 +17,7 @@ sys.path.insert(0, ROOT)
 from topicweave.plans import catalog  # noqa: E402
 from topicweave.session import local_session  # noqa: E402
 
-QUERIES = ["item_rollup", "item_overview", "word_count", "tfidf_long", "topk_per_topic", "ids_to_words"]
+QUERIES = ["item_rollup", "item_overview", "word_count", "tfidf_long", "topk_per_topic", "rank_per_topic", "ids_to_words"]
 
 
 def shorten(plan: str) -> str:

@@ -64,9 +64,15 @@ def rank_within_topic_balanced(
     offsets = runs.select(
         "_p", topic_col, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    joined = ranged.withColumn("_p", part).join(F.broadcast(offsets), ["_p", topic_col])
+    left = ranged.withColumn("_p", part)
+    right = offsets.withColumnRenamed(topic_col, "_t").withColumnRenamed("_p", "_rp")
+    # null-safe on the topic: rows without a topic are ranked as their own group
+    cond = (left["_p"] == right["_rp"]) & left[topic_col].eqNullSafe(right["_t"])
+    joined = left.join(F.broadcast(right), cond)
     rank = F.col("_id") - F.col("_first") + F.lit(1) + F.col("_before")
-    return joined.withColumn("rank", rank.cast("int")).drop("_id", "_p", "_first", "_before")
+    return joined.withColumn("rank", rank.cast("int")).drop(
+        "_id", "_p", "_rp", "_t", "_first", "_before"
+    )
 
 
 def top_per_topic(
