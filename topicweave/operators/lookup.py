@@ -37,7 +37,8 @@ def ids_to_words(
 ) -> DataFrame:
     """``keys, out_col`` with every term id replaced by its word,
     order kept; ids outside the vocabulary are dropped.  Rows with an empty
-    or null id list keep an empty list."""
+    or null id list keep an empty list.  ``keys`` must identify a row (unique,
+    non-null): the result is regrouped by them."""
     ex = df.select(*keys, F.posexplode_outer(ids_col).alias("_pos", "term_idx"))
     joined = ex.join(F.broadcast(vocab_df.select("term_idx", "word")), "term_idx", "left")
     return _regroup(joined, keys, "word", out_col)
