@@ -118,3 +118,25 @@ def test_no_python_in_query_plans(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in plan, (name, marker)
+
+
+def test_topic_job_is_reproducible(spark, scratch):
+    """Two runs of the job on the same input write identical items, topic
+    assignments and topic descriptions (deterministic representative values,
+    vocabulary order, training layout and seed)."""
+    feed = offers(spark, SF_SMALL)
+    runs = []
+    for v in ("a", "b"):
+        cfg = JobConfig(output_base=f"{scratch}/out", max_iter=5, version=v)
+        runs.append(run_topic_job(spark, cfg, offers=feed.repartition(3 if v == "a" else 5)))
+
+    def rows(path, cols):
+        return sorted(tuple(r) for r in spark.read.parquet(path).select(*cols).collect())
+
+    a, b = runs
+    item_cols = ["product_name", "codes", "brands", "retailers", "categories", "description", "price"]
+    assert rows(a["items"], item_cols) == rows(b["items"], item_cols)
+    assert rows(a["item_topics"], ["product_name", "score", "topic"]) == rows(
+        b["item_topics"], ["product_name", "score", "topic"]
+    )
+    assert rows(a["topics"], ["topic", "top_terms"]) == rows(b["topics"], ["topic", "top_terms"])
