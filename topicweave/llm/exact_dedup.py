@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 
 from topicweave.llm.common import WHITE, is_empty, read_table, scratch_path, stage_table, text_or_empty
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: no space set aside on disk for each of them.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 FINGERPRINT = "row_no long, doc_id long, n_cp int, locator string, digest binary"
 
 
@@ -66,9 +70,9 @@ class StreamingDeduplicator:
             self.digest(normalised(F.col("text"))).alias("digest"),
         )
         rows.write.mode("append").option("compression", "zstd").parquet(self.landing)
-        key = "spark.sql.streaming.stateStore.providerClass"
-        before = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, ROCKSDB)
+        before = {k: self.spark.conf.get(k, None) for k in STATE_CONF}
+        for k, v in STATE_CONF.items():
+            self.spark.conf.set(k, v)
         try:
             stream = (
                 self.spark.readStream.schema(FINGERPRINT)
@@ -96,10 +100,11 @@ class StreamingDeduplicator:
                 .awaitTermination()
             )
         finally:
-            if before is None:
-                self.spark.conf.unset(key)
-            else:
-                self.spark.conf.set(key, before)
+            for k, v in before.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
 
     def groups(self) -> DataFrame:
         """The state: digest, keep_id, keep_row, keep_cp, locator, group_size."""
