@@ -19,6 +19,7 @@ def spark():
     s = local_session(
         master="local[*]",
         shuffle_partitions=8,
+        input_partitions=8,
         checkpoint_dir=tempfile.mkdtemp(prefix="tw-test-ckpt-", dir="/tmp"),
     )
     yield s

@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from topicweave.plans.run import JobConfig, run_topic_job
+from topicweave.plans.catalog import QUERIES
+from topicweave.plans.run import JobConfig, MalformedFeed, run_sweep, run_topic_job, score_items
 from topicweave.sources.adapters import offers
 from topicweave.sources.io import load_model, preview, read_vis_stats
 
@@ -79,12 +80,16 @@ def test_run_topic_job(spark, scratch):
     assert len(topics) == 6 and all(len(r["top_terms"]) == 10 for r in topics)
     it = spark.read.parquet(paths["item_topics"])
     assert it.columns == ["product_name", "brands", "categories", "topicDistribution", "score", "topic"]
-    for k in ("doc_stats", "topic_term", "prevalence", "relevance", "vocab", "features", "model"):
+    for k in ("doc_stats", "doc_rejects", "topic_term", "prevalence", "relevance", "vocab", "features", "model", "feature_model", "config", "rejects"):
         assert os.path.exists(paths[k].replace("file:", ""))
     run_dir = paths["items"].rsplit("/", 1)[0]
     vis = read_vis_stats(spark, run_dir)
     assert set(vis) == {"doc_stats", "vocab", "topic_term", "prevalence", "relevance"}
-    assert vis["doc_stats"].count() == items.count()
+    assert vis["doc_stats"].where("not complete").count() == 0
+    rejected = spark.read.parquet(paths["doc_rejects"])
+    assert rejected.where("complete").count() == 0
+    assert vis["doc_stats"].count() + rejected.count() == items.count()
+    assert vis["relevance"].count() == 6 * vis["vocab"].count()
     assert load_model(paths["model"]).vocabSize() == vis["vocab"].count()
     from topicweave.plans.explore import run_report
 
@@ -112,10 +117,10 @@ def test_preview_and_clean_description(spark, capsys):
     assert "description" in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_query_plans(spark, name):
-    """Every registered query stays in the JVM: no Python UDF / Arrow eval."""
-    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    """Every query of the catalog stays in the JVM: no Python UDF / Arrow eval."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in plan, (name, marker)
 
@@ -140,3 +145,43 @@ def test_topic_job_is_reproducible(spark, scratch):
         b["item_topics"], ["product_name", "score", "topic"]
     )
     assert rows(a["topics"], ["topic", "top_terms"]) == rows(b["topics"], ["topic", "top_terms"])
+
+
+def test_saved_run_scores_raw_text(spark, scratch):
+    """The saved feature stage and model reproduce the job's own assignment;
+    nothing is left outside the run's folder; the sweep writes per point."""
+    cfg = JobConfig(output_base=f"{scratch}/out", max_iter=3, version="s")
+    paths = run_topic_job(spark, cfg, offers=offers(spark, SF_SMALL))
+    assert all(os.path.abspath(p.replace("file:", "")).startswith(f"{scratch}/out") for p in paths.values())
+    run_dir = paths["items"].rsplit("/", 1)[0]
+    raw = spark.read.parquet(paths["items"]).select("product_name", "description")
+    got = {r["product_name"]: (r["topic"], r["score"]) for r in score_items(spark, run_dir, raw).collect()}
+    want = {r["product_name"]: (r["topic"], r["score"]) for r in spark.read.parquet(paths["item_topics"]).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
+    grid = [(3, 2, 1), (4, 2, 1)]
+    folders = run_sweep(spark, cfg, run_dir, grid)
+    for point in grid:
+        assert spark.read.parquet(f"{folders[point]}/topics_df.parquet").count() == point[0]
+        assert spark.read.parquet(f"{folders[point]}/item_topic_df.parquet").count() == len(want)
+        assert load_model(f"{folders[point]}/lda_model").topicsMatrix().numCols == point[0]
+
+
+def test_malformed_feed_fails_on_request(spark, scratch):
+    with open(f"{scratch}/feed.jl", "w") as fh:
+        fh.write('{"product_name": "p", "item_code": "1"}\n{broken\n')
+    cfg = JobConfig(output_base=f"{scratch}/out", source_json=f"{scratch}/feed.jl", version="m", fail_on_rejects=True)
+    with pytest.raises(MalformedFeed):
+        run_topic_job(spark, cfg)
+
+
+def test_rewritten_tables_are_fitted_anew(spark, scratch):
+    import shutil
+
+    from topicweave.plans.catalog import _doc_lda
+
+    shutil.copy(f"{SF_SMALL}/documents.parquet", f"{scratch}/documents.parquet")
+    a = _doc_lda(spark, scratch)
+    assert _doc_lda(spark, scratch) is a
+    spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 150").toPandas().to_parquet(f"{scratch}/documents.parquet")
+    assert _doc_lda(spark, scratch).vocab.n_docs == 150

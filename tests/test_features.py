@@ -87,9 +87,7 @@ def test_vocab_size_cap(spark):
 
 def test_tokenizing_evaluated_once_per_row(spark):
     """No filter inferred from the explode re-runs the cleaning regex."""
-    from topicweave.session import spread
-
-    docs = spread(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     toks = docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
     for df in (term_stats(toks), word_counts(toks), tfidf_long(toks, "doc_id")):
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -161,13 +159,59 @@ def test_lookup_round_trip(spark, docs):
     assert back == {i: [w for w in d if w in "hgfedc"] for i, d in enumerate(docs)}
 
 
-def test_spread_is_noop_when_split(spark):
-    from topicweave.session import spread
+def test_dealing_out_is_asked_for(spark):
+    from topicweave.session import INPUT_PARTITIONS, dealt
 
-    wide = spark.range(0, 1000, numPartitions=32)
-    assert spread(wide) is wide
     narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    before = spark.conf.get(INPUT_PARTITIONS, None)
+    try:
+        spark.conf.unset(INPUT_PARTITIONS)
+        assert dealt(narrow) is narrow
+        spark.conf.set(INPUT_PARTITIONS, "5")
+        assert "RoundRobinPartitioning(5)" in dealt(narrow)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
+        if before:
+            spark.conf.set(INPUT_PARTITIONS, before)
+
+
+def test_nothing_probes_an_rdd():
+    import pathlib
+
+    root = pathlib.Path(__file__).parent.parent / "topicweave"
+    for part in ("functions", "operators", "plans", "sources"):
+        for f in (root / part).glob("*.py"):
+            assert ".rdd" not in f.read_text(), f
+
+
+def test_vocabulary_overflow_is_an_error(spark, monkeypatch):
+    from topicweave.operators import features as feats
+
+    toks = _tokens(spark)
+    monkeypatch.setattr(feats, "DEFAULT_VOCAB_SIZE", 20)
+    with pytest.raises(feats.VocabularyOverflow):
+        fit_features(toks)
+    with pytest.raises(feats.VocabularyOverflow):
+        tfidf_long(toks, "doc_id")
+    assert len(fit_features(toks, vocab_size=20).vocabulary) == 20
+
+
+def test_unknown_ids_stay_in_place(spark):
+    vocab = spark.createDataFrame([(0, "a"), (1, "b")], "term_idx int, word string")
+    df = spark.createDataFrame([(1, [1, 7, 0]), (2, [-1, None]), (3, []), (4, None)], "k int, ids array<int>")
+    got = {r["k"]: r["words"] for r in ids_to_words(df, "ids", vocab, ["k"]).collect()}
+    assert got == {1: ["b", None, "a"], 2: [None, None], 3: [], 4: []}
+    gappy = spark.createDataFrame([(2, "c"), (0, "a")], "term_idx int, word string")
+    assert ids_to_words(df.where("k = 1"), "ids", gappy, ["k"]).first()["words"] == [None, None, "a"]
+    plan = ids_to_words(df, "ids", vocab, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Join" not in plan
+
+
+def test_vocabulary_is_the_broadcast_side(spark):
+    from topicweave.plans.catalog import q_tfidf_vector_unpacked
+
+    plan = q_tfidf_vector_unpacked(spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "BuildLeft" not in plan
 
 
 def test_checkpoint_dir_is_the_sessions(spark):

@@ -92,15 +92,14 @@ def test_json_source_roundtrip(spark, scratch):
 
 
 def test_rollup_plan_is_skew_safe(spark):
-    """Set members are de-duplicated by an exchange keyed by (product, kind,
-    value) -- a hot product spreads over all reducers -- and merged with the
-    scalar measures without a join; no Python in the plan."""
+    """One pass: the offers are read once, an exchange keyed by (product, kind,
+    value) spreads a hot product over all reducers, no join, no Python."""
     offers = _offers(spark, [dict(product_name="p", item_code="1", **{CAT: ["a"]})])
     plan = to_items(offers)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert any("kind" in e and "value" in e and "product_name" in e for e in exchanges)
     assert "Join" not in plan
-    assert "SortAggregate" not in plan  # hash-based aggregation throughout
+    assert plan.count("Exchange hashpartitioning") == 2 and "Union" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -160,3 +159,83 @@ def test_rollup_matches_brute_force(spark, rows):
         for r in to_items(_offers(spark, rows)).collect()
     }
     assert got == _brute(rows)
+
+
+# --- prices of any size, in both ANSI modes -----------------------------------
+
+import math
+import random
+
+import pytest
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_prices_of_any_size(spark, ansi):
+    cases = {
+        "big": ([1e12, 10.0], 500000000005.0),
+        "tiny": ([1e-7], 1e-7),
+        "digits": ([12.3456789], 12.3456789),
+        "huge": ([1e300, 1e300], 1e300),
+        "dust": ([1e-300], 1e-300),
+        "sum": ([9e14] * 300, 9e14),
+        "inf": ([float("inf"), 1.0], float("inf")),
+        "nan": ([float("nan"), 1.0], float("nan")),
+        "zero": ([0.0, -0.0, None], 0.0),
+        "none": ([None], None),
+        "negative": ([-2.5, 1.25], -0.625),
+    }
+    rows = [dict(product_name=n, item_code=str(i), e_price=p) for n, (ps, _) in cases.items() for i, p in enumerate(ps)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = {r["product_name"]: r["price"] for r in to_items(_offers(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    for name, (_, want) in cases.items():
+        if want is None or not math.isnan(want):
+            assert got[name] == want, name
+        else:
+            assert math.isnan(got[name])
+
+
+def test_hot_product_among_many(spark):
+    """A product of most offers among many groups equals brute force, whatever the layout."""
+    rnd = random.Random(6)
+    rows = []
+    for i in range(6000):
+        name = "hot" if i % 3 else f"p{rnd.randrange(900)}"
+        rows.append(dict(product_name=name, item_code=f"c{rnd.randrange(40)}", e_brand_formatted_slug=f"b{rnd.randrange(9)}",
+                         retailer_code=f"r{rnd.randrange(5)}", e_price=rnd.randrange(10**6) / 100, long_description=f"d{rnd.randrange(99)}",
+                         **{CAT: [f"x{rnd.randrange(50)}"]}))
+    offers = _offers(spark, rows)
+    a = sorted(to_items(offers.repartition(7)).collect(), key=str)
+    assert a == sorted(to_items(offers.coalesce(1)).collect(), key=str)
+    hot = next(r for r in a if r["product_name"] == "hot")
+    mine = [r for r in rows if r["product_name"] == "hot"]
+    assert hot["codes"] == sorted({r["item_code"] for r in mine}) and hot["purchase_count"] == len(mine)
+    assert hot["price"] == float(sum(Decimal(str(r["e_price"])) for r in mine) / len(mine))
+    assert hot["description"] == min(r["long_description"] for r in mine)
+
+
+def test_overview_keeps_products_with_a_null_set(spark):
+    items = spark.createDataFrame(
+        [("p", None, ["a"], ["x"]), ("q", ["r"], ["b"], ["y"])],
+        "product_name string, retailers array<string>, categories array<string>, brands array<string>",
+    )
+    assert item_overview(items).first() == (2, 1, 2, 2)
+
+
+def test_malformed_lines_are_set_apart(spark, scratch):
+    from topicweave.sources.io import read_offers_split
+
+    path = f"{scratch}/feed.jl"
+    lines = [json.dumps({"product_name": "p", "item_code": "1", "e_price": 2.5, "extra": 1}), '{"product_name": "broken', "",
+             json.dumps({"product_name": "q", "e_price": "not a number"}), json.dumps({"product_name": "r"})]
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    good, bad = read_offers_split(spark, path)
+    assert good.schema.fieldNames() == RAW_OFFER_SCHEMA.fieldNames()
+    assert sorted(r["product_name"] for r in good.collect()) == ["p", "r"]
+    assert sorted(r["line"] for r in bad.collect()) == sorted([lines[1], lines[3]])
+    with pytest.raises(Exception):
+        read_offers_json(spark, path).collect()

@@ -20,7 +20,7 @@ from topicweave.operators.topics import (
     describe_topics,
     fit_lda,
     sweep,
-    topic_term_matrix,
+    term_distribution,
     training_input,
 )
 from topicweave.sources.adapters import document_items
@@ -45,7 +45,7 @@ def _dists(model, df):
 
 def test_assignment_invariants(fitted):
     vocab, feats, training, model = fitted
-    scored = assign_topics(model, training).collect()
+    scored = assign_topics(model, training, ["product_name"]).collect()
     assert len(scored) == training.count()
     for r in scored:
         d = r["topicDistribution"].toArray()
@@ -57,6 +57,27 @@ def test_assignment_invariants(fitted):
         assert r["score"] == np.float32(d.max())
 
 
+def test_model_does_not_depend_on_the_session(spark):
+    """Bit for bit the same model under another number of shuffle partitions,
+    at a size where a rule by document count would have chosen another layout."""
+    items = document_items(spark, "/root/testdata/sf0.1")
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            _, feats = to_tf_idf_features(items)
+            training = training_input(feats)
+            got.append(fit_lda(training, K, 3, SEED).topicsMatrix().toArray())
+            training.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert np.array_equal(*got)
+
+
+def test_training_rows_are_narrow(fitted):
+    assert fitted[2].columns == ["product_name", "features", "doc_length"]
+
+
 def test_deterministic_under_layout(spark, fitted):
     vocab, feats, training, model = fitted
     shuffled = feats.repartition(5).sortWithinPartitions(F.rand(3))
@@ -91,12 +112,16 @@ def test_describe_topics_shape(fitted):
 
 def test_topic_term_matrix(fitted):
     vocab, feats, training, model = fitted
-    tm = topic_term_matrix(model, vocab.vocab_df).collect()
+    tm = term_distribution(model, vocab.vocab_df).collect()
     v = len(vocab.vocabulary)
     assert len(tm) == K * v
     mat = model.topicsMatrix().toArray()  # V x K
-    for r in tm[:500]:
-        assert abs(r["weight"] - mat[r["term_idx"], r["topic"]]) <= 1e-9 * max(1.0, abs(r["weight"]))
+    for r in tm:
+        assert r["weight"] == mat[r["term_idx"], r["topic"]] and r["word"] == vocab.vocabulary[r["term_idx"]]
+    shares = {(r["topic"], r["term_idx"]): r["prob"] for r in tm}
+    for r in model.describeTopics(v).collect():
+        for i, w in zip(r["termIndices"], r["termWeights"]):
+            assert abs(shares[r["topic"], i] - w) < 1e-12
     sums = {}
     for r in tm:
         sums[r["topic"]] = sums.get(r["topic"], 0.0) + r["prob"]
@@ -108,7 +133,7 @@ def test_stats_tables(fitted):
     st = doc_stats(model.transform(training))
     rows = st.collect()
     assert len(rows) == training.count()
-    lengths = {r["product_name"]: r["size(cleaned_words)"] for r in training.select("product_name", F.size("cleaned_words")).collect()}
+    lengths = {r["product_name"]: r["size(cleaned_words)"] for r in feats.select("product_name", F.size("cleaned_words")).collect()}
     assert all(r["doc_length"] == lengths[r["product_name"]] for r in rows)
     assert all(r["complete"] == (abs(r["dist_sum"] - 1) <= 1e-9) for r in rows)
     kept = complete_docs(st).count()
@@ -117,7 +142,9 @@ def test_stats_tables(fitted):
     assert len(prev) == K and abs(sum(r["prevalence"] for r in prev) - 1.0) < 1e-9
     vs = vocab_stats(vocab.vocab_df).collect()
     assert len(vs) == len(vocab.vocabulary)
-    rel = term_relevance(model, vocab.vocab_df, 0.6, 5).collect()
+    terms = term_distribution(model, vocab.vocab_df)
+    assert term_relevance(terms, vocab.vocab_df).count() == K * len(vocab.vocabulary)  # whole table
+    rel = term_relevance(terms, vocab.vocab_df, 0.6, 5).collect()
     assert len(rel) == 5 * K
     for r in rel:
         expected = 0.6 * np.log(r["prob"]) + 0.4 * np.log(r["prob"] / r["p_w"])
@@ -133,7 +160,7 @@ def test_exact_filter_option(fitted):
 
 def test_report_topk(fitted):
     vocab, feats, training, model = fitted
-    scored = assign_topics(model, training)
+    scored = assign_topics(model, feats)
     top = top_per_topic(scored, 3).collect()
     per = {}
     for r in top:
@@ -150,7 +177,7 @@ def test_report_topk(fitted):
 
 def test_topk_plan_has_partial_group_limit(fitted):
     vocab, feats, training, model = fitted
-    plan = top_per_topic(assign_topics(model, training), 10)._jdf.queryExecution().executedPlan().toString()
+    plan = top_per_topic(assign_topics(model, feats), 10)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
@@ -226,6 +253,8 @@ def test_balanced_rank_equals_window_rank(spark):
         .otherwise(F.col("label"))
         .alias("topic"),
     )
+    kinds = dict(rank_within_topic_balanced(scored, tie_col="vec_id", partitions=7).dtypes)
+    assert kinds["rank"] == "bigint"  # a topic can hold more than 2^31 rows
     a = {r["vec_id"]: r["rank"] for r in rank_within_topic(scored, tie_col="vec_id").collect()}
     b = {r["vec_id"]: r["rank"] for r in rank_within_topic_balanced(scored, tie_col="vec_id", partitions=7).collect()}
     assert len(a) == scored.count() and a == b

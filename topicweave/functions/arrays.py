@@ -62,18 +62,13 @@ def is_complete(dist: str | Column, tol: float = 1e-9, exact: bool = False) -> C
     return F.abs(s - F.lit(1.0)) <= F.lit(tol)
 
 
-_SPARSE_SCHEMA = (
-    "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
-)
-
-
 def vector_entries(vec: str | Column) -> Column:
     """Non-zero entries of an ML vector as ``array<struct<idx int, value double>>``.
 
     Sparse vectors keep their own indices, so a 262k-term vocabulary costs
     only the stored entries per row, never a dense array.
     """
-    parsed = F.from_json(F.to_json(F.struct(_col(vec).alias("v"))), _SPARSE_SCHEMA)["v"]
+    parsed = F.unwrap_udt(_col(vec))
     dense_idx = F.sequence(F.lit(0), F.size(parsed["values"]) - F.lit(1))
     idx = F.when(parsed["type"] == 0, parsed["indices"]).otherwise(dense_idx)
     zipped = F.arrays_zip(idx.alias("idx"), parsed["values"].alias("value"))

@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from topicweave.functions.constants import DEFAULT_VOCAB_SIZE, ENGLISH_STOP_WORDS, MAX_DF, MIN_DF
 from topicweave.functions.text import clean_markup, clean_tokens
-from topicweave.session import cut_lineage, spread
+from topicweave.session import cut_lineage
+from topicweave.sources.io import read_table, write_table
 
 
 def with_clean_description(items: DataFrame, col: str = "description", replacement: str = "") -> DataFrame:
@@ -44,11 +45,8 @@ def with_tokens(
     ngram: int | None = None,
     stop_words=ENGLISH_STOP_WORDS,
 ) -> DataFrame:
-    """F1-F4 as one projection: ``out_col`` holds the cleaned token list.
-
-    Tokenizing is the CPU-heavy step, so a narrow input is spread over the
-    cores first (a no-op for a normally split scan)."""
-    return spread(items).withColumn(out_col, clean_tokens(text_col, replacement, stop_words, ngram))
+    """F1-F4 as one projection: ``out_col`` holds the cleaned token list."""
+    return items.withColumn(out_col, clean_tokens(text_col, replacement, stop_words, ngram))
 
 
 def explode_words(docs: DataFrame, words_col: str, *keep: str, with_pos: bool = False) -> DataFrame:
@@ -79,14 +77,21 @@ def term_stats(docs: DataFrame, words_col: str = "cleaned_words") -> DataFrame:
     """A8 + A13: ``word, term_frequency, doc_freq`` in one aggregation.
 
     A word contributes one document when it is the first of its run in the
-    per-row sorted token array, so no per-(doc, word) shuffle is needed.
+    per-row sorted token array, so no per-(doc, word) shuffle is needed.  The
+    flag is set before the explode, whose rows carry the word and the flag
+    only.
     """
-    sorted_docs = docs.select(F.array_sort(F.col(words_col)).alias("_s"))
-    exploded = explode_words(sorted_docs, "_s", "_s", with_pos=True)
-    first = (F.col("_pos") == 0) | (F.get(F.col("_s"), F.col("_pos") - 1) != F.col("word"))
-    return exploded.groupBy("word").agg(
+    ordered = docs.select(F.array_sort(F.col(words_col)).alias("_s"))
+    flagged = F.transform(
+        "_s",
+        lambda w, i: F.struct(
+            w.alias("word"), ((i == 0) | (F.get(F.col("_s"), i - 1) != w)).cast("long").alias("first")
+        ),
+    )
+    exploded = ordered.select(F.explode_outer(flagged).alias("t")).where(F.col("t").isNotNull())
+    return exploded.groupBy(F.col("t.word").alias("word")).agg(
         F.count(F.lit(1)).alias("term_frequency"),
-        F.sum(first.cast("long")).alias("doc_freq"),
+        F.sum("t.first").alias("doc_freq"),
     )
 
 
@@ -98,6 +103,29 @@ def df_band(stats: DataFrame, n_docs: int, min_df: float = MIN_DF, max_df: float
     return stats.where((F.col("doc_freq") >= F.lit(lo)) & (F.col("doc_freq") <= F.lit(hi)))
 
 
+class VocabularyOverflow(ValueError):
+    """More terms in the document-frequency band than the vocabulary holds."""
+
+
+def capped_vocabulary(band: DataFrame, vocab_size: int | None) -> DataFrame:
+    """T5: the band's terms, most frequent first (ties by word).
+
+    A ``vocab_size`` that the caller gives cuts the list, as asked.  Without
+    one the default bound holds, and a band beyond it is an error, never a
+    silent cut.
+    """
+    ordered = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc())
+    if vocab_size is not None:
+        return ordered.limit(vocab_size)
+    over = band.agg(F.count(F.lit(1))).first()[0]
+    if over > DEFAULT_VOCAB_SIZE:
+        raise VocabularyOverflow(
+            f"{over} terms lie in the document-frequency band, the vocabulary holds "
+            f"{DEFAULT_VOCAB_SIZE}; narrow the band or pass vocab_size to keep the most frequent"
+        )
+    return ordered.limit(DEFAULT_VOCAB_SIZE)
+
+
 def idf_column(n_docs: int, df_col: str = "doc_freq") -> F.Column:
     return F.log(F.lit(n_docs + 1.0) / (F.col(df_col) + F.lit(1.0)))
 
@@ -135,16 +163,15 @@ def fit_features(
     features_col: str = "features",
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
-    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    vocab_size: int | None = None,
 ) -> FeatureModel:
     """M1-M4: fit the vocabulary and IDF on ``docs`` (tokens in ``words_col``).
 
-    Two actions: the document count and the capped, ordered vocabulary.
+    Actions: the document count, the band, and the ordered vocabulary.
     """
     n_docs = docs.count()
-    band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df)
-    top = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc()).limit(vocab_size)
-    top = top.withColumn("idf", idf_column(n_docs))
+    band = cut_lineage(df_band(term_stats(docs, words_col), n_docs, min_df, max_df))
+    top = capped_vocabulary(band, vocab_size).withColumn("idf", idf_column(n_docs))
     rows = top.collect()  # bounded by vocab_size: this is the model
     if not rows:
         raise ValueError(
@@ -180,17 +207,22 @@ def to_tf_idf_features(
     ngram: int | None = None,
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
-    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    vocab_size: int | None = None,
+    tokens_path: str | None = None,
 ) -> tuple[FeatureModel, DataFrame]:
     """M1: items -> ``(model, product_name, brands, categories, features, cleaned_words)``.
 
-    Tokens are computed once and reliably checkpointed: the fit reads them
-    twice (document count, vocabulary) and the transform once more.
+    Tokens are computed once: the fit reads them twice (document count,
+    vocabulary) and the transform once more.  ``tokens_path`` names the table
+    to keep them in (a run's own folder); without it they are checkpointed.
     """
     tokens = with_tokens(items, replacement=replacement, ngram=ngram).select(
         "product_name", "brands", "categories", "cleaned_words"
     )
-    tokens = cut_lineage(tokens)
+    if tokens_path is None:
+        tokens = cut_lineage(tokens)
+    else:
+        tokens = read_table(items.sparkSession, write_table(tokens, tokens_path))
     model = fit_features(tokens, min_df=min_df, max_df=max_df, vocab_size=vocab_size)
     feats = model.transform(tokens).select(
         "product_name", "brands", "categories", "features", "cleaned_words"
@@ -204,7 +236,7 @@ def tfidf_long(
     words_col: str = "cleaned_words",
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
-    vocab_size: int = DEFAULT_VOCAB_SIZE,
+    vocab_size: int | None = None,
 ) -> DataFrame:
     """A13/A14 in long form, all in DataFrame ops: ``key, word, tfidf``.
 
@@ -212,9 +244,8 @@ def tfidf_long(
     keyed by word with the vocabulary capped at ``vocab_size`` rows.
     """
     n_docs = docs.count()
-    band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df)
-    vocab = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc()).limit(vocab_size)
-    vocab = vocab.select("word", idf_column(n_docs).alias("idf"))
+    band = cut_lineage(df_band(term_stats(docs, words_col), n_docs, min_df, max_df))
+    vocab = capped_vocabulary(band, vocab_size).select("word", idf_column(n_docs).alias("idf"))
     # the vocabulary has at most vocab_size rows: broadcasting it drops
     # out-of-band tokens map-side, before the (doc, word) shuffle
     tokens = explode_words(docs, words_col, key)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicweave.functions.arrays import merge_sets
 from topicweave.functions.constants import DEFAULT_TOP_ITEMS
 from topicweave.operators.sets import distinct_members, gather_sets
 from topicweave.session import cut_lineage
@@ -70,7 +69,7 @@ def rank_within_topic_balanced(
     cond = (left["_p"] == right["_rp"]) & left[topic_col].eqNullSafe(right["_t"])
     joined = left.join(F.broadcast(right), cond)
     rank = F.col("_id") - F.col("_first") + F.lit(1) + F.col("_before")
-    return joined.withColumn("rank", rank.cast("int")).drop(
+    return joined.withColumn("rank", rank.cast("long")).drop(
         "_id", "_p", "_rp", "_t", "_first", "_before"
     )
 
@@ -120,16 +119,3 @@ def topic_categories(samples: DataFrame, topic_col: str = "topic") -> DataFrame:
         rows=samples.select(topic_col),  # topics whose lists are all empty still appear
     )
     return per.orderBy(topic_col)
-
-
-def topic_categories_nested(samples: DataFrame, topic_col: str = "topic") -> DataFrame:
-    """A12 as a nested-set union: ``merge(collect_set(array))`` per topic.
-    Fine for the top-n samples (n rows per topic)."""
-    return (
-        samples.groupBy(topic_col)
-        .agg(
-            merge_sets(F.collect_set("categories")).alias("distinct_category"),
-            merge_sets(F.collect_set("brands")).alias("distinct_brands"),
-        )
-        .orderBy(topic_col)
-    )

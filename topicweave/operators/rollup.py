@@ -8,25 +8,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.operators.sets import distinct_members, gather_sets
+from topicweave.operators.sets import gather_sets, member_structs
 
 CATEGORY_COL = "e_matched_tokens_categories_formatted"
 
-# Prices are summed as decimal(17, 6) (up to 1e11 per price, exact to 6
-# decimals), so the mean does not depend on row order or partitioning; the
-# mean is rounded half-up at 10 decimals, then returned as a double.
-PRICE_DECIMAL = "decimal(17,6)"
+# A price that this type holds with at least nine digits after the point is
+# summed exactly, so the mean does not depend on row order or partitioning.
+EXACT = "decimal(38,18)"
+EXACT_MOST, EXACT_LEAST = 1e15, 1e-9
 
 
-def exact_mean(c: F.Column) -> F.Column:
-    """A5: order-independent mean of a price column (nulls skipped)."""
-    return F.avg(c.cast(PRICE_DECIMAL)).cast("decimal(21,10)").cast("double")
+def _plain(c: Column) -> Column:
+    """Prices that sum exactly; false for NaN, infinities and extreme sizes."""
+    size = F.abs(c)
+    return ~F.isnan(c) & (size <= EXACT_MOST) & ((c == 0) | (size >= EXACT_LEAST))
+
+
+def mean_parts(price: Column) -> list[Column]:
+    """A5: aggregates that ``mean_of`` combines; partial ones can be merged."""
+    return [
+        F.try_sum(F.when(_plain(price), price).cast(EXACT)).alias("exact_sum"),
+        F.sum(price).alias("double_sum"),
+        F.count(price).alias("n_prices"),
+        F.bool_and(_plain(price)).alias("all_plain"),
+    ]
+
+
+def mean_of(exact_sum: Column, double_sum: Column, n: Column, all_plain: Column) -> Column:
+    """Mean of the non-null prices: exact where all of them sum exactly, the
+    plain double mean otherwise (NaN and infinities pass through; nothing is
+    dropped).  Null without a price."""
+    exact = F.try_divide(exact_sum, n.cast("decimal(20,0)")).cast("double")
+    return F.when(n > 0, F.coalesce(F.when(all_plain, exact), double_sum / n))
 
 
 SET_NAMES = ("codes", "brands", "retailers", "categories")
+ROW = "row"  # the kind that carries the scalar measures
+ROW_SALTS = 256
 
 
 def to_items(offers: DataFrame) -> DataFrame:
@@ -37,41 +58,63 @@ def to_items(offers: DataFrame) -> DataFrame:
       element counts as a value, like the union of Python sets would.
     * description: the smallest non-null description (A4: any member is a
       valid representative; the minimum is deterministic and null-safe).
-    * price: mean of non-null prices (A5), computed exactly (see
-      ``exact_mean``); purchase_count: non-null item codes (A6, it counts
-      offers); sizes of the sets (A7).
-
-    Skew-safe plan, two exchanges and no join: set members are de-duplicated
-    as ``(product, kind, value)`` rows, an exchange that spreads a hot
-    product over all reducers; then one aggregation per product gathers the
-    distinct members and computes the scalar measures, whose partial
-    (map-side) buffers are constant-size.  A hot product's reducer receives
-    its distinct values plus one partial buffer per map task.  No offer row is
-    multiplied with its description.
+    * price: mean of non-null prices (A5, see ``mean_of``); purchase_count:
+      non-null item codes (A6, it counts offers); sizes of the sets (A7).
+
+    One pass over the offers, two exchanges, no join.  An offer becomes its
+    set members and one ``row`` entry with the scalar measures.  The first
+    aggregation is keyed by (product, kind, value), the ``row`` entries by a
+    salt in place of the value, so a hot product spreads over all reducers;
+    the second gathers each product's distinct members and merges at most
+    ``ROW_SALTS`` partial measures.
     """
-    members = distinct_members(
-        offers,
-        "product_name",
+    members = member_structs(
         {
             "codes": F.array("item_code"),
             "brands": F.array("e_brand_formatted_slug"),
             "retailers": F.array("retailer_code"),
             "categories": F.col(CATEGORY_COL),
-        },
-        keep_null=("categories",),
+        }
+    )
+    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS)).cast("string")
+    null = F.lit(None)
+    blank = [null.cast("string").alias("description"), null.cast("string").alias("code"), null.cast("double").alias("price")]
+    wide = F.transform(members, lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"), *blank))
+    row = F.array(
+        F.struct(
+            F.lit(ROW).alias("kind"), salt.alias("value"), F.col("long_description").alias("description"),
+            F.col("item_code").alias("code"), F.col("e_price").cast("double").alias("price"),
+        )
+    )
+    # only the row entry carries the description
+    entries = offers.select("product_name", F.explode(F.concat(row, wide)).alias("m")).select("product_name", "m.*")
+    partial = (
+        entries.where(F.col("value").isNotNull() | (F.col("kind") == "categories"))
+        .groupBy("product_name", "kind", "value")
+        .agg(
+            F.min("description").alias("description"),
+            F.count("code").alias("purchase_count"),
+            *mean_parts(F.col("price")),
+        )
     )
     merged = gather_sets(
-        members,
+        partial,
         "product_name",
         SET_NAMES,
         ("categories",),
-        rows=offers.select("product_name", "long_description", "e_price", "item_code"),
         aggs=[
-            F.min("long_description").alias("description"),
-            exact_mean(F.col("e_price")).alias("price"),
-            F.count("item_code").alias("purchase_count"),
+            F.min("description").alias("description"),
+            F.sum("purchase_count").alias("purchase_count"),
+            F.try_sum("exact_sum").alias("exact_sum"),
+            F.count(F.when(F.col("n_prices") > 0, F.col("exact_sum"))).alias("exact_parts"),
+            F.count(F.when(F.col("n_prices") > 0, 1)).alias("parts"),
+            F.sum("double_sum").alias("double_sum"),
+            F.sum("n_prices").alias("n_prices"),
+            F.bool_and("all_plain").alias("all_plain"),
         ],
     )
+    # a partial sum beyond the exact type is null: then the double mean holds
+    exact = F.when(F.col("exact_parts") == F.col("parts"), F.col("exact_sum"))
     return merged.select(
         "product_name",
         "codes",
@@ -79,7 +122,7 @@ def to_items(offers: DataFrame) -> DataFrame:
         "retailers",
         "categories",
         "description",
-        "price",
+        mean_of(exact, F.col("double_sum"), F.col("n_prices"), F.col("all_plain")).alias("price"),
         "purchase_count",
         F.size("retailers").alias("retrailer_count"),
         F.size("categories").alias("category_count"),
@@ -88,28 +131,16 @@ def to_items(offers: DataFrame) -> DataFrame:
     )
 
 
-def merged_categories(offers: DataFrame) -> DataFrame:
-    """A3 alone: ``product_name, categories`` (distinct union, sorted)."""
-    return to_items(offers).select("product_name", "categories")
-
-
 def item_overview(items: DataFrame) -> DataFrame:
     """Distinct products, retailers, categories and brands.
 
     All four distinct counts run through one exchange keyed by
     ``(kind, value)``: values are spread over all reducers, and nothing is
     collected into a single task.  A null category element counts once,
-    like the union of sets it replaces.
+    like the union of sets it replaces; a null set column has no members.
     """
-    kv = F.explode_outer(
-        F.concat(
-            F.array(F.struct(F.lit("product").alias("kind"), F.col("product_name").alias("value"))),
-            F.transform("retailers", lambda x: F.struct(F.lit("retailers").alias("kind"), x.alias("value"))),
-            F.transform("categories", lambda x: F.struct(F.lit("categories").alias("kind"), x.alias("value"))),
-            F.transform("brands", lambda x: F.struct(F.lit("brands").alias("kind"), x.alias("value"))),
-        )
-    ).alias("kv")
-    pairs = items.select(kv).where(F.col("kv").isNotNull()).select("kv.kind", "kv.value")
+    sets = {"product": F.array("product_name"), **{c: F.col(c) for c in ("retailers", "categories", "brands")}}
+    pairs = items.select(F.explode(member_structs(sets)).alias("kv")).select("kv.kind", "kv.value")
     per_kind = pairs.groupBy("kind").agg(
         F.count_distinct("value").alias("n"),
         F.max(F.col("value").isNull().cast("int")).alias("has_null"),

@@ -21,19 +21,12 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def distinct_members(
-    df: DataFrame,
-    key: str,
-    sets: Mapping[str, Column],
-    keep_null: Iterable[str] = (),
-) -> DataFrame:
-    """``key, kind, value``: one row per distinct member of each named set.
+def member_structs(sets: Mapping[str, Column]) -> Column:
+    """All members of a row's sets as ``array<struct<kind, value>>``.
 
-    ``sets`` maps a set name to an ``array<string>`` expression per row (a
-    scalar column ``c`` is passed as ``F.array(c)``).  Null members are dropped
-    except for the sets named in ``keep_null``, where one null is a value.
+    ``sets`` maps a set name to an ``array<string>`` expression (a scalar
+    column ``c`` is passed as ``F.array(c)``); a null array has no members.
     """
-    keep_null = list(keep_null)
 
     def tagged(name: str, expr: Column) -> Column:
         # (one-argument lambda: transform() reads a second one as the index)
@@ -42,9 +35,23 @@ def distinct_members(
             lambda v: F.struct(F.lit(name).alias("kind"), v.alias("value")),
         )
 
-    members = F.concat(*[tagged(name, expr) for name, expr in sets.items()])
+    return F.concat(*[tagged(name, expr) for name, expr in sets.items()])
+
+
+def distinct_members(
+    df: DataFrame,
+    key: str,
+    sets: Mapping[str, Column],
+    keep_null: Iterable[str] = (),
+) -> DataFrame:
+    """``key, kind, value``: one row per distinct member of each named set.
+
+    Null members are dropped except for the sets named in ``keep_null``, where
+    one null is a value.
+    """
+    keep_null = list(keep_null)
     pairs = (
-        df.select(key, F.explode_outer(members).alias("m"))
+        df.select(key, F.explode_outer(member_structs(sets)).alias("m"))
         .where(F.col("m").isNotNull())
         .select(key, "m.kind", "m.value")
     )

@@ -7,15 +7,12 @@ one projection of the scored features, so no row pairing is needed (J3).
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDAModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import dist_array, dist_sum, is_complete
-from topicweave.operators.topics import topic_term_matrix
 
 DEFAULT_LAMBDA = 0.6
-DEFAULT_RELEVANT_TERMS = 30
 
 
 def doc_stats(
@@ -28,14 +25,16 @@ def doc_stats(
 ) -> DataFrame:
     """V1 + V5 + P6: ``key, doc_length, topic_dist, dist_sum, complete``.
 
-    ``doc_length`` counts every kept token (in or out of the vocabulary).
+    ``dist_col`` holds an ML vector or an ``array<double>``; ``doc_length``
+    counts every kept token (in or out of the vocabulary).
     ``complete`` is the sum-to-one test; ``exact=True`` uses float equality.
     """
-    dist = dist_array(dist_col)
+    plain = scored_features.schema[dist_col].dataType.typeName() == "array"
+    dist = F.transform(dist_col, lambda x: x.cast("double")) if plain else dist_array(dist_col)
     length = F.col("doc_length") if "doc_length" in scored_features.columns else F.size(words_col)
     return scored_features.select(
         key,
-        length.alias("doc_length"),
+        length.cast("int").alias("doc_length"),
         dist.alias("topic_dist"),
     ).select(
         key,
@@ -46,9 +45,10 @@ def doc_stats(
     )
 
 
-def complete_docs(stats: DataFrame) -> DataFrame:
-    """V6: keep documents whose distribution is complete."""
-    return stats.where(F.col("complete"))
+def complete_docs(stats: DataFrame, rejects: bool = False) -> DataFrame:
+    """V6: the documents whose distribution is complete, or the others."""
+    complete = F.coalesce(F.col("complete"), F.lit(False))
+    return stats.where(~complete if rejects else complete)
 
 
 def vocab_stats(vocab_df: DataFrame) -> DataFrame:
@@ -78,26 +78,21 @@ def topic_prevalence(stats: DataFrame) -> DataFrame:
     )
 
 
-def term_relevance(
-    model: LDAModel,
-    vocab_df: DataFrame,
-    lam: float = DEFAULT_LAMBDA,
-    n_terms: int | None = DEFAULT_RELEVANT_TERMS,
-) -> DataFrame:
+def term_relevance(terms: DataFrame, vocab_df: DataFrame, lam: float = DEFAULT_LAMBDA, n_terms: int | None = None) -> DataFrame:
     """V7: ``relevance = lam * ln(phi) + (1 - lam) * ln(phi / p_w)``.
 
+    ``terms`` holds ``topic, term_idx, word, prob`` (``term_distribution``);
     ``phi`` is the topic's term probability, ``p_w`` the word's share of all
-    corpus tokens in the vocabulary.  With ``n_terms`` only the most relevant
-    terms per topic are kept (partial ``WindowGroupLimit`` before the shuffle).
+    corpus tokens in the vocabulary (``term_frequency`` of ``vocab_df``).
+    Every (topic, term) is there; with ``n_terms`` only the most relevant ones
+    of each topic, ranked.
     """
-    tm = topic_term_matrix(model, vocab_df)
     total = vocab_df.agg(F.sum("term_frequency")).first()[0]  # one number
     tf = vocab_df.select(
-        "term_idx", (F.col("term_frequency") / F.lit(float(total))).alias("p_w")
+        "term_idx", (F.col("term_frequency") / F.lit(float(total or 1))).alias("p_w")
     )
-    joined = tm.join(tf, "term_idx")
     phi = F.col("prob")
-    rel = joined.select(
+    rel = terms.join(tf, "term_idx").select(
         "topic",
         "term_idx",
         "word",

@@ -3,8 +3,7 @@
 Training is ``pyspark.ml.clustering.LDA``.  Two things make a run
 reproducible (the same seed gives the same model whatever the input layout):
 the vocabulary order (see ``features``) and the canonical training layout
-``repartition(n, key).sortWithinPartitions(key)`` with a fixed ``n``, which is
-checkpointed to the shared checkpoint folder before the iterations start.
+``repartition(n, key).sortWithinPartitions(key)`` with a fixed ``n``.
 """
 
 from __future__ import annotations
@@ -13,8 +12,9 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import dist_array, top_index, top_score
@@ -24,43 +24,36 @@ from topicweave.functions.constants import (
     DEFAULT_SEED,
     DEFAULT_TOPIC_TERMS,
 )
-from topicweave.session import cut_lineage, spread
 
+# Training partitions of a run, recorded with it.  Online LDA runs two small
+# jobs an iteration over them; raise it with the corpus (some 100 MB of
+# vectors a partition), not with the cluster.
+LAYOUT_PARTITIONS = 16
 
-def canonical_layout(df: DataFrame, key: str = "product_name", partitions: int | None = None) -> DataFrame:
+
+def canonical_layout(df: DataFrame, key: str = "product_name", partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
     """Hash-partition on ``key`` into a fixed number of partitions and sort
     inside each, so row order no longer depends on upstream execution."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key).sortWithinPartitions(key)
-
-
-# LDA's online optimizer runs two Spark jobs per iteration over every training
-# partition; partitions are sized by document count so a small corpus is not
-# spread thinner than the per-iteration work justifies.
-DOCS_PER_PARTITION = 1_000
-
-
-def layout_partitions(spark, n_docs: int | None, docs_per_partition: int = DOCS_PER_PARTITION) -> int:
-    """Training partitions: ceil(n_docs / docs_per_partition), at least 1 and at
-    most ``spark.sql.shuffle.partitions``.  Depends only on the data and the
-    session config, so the same input always gets the same layout."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n_docs is None:
-        return cap
-    return max(1, min(cap, -(-n_docs // docs_per_partition)))
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def training_input(
     features: DataFrame,
     key: str = "product_name",
-    partitions: int | None = None,
-    n_docs: int | None = None,
+    partitions: int = LAYOUT_PARTITIONS,
+    words_col: str = "cleaned_words",
 ) -> DataFrame:
-    """Canonical layout, reliably checkpointed (LDA makes one pass per iteration).
+    """Narrow rows (key, features, doc_length) in the canonical layout, kept
+    in memory or on the executors' disks (LDA makes one pass per iteration).
 
-    ``partitions`` wins if given; otherwise it is derived from ``n_docs``."""
-    n = partitions or layout_partitions(features.sparkSession, n_docs)
-    return cut_lineage(canonical_layout(features, key, n))
+    The layout depends on ``partitions`` alone, an explicit run parameter:
+    neither on the number of documents nor on a session setting.  It is the
+    same after a lost executor, whose part is computed again from the feature
+    table.  Call ``unpersist()`` when the model and the scores are written.
+    """
+    length = F.col("doc_length") if "doc_length" in features.columns else F.size(words_col).alias("doc_length")
+    narrow = features.select(key, "features", length)
+    return canonical_layout(narrow, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_lda(
@@ -96,82 +89,67 @@ def assign_topics(model: LDAModel, features: DataFrame, keep: Iterable[str] = IT
     return with_assignment(model.transform(features), keep)
 
 
-def score_once(model: LDAModel, training: DataFrame, keep: Iterable[str] = ITEM_KEYS, words_col: str = "cleaned_words") -> DataFrame:
-    """M6 once for every consumer: distributions plus document length,
-    reliably checkpointed, so item topics and statistics do not each re-run
-    the per-document inference."""
-    scored = model.transform(spread(training)).select(
-        *keep, "topicDistribution", F.size(words_col).alias("doc_length")
-    )
-    return cut_lineage(scored)
+def score_all(model: LDAModel, training: DataFrame, key: str = "product_name") -> DataFrame:
+    """M6: ``key, topicDistribution, doc_length`` of every document.
 
+    Write it once and let every consumer read the table, so that none of them
+    runs the per-document inference again.
+    """
+    return model.transform(training).select(key, "topicDistribution", "doc_length")
 
-def _top_terms_long(model: LDAModel, vocab_df: DataFrame, n_terms: int) -> DataFrame:
-    """T3 + J1: ``topic, term_rank, term_idx, word, weight`` for the top terms.
 
-    ``describeTopics`` has k * n_terms entries, a size fixed by the
-    parameters; it is the broadcast side, the vocabulary table streams.
+def term_distribution(model: LDAModel, vocab_df: DataFrame) -> DataFrame:
+    """M9 / V4: ``topic, term_idx, word, weight, prob`` for every term.
+
+    ``weight`` is the ``topicsMatrix`` entry, ``prob`` its share of the topic as
+    ``describeTopics`` gives it.  Both are the model, k x vocabulary numbers
+    bounded by the vocabulary's bound; the matrix is sent out row by row.
     """
-    desc = model.describeTopics(n_terms)
-    long = desc.select(
-        "topic",
-        F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("term_rank", "t"),
-    ).select(
-        "topic",
-        "term_rank",
-        F.col("t.termIndices").alias("term_idx"),
-        F.col("t.termWeights").alias("weight"),
+    matrix = model.topicsMatrix().toArray()  # vocabulary x k
+    rows = vocab_df.sparkSession.createDataFrame(
+        ((i, [float(x) for x in r]) for i, r in enumerate(matrix)), "term_idx int, weights array<double>"
     )
-    vocab = vocab_df.select("term_idx", "word")
-    return vocab.join(F.broadcast(long), "term_idx").select(
-        "topic", "term_rank", "term_idx", "word", "weight"
+    weights = rows.select("term_idx", F.posexplode("weights").alias("topic", "weight"))
+    shares = model.describeTopics(len(matrix)).select(
+        "topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t")
+    ).select("topic", F.col("t.termIndices").alias("term_idx"), F.col("t.termWeights").alias("prob"))
+    return weights.join(shares, ["topic", "term_idx"]).join(vocab_df.select("term_idx", "word"), "term_idx").select(
+        "topic", "term_idx", "word", "weight", "prob"
     )
 
 
-def topic_terms(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
-    """M8 in long form: one row per (topic, rank) with the word and its weight."""
-    return _top_terms_long(model, vocab_df, n_terms)
+def leading_terms(terms: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
+    """``topic, term_rank, term_idx, word, weight``: each topic's ``n_terms``
+    most probable terms (ties by term index), from any table of
+    ``topic, term_idx, word, prob``.
 
+    The rank filter is planned as a limit before the shuffle.
+    """
+    w = Window.partitionBy("topic").orderBy(F.col("prob").desc(), F.col("term_idx").asc())
+    ranked = terms.withColumn("term_rank", F.row_number().over(w) - 1).where(F.col("term_rank") < n_terms)
+    return ranked.select("topic", "term_rank", "term_idx", "word", F.col("prob").alias("weight"))
 
-def describe_topics(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
-    """M8: ``topic, top_terms array<struct<words, termWeights>>`` in rank order.
 
-    Regrouping is by topic over k * n_terms rows.
-    """
-    long = _top_terms_long(model, vocab_df, n_terms)
-    grouped = long.groupBy("topic").agg(
-        F.array_sort(F.collect_list(F.struct("term_rank", "word", "weight"))).alias("_t")
-    )
-    return grouped.select(
+def described(top: DataFrame) -> DataFrame:
+    """M8 + F7: ``topic, top_terms array<struct<words, termWeights>>`` in rank
+    order, from ``leading_terms``: parallel word and weight lists, zipped."""
+    ordered = F.array_sort(F.collect_list(F.struct("term_rank", "word", "weight")))
+    lists = top.groupBy("topic").agg(ordered.alias("t")).select(
         "topic",
-        F.transform(
-            "_t", lambda x: F.struct(x["word"].alias("words"), x["weight"].alias("termWeights"))
-        ).alias("top_terms"),
+        F.transform("t", lambda x: x["word"]).alias("words"),
+        F.transform("t", lambda x: x["weight"]).alias("termWeights"),
     )
+    return lists.select("topic", F.arrays_zip("words", "termWeights").alias("top_terms"))
 
 
-def topic_term_matrix(model: LDAModel, vocab_df: DataFrame) -> DataFrame:
-    """M9 / V4: ``topic, term_idx, word, weight, prob`` for every term.
+def topic_terms(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
+    """M8 in long form: one row per (topic, rank) with the word and its weight."""
+    return leading_terms(term_distribution(model, vocab_df), n_terms)
 
-    ``prob`` is the topic's term distribution (``describeTopics`` weights);
-    ``weight`` is the raw ``topicsMatrix`` entry, recovered as
-    ``prob * topic total``.  Size is k x vocabulary, bounded by the
-    vocabulary cap; only k totals are computed on the driver.
-    """
-    vocab_size = model.vocabSize()
-    totals = model.topicsMatrix().toArray().sum(axis=0).tolist()  # k numbers
-    desc = model.describeTopics(vocab_size)
-    long = desc.select(
-        "topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t")
-    ).select(
-        "topic",
-        F.col("t.termIndices").alias("term_idx"),
-        F.col("t.termWeights").alias("prob"),
-    )
-    total = F.element_at(F.array(*[F.lit(float(t)) for t in totals]), F.col("topic") + 1)
-    return long.join(vocab_df.select("term_idx", "word"), "term_idx").select(
-        "topic", "term_idx", "word", (F.col("prob") * total).alias("weight"), "prob"
-    )
+
+def describe_topics(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
+    """M8: ``topic, top_terms array<struct<words, termWeights>>`` in rank order."""
+    return described(topic_terms(model, vocab_df, n_terms))
 
 
 @dataclass

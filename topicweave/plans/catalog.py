@@ -11,18 +11,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import (
     dist_sum,
     is_complete,
+    merge_sets,
+    score_topic,
     sorted_join,
     top_index,
     top_score,
     vector_entries,
 )
-from topicweave.functions.constants import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED
+from topicweave.functions.constants import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, DEFAULT_TOPIC_TERMS
 from topicweave.functions.text import clean_markup, clean_tokens, ngrams
 from topicweave.operators.features import (
     FeatureModel,
@@ -39,19 +41,20 @@ from topicweave.operators.report import (
     topic_categories,
 )
 from topicweave.operators.rollup import describe_items, item_overview, summary_stats, to_items
-from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence, vocab_stats
+from topicweave.operators.stats import complete_docs, doc_stats, term_relevance, topic_prevalence, vocab_stats
 from topicweave.operators.topics import (
-    describe_topics,
+    described,
     fit_lda,
-    score_once,
+    leading_terms,
+    score_all,
     sweep_table,
-    topic_term_matrix,
+    term_distribution,
     topic_terms,
     training_input,
     with_assignment,
 )
 from topicweave.plans import oracle
-from topicweave.session import cut_lineage, spread
+from topicweave.session import cut_lineage, dealt
 from topicweave.sources.adapters import document_items, offers, table
 
 ROUND = oracle.ROUND
@@ -59,7 +62,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = dealt(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
 
 
@@ -108,12 +111,12 @@ def q_item_describe(spark, sf_dir):
 
 
 def q_clean_text_documents(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = dealt(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", clean_markup("text").alias("cleaned"))
 
 
 def q_clean_text_pages(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = dealt(table(spark, sf_dir, "pages"))
     return pages.select("page_id", clean_markup("html").alias("cleaned"))
 
 
@@ -128,7 +131,7 @@ def q_tokens_no_stopwords(spark, sf_dir):
 
 def q_conversation_tokens(spark, sf_dir):
     """F1-F3 on the second corpus: every conversation turn, whole text."""
-    conv = spread(table(spark, sf_dir, "conversations"))
+    conv = dealt(table(spark, sf_dir, "conversations"))
     t = conv.select("conv_id", "turn", clean_tokens("text").alias("w"))
     return t.select(
         "conv_id", "turn", F.size("w").alias("n_tokens"), F.array_join("w", " ").alias("tokens")
@@ -175,8 +178,9 @@ def q_tfidf_vector_unpacked(spark, sf_dir):
         "doc_id", F.explode_outer(vector_entries("features")).alias("e")
     ).where(F.col("e").isNotNull())  # outer: no inferred filter re-running the vectorizer
     vocab = model.vocab_df.select(F.col("term_idx").alias("idx"), "word")
+    # the vocabulary is the bounded side (at most its 2^18 terms)
     return vec.select("doc_id", F.col("e.idx").alias("idx"), F.col("e.value").alias("v")).join(
-        vocab, "idx"
+        F.broadcast(vocab), "idx"
     ).select("doc_id", "word", F.round("v", ROUND).alias("tfidf"))
 
 
@@ -237,34 +241,56 @@ def q_complete_dist_filter(spark, sf_dir):
     )
 
 
-# --- LDA (M5-M10, V1-V7): one fit per (session, folder) -----------------------
+# --- LDA (M5-M10, V1-V7): one fit per (session, version of the tables) --------
 
 
 @dataclass
 class _Fit:
     vocab: FeatureModel
+    items: DataFrame
     training: DataFrame
     model: object
-    scored: DataFrame  # checkpointed distributions + document lengths
+    scored: DataFrame  # distributions and document lengths, scored once
+    version: tuple
 
 
 _FITS: dict[tuple, _Fit] = {}
+_SOURCES = {"documents": ("documents",), "offers": ("lineitem", "part", "supplier", "documents")}
+
+
+def _version(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple:
+    """Path, size and time of the tables' files: a rewritten table is another."""
+    out = []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def _doc_lda(spark: SparkSession, sf_dir: str, source: str = "documents") -> _Fit:
     key = (spark.sparkContext.applicationId, sf_dir, source)
-    if key not in _FITS:
-        if source == "documents":
-            items = document_items(spark, sf_dir)
-        else:
-            items = to_items(offers(spark, sf_dir))
-        vocab, feats = to_tf_idf_features(items)
-        training = training_input(feats, "product_name", n_docs=vocab.n_docs)
-        model = fit_lda(training, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED)
-        _FITS[key] = _Fit(vocab, training, model, score_once(model, training))
+    version = _version(spark, sf_dir, _SOURCES[source])
+    old = _FITS.get(key)
+    if old is not None and old.version == version:
+        return old
+    if old is not None:
+        old.training.unpersist()
+    items = document_items(spark, sf_dir) if source == "documents" else to_items(offers(spark, sf_dir))
+    vocab, feats = to_tf_idf_features(items)
+    training = training_input(feats)
+    model = fit_lda(training, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED)
+    named = feats.select("product_name", "brands", "categories")
+    _FITS[key] = _Fit(vocab, named, training, model, cut_lineage(score_all(model, training)), version)
     return _FITS[key]
 
 
+def _assigned(f: _Fit) -> DataFrame:
+    """M7 with the item's sets joined back (they are not carried through the fit)."""
+    return with_assignment(f.scored, ["product_name"]).join(f.items, "product_name")
+
+
 def q_lda_topics(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
     return topic_terms(f.model, f.vocab.vocab_df).select(
@@ -274,17 +300,17 @@ def q_lda_topics(spark, sf_dir):
 
 def q_lda_describe(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return describe_topics(f.model, f.vocab.vocab_df)
+    return described(topic_terms(f.model, f.vocab.vocab_df))
 
 
 def q_lda_assign(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return with_assignment(f.scored).select("product_name", "score", "topic")
+    return with_assignment(f.scored, ["product_name"]).select("product_name", "score", "topic")
 
 
 def q_lda_topk(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return top_items_report(with_assignment(f.scored)).select(
+    return top_items_report(_assigned(f)).select(
         "topic", "product_name", sorted_join("categories").alias("categories"),
         sorted_join("brands").alias("brands"),
     )
@@ -304,7 +330,7 @@ def q_lda_prevalence(spark, sf_dir):
 
 def q_lda_relevance(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return term_relevance(f.model, f.vocab.vocab_df)
+    return term_relevance(term_distribution(f.model, f.vocab.vocab_df), f.vocab.vocab_df)
 
 
 def q_lda_sweep(spark, sf_dir):
@@ -337,7 +363,7 @@ def q_lda_features_unpacked(spark, sf_dir):
 
 def q_lda_topic_term(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return topic_term_matrix(f.model, f.vocab.vocab_df)
+    return term_distribution(f.model, f.vocab.vocab_df)
 
 
 def q_item_describe_text(spark, sf_dir):
@@ -347,12 +373,121 @@ def q_item_describe_text(spark, sf_dir):
 
 def q_offers_lda_topk(spark, sf_dir):
     f = _doc_lda(spark, sf_dir, source="offers")
-    return top_items_report(with_assignment(f.scored)).select(
+    return top_items_report(_assigned(f)).select(
         "topic", "product_name", sorted_join("categories").alias("categories"),
         sorted_join("brands").alias("brands"),
     )
 
 
+# --- topic and statistics operators over a stated distribution ------------------
+# Languages as topics (their shares of the vocabulary's words) and embeddings as
+# document distributions: the same operators, with an SQL twin.
+
+
+def _language_terms(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """``topic, term_idx, word, prob`` of each language, and the vocabulary."""
+    docs = dealt(table(spark, sf_dir, "documents"))
+    tokens = cut_lineage(docs.select("doc_id", "lang", clean_tokens("text").alias("cleaned_words")))
+    vocab = fit_features(tokens.select("doc_id", "cleaned_words")).vocab_df
+    words = tokens.select("lang", F.explode_outer("cleaned_words").alias("word")).where(F.col("word").isNotNull())
+    counts = words.join(F.broadcast(vocab.select("term_idx", "word")), "word").groupBy("lang", "term_idx", "word").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    langs = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    # a handful of languages, numbered in order
+    numbered = langs.withColumn("topic", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("lang")) - 1)
+    return cut_lineage(
+        counts.join(F.broadcast(numbered), "lang").select("topic", "term_idx", "word", (F.col("n") / F.col("total")).alias("prob"))
+    ), vocab
+
+
+def q_language_terms(spark, sf_dir):
+    terms, _ = _language_terms(spark, sf_dir)
+    return terms.select("topic", "term_idx", "word", F.round("prob", 9).alias("prob"))
+
+
+def q_language_top_terms(spark, sf_dir):
+    terms, _ = _language_terms(spark, sf_dir)
+    top = leading_terms(terms, DEFAULT_TOPIC_TERMS)
+    return top.select("topic", "term_rank", "word", F.round("weight", 9).alias("weight"))
+
+
+def q_language_described(spark, sf_dir):
+    """The zipped term list of each topic, as text."""
+    terms, _ = _language_terms(spark, sf_dir)
+    told = F.transform("top_terms", lambda x: F.concat_ws("=", x["words"], F.format_number(x["termWeights"], 6)))
+    return described(leading_terms(terms, DEFAULT_TOPIC_TERMS)).select(
+        "topic", F.size("top_terms").alias("n_terms"), F.array_join(told, " ").alias("top_terms")
+    )
+
+
+def q_language_relevance(spark, sf_dir):
+    terms, vocab = _language_terms(spark, sf_dir)
+    rel = term_relevance(terms, vocab)
+    return rel.select("topic", "term_idx", "word", *[F.round(c, 6).alias(c) for c in ("prob", "p_w", "lift", "relevance")])
+
+
+def _embedding_stats(spark, sf_dir) -> DataFrame:
+    """Every third distribution is left unnormalized: it is not complete."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("a")
+    )
+    summed = e.select("vec_id", "a", dist_sum("a").alias("s"))
+    over = F.when(F.col("vec_id") % 3 == 0, F.lit(1.0)).otherwise(F.col("s"))
+    scored = summed.select("vec_id", F.transform("a", lambda x: x / over).alias("topicDistribution"))
+    lengths = table(spark, sf_dir, "documents").select("doc_id", F.size(clean_tokens("text")).alias("doc_length"))
+    joined = scored.join(lengths, scored["vec_id"] == lengths["doc_id"]).select("vec_id", "topicDistribution", "doc_length")
+    return doc_stats(joined, key="vec_id")
+
+
+def q_embedding_doc_stats(spark, sf_dir):
+    return _embedding_stats(spark, sf_dir).select(
+        "vec_id", "doc_length", F.size("topic_dist").alias("n_topics"), F.round("dist_sum", 6).alias("dist_sum"), "complete"
+    )
+
+
+def q_embedding_complete(spark, sf_dir):
+    kept = complete_docs(_embedding_stats(spark, sf_dir))
+    return kept.select("vec_id", "doc_length", top_index("topic_dist").alias("topic"))
+
+
+def q_embedding_incomplete(spark, sf_dir):
+    return complete_docs(_embedding_stats(spark, sf_dir), rejects=True).select("vec_id", "doc_length")
+
+
+def q_embedding_prevalence(spark, sf_dir):
+    p = topic_prevalence(_embedding_stats(spark, sf_dir))
+    return p.select("topic", F.round("token_mass", 3).alias("token_mass"), F.round("prevalence", 9).alias("prevalence"))
+
+
+def q_score_topic(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", score_topic("embedding").alias("st"))
+    return e.select("vec_id", F.col("st.score").alias("score"), F.col("st.topic").alias("topic"))
+
+
+def q_merged_sets(spark, sf_dir):
+    nested = F.array(F.array("p_type", "p_brand"), F.array("p_brand", "p_name"), F.lit(None).cast("array<string>"), F.array("p_type"))
+    p = table(spark, sf_dir, "part").select("p_partkey", merge_sets(nested).alias("m"))
+    return p.select("p_partkey", F.size("m").alias("n"), F.array_join("m", "|").alias("members"))
+
+
+def q_top_items(spark, sf_dir):
+    """T1, T2 and P5 over the embeddings' topics, with the documents' sets."""
+    scored = _argmax_embeddings(spark, sf_dir)
+    items = document_items(spark, sf_dir).select("product_name", "categories", "brands")
+    named = scored.select(F.col("vec_id").cast("string").alias("vec"), "score", "topic")
+    joined = named.join(items, named["vec"] == items["product_name"]).drop("vec")
+    return top_items_report(joined).select(
+        "topic", "product_name", sorted_join("categories").alias("categories"), sorted_join("brands").alias("brands")
+    )
+
+
+def q_item_describe_typed(spark, sf_dir):
+    """A11's printed statistics, read back as numbers."""
+    d = describe_items(to_items(offers(spark, sf_dir)))
+    return d.select("summary", *[F.round(F.col(c).cast("double"), ROUND).alias(c) for c in d.columns[1:]])
+
+
 QUERIES: dict[str, Query] = {
     "item_rollup": q_item_rollup,
     "merge_categories": q_merge_categories,
@@ -388,6 +523,18 @@ QUERIES: dict[str, Query] = {
     "lda_features_unpacked": q_lda_features_unpacked,
     "lda_topic_term": q_lda_topic_term,
     "item_describe_text": q_item_describe_text,
+    "language_terms": q_language_terms,
+    "language_top_terms": q_language_top_terms,
+    "language_described": q_language_described,
+    "language_relevance": q_language_relevance,
+    "embedding_doc_stats": q_embedding_doc_stats,
+    "embedding_complete": q_embedding_complete,
+    "embedding_incomplete": q_embedding_incomplete,
+    "embedding_prevalence": q_embedding_prevalence,
+    "score_topic": q_score_topic,
+    "merged_sets": q_merged_sets,
+    "top_items": q_top_items,
+    "item_describe_typed": q_item_describe_typed,
 }
 
 ORACLE: dict[str, str] = {
@@ -414,4 +561,16 @@ ORACLE: dict[str, str] = {
     "lda_vocab_stats": oracle.lda_vocab_stats(),
     "lda_doc_lengths": oracle.lda_doc_lengths(),
     "lda_features_unpacked": oracle.lda_features_unpacked(),
+    "language_terms": oracle.language_terms(),
+    "language_top_terms": oracle.language_top_terms(10),
+    "language_described": oracle.language_described(10),
+    "language_relevance": oracle.language_relevance(0.6),
+    "embedding_doc_stats": oracle.embedding_doc_stats(),
+    "embedding_complete": oracle.embedding_complete(),
+    "embedding_incomplete": oracle.embedding_incomplete(),
+    "embedding_prevalence": oracle.embedding_prevalence(),
+    "score_topic": oracle.argmax_assign(),
+    "merged_sets": oracle.merged_sets(),
+    "top_items": oracle.top_items(10),
+    "item_describe_typed": oracle.item_describe_typed(),
 }

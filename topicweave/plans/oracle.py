@@ -66,9 +66,9 @@ items as (
          list_sort(list_distinct(list(retailer))) as retailers,
          list_sort(list_distinct(flatten(list(cats)))) as categories,
          min(long_description) as description,
-         -- exact mean: micro-units summed as integers, rounded half-up at 1e-10
-         cast((sum(cast(round(e_price * 1000000) as hugeint)) * 20000 + count(e_price))
-              // (2 * count(e_price)) as double) / 10000000000.0 as price,
+         -- exact mean: micro-units summed as integers, then one division
+         cast(sum(cast(round(e_price * 1000000) as hugeint)) as double)
+              / (count(e_price) * 1000000.0) as price,
          count(item_code) as purchase_count
   from offers group by product_name
 )"""
@@ -257,5 +257,103 @@ select conv_id, turn, cast(len(toks) as integer) as n_tokens, array_to_string(to
 def rank_per_topic() -> str:
     return f"""with {ARGMAX_CTE}
 select vec_id, topic, score,
-       cast(row_number() over (partition by topic order by score desc, vec_id asc) as integer) as rank
+       row_number() over (partition by topic order by score desc, vec_id asc) as rank
 from scored"""
+
+
+# --- topics and statistics over a stated distribution --------------------------
+
+
+def _language_cte() -> str:
+    return f"""{_tokens_cte()},
+{_band_cte()},
+lw as (select d.lang, unnest(t.toks) as w from tok t join documents d using (doc_id)),
+lc as (select lang, v.term_idx, v.w, count(*) as n from lw join vocab v using (w) group by all),
+lt as (select lang, sum(n) as total, row_number() over (order by lang) - 1 as topic from lc group by lang),
+terms as (select cast(topic as integer) as topic, cast(term_idx as integer) as term_idx, w as word,
+                 cast(n as double) / cast(total as double) as prob from lc join lt using (lang)),
+top as (select *, cast(row_number() over (partition by topic order by prob desc, term_idx) - 1 as integer) as term_rank
+        from terms)"""
+
+
+def language_terms() -> str:
+    return f"with {_language_cte()}\nselect topic, term_idx, word, round(prob, 9) as prob from terms"
+
+
+def language_top_terms(n: int) -> str:
+    return f"with {_language_cte()}\nselect topic, term_rank, word, round(prob, 9) as weight from top where term_rank < {n}"
+
+
+def language_described(n: int) -> str:
+    return f"""with {_language_cte()}
+select topic, cast(count(*) as integer) as n_terms,
+       string_agg(word || '=' || format('{{:.6f}}', prob), ' ' order by term_rank) as top_terms
+from top where term_rank < {n} group by topic"""
+
+
+def language_relevance(lam: float) -> str:
+    return f"""with {_language_cte()},
+pw as (select cast(term_idx as integer) as term_idx, tf / sum(tf) over () as p_w from vocab)
+select topic, term_idx, word, round(prob, 6) as prob, round(p_w, 6) as p_w, round(prob / p_w, 6) as lift,
+       round({lam}::double * ln(prob) + (1.0 - {lam}::double) * ln(prob / p_w), 6) as relevance
+from terms join pw using (term_idx)"""
+
+
+def _embedding_cte() -> str:
+    return f"""{_tokens_cte()},
+a as (select vec_id, list_transform(embedding, lambda x: abs(x::double)) as a from embeddings),
+p as (select vec_id, case when vec_id % 3 = 0 then a else list_transform(a, lambda x: x / list_sum(a)) end as dist from a),
+st as (select vec_id, cast(len(toks) as integer) as doc_length, dist, list_sum(dist) as s
+       from p join tok on doc_id = vec_id)"""
+
+
+def embedding_doc_stats() -> str:
+    return f"""with {_embedding_cte()}
+select vec_id, doc_length, cast(len(dist) as integer) as n_topics, round(s, 6) as dist_sum,
+       abs(s - 1.0) <= 1e-9 as complete from st"""
+
+
+def embedding_complete() -> str:
+    return f"""with {_embedding_cte()}
+select vec_id, doc_length, cast(list_position(dist, list_max(dist)) - 1 as integer) as topic
+from st where abs(s - 1.0) <= 1e-9"""
+
+
+def embedding_incomplete() -> str:
+    return f"with {_embedding_cte()}\nselect vec_id, doc_length from st where not abs(s - 1.0) <= 1e-9"
+
+
+def embedding_prevalence() -> str:
+    return f"""with {_embedding_cte()},
+ex as (select doc_length, unnest(dist) as p, unnest(generate_series(1, len(dist))) - 1 as topic
+       from st where abs(s - 1.0) <= 1e-9),
+m as (select cast(topic as integer) as topic, sum(doc_length * p) as token_mass from ex group by topic)
+select topic, round(token_mass, 3) as token_mass,
+       round(token_mass / sum(token_mass) over (), 9) as prevalence from m"""
+
+
+def merged_sets() -> str:
+    return """with m as (select p_partkey, list_sort(list_distinct([p_type, p_brand, p_name])) as m from part)
+select p_partkey, cast(len(m) as integer) as n, array_to_string(m, '|') as members from m"""
+
+
+def top_items(n: int) -> str:
+    return f"""with {ARGMAX_CTE},
+named as (select s.topic, s.score, cast(s.vec_id as varchar) as product_name, d.lang as categories, d.source as brands
+          from scored s join documents d on d.doc_id = s.vec_id),
+r as (select *, row_number() over (partition by topic order by score desc, product_name asc) as rank from named)
+select topic, product_name, categories, brands from r where rank <= {n}"""
+
+
+def item_describe_typed() -> str:
+    cols = ["price", "code_count", "category_count", "retrailer_count", "brand_count"]
+    stats = {"count": "count({c})", "mean": "avg({c}::double)", "stddev": "stddev_samp({c}::double)", "min": "min({c})", "max": "max({c})"}
+    rows = [
+        f"select '{name}' as summary, " + ", ".join(f"round(cast({f.format(c=c)} as double), {ROUND}) as {c}" for c in cols) + " from it"
+        for name, f in stats.items()
+    ]
+    union = "\nunion all\n".join(rows)
+    return f"""with {ITEMS_CTE},
+it as (select price, len(codes) as code_count, len(categories) as category_count,
+              len(retailers) as retrailer_count, len(brands) as brand_count from items)
+{union}"""

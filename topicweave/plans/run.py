@@ -1,47 +1,75 @@
 """The batch topic job: offers -> items -> features -> LDA -> outputs (§3.1).
 
-Every intermediate that is read more than once is materialized exactly once
-(a Parquet table in the run folder, or a reliable checkpoint), so the job
-never re-reads the raw feed and two outputs of the same run cannot disagree.
+Every intermediate that is read more than once is one Parquet table in the run
+folder, so the job never re-reads the raw feed, two outputs of the same run
+cannot disagree, and a finished job leaves nothing outside its folder.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicweave.functions.constants import (
     DEFAULT_K,
     DEFAULT_MAX_ITER,
     DEFAULT_SEED,
     DEFAULT_TOPIC_TERMS,
-    DEFAULT_VOCAB_SIZE,
     MAX_DF,
     MIN_DF,
 )
-from topicweave.operators.features import to_tf_idf_features
+from topicweave.operators.features import to_tf_idf_features, with_tokens
 from topicweave.operators.rollup import to_items
-from topicweave.operators.stats import doc_stats, term_relevance, topic_prevalence, vocab_stats
+from topicweave.operators.stats import (
+    DEFAULT_LAMBDA,
+    complete_docs,
+    doc_stats,
+    term_relevance,
+    topic_prevalence,
+    vocab_stats,
+)
 from topicweave.operators.topics import (
-    describe_topics,
+    LAYOUT_PARTITIONS,
+    described,
     fit_lda,
-    score_once,
-    topic_term_matrix,
+    leading_terms,
+    score_all,
+    sweep,
+    term_distribution,
     training_input,
     with_assignment,
 )
-from topicweave.sources.io import read_offers_json, read_table, run_path, save_model, write_table
+from topicweave.sources.io import (
+    load_features,
+    load_model,
+    read_offers_split,
+    read_table,
+    run_path,
+    save_features,
+    save_model,
+    write_table,
+)
 from topicweave.sources.schemas import ROLLUP_COLUMNS
 
 
+class MalformedFeed(ValueError):
+    """The feed holds lines that are not offers."""
+
+
 @dataclass
 class JobConfig:
     """One config for the job (k=6, 50 iterations, seed 100 by default).
 
-    ``None`` means "not given"; 0 is a valid seed.
+    ``None`` means "not given"; 0 is a valid seed.  ``vocab_size`` cuts the
+    vocabulary when given; without it a vocabulary beyond the default bound is
+    an error.  ``relevance_lambda`` and ``relevance_terms`` (None: all) shape
+    the relevance table.  ``fail_on_rejects`` makes malformed feed lines an
+    error; they are written apart in either case.
     """
 
     output_base: str
@@ -53,12 +81,15 @@ class JobConfig:
     version: str | None = None
     min_df: float = MIN_DF
     max_df: float = MAX_DF
-    vocab_size: int = DEFAULT_VOCAB_SIZE
+    vocab_size: int | None = None
     ngram: int | None = None
     replacement: str = ""
     optimizer: str = "online"
-    layout_partitions: int | None = None
+    layout_partitions: int = LAYOUT_PARTITIONS
     exact_filter: bool = False
+    relevance_lambda: float = DEFAULT_LAMBDA
+    relevance_terms: int | None = None
+    fail_on_rejects: bool = False
 
     def with_overrides(self, **kw) -> "JobConfig":
         """Apply CLI-style overrides; a value is used when it is not None."""
@@ -66,53 +97,104 @@ class JobConfig:
         return JobConfig(**{**self.__dict__, **vals})
 
 
+def _land_offers(spark: SparkSession, config: JobConfig, out: str, paths: dict[str, str]) -> DataFrame:
+    """Parse the JSON feed once: the rollup's columns as Parquet, the malformed
+    lines apart with their number reported."""
+    if not config.source_json:
+        raise ValueError("give either an offers DataFrame or config.source_json")
+    good, bad = read_offers_split(spark, config.source_json)
+    paths["offers"] = write_table(good.select(*ROLLUP_COLUMNS), f"{out}/offers.parquet")
+    paths["rejects"] = write_table(bad, f"{out}/rejects.parquet")
+    n = read_table(spark, paths["rejects"]).count()
+    if n and config.fail_on_rejects:
+        raise MalformedFeed(f"{n} malformed lines, kept in {paths['rejects']}")
+    if n:
+        print(f"{n} malformed lines, kept in {paths['rejects']}")
+    return read_table(spark, paths["offers"])
+
+
 def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | None = None) -> dict[str, str]:
     """Run the whole job and return the written paths by output name."""
     version = config.version or str(int(time.time()))
     out = run_path(config.output_base, version, config.k, config.max_iter, config.seed)
     paths: dict[str, str] = {}
+    said = spark.createDataFrame([(json.dumps({**asdict(config), "version": version}),)], "config string")
+    paths["config"] = write_table(said, f"{out}/config.parquet")
     if offers is None:
-        if not config.source_json:
-            raise ValueError("give either an offers DataFrame or config.source_json")
-        # the raw JSON feed is parsed once: only the rollup's columns are
-        # landed as Parquet, which the rollup then reads (column-pruned)
-        raw = read_offers_json(spark, config.source_json).select(*ROLLUP_COLUMNS)
-        paths["offers"] = write_table(raw, f"{out}/offers.parquet")
-        offers = read_table(spark, paths["offers"])
+        offers = _land_offers(spark, config, out, paths)
     # items: written once, every later step reads the table
     paths["items"] = write_table(to_items(offers), f"{out}/item_df.parquet")
     items = read_table(spark, paths["items"])
 
+    paths["tokens"] = f"{out}/tokens.parquet"
     vocab_model, feats = to_tf_idf_features(
-        items, config.replacement, config.ngram, config.min_df, config.max_df, config.vocab_size
+        items, config.replacement, config.ngram, config.min_df, config.max_df, config.vocab_size, paths["tokens"]
     )
     paths["features"] = write_table(feats, f"{out}/item_tf_idf_df.parquet")
     features = read_table(spark, paths["features"])
+    paths["feature_model"] = save_features(vocab_model, f"{out}/feature_model")
     paths["vocab"] = write_table(vocab_stats(vocab_model.vocab_df), f"{out}/lda_vis/vocab.parquet")
 
-    training = training_input(
-        features, "product_name", config.layout_partitions, n_docs=vocab_model.n_docs
-    )
+    training = training_input(features, "product_name", config.layout_partitions)
     model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
     paths["model"] = save_model(model, f"{out}/lda_model")
+    # the per-document inference runs once, into a table
+    paths["scored"] = write_table(score_all(model, training), f"{out}/scored.parquet")
+    training.unpersist()
 
-    scored = score_once(model, training)  # per-document inference runs once
+    scored = read_table(spark, paths["scored"])
+    sets = features.select("product_name", "brands", "categories")
+    named = scored.join(sets, scored["product_name"].eqNullSafe(sets["product_name"])).select(sets["*"], "topicDistribution")
     stats = doc_stats(scored, exact=config.exact_filter)
+    terms = term_distribution(model, vocab_model.vocab_df)
+    relevance = term_relevance(terms, vocab_model.vocab_df, config.relevance_lambda, config.relevance_terms)
     outputs = {
-        "item_topics": (with_assignment(scored), f"{out}/item_topic_df.parquet"),
-        "topics": (
-            describe_topics(model, vocab_model.vocab_df, config.topic_terms),
-            f"{out}/topics_df.parquet",
-        ),
-        "doc_stats": (stats, f"{out}/lda_vis/doc_stats.parquet"),
-        "topic_term": (topic_term_matrix(model, vocab_model.vocab_df), f"{out}/lda_vis/topic_term.parquet"),
+        "item_topics": (with_assignment(named), f"{out}/item_topic_df.parquet"),
+        "topics": (described(leading_terms(terms, config.topic_terms)), f"{out}/topics_df.parquet"),
+        "doc_stats": (complete_docs(stats), f"{out}/lda_vis/doc_stats.parquet"),
+        "doc_rejects": (complete_docs(stats, rejects=True), f"{out}/lda_vis/doc_rejects.parquet"),
+        "topic_term": (terms, f"{out}/lda_vis/topic_term.parquet"),
         "prevalence": (topic_prevalence(stats), f"{out}/lda_vis/prevalence.parquet"),
-        "relevance": (term_relevance(model, vocab_model.vocab_df), f"{out}/lda_vis/relevance.parquet"),
+        "relevance": (relevance, f"{out}/lda_vis/relevance.parquet"),
     }
-    # independent outputs of one checkpointed scoring pass: submitted as
-    # concurrent Spark jobs so small ones do not leave the cluster idle
+    # independent outputs of one scoring pass: submitted as concurrent Spark
+    # jobs so small ones do not leave the cluster idle
     with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
         futures = {name: pool.submit(write_table, df, path) for name, (df, path) in outputs.items()}
         for name, fut in futures.items():
             paths[name] = fut.result()
     return paths
+
+
+def score_items(spark: SparkSession, run_dir: str, items: DataFrame) -> DataFrame:
+    """``product_name, topicDistribution, score, topic`` of raw items
+    (``product_name, description``) by a finished run's saved stages."""
+    base = run_dir.rstrip("/")
+    config = json.loads(read_table(spark, f"{base}/config.parquet").first()["config"])
+    features = load_features(spark, f"{base}/feature_model")
+    tokens = with_tokens(items, replacement=config["replacement"], ngram=config["ngram"])
+    vectors = features.transform(tokens.select("product_name", F.col("cleaned_words").alias(features.words_col)))
+    scored = load_model(f"{base}/lda_model").transform(vectors)
+    return with_assignment(scored, ["product_name"])
+
+
+def run_sweep(spark: SparkSession, config: JobConfig, run_dir: str, grid: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], str]:
+    """M10 from the job: for each (k, iterations, seed) a model, its scored
+    items and its topics, each in a folder of its own, from the features of a
+    finished run; returns the folders."""
+    base = run_dir.rstrip("/")
+    features = read_table(spark, f"{base}/item_tf_idf_df.parquet")
+    vocab = read_table(spark, f"{base}/feature_model/vocabulary.parquet")
+    training = training_input(features, "product_name", config.layout_partitions)
+    version = config.version or str(int(time.time()))
+    out = {}
+    for r in sweep(training, grid):
+        folder = run_path(config.output_base, version, r.k, r.max_iter, r.seed)
+        save_model(r.model, f"{folder}/lda_model")
+        write_table(with_assignment(score_all(r.model, training), ["product_name"]), f"{folder}/item_topic_df.parquet")
+        write_table(described(leading_terms(term_distribution(r.model, vocab), config.topic_terms)), f"{folder}/topics_df.parquet")
+        scores = spark.createDataFrame([(r.log_likelihood, r.log_perplexity)], "log_likelihood double, log_perplexity double")
+        write_table(scores, f"{folder}/scores.parquet")
+        out[(r.k, r.max_iter, r.seed)] = folder
+    training.unpersist()
+    return out

@@ -13,6 +13,7 @@ def local_session(
     app_name: str = "topicweave",
     checkpoint_dir: str | None = None,
     driver_memory: str = "8g",
+    input_partitions: int | None = None,
 ) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on).
 
@@ -34,6 +35,9 @@ def local_session(
     if checkpoint_dir is None:
         checkpoint_dir = tempfile.mkdtemp(prefix="topicweave-ckpt-", dir="/tmp")
     builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    if input_partitions:
+        builder = builder.config(INPUT_PARTITIONS, str(input_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -79,16 +83,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin rows over the cores before CPU-heavy row-wise work when
-    the input has fewer partitions than the cluster has cores.
+INPUT_PARTITIONS = "spark.topicweave.inputPartitions"
 
-    A large input is split by the scan into many more partitions than cores
-    and is returned unchanged (no shuffle); a file stored as one big row
-    group arrives as a single partition and would otherwise be tokenized by
-    one task.
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal rows out to the number of partitions that the session names in
+    ``spark.topicweave.inputPartitions``; unset (the default), ``df`` itself.
+
+    For inputs that the scan cannot split, such as a test file of one row
+    group.  Nothing is counted or executed to decide it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicweave.session import spread
+from topicweave.session import dealt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,15 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-offer shape from ``lineitem ⋈ part ⋈ supplier ⟕ documents``.
 
-    One offer per line item.  Inputs stored as a single row group are spread
-    over the cores first (no-op for a normally split scan).  Dimension joins
-    are plain equi-joins: AQE
-    broadcasts a side only when its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps the
-    sort-merge join, so nothing grows unchecked into a broadcast.
+    One offer per line item.  Dimension joins are plain equi-joins: a side is
+    broadcast only when its size is under
+    ``spark.sql.autoBroadcastJoinThreshold``.  The
+    description is carried per offer, as in the real feed.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice")
-    part = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    li = dealt(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("d_partkey"), F.col("text").alias("long_description")
@@ -51,7 +49,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item shape from ``documents``: one item per document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(table(spark, sf_dir, "documents"))
     return docs.select(
         F.col("doc_id").cast("string").alias("product_name"),
         F.array(F.col("source")).alias("brands"),
