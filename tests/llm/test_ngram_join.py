@@ -76,3 +76,36 @@ def test_prefix_length_keeps_every_linked_pair():
 
 def test_empty(spark, empty):
     check(spark, empty)
+
+
+def test_a_larger_sample_by_shared_shingles(spark):
+    """Brute force over all pairs that share a shingle, on 1,000 documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    # passages that many documents share, at both ends of what may still link
+    rnd = random.Random(11)
+    passage = ["p%d" % i for i in range(60)]
+    for i in range(150):
+        own = ["q%d" % rnd.randrange(10**6) for _ in range(rnd.randrange(2, 40))]
+        rows.append((10_000 + i, " ".join(own[: len(own) // 2] + passage[rnd.randrange(4) :] + own[len(own) // 2 :])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets, index = [], {}
+    for i, (_, text) in enumerate(rows):
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(text or ""))
+        sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+        for s in sets[-1]:
+            index.setdefault(s, []).append(i)
+    common = Counter((a, b) for members in index.values() for k, b in enumerate(members) for a in members[:k])
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, b), n in common.items():
+        if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n):
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
+    got = {r.doc_id: r.component_id for r in nj.shingle_components(spark, docs).collect()}
+    assert got == want

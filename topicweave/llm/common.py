@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +16,35 @@ from topicweave.session import ensure_checkpoint_dir
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_SCRATCH: dict[str, list[str]] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders that operators make inside the block are removed at its end.
+
+    Write the result inside the block: what is read later would find its
+    tables gone.  Without a scope the folders stay until the shared checkpoint
+    folder is cleaned.
+    """
+    mark = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        paths = _SCOPE.get() or []
+        _SCOPE.reset(mark)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder."""
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -28,7 +52,7 @@ def stage_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> D
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: a lost executor re-reads the table instead of
-    re-running what made it.  ``release_scratch`` removes the folders.
+    re-running what made it.  See ``scratch_scope`` for removing the folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -36,20 +60,6 @@ def stage_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Remove every table that ``stage_table`` wrote in this application.
-
-    Call it once the results built on them have been written; returns how
-    many folders were removed.
-    """
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, True)
-    return len(paths)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
