@@ -183,9 +183,9 @@ def chained(links: DataFrame, start: int = 0) -> DataFrame:
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """The archives' real records: page_id, payload_bytes, payload_digest,
     record_type, refers_to, file, at."""
-    found = stage_table(scan_archives(spark, folder), "warc-candidates")
-    real = chained(found)
-    return found.join(real, ["file", "at"], "left_semi").select(
+    found = stage_table(scan_archives(spark, folder).withColumn("key", F.unhex(F.md5("file"))), "warc-candidates")
+    real = chained(found.select(F.col("key").alias("file"), "at", "next"))
+    return found.join(real.withColumnRenamed("file", "key"), ["key", "at"], "left_semi").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "file", "at"
     )
 
