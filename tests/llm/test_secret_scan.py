@@ -33,7 +33,7 @@ def secrets(spark):
         f'é😀 PassWord = "{h}" and token:short secret: token:abcdefgh',
         "password=abcdef" * 3, "api_key='x.y=z-1/2+3' APIKEY:123456 api-key=123456",
         "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + "xAKIAAKIA" + "C" * 30, h + "G" + h[:23] + " " + h * 20,
-        "ſecret=longenough K token = = abcdef", "token=\n abcdef", "", None, "auth Zx81kQpL0mNvB7tR2sYe " + "ABCDEFabcdef0123456789+/" * 2,
+        "ſecret=longenough K token = = abcdef", "token=\n abcdef", "", None, "auth Zx81kQpL0mNvB7tR2sYe " + "QwErTy9087ZxCvBn4321+/aSdF" * 2,
         "bearer Zx81kQpL0mNvB7tR2sYe4" * 2,
     ]
     rows = [(i, t, "en", f"o{i}") for i, t in enumerate(texts)] + [(0, texts[0], "en", "o0")]
