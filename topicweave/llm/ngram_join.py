@@ -10,10 +10,11 @@ right results, so the sketch's error costs time only.
   group, and only groups are posted under their prefix shingles.
 * First round: each posting list links its entries to the entry with fewest
   rarer shingles (a cluster's original) and to the neighbour in size; these
-  few pairs are verified, and their components found.
+  few pairs, where the prefixes share enough, are verified, and their
+  components found.
 * Second round: posting entries are expanded to their members, and every pair
-  of different components that passes the size and position filters is
-  verified.  So nothing is lost, and a large cluster of near copies does not
+  of different components that passes the size, position and count filters
+  is verified.  So nothing is lost, and a large cluster of near copies does not
   cost all of its pairs.
 
 Defined cases: A-Z is lower-cased, words are runs without white space; fewer
@@ -25,6 +26,8 @@ other columns are ignored by the join and kept by ``kept_documents``.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,12 +35,13 @@ from pyspark.sql import functions as F
 
 from topicweave.llm.common import read_table, stage_table, text_or_empty
 from topicweave.llm.components import connected_components
-from topicweave.llm.textscan import LOWER, SHINGLE_CODE, buffer_of, mix, slices, windows, word_hashes, words
+from topicweave.llm.textscan import LOWER, SHINGLE_CODE, buffer_of, chunked, mix, slices, windows, word_hashes, words
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 80, 100  # similarity at least 80 / 100
 SKETCH_BITS = 21
 SKETCH_BLOCK = 1 << 15
+FILTER_BITS = 24
 PAIRS_PER_SALT = 2000
 
 
@@ -67,49 +71,68 @@ def prefix_length(n: int, num: int = NUMERATOR, den: int = DENOMINATOR) -> int:
     return n - -(-num * n // den) + 1
 
 
-def shingle_sketch(docs: DataFrame, bits: int = SKETCH_BITS, k: int = SHINGLE) -> np.ndarray:
-    """Counts of all documents' shingles in 2**bits counters.
+def count_sketch(df: DataFrame, hashes_of, bits: int, marks: bool = False) -> np.ndarray:
+    """How many hashes fall on each of 2**bits counters (saturating); with
+    ``marks`` only whether one does, in a byte each.
 
-    Each task sends its counters in blocks, each block is summed as a stream;
-    the result's size is fixed by ``bits``.
+    ``hashes_of(batch)`` gives the hashes of one Arrow batch.  Each task sends
+    its counters in compressed blocks, and the blocks are summed as streams in
+    two steps, so that no task receives every task's counters; the result's
+    size is fixed by ``bits``.
     """
-    size, blocks = 1 << bits, max(1, (1 << bits) // SKETCH_BLOCK)
+    size = 1 << bits
+    blocks = max(1, size // SKETCH_BLOCK)
+    kind = np.uint8 if marks else np.uint32
+
+    def packed(i, part):
+        raw = zlib.compress(part.tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([raw], pa.binary())], ["block", "counts"])
 
     def count(batches):
-        table = np.zeros(size, np.uint32)
-        for batch in batches:
-            pending = []
-            for s in shingle_sets(batch.column(0), k):
-                pending.append(s >> np.uint64(64 - bits))
-            if pending:
-                flat = np.concatenate(pending).astype(np.int64)
-                table += np.bincount(flat, minlength=size).astype(np.uint32)
+        table = np.zeros(size, kind)
+        for batch in chunked(batches):
+            at = (hashes_of(batch) >> np.uint64(64 - bits)).astype(np.int64)
+            if marks:
+                table[at] = 1
+            elif len(at):
+                table += np.bincount(at, minlength=size).astype(np.uint32)
         for i, part in enumerate(np.split(table, blocks)):
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "counts"])
+                yield packed(i, part)
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(raw, np.uint32).astype(np.uint64)
-                sums[i] = sums[i] + part if i in sums else part
+                part = np.frombuffer(zlib.decompress(raw), kind)
+                if i in sums:  # a sum that would pass the type's end stays at it
+                    part = np.maximum(sums[i], part) if marks else sums[i] + np.minimum(part, ~sums[i])
+                sums[i] = part
         for i, part in sums.items():
-            short = np.minimum(part, np.uint64(2**32 - 1)).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([short.tobytes()], pa.binary())], ["block", "counts"])
-
-    kind = "block int, counts binary"
-    parts = docs.select("text").mapInArrow(count, kind)
-    # Two steps, so that no task receives every task's counters.
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(16))).repartition("block", "salt").select("block", "counts").mapInArrow(add, kind)
-    table = np.zeros(size, np.uint32)
-    width = size // blocks
-    for row in salted.repartition("block").mapInArrow(add, kind).collect():  # 2**bits counters
-        got = np.frombuffer(row["counts"], np.uint32).astype(np.uint64) + table[row["block"] * width : (row["block"] + 1) * width]
-        table[row["block"] * width : (row["block"] + 1) * width] = np.minimum(got, 2**32 - 1)
+            yield packed(i, part)
+
+    shape = "block int, counts binary"
+    parts = df.mapInArrow(count, shape).withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(16)))
+    once = parts.repartition("block", "salt").select("block", "counts").mapInArrow(add, shape)
+    table, width = np.zeros(size, kind), size // blocks
+    for row in once.repartition("block").mapInArrow(add, shape).collect():  # 2**bits counters, compressed
+        table[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), kind)
     return table
 
 
+def shingle_sketch(docs: DataFrame, bits: int = SKETCH_BITS, k: int = SHINGLE) -> np.ndarray:
+    """Counts of all documents' shingles."""
+
+    def hashes(batch):
+        return np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch.column(0), k)])
+
+    return count_sketch(docs.select("text"), hashes, bits)
+
+
+def key_hashes(keys: pa.Array) -> np.ndarray:
+    return mix(keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
+
 SIGNATURE = "doc_id long, text_key long, n int, d1 long, d2 long, prefix_key long, prefix array<bigint>"
 
 
@@ -123,7 +146,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, k: int = SHINGLE) -> DataFra
 
     def sign(batches):
         order_by = shared.value
-        for batch in batches:
+        for batch in chunked(batches):
             n, d1, d2, key, prefix = [], [], [], [], []
             for s in shingle_sets(batch.column(2), k):
                 n.append(len(s))
@@ -191,9 +214,39 @@ def sparse_pairs(posted: DataFrame) -> DataFrame:
     return pairs("hub").unionByName(pairs("near")).distinct()
 
 
+def _enough_common(common, n1, last1, n2, last2):
+    """Can sets with ``common`` shared prefix shingles, the last of them at
+    positions ``last1`` and ``last2``, be similar?
+
+    One of the two prefixes ends first in the common order.  What the sets
+    share beyond its end lies in that set's rest, and in the other set behind
+    the last shared shingle.
+    """
+    rest = lambda n: F.floor((NUMERATOR * n + DENOMINATOR - 1) / DENOMINATOR) - 1  # noqa: E731  n less its prefix
+    beyond = F.greatest(F.least(rest(n1), n2 - last2 - 1), F.least(rest(n2), n1 - last1 - 1))
+    return (common + beyond) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n1 + n2)
+
+
+SHARED = ("n1", "last1", "n2", "last2")
+
+
+def plausible(pairs: DataFrame, posted: DataFrame) -> DataFrame:
+    """The pairs (a, b) of groups that share enough of their prefixes.
+
+    ``posted`` has every common prefix shingle of two groups of fitting size.
+    """
+    left = posted.select(F.col("gid").alias("a"), "token", F.col("n").alias("n1"), F.col("pos").alias("pos1"))
+    right = posted.select(F.col("gid").alias("b"), "token", F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    shared = pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.first("n1").alias("n1"), F.max("pos1").alias("last1"), F.first("n2").alias("n2"), F.max("pos2").alias("last2")
+    )
+    return shared.where(_enough_common(F.col("common"), *map(F.col, SHARED))).select("a", "b")
+
+
 def open_pairs(entries: DataFrame) -> DataFrame:
     """Second round: all pairs of one posting list that lie in different
-    components and pass the filters.  ``entries``: token, cid, n, pos, comp.
+    components and pass the size and position filters: a, b and their groups
+    ga, gb.  ``entries``: token, gid, cid, n, pos, comp.
 
     Lists within one component are dropped before; the rest are read in order
     of size, so an entry meets only entries of fitting size.
@@ -204,47 +257,77 @@ def open_pairs(entries: DataFrame) -> DataFrame:
     def pair_up(batches):
         carry = None
         for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in ("token", "cid", "n", "pos", "comp")]
+            cols = [batch.column(c).to_numpy() for c in ("token", "cid", "n", "pos", "comp", "gid")]
             if carry is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(carry, cols, strict=True)]
             if not len(cols[0]):
                 continue
             last = int(np.searchsorted(cols[0], cols[0][-1], "left"))
             carry = [c[last:] for c in cols]
-            yield from emit([c[:last] for c in cols])
+            if last:
+                yield from emit([c[:last] for c in cols])
         if carry is not None:
             yield from emit(carry)
 
     def emit(cols):
-        token, cid, n, pos, comp = cols
-        at, lag = np.arange(max(0, len(token) - 1)), 1
-        while len(at):
-            at = at[at + lag < len(token)]
-            to = at + lag
-            at = at[(token[at] == token[to]) & (n[at] * DENOMINATOR >= n[to] * NUMERATOR)]
-            to = at + lag
-            most = 1 + np.minimum(n[at] - pos[at] - 1, n[to] - pos[to] - 1)
-            ok = (comp[at] != comp[to]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n[at] + n[to]))
-            if ok.any():
-                a, b = cid[at[ok]], cid[to[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-            lag += 1
-
-    return rows.select("token", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp").mapInArrow(pair_up, "a long, b long").distinct()
-
-
-def candidate_sets(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE) -> DataFrame:
+        token, cid, n, pos, comp, gid = cols
+        # In each list the largest component's entries need not meet each other:
+        # only the rest look for partners, behind them and, in the largest, before.
+        run = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
+        by = np.lexsort((comp, run))
+        new = np.concatenate([[True], (run[by][1:] != run[by][:-1]) | (comp[by][1:] != comp[by][:-1])])
+        block = np.cumsum(new) - 1
+        size = np.bincount(block)[block]
+        top = np.zeros(run[-1] + 1, np.int64)
+        np.maximum.at(top, run[by], size * np.int64(len(by) + 1) + block)
+        largest = np.empty(len(by), bool)
+        largest[by] = block == top[run[by]] % (len(by) + 1)
+        for step in (1, -1):
+            at, lag = np.flatnonzero(~largest), step
+            while len(at):
+                at = at[(at + lag < len(token)) & (at + lag >= 0)]
+                to = at + lag
+                low, high = np.minimum(n[at], n[to]), np.maximum(n[at], n[to])
+                at = at[(token[at] == token[to]) & (low * DENOMINATOR >= high * NUMERATOR)]
+                to = at + lag
+                most = 1 + np.minimum(n[at] - pos[at] - 1, n[to] - pos[to] - 1)
+                ok = (comp[at] != comp[to]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n[at] + n[to]))
+                if step < 0:
+                    ok &= largest[to]
+                if ok.any():
+                    i, j = at[ok], to[ok]
+                    i, j = np.where(cid[i] < cid[j], i, j), np.where(cid[i] < cid[j], j, i)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cid[i], cid[j], gid[i], gid[j])], ["a", "b", "ga", "gb"])
+                lag += step
+
+    whole = rows.select("token", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", "gid")
+    return whole.mapInArrow(pair_up, "a long, b long, ga long, gb long").distinct()
+
+
+def candidate_sets(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE, bits: int = FILTER_BITS) -> DataFrame:
     """cid, tokens: the shingle sets of the wanted classes' first documents.
 
-    ``wanted``: cid, doc_id, text_key.
+    ``wanted``: cid, doc_id, text_key, a written table.  A table of 2**bits
+    marks over the wanted keys, the same size for any corpus, keeps most other
+    texts out of the shuffle; what it lets through by chance, the join drops.
     """
+    marked = np.packbits(count_sketch(wanted.select("text_key"), lambda batch: key_hashes(batch.column(0)), bits, marks=True))
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+    def likely(batches):
+        bitmap = shared.value
+        for batch in chunked(batches):
+            at = (key_hashes(batch.column(1)) >> np.uint64(64 - bits)).astype(np.int64)
+            yield batch.filter(pa.array((bitmap[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+
+    near = rows.mapInArrow(likely, "doc_id long, text_key long, text string")
     w = wanted.select("cid", F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"))
-    found = rows.join(w, rows["doc_id"].eqNullSafe(w["w_id"]) & (rows["text_key"] == w["w_key"])).select("cid", "text")
+    found = near.join(w, near["doc_id"].eqNullSafe(w["w_id"]) & (near["text_key"] == w["w_key"])).select("cid", "text")
 
     def sets(batches):
-        for batch in batches:
+        for batch in chunked(batches):
             tokens = [s.tobytes() for s in shingle_sets(batch.column(1), k)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], ["cid", "tokens"])
 
@@ -268,7 +351,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def check(batches):
         own_id, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in chunked(batches):
             a_ids, b_ids = [], []
             for a, kind, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "b", "tokens")), strict=True):
                 s = np.frombuffer(raw, np.uint64)
@@ -306,20 +389,31 @@ def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -
     groups = group_of.join(sized.select(F.col("row_no").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix")
     posted = stage_table(postings(groups), "jaccard-postings")
     members = stage_table(classes.join(group_of, ["n", "prefix_key"]).select("gid", "cid", "doc_id", "text_key"), "jaccard-members")
-    # Classes that can have a partner: of a posted group, or of a group of several.
     crowded = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1").select("gid")
-    possible = posted.select("gid").distinct().unionByName(crowded).distinct()
-    sets = stage_table(candidate_sets(docs, members.join(possible, "gid", "left_semi"), k), "jaccard-sets")
+
+    def links(pairs: DataFrame, round_: int) -> DataFrame:
+        """Verify pairs on the sets of the classes that they name."""
+        pairs = stage_table(pairs, f"jaccard-pairs-{round_}")
+        named = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+        wanted = stage_table(classes.join(named, "cid", "left_semi").select("cid", "doc_id", "text_key"), f"jaccard-wanted-{round_}")
+        sets = stage_table(candidate_sets(docs, wanted, k), f"jaccard-sets-{round_}")
+        return stage_table(verified(pairs, sets), f"jaccard-links-{round_}")
+
     within = members.where("cid != gid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
-    near = stage_table(verified(stage_table(sparse_pairs(posted).unionByName(within).distinct(), "jaccard-pairs-1"), sets), "jaccard-links-1")
+    near = links(plausible(sparse_pairs(posted), posted).unionByName(within).distinct(), 1)
     known = connected_components(near, "jaccard-near")
     labelled = members.join(known, members["cid"] == known["node"], "left").select(
         "gid", "cid", F.coalesce("component", "cid").alias("comp")
     )
     # A crowded group's members meet under the group's first shingle as well.
     alone = groups.join(crowded, "gid", "left_semi").select(F.element_at("prefix", 1).alias("token"), "gid", "n", F.lit(0).alias("pos"))
-    entries = posted.unionByName(alone).distinct().join(labelled, "gid").select("token", "cid", "n", "pos", "comp")
-    far = stage_table(verified(stage_table(open_pairs(entries), "jaccard-pairs-2"), sets), "jaccard-links-2")
+    entries = posted.unionByName(alone).distinct().join(labelled, "gid").select("token", "gid", "cid", "n", "pos", "comp")
+    met = stage_table(open_pairs(entries), "jaccard-met")
+    # Pairs of groups, smaller first, whose prefixes share enough.
+    by_group = met.select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")).where("a != b").distinct()
+    sound = plausible(by_group, posted).select(F.col("a").alias("sa"), F.col("b").alias("sb"))
+    apart = met.join(sound, (F.least("ga", "gb") == F.col("sa")) & (F.greatest("ga", "gb") == F.col("sb")), "left_semi")
+    far = links(apart.unionByName(met.where("ga = gb")).select("a", "b"), 2)
     parts = connected_components(near.unionByName(far), "jaccard-all")
     heads = classes.join(parts, classes["cid"] == parts["node"], "left").select(
         "n", "d1", "d2", "cid", "doc_id", "text_key", F.coalesce("component", "cid").alias("comp")
