@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.llm.common import fresh_name, read_table
-from topicweave.llm.textscan import buffer_of, slices, windows, word_hashes, words
+from topicweave.llm.textscan import buffer_of, chunked, slices, windows, word_hashes, words
 
 SAMPLE_ROWS = 20_000
 REPEAT_WINDOW = 5
@@ -135,7 +135,7 @@ def with_counts(df: DataFrame, text: str, stats: str, keep: Sequence[str]) -> Da
     n = len(keep)
 
     def scan(batches):
-        for batch in batches:
+        for batch in chunked(batches):
             counts = text_counts(batch.column(n))
             struct = pa.StructArray.from_arrays([pa.array(counts[c], pa.int64()) for c in COUNTS], list(COUNTS))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], struct], [*keep, stats])

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.llm.common import read_table, stage_table, text_or_empty
-from topicweave.llm.textscan import BASE_INVERSE, BYTE_CODE, buffer_of, mix, powers
+from topicweave.llm.textscan import BASE_INVERSE, BYTE_CODE, buffer_of, chunked, mix, powers
 
 SPAN = 200
 GRAM = 32
@@ -122,15 +122,13 @@ def anchored_runs(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFr
     kinds = {"doc_id": pa.int64(), "uid": pa.int64(), "lo": pa.int32(), "wide": pa.int16(), "back": pa.int16(), "h": pa.int64(), "r": pa.int64()}
 
     def scan(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
-                runs = window_runs(*buffer_of(part.column(2)), span, gram)
-                if len(runs["doc"]):
-                    take = pa.array(runs["doc"])
-                    cols = [part.column(0).take(take), part.column(1).take(take)]
-                    cols += [pa.array(runs[c], pa.int64()).cast(t) for c, t in list(kinds.items())[2:]]
-                    yield pa.RecordBatch.from_arrays(cols, list(kinds))
+        for part in chunked(batches):
+            runs = window_runs(*buffer_of(part.column(2)), span, gram)
+            if len(runs["doc"]):
+                take = pa.array(runs["doc"])
+                cols = [part.column(0).take(take), part.column(1).take(take)]
+                cols += [pa.array(runs[c], pa.int64()).cast(t) for c, t in list(kinds.items())[2:]]
+                yield pa.RecordBatch.from_arrays(cols, list(kinds))
 
     return _keyed(docs).select("doc_id", "uid", "text").mapInArrow(scan, "doc_id long, uid long, lo int, wide smallint, back smallint, h long, r long")
 
@@ -398,7 +396,7 @@ def removed_repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     ranges) and kept (the remaining bytes).  Repeated rows give one row."""
 
     def cut_out(batches):
-        for batch in batches:
+        for batch in chunked(batches):
             removed, kept = [], []
             for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 gone = merged_spans([(x["s"], x["e"]) for x in spans])

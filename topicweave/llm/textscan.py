@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20  # bytes hashed at a time (a longer word makes one longer segment)
+SEGMENT = 1 << 19  # bytes hashed at a time (a longer word makes one longer segment)
 
 _RNG = np.random.default_rng(20240229)
 BYTE_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -62,7 +62,14 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]] if len(offs) else raw, offs - offs[0]
 
 
-def slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def chunked(batches, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces of at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def slices(texts: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text each (one row at least)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
