@@ -46,6 +46,12 @@ def test_sample_and_tricky(spark, sample, tricky):
     check(spark, tricky, 64)
 
 
+def test_very_long_texts(spark):
+    """Also texts that the fast splitter gives up on."""
+    texts = [" " * 400_000, ("x" + " " * 70_000) * 3, "a" * 300_000, "\n" * 300_000 + "end", "<|endoftext|> 😀 é\0"]
+    check(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
 def test_sequences_hold_the_pieces(spark, sample):
     packed = pk.pack_documents(spark, sample)
     whole = {r.sequence_id: r.ids for r in pk.sequences(packed).collect()}

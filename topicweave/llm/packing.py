@@ -16,7 +16,7 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import base64
+import json
 import zlib
 
 import numpy as np
@@ -29,22 +29,52 @@ from topicweave.llm.common import read_table, stage_table
 CAPACITY = 2048
 END_ID = 0
 RANK_BUCKETS = 1024
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 
 
-def vocabulary_bytes(path: str | None = None) -> tuple[bytes, str]:
-    """A vocabulary file (token in base64, rank) and its splitting pattern."""
+def read_vocabulary(path: str | None = None) -> tuple[str, str]:
+    """A byte-level BPE tokenizer file, and the pattern that splits its texts."""
     import public_tokenizers
 
-    with open(path or public_tokenizers.path(VOCABULARY), "rb") as f:
+    with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as f:
         return f.read(), public_tokenizers.PATTERN
 
 
-def make_encoder(vocabulary: bytes, pattern: str):
-    import tiktoken
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level BPE files: printable
+    Latin-1 stands for itself, the other bytes for letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
-    return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+class Encoder:
+    """Token ids of whole texts.
+
+    The ids are those of the tokenizer file.  ``tiktoken`` computes them from
+    the file's ranks several times as fast; texts that its splitter gives up
+    on (very long runs of white space) go to ``tokenizers``.
+    """
+
+    def __init__(self, vocabulary: str, pattern: str):
+        import tiktoken
+
+        said = json.loads(vocabulary)
+        letters, special = byte_letters(), {t["content"] for t in said.get("added_tokens", ())}
+        ranks = {bytes(map(letters.__getitem__, t)): i for t, i in said["model"]["vocab"].items() if t not in special}
+        self.fast = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.vocabulary, self.slow = vocabulary, None
+
+    def __call__(self, text: str) -> np.ndarray:
+        try:
+            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+        except ValueError:
+            if self.slow is None:
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_str(self.vocabulary)
+                self.slow.encode_special_tokens = True
+            return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -58,12 +88,11 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 [, ids]."""
-    vocab, pattern = vocabulary_bytes(vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     schema = PIECE_SCHEMA + (", ids array<int>" if with_ids else "")
 
     def encode(batches):
-        encoder = make_encoder(*shared.value)
+        encoder = Encoder(*shared.value)
         for batch in batches:
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "crc")}
             ids_out = []
@@ -84,7 +113,7 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vo
 
             held = 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.append(np.asarray(encoder.encode_to_numpy(text.as_py() or "", disallowed_special=()), "<u4"), np.array([end_id], "<u4")).astype("<u4")
+                ids = np.append(encoder(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 for k, (a, m) in enumerate(piece_bounds(len(ids), capacity)):
                     rows["doc_id"].append(doc_id)
                     rows["piece"].append(k)
