@@ -47,7 +47,7 @@ BASE_KINDS = (
 OWN_KINDS = (
     Kind("auth", r"(?i:\b(pwd|auth|credentials?|bearer))" + r"""(?:["']?\x20*[:=]\x20*["']?|\x20)""" + r"([A-Za-z0-9+/_.=-]{16,})", 2, 16),
     Kind("blob", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}", 0, 40),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
 )
 MAX_OWNERS = 2
 MIN_DISTINCT_CHARS = 8
