@@ -38,11 +38,11 @@ def mean_parts(price: Column) -> list[Column]:
 
 
 def mean_of(exact_sum: Column, double_sum: Column, n: Column, all_plain: Column) -> Column:
-    """Mean of the non-null prices: exact where all of them sum exactly, the
-    plain double mean otherwise (NaN and infinities pass through; nothing is
-    dropped).  Null without a price."""
-    exact = F.try_divide(exact_sum, n.cast("decimal(20,0)")).cast("double")
-    return F.when(n > 0, F.coalesce(F.when(all_plain, exact), double_sum / n))
+    """Mean of the non-null prices, from the exact sum where all of them sum
+    exactly, from the double sum otherwise (NaN and infinities pass through;
+    nothing is dropped).  Null without a price."""
+    total = F.coalesce(F.when(all_plain, exact_sum.cast("double")), double_sum)
+    return F.when(n > 0, total / n)
 
 
 SET_NAMES = ("codes", "brands", "retailers", "categories")

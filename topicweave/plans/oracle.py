@@ -66,9 +66,9 @@ items as (
          list_sort(list_distinct(list(retailer))) as retailers,
          list_sort(list_distinct(flatten(list(cats)))) as categories,
          min(long_description) as description,
-         -- exact mean: micro-units summed as integers, then one division
-         cast(sum(cast(round(e_price * 1000000) as hugeint)) as double)
-              / (count(e_price) * 1000000.0) as price,
+         -- micro-units summed as integers, the sum as a double, then the mean
+         (cast(sum(cast(round(e_price * 1000000) as hugeint)) as double) / 1000000.0::double)
+              / count(e_price) as price,
          count(item_code) as purchase_count
   from offers group by product_name
 )"""
