@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import pandas
 import pytest
 
 import __spark_entry__ as E
@@ -20,7 +21,7 @@ def _canon(pdf):
     cols = sorted(pdf.columns)
 
     def n(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pandas.NA or (isinstance(v, float) and math.isnan(v)):
             return None
         return v.item() if hasattr(v, "item") else v
 
