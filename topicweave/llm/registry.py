@@ -11,7 +11,7 @@ from topicweave.llm.quality_rules import op1_rule_list
 from topicweave.llm.secret_scan import op4_ownership_secrets
 from topicweave.llm.sharding import op6_table_shards
 from topicweave.llm.suffix_dedup import op3_deep_shallow
-from topicweave.llm.warc import op9_warc_chain
+from topicweave.llm.warc import OP9_SQL, op9_warc_chain
 
 QUERIES = {
     "op1_rule_list": op1_rule_list,
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_diagonal_licenses": op10_diagonal_licenses,
 }
 
-ORACLE = {"op5_stream_dedup": OP5_SQL}
+ORACLE = {"op5_stream_dedup": OP5_SQL, "op9_warc_chain": OP9_SQL}

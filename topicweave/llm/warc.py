@@ -194,3 +194,18 @@ def op9_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     write_warc(read_table(spark, sf_dir, "pages"), folder)
     return read_warc(spark, folder).drop("file", "at")
+
+
+OP9_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('{ALPHABET}',
+           (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+         first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first_id
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
+FROM d
+"""
