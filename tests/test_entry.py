@@ -151,8 +151,16 @@ def test_topic_job_is_reproducible(spark, scratch):
 def test_saved_run_scores_raw_text(spark, scratch):
     """The saved feature stage and model reproduce the job's own assignment;
     nothing is left outside the run's folder; the sweep writes per point."""
+    from topicweave.session import ensure_checkpoint_dir
+
+    def left():
+        folder = ensure_checkpoint_dir(spark).replace("file:", "")
+        return set(os.listdir(folder)) if os.path.exists(folder) else set()
+
+    before = left()
     cfg = JobConfig(output_base=f"{scratch}/out", max_iter=3, version="s")
     paths = run_topic_job(spark, cfg, offers=offers(spark, SF_SMALL))
+    assert left() <= before
     assert all(os.path.abspath(p.replace("file:", "")).startswith(f"{scratch}/out") for p in paths.values())
     run_dir = paths["items"].rsplit("/", 1)[0]
     raw = spark.read.parquet(paths["items"]).select("product_name", "description")

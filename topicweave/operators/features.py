@@ -107,8 +107,9 @@ class VocabularyOverflow(ValueError):
     """More terms in the document-frequency band than the vocabulary holds."""
 
 
-def capped_vocabulary(band: DataFrame, vocab_size: int | None) -> DataFrame:
-    """T5: the band's terms, most frequent first (ties by word).
+def vocabulary_rows(band: DataFrame, vocab_size: int | None) -> list:
+    """T5: the band's terms, most frequent first (ties by word); at most the
+    vocabulary's bound of rows.
 
     A ``vocab_size`` that the caller gives cuts the list, as asked.  Without
     one the default bound holds, and a band beyond it is an error, never a
@@ -116,14 +117,14 @@ def capped_vocabulary(band: DataFrame, vocab_size: int | None) -> DataFrame:
     """
     ordered = band.orderBy(F.col("term_frequency").desc(), F.col("word").asc())
     if vocab_size is not None:
-        return ordered.limit(vocab_size)
-    over = band.agg(F.count(F.lit(1))).first()[0]
-    if over > DEFAULT_VOCAB_SIZE:
+        return ordered.limit(vocab_size).collect()
+    rows = ordered.limit(DEFAULT_VOCAB_SIZE + 1).collect()
+    if len(rows) > DEFAULT_VOCAB_SIZE:
         raise VocabularyOverflow(
-            f"{over} terms lie in the document-frequency band, the vocabulary holds "
-            f"{DEFAULT_VOCAB_SIZE}; narrow the band or pass vocab_size to keep the most frequent"
+            f"more than {DEFAULT_VOCAB_SIZE} terms lie in the document-frequency band; "
+            "narrow the band or pass vocab_size to keep the most frequent"
         )
-    return ordered.limit(DEFAULT_VOCAB_SIZE)
+    return rows
 
 
 def idf_column(n_docs: int, df_col: str = "doc_freq") -> F.Column:
@@ -167,12 +168,12 @@ def fit_features(
 ) -> FeatureModel:
     """M1-M4: fit the vocabulary and IDF on ``docs`` (tokens in ``words_col``).
 
-    Actions: the document count, the band, and the ordered vocabulary.
+    Two actions: the document count and the ordered vocabulary.
     """
     n_docs = docs.count()
-    band = cut_lineage(df_band(term_stats(docs, words_col), n_docs, min_df, max_df))
-    top = capped_vocabulary(band, vocab_size).withColumn("idf", idf_column(n_docs))
-    rows = top.collect()  # bounded by vocab_size: this is the model
+    band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df)
+    # bounded by the vocabulary's bound: this is the model
+    rows = vocabulary_rows(band.withColumn("idf", idf_column(n_docs)), vocab_size)
     if not rows:
         raise ValueError(
             "empty vocabulary: no term has a document frequency inside "
@@ -244,8 +245,9 @@ def tfidf_long(
     keyed by word with the vocabulary capped at ``vocab_size`` rows.
     """
     n_docs = docs.count()
-    band = cut_lineage(df_band(term_stats(docs, words_col), n_docs, min_df, max_df))
-    vocab = capped_vocabulary(band, vocab_size).select("word", idf_column(n_docs).alias("idf"))
+    band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df).withColumn("idf", idf_column(n_docs))
+    rows = vocabulary_rows(band, vocab_size)
+    vocab = docs.sparkSession.createDataFrame([(r["word"], r["idf"]) for r in rows], "word string, idf double")
     # the vocabulary has at most vocab_size rows: broadcasting it drops
     # out-of-band tokens map-side, before the (doc, word) shuffle
     tokens = explode_words(docs, words_col, key)
