@@ -56,10 +56,30 @@ def stage_table(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> D
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 2000
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs started in the block hand Python at most ``TEXTS_PER_BATCH`` rows at
+    a time: rows are whole texts here, and each batch lies in memory twice."""
+    before = spark.conf.get(ARROW_ROWS)
+    if 0 < int(before) <= TEXTS_PER_BATCH:
+        yield
+        return
+    spark.conf.set(ARROW_ROWS, str(TEXTS_PER_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,6 +27,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Many small stores: no space set aside on disk for each of them.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # All stores of an executor share this much native memory.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
 FINGERPRINT = "row_no long, doc_id long, n_cp int, locator string, digest binary"
 

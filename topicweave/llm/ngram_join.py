@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import read_table, stage_table, text_or_empty
+from topicweave.llm.common import read_table, small_batches, stage_table, text_or_empty
 from topicweave.llm.components import connected_components
 from topicweave.llm.textscan import LOWER, SHINGLE_CODE, buffer_of, chunked, mix, slices, windows, word_hashes, words
 
@@ -115,7 +115,9 @@ def count_sketch(df: DataFrame, hashes_of, bits: int, marks: bool = False) -> np
     parts = df.mapInArrow(count, shape).withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(16)))
     once = parts.repartition("block", "salt").select("block", "counts").mapInArrow(add, shape)
     table, width = np.zeros(size, kind), size // blocks
-    for row in once.repartition("block").mapInArrow(add, shape).collect():  # 2**bits counters, compressed
+    with small_batches(df.sparkSession):
+        summed = once.repartition("block").mapInArrow(add, shape).collect()  # 2**bits counters, compressed
+    for row in summed:
         table[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), kind)
     return table
 
@@ -316,22 +318,18 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE, bits: i
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
-    def likely(batches):
+    def sets(batches):
         bitmap = shared.value
         for batch in chunked(batches):
             at = (key_hashes(batch.column(1)) >> np.uint64(64 - bits)).astype(np.int64)
-            yield batch.filter(pa.array((bitmap[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+            batch = batch.filter(pa.array((bitmap[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+            tokens = [s.tobytes() for s in shingle_sets(batch.column(2), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.binary())], ["doc_id", "text_key", "tokens"])
 
-    near = rows.mapInArrow(likely, "doc_id long, text_key long, text string")
+    near = rows.mapInArrow(sets, "doc_id long, text_key long, tokens binary")
     w = wanted.select("cid", F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"))
-    found = near.join(w, near["doc_id"].eqNullSafe(w["w_id"]) & (near["text_key"] == w["w_key"])).select("cid", "text")
-
-    def sets(batches):
-        for batch in chunked(batches):
-            tokens = [s.tobytes() for s in shingle_sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], ["cid", "tokens"])
-
-    return found.mapInArrow(sets, "cid long, tokens binary").dropDuplicates(["cid"])
+    found = near.join(w, near["doc_id"].eqNullSafe(w["w_id"]) & (near["text_key"] == w["w_key"]))
+    return found.select("cid", "tokens").dropDuplicates(["cid"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
