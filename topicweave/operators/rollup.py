@@ -47,6 +47,7 @@ def mean_of(exact_sum: Column, double_sum: Column, n: Column, all_plain: Column)
 
 SET_NAMES = ("codes", "brands", "retailers", "categories")
 ROW = "row"  # the kind that carries the scalar measures
+DESCRIPTION = "description"
 ROW_SALTS = 256
 
 
@@ -62,7 +63,7 @@ def to_items(offers: DataFrame) -> DataFrame:
       non-null item codes (A6, it counts offers); sizes of the sets (A7).
 
     One pass over the offers, two exchanges, no join.  An offer becomes its
-    set members and one ``row`` entry with the scalar measures.  The first
+    set members, its description and one ``row`` entry with the scalar measures.  The first
     aggregation is keyed by (product, kind, value), the ``row`` entries by a
     salt in place of the value, so a hot product spreads over all reducers;
     the second gathers each product's distinct members and merges at most
@@ -74,25 +75,26 @@ def to_items(offers: DataFrame) -> DataFrame:
             "brands": F.array("e_brand_formatted_slug"),
             "retailers": F.array("retailer_code"),
             "categories": F.col(CATEGORY_COL),
+            DESCRIPTION: F.array("long_description"),
         }
     )
     salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS)).cast("string")
     null = F.lit(None)
-    blank = [null.cast("string").alias("description"), null.cast("string").alias("code"), null.cast("double").alias("price")]
+    blank = [null.cast("string").alias("code"), null.cast("double").alias("price")]
     wide = F.transform(members, lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"), *blank))
     row = F.array(
         F.struct(
-            F.lit(ROW).alias("kind"), salt.alias("value"), F.col("long_description").alias("description"),
+            F.lit(ROW).alias("kind"), salt.alias("value"),
             F.col("item_code").alias("code"), F.col("e_price").cast("double").alias("price"),
         )
     )
-    # only the row entry carries the description
+    # the description is a member of its own, so equal ones collapse in the map
+    # tasks and every partial measure has a fixed size (hash aggregation)
     entries = offers.select("product_name", F.explode(F.concat(row, wide)).alias("m")).select("product_name", "m.*")
     partial = (
         entries.where(F.col("value").isNotNull() | (F.col("kind") == "categories"))
         .groupBy("product_name", "kind", "value")
         .agg(
-            F.min("description").alias("description"),
             F.count("code").alias("purchase_count"),
             *mean_parts(F.col("price")),
         )
@@ -103,7 +105,7 @@ def to_items(offers: DataFrame) -> DataFrame:
         SET_NAMES,
         ("categories",),
         aggs=[
-            F.min("description").alias("description"),
+            F.min(F.when(F.col("kind") == DESCRIPTION, F.col("value"))).alias("description"),
             F.sum("purchase_count").alias("purchase_count"),
             F.try_sum("exact_sum").alias("exact_sum"),
             F.count(F.when(F.col("n_prices") > 0, F.col("exact_sum"))).alias("exact_parts"),

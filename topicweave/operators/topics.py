@@ -28,7 +28,7 @@ from topicweave.functions.constants import (
 # Training partitions of a run, recorded with it.  Online LDA runs two small
 # jobs an iteration over them; raise it with the corpus (some 100 MB of
 # vectors a partition), not with the cluster.
-LAYOUT_PARTITIONS = 16
+LAYOUT_PARTITIONS = 8
 
 
 def canonical_layout(df: DataFrame, key: str = "product_name", partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
