@@ -51,29 +51,29 @@ def byte_letters() -> dict[str, int]:
 class Encoder:
     """Token ids of whole texts.
 
-    The ids are those of the tokenizer file.  ``tiktoken`` computes them from
-    the file's ranks several times as fast; texts that its splitter gives up
-    on (very long runs of white space) go to ``tokenizers``.
+    The ids are those of the tokenizer file, an added token in a text being its
+    one id.  ``tiktoken`` computes them from the file's ranks several times as
+    fast; texts that its splitter gives up on (very long runs of white space)
+    go to ``tokenizers``.
     """
 
     def __init__(self, vocabulary: str, pattern: str):
         import tiktoken
 
         said = json.loads(vocabulary)
-        letters, special = byte_letters(), {t["content"] for t in said.get("added_tokens", ())}
+        letters, special = byte_letters(), {t["content"]: t["id"] for t in said.get("added_tokens", ())}
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in said["model"]["vocab"].items() if t not in special}
-        self.fast = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.fast = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         self.vocabulary, self.slow = vocabulary, None
 
     def __call__(self, text: str) -> np.ndarray:
         try:
-            return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
+            return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), np.uint32)
         except ValueError:
             if self.slow is None:
                 from tokenizers import Tokenizer
 
                 self.slow = Tokenizer.from_str(self.vocabulary)
-                self.slow.encode_special_tokens = True
             return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
