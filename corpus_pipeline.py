@@ -36,8 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences, and where each lies."""
-    return packing.pack_documents(spark, docs, with_ids=False).select(*packing.PACKED_COLUMNS)
+    """The pieces of the training sequences with their ids, and where each lies."""
+    return packing.packed_pieces(spark, docs)
 
 
 STAGES = [

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from topicweave.llm.common import read_table, stage_table
 
@@ -86,10 +87,14 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 [, ids]."""
+def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, as_bytes: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, ids.
+
+    ``as_bytes`` gives ``ids`` as the little-endian 32-bit numbers that
+    ``ids_crc32`` is taken of, in place of an array.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    schema = PIECE_SCHEMA + (", ids array<int>" if with_ids else "")
+    schema = PIECE_SCHEMA + (", ids binary" if as_bytes else ", ids array<int>")
 
     def encode(batches):
         encoder = Encoder(*shared.value)
@@ -100,12 +105,12 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vo
             def flush():
                 cols = [pa.array(rows["doc_id"], pa.int64()), pa.array(rows["piece"], pa.int32())]
                 cols += [pa.array(rows[k], pa.int64()) for k in ("start", "length", "crc")]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    flat = np.concatenate(ids_out) if ids_out else np.zeros(0, np.int32)
+                if as_bytes:
+                    cols.append(pa.array([x.tobytes() for x in ids_out], pa.binary()))
+                else:
+                    flat = np.concatenate(ids_out).astype(np.int32)
                     cols.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(rows["length"])]).astype(np.int32), pa.array(flat, pa.int32())))
-                    names.append("ids")
-                out = pa.RecordBatch.from_arrays(cols, names)
+                out = pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
                 for v in rows.values():
                     v.clear()
                 ids_out.clear()
@@ -120,8 +125,7 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vo
                     rows["start"].append(a)
                     rows["length"].append(m)
                     rows["crc"].append(zlib.crc32(ids[a : a + m].tobytes()))
-                    if with_ids:
-                        ids_out.append(ids[a : a + m].astype(np.int32))
+                    ids_out.append(ids[a : a + m])
                 held += len(ids)
                 if held > 1 << 20:
                     yield flush()
@@ -211,43 +215,41 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():
         counts[r["length"]] = r["n"]
     places, _ = plan(counts, capacity)
-    # length and first rank in one sortable number: ranks stay under 2**40
-    starts = (places[:, 0] << 40) | places[:, 1]
+    # A row per length of each pattern; rows are joined in the JVM, so that the
+    # pieces' ids pass through no Python step again.
+    kinds = "p_length long, first_rank long, end_rank long, copies long, first_bin long, first_offset long"
+    known = pieces.sparkSession.createDataFrame(places.tolist(), kinds)
     rows = ranked(pieces)
-    names = [c for c in rows.columns if c != "rank"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "rank")
-
-    def look_up(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            length = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
-            row = places[np.searchsorted(starts, (length << 40) | rank, "right") - 1]
-            after = rank - row[:, 1]
-            seq, offset = row[:, 4] + after // row[:, 3], row[:, 5] + after % row[:, 3] * length
-            cols = [batch.column(c) for c in names] + [pa.array(seq, pa.int64()), pa.array(offset, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, [*names, "sequence_id", "offset"])
-
-    return rows.mapInArrow(look_up, kinds + ", sequence_id long, offset long")
+    here = (rows["length"] == known["p_length"]) & (rows["rank"] >= known["first_rank"]) & (rows["rank"] < known["end_rank"])
+    return rows.join(F.broadcast(known), here).select(
+        *pieces.columns,
+        F.expr("first_bin + (rank - first_rank) div copies").alias("sequence_id"),
+        F.expr("first_offset + (rank - first_rank) % copies * length").alias("offset"),
+    )
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, as_bytes: bool = False) -> DataFrame:
     """Tokenise and pack: the pieces' columns, sequence_id and offset."""
-    return place(stage_table(tokenise(docs, capacity, end_id, vocabulary, with_ids), "pieces"), capacity)
+    return place(stage_table(tokenise(docs, capacity, end_id, vocabulary, as_bytes), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
     """The training sequences: sequence_id, ids (pieces in order, so at most
     ``capacity`` ids a row), n_pieces."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
-    return packed.groupBy("sequence_id").agg(parts.alias("parts")).select(
-        "sequence_id", F.flatten(F.col("parts.ids")).alias("ids"), F.size("parts").alias("n_pieces")
-    )
+    ids = F.flatten(F.col("parts.ids"))
+    if packed.schema["ids"].dataType == BinaryType():
+        ids = F.aggregate("parts.ids", F.lit(b""), lambda done, part: F.concat(done, part))
+    return packed.groupBy("sequence_id").agg(parts.alias("parts")).select("sequence_id", ids.alias("ids"), F.size("parts").alias("n_pieces"))
+
+
+PACKED_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
 
 
-PACKED_COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+def packed_pieces(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The pieces of the training sequences with their ids, and where each lies."""
+    return pack_documents(spark, docs, as_bytes=True).select(*PACKED_COLUMNS)
 
 
 def op8_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spark, read_table(spark, sf_dir, "documents"), with_ids=False).select(*PACKED_COLUMNS)
+    return packed_pieces(spark, read_table(spark, sf_dir, "documents"))
