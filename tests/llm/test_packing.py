@@ -11,7 +11,6 @@ from topicweave.llm import packing as pk
 
 def expected_pieces(rows, capacity):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     out = Counter()
     for doc_id, text in rows:
         ids = tok.encode(text or "", add_special_tokens=False).ids + [0]
