@@ -189,7 +189,7 @@ def test_rewritten_tables_are_fitted_anew(spark, scratch):
 
     from topicweave.plans.catalog import _doc_lda
 
-    shutil.copy(f"{SF_SMALL}/documents.parquet", f"{scratch}/documents.parquet")
+    shutil.copyfile(f"{SF_SMALL}/documents.parquet", f"{scratch}/documents.parquet")
     a = _doc_lda(spark, scratch)
     assert _doc_lda(spark, scratch) is a
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("doc_id < 150").toPandas().to_parquet(f"{scratch}/documents.parquet")
