@@ -1,0 +1,132 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from topicweave.llm import spelling as sp
+
+
+def brute(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    cuts = {}
+    for w in words:
+        for i in range(len(w)):
+            cuts.setdefault((i, w[:i] + w[i + 1 :]), set()).add(w)
+    near = {w: set() for w in words}
+    for (_, cut), group in cuts.items():
+        for w in group:
+            near[w] |= {x for x in group if len(x) == len(w)} - {w}
+            if cut in words:
+                near[w].add(cut)
+                near[cut].add(w)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 5 * n else None
+    out = set()
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return out
+
+
+def check(df, **options):
+    got = sp.spelling_groups(df, **options).collect()
+    want = brute([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    return want
+
+
+def variants(seed, n_words=12):
+    """Words with chains of variants, each rarer than the one before."""
+    rnd = random.Random(seed)
+    letters = "abcdeéÿ"
+    rows = []
+    for _ in range(n_words):
+        word, n = "".join(rnd.choice(letters) for _ in range(rnd.randrange(6, 10))), 900
+        while n >= 5:
+            rows.append((word, n))
+            for _ in range(rnd.randrange(1, 4)):
+                i, c = rnd.randrange(len(word)), rnd.choice(letters)
+                word = rnd.choice([word[:i] + word[i + 1 :], word[:i] + c + word[i:], word[:i] + c + word[i + 1 :]])
+                rows.append((word, n // rnd.choice([3, 5, 6])))
+            n //= 5
+    return [(i, " ".join([w] * n)) for i, (w, n) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block", [sp.BLOCK, 3])
+def test_planted_variants(spark, block):
+    df = spark.createDataFrame(variants(7), "doc_id long, text string").repartition(3)
+    want = check(df, block=block)
+    assert any(f is not None and r != f for _, f, r, *_ in want)  # chains of two forms
+
+
+def test_sample_and_tricky(spark, sample, tricky):
+    check(sample)
+    check(sample, block=20)
+    check(tricky.union(tricky).union(tricky).union(tricky).union(tricky))
+
+
+def test_anagrams_and_one_letter(spark):
+    """One vector for very many words: the leaf is looked up by halves."""
+    rnd = random.Random(2)
+    words = {"".join(rnd.sample("abcdefgh", 8)) for _ in range(400)}
+    words |= {"".join(rnd.choice("aq") for _ in range(9)) for _ in range(200)}  # one letter group
+    text = " ".join(w for w in sorted(words) for _ in range(5))
+    check(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+
+
+def test_trie_finds_every_word_one_apart():
+    rnd = random.Random(3)
+    words = list({"".join(rnd.choice("abcxé") for _ in range(rnd.randrange(6, 9))) for _ in range(600)})
+    trie = sp.VectorTrie()
+    for w in words:
+        trie.insert(w, sp.vector(w))
+    for w in rnd.sample(words, 150):
+        want = sorted(x for x in words if sp.one_apart(w, x))
+        assert sorted(trie.near(w, sp.vector(w), 1, 1)) == want
+        for x in want:  # the lesser top reaches the other's subtree with enough left
+            a, b = sorted((w, x), key=lambda y: [len(y), *sp.vector(y)[: sp.TOP]])
+            tops = {t: (s, d) for t, s, d in sp.reached_tops(a, sp.vector(a))}
+            s, d = tops[sp.top_key(len(b), sp.vector(b))]
+            rest = [p - q for p, q in zip(sp.vector(b)[sp.TOP :], sp.vector(a)[sp.TOP :])]
+            assert sum(max(0, r) for r in rest) <= s and sum(max(0, -r) for r in rest) <= d
+            assert len(sp.vector(b)) == len(sp.vector(a)) and a != b
+
+
+def test_one_apart():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rnd = random.Random(4)
+    for _ in range(3000):
+        a, b = ("".join(rnd.choice("ab") for _ in range(rnd.randrange(0, 6))) for _ in range(2))
+        assert sp.one_apart(a, b) == (distance(a, b) == 1)
+
+
+def test_slices_do_not_cut_runs(monkeypatch):
+    monkeypatch.setattr(sp, "SLICE", 7)
+    text = "abc defghijklmnopq r é-ÿÿÿÿÿÿÿÿÿÿ 123456789012 xyz"
+    assert [r for part in sp.runs_of(text) for r in part] == sp.RUN.findall(text)
+
+
+def test_empty(spark, empty):
+    check(empty)
+    check(spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string"))
