@@ -83,3 +83,69 @@ def test_deep_shallow_order_and_prefixes():
 
 def test_empty(spark, empty):
     run(spark, empty)
+
+
+def test_multikey_quicksort_buckets_are_in_order():
+    rnd = random.Random(11)
+    strings = [bytes(rnd.choice(b"ab\0") for _ in range(rnd.randrange(90))) for _ in range(500)] + [b"q" * 80] * 3 + [b""] * 2
+    for shallow in (16, 64):
+        buckets = list(sd.multikey_quicksort(strings, list(range(len(strings))), shallow))
+        assert sorted(i for b in buckets for i in b) == list(range(len(strings)))
+        firsts = [strings[b[0]][:shallow] for b in buckets]
+        assert firsts == sorted(firsts)
+        for b in buckets:
+            assert len({strings[i][:shallow] for i in b}) == 1
+
+
+def crowd(n=60):
+    """One passage in many texts: its edges make groups of ``n`` runs."""
+    rnd = random.Random(12)
+    junk = lambda k: "".join(rnd.choice("abcdefgh ") for _ in range(k))
+    passage = junk(700)
+    return [(i, junk(rnd.randrange(250)) + passage + junk(rnd.randrange(250))) for i in range(n)]
+
+
+@pytest.mark.parametrize("large", [20_000, 8])
+def test_the_sort_decides_every_removed_byte(spark, monkeypatch, large):
+    docs = spark.createDataFrame(crowd(), "doc_id long, text string").repartition(3)
+    real, groups = sd.sorted_repeats, []
+
+    def seen(items, span=sd.SPAN):
+        groups.append([r["count"] for r in items.groupBy("key").count().collect()])
+        return real(items, span)
+
+    monkeypatch.setattr(sd, "sorted_repeats", seen)
+    run(spark, docs, large=large)
+    sizes = [max(g, default=0) for g in groups]
+    # groups of all texts reach the sort, or are split by content until they fit
+    assert sizes[0] >= 60 if large > 60 else len(sizes) > 1 and max(sizes) <= large
+    monkeypatch.setattr(sd, "sorted_repeats", lambda items, span=sd.SPAN: real(items.where("false"), span))
+    assert sd.removed_repeats(spark, docs, large=large).count() == 0
+
+
+def test_split_groups_keep_what_windows_share(spark):
+    """Every window that two strings share has one group for both."""
+    rnd = random.Random(13)
+    rows = []
+    core = bytes(rnd.choice(b"xyz") for _ in range(400))
+    for i in range(30):
+        lo, hi = sorted(rnd.randrange(0, 169) for _ in range(2))
+        text = bytearray(core)
+        for _ in range(rnd.randrange(3)):
+            text[rnd.randrange(400)] = 33
+        at = 200
+        rows.append((b"%d" % i, b"k", 1, lo, hi, bytes(text[at - hi : at])[::-1], bytes(text[at : at + 200 - lo])))
+    items = spark.createDataFrame(rows, sd.ITEM_SCHEMA)
+    for width in sd.RANGES:
+        parts = sd.split_groups(items, width).collect()
+        keys = {}
+        for p in parts:
+            for d in range(p.lo, p.hi + 1):
+                assert (p.parent, d) not in keys
+                keys[p.parent, d] = p.key, p.left[:d], p.right[: 200 - d]
+        for i, _, _, lo, hi, left, right in rows:
+            assert {d for x, d in keys if x == i} == set(range(lo, hi + 1))
+            for j, _, _, lo2, hi2, left2, right2 in rows:
+                for d in range(max(lo, lo2), min(hi, hi2) + 1):
+                    if left[:d] == left2[:d] and right[: 200 - d] == right2[: 200 - d]:
+                        assert keys[i, d] == keys[j, d]

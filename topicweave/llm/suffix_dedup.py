@@ -6,18 +6,21 @@ A byte goes when a 200-byte string that covers it also starts anywhere else.
    grams (the rightmost of equal ones).  It depends on the window's content
    only, so equal windows have equal anchors at equal distance.  Consecutive
    windows with one anchor are a run.
-2. Runs are counted by anchor hash with map-side sums.  An anchor seen once
-   has no repeat; an anchor whose runs are all equal is settled: every window
-   of them repeats.
-3. Where runs of one anchor differ, one run of each kind is cut from the text.
-   The suffixes that begin at the anchors, and the reversed prefixes that end
-   there, are sorted deep-shallow: by eight-byte keys down to a shallow depth,
-   then by a blind trie for each group that still ties.  The two orders with
-   their common-prefix lengths tell for each window distance which runs agree
-   over all 200 bytes.
-4. Anchors with very many different runs (the edge of a passage that a large
-   part of all documents hold) are not brought into one task: their windows'
-   digests are counted with map-side sums instead, which is exact as well.
+2. Runs are counted by anchor hash with map-side sums; an anchor seen once has
+   no repeat.  Runs with the same anchor and content hashes are one string of
+   the sort, with its number of occurrences; one of them is cut from its text.
+3. Deep-shallow sort: the suffixes that begin at the anchors, and the reversed
+   prefixes that end there, are ordered by multikey quicksort down to a shallow
+   depth, and by a blind trie for each bucket that still ties.  The two orders
+   with their common-prefix lengths tell for each window distance which strings
+   agree over all 200 bytes; a string that occurs twice agrees with itself.
+4. Strings of one anchor that are too many for a task (the edge of a passage
+   that a large part of all documents hold) are split by further bytes: the
+   window distances are cut into ranges, and strings that can share a window
+   of a range agree on the bytes that all its windows hold, which become the
+   group's key.  Each string is cut down to what the range sees, so equal ones
+   become one string again; a group that is still too large is split once more,
+   to single distances, where it is one string.  Every group is then sorted.
 
 Defined cases: null text is empty; texts under 200 bytes lose nothing;
 repeated rows are occurrences of their own; strings never cross documents; an
@@ -35,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import read_table, stage_table, text_or_empty
+from topicweave.llm.common import is_empty, read_table, stage_table, text_or_empty
 from topicweave.llm.textscan import BASE_INVERSE, BYTE_CODE, buffer_of, chunked, mix, powers
 
 SPAN = 200
 GRAM = 32
 PART = 1 << 19  # bytes whose windows are handled at a time
-SHALLOW_KEYS = 2  # eight-byte keys of the shallow sort
-LARGE_GROUP = 20_000  # different runs of one anchor; beyond it windows are counted by digest
+WORD = 16  # bytes that multikey quicksort compares at a time
+SHALLOW = 64  # depth at which blind tries take over; all suffixes at an anchor share GRAM bytes
+LARGE_GROUP = 20_000  # strings of one group; beyond it the group is split by further bytes
+RANGES = (13, 1)  # window distances in a group after the first and the second split
 CHUNK = 20_000
 
 
@@ -206,56 +211,74 @@ class BlindTrie:
         return order, shared
 
 
-def deep_shallow(strings: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(strings: list[bytes], numbers: list[int], shallow: int = SHALLOW) -> Iterator[list[int]]:
+    """String numbers in order, as buckets: one string, or several that agree
+    on ``shallow`` bytes or to their ends."""
+    stack = [(numbers, 0)]
+    while stack:
+        bucket, depth = stack.pop()
+        if len(bucket) == 1 or depth >= shallow:
+            yield bucket
+            continue
+        keys = [strings[i][depth : depth + WORD] for i in bucket]
+        pivot = sorted((keys[0], keys[len(keys) // 2], keys[-1]))[1]
+        less, same, more = [], [], []
+        for i, k in zip(bucket, keys, strict=True):
+            (same if k == pivot else less if k < pivot else more).append(i)
+        # a short pivot is the end of the strings: they are equal
+        parts = ((more, depth), (same, depth + WORD if len(pivot) == WORD else shallow), (less, depth))
+        stack += [part for part in parts if part[0]]
+
+
+def deep_shallow(strings: list[bytes], group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of ``strings`` within ``group`` and each one's common prefix with
     the one before it (-1 where a group begins)."""
-    n, width = len(strings), 8 * SHALLOW_KEYS
-    padded = b"".join(s[:width].ljust(width, b"\0") for s in strings)
-    keys = np.frombuffer(padded, ">u8").reshape(n, SHALLOW_KEYS).astype(np.uint64)
-    order = np.lexsort([keys[:, j] for j in reversed(range(SHALLOW_KEYS))] + [group])
-    k, g = keys[order], group[order]
-    new = np.ones(n, bool)
-    new[1:] = (g[1:] != g[:-1]) | (k[1:] != k[:-1]).any(axis=1)
-    shared = np.zeros(n, np.int64)
-    bounds = np.concatenate([np.flatnonzero(new), [n]])
-    out = order.copy()
+    by_group = np.argsort(group, kind="stable")
+    bounds = np.flatnonzero(np.diff(group[by_group], prepend=-1, append=-1))
+    order: list[int] = []
+    shared: list[int] = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if b - a > 1:
-            trie = BlindTrie(strings)
-            for i in order[a:b].tolist():
-                trie.insert(i)
-            got, lcp = trie.in_order()
-            out[a:b] = got
-            shared[a:b] = lcp
-    for a in bounds[:-1].tolist():
-        if a == 0 or g[a] != g[a - 1]:
-            shared[a] = -1
-        else:
-            shared[a] = common_prefix(strings[out[a - 1]], strings[out[a]])
-    return out, shared
-
-
-def repeated_windows(group: np.ndarray, content: list[bytes], back: np.ndarray, wide: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """For each run and each distance of window start to anchor: does another
-    run of the group hold the same window?"""
-    n = len(content)
-    right, left = deep_shallow([c[b:] for c, b in zip(content, back.tolist(), strict=True)], group), deep_shallow(
-        [c[:b][::-1] for c, b in zip(content, back.tolist(), strict=True)], group
-    )
+        begin = len(order)
+        for bucket in multikey_quicksort(strings, by_group[a:b].tolist(), shallow):
+            lengths = [0]
+            if len(bucket) > 1:
+                trie = BlindTrie(strings)
+                for i in bucket:
+                    trie.insert(i)
+                bucket, lengths = trie.in_order()
+            lengths[0] = common_prefix(strings[order[-1]], strings[bucket[0]]) if len(order) > begin else -1
+            order += bucket
+            shared += lengths
+    return np.array(order, np.int64), np.array(shared, np.int64)
+
+
+def repeated_distances(group: np.ndarray, left: list[bytes], right: list[bytes], lo: np.ndarray, hi: np.ndarray, n: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """For each string and each distance of window start to anchor (``lo`` to
+    ``hi`` are its own): does the window occur twice?
+
+    ``left`` are the reversed prefixes that end at the anchor, ``right`` the
+    suffixes that begin there, ``n`` the strings' occurrences.
+    """
+    orders = [deep_shallow(side, group) for side in (right, left)]
     rank = []
-    for order, _ in (right, left):
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
+    for order, _ in orders:
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
         rank.append(place)
-    far = int(back.max()) if n else 0
-    repeated = np.zeros((n, far + 1), bool)
+    far = int(hi.max()) if len(hi) else 0
+    distances = np.arange(far + 1)
+    own = (lo[:, None] <= distances) & (distances <= hi[:, None])
+    repeated = own & (n > 1)[:, None]
+    sizes = np.bincount(group)
+    several = sizes[group] > 1
     for d in range(far + 1):
-        live = np.flatnonzero((back >= d) & (back - wide <= d))
+        live = np.flatnonzero(own[:, d] & several)
         if len(live) < 2:
             continue
-        same_right = np.cumsum(right[1] < span - d)[rank[0][live]]
-        same_left = np.cumsum((left[1] < d) | (left[1] < 0))[rank[1][live]]
-        key = same_right * np.int64(n + 1) + same_left
+        # strings between which no common prefix is shorter than the window's part
+        same_right = np.cumsum(orders[0][1] < span - d)[rank[0][live]]
+        same_left = np.cumsum((orders[1][1] < d) | (orders[1][1] < 0))[rank[1][live]]
+        key = same_right * np.int64(len(group) + 1) + same_left
         by = np.argsort(key, kind="stable")
         twin = key[by][1:] == key[by][:-1]
         hit = np.zeros(len(live), bool)
@@ -265,120 +288,139 @@ def repeated_windows(group: np.ndarray, content: list[bytes], back: np.ndarray,
     return repeated
 
 
-def _found_schema() -> str:
-    return "doc_id long, uid long, s long, e long"
-
+ITEM = {"id": pa.binary(), "key": pa.binary(), "n": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "left": pa.binary(), "right": pa.binary()}
+ITEM_SCHEMA = "id binary, key binary, n long, lo int, hi int, left binary, right binary"
+FOUND_SCHEMA = "id binary, found array<struct<a:int,b:int>>"
 
-def _intervals(cols: dict[str, list], repeated: np.ndarray, span: int) -> pa.RecordBatch:
-    """Byte ranges of the repeated windows of the runs that are single."""
-    single = np.asarray(cols["n"]) == 1
-    grid = np.zeros((repeated.shape[0], repeated.shape[1] + 2), np.int8)
-    grid[:, 1:-1] = repeated & single[:, None]
-    edge = np.diff(grid, axis=1)
-    row, near = np.nonzero(edge == 1)
-    _, beyond = np.nonzero(edge == -1)
-    at = np.asarray(cols["lo"], np.int64)[row] + np.asarray(cols["back"], np.int64)[row]
-    ids = pa.array(cols["doc_id"], pa.int64()).take(pa.array(row))
-    uids = pa.array(cols["uid"], pa.int64()).take(pa.array(row))
-    return pa.RecordBatch.from_arrays([ids, uids, pa.array(at - (beyond - 1)), pa.array(at - near + span)], ["doc_id", "uid", "s", "e"])
 
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
 
-def sorted_repeats(cut: DataFrame, span: int = SPAN) -> DataFrame:
-    """Repeats among the different runs of each anchor: doc_id, uid, s, e."""
-    names = ["h", "n", "doc_id", "uid", "lo", "wide", "back", "content"]
 
-    def sort_groups(batches):
-        held: dict[str, list] = {c: [] for c in names}
+def sorted_repeats(items: DataFrame, span: int = SPAN) -> DataFrame:
+    """The sort's verdict on ``items`` (strings, see ``ITEM``), grouped by key:
+    id and the ranges of distances at which the string's windows repeat."""
 
-        def done(to: int):
-            part = {c: v[:to] for c, v in held.items()}
-            for c in names:
-                held[c] = held[c][to:]
-            h = np.asarray(part["h"], np.int64)
-            group = np.concatenate([[0], np.cumsum(h[1:] != h[:-1])]).astype(np.int64)
-            back, wide = np.asarray(part["back"], np.int64), np.asarray(part["wide"], np.int64)
-            return _intervals(part, repeated_windows(group, part["content"], back, wide, span), span)
+    def verdicts(held: dict[str, list]) -> pa.RecordBatch:
+        keys = held["key"]
+        group = np.cumsum([0] + [a != b for a, b in zip(keys[:-1], keys[1:], strict=True)]).astype(np.int64)
+        numbers = {c: np.asarray(held[c], np.int64) for c in ("lo", "hi", "n")}
+        grid = np.zeros((len(keys), int(numbers["hi"].max()) + 3), np.int8)
+        grid[:, 1:-1] = repeated_distances(group, held["left"], held["right"], numbers["lo"], numbers["hi"], numbers["n"], span)
+        edge = np.diff(grid, axis=1)
+        row, first = np.nonzero(edge == 1)
+        _, beyond = np.nonzero(edge == -1)
+        found: dict[int, list] = {}
+        for i, a, b in zip(row.tolist(), first.tolist(), beyond.tolist(), strict=True):
+            found.setdefault(i, []).append({"a": a, "b": b - 1})
+        kinds = {"id": pa.binary(), "found": pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))}
+        return _batch([(held["id"][i], ranges) for i, ranges in found.items()], kinds)
 
+    def sort_groups(batches):
+        held: dict[str, list] = {c: [] for c in ITEM}
         for batch in batches:
-            for c in names:
+            for c in ITEM:
                 held[c].extend(batch.column(c).to_pylist())
-            if len(held["h"]) >= CHUNK:  # all but the last, perhaps unfinished group
-                last, to = held["h"][-1], len(held["h"])
-                while to and held["h"][to - 1] == last:
+            if len(held["key"]) >= CHUNK:  # all but the last, perhaps unfinished group
+                to = len(held["key"])
+                while to and held["key"][to - 1] == held["key"][-1]:
                     to -= 1
                 if to:
-                    yield done(to)
-        if held["h"]:
-            yield done(len(held["h"]))
+                    yield verdicts({c: v[:to] for c, v in held.items()})
+                    held = {c: v[to:] for c, v in held.items()}
+        if held["key"]:
+            yield verdicts(held)
 
-    ordered = cut.select(*names).repartition("h").sortWithinPartitions("h")
-    return ordered.mapInArrow(sort_groups, _found_schema())
+    return items.select(*ITEM).repartition("key").sortWithinPartitions("key").mapInArrow(sort_groups, FOUND_SCHEMA)
 
 
-def counted_repeats(cut: DataFrame, span: int = SPAN) -> DataFrame:
-    """The same for anchors with very many runs, by counting window digests."""
+def split_groups(items: DataFrame, width: int, span: int = SPAN) -> DataFrame:
+    """Items of too large groups, by ranges of ``width`` window distances:
+    ``parent`` and the columns of ``ITEM``.
 
-    def digests(batches):
-        for batch in batches:
-            cols = {c: batch.column(c).to_pylist() for c in ("h", "n", "doc_id", "uid", "lo", "wide", "content")}
-            for h, n, doc_id, uid, lo, wide, content in zip(*cols.values(), strict=True):
-                m = wide + 1
-                full = [hashlib.blake2b(content[i : i + span], digest_size=16).digest() for i in range(m)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h] * m, pa.int64()), pa.array(full, pa.binary()), pa.array([n] * m, pa.int64()),
-                     pa.array([doc_id] * m, pa.int64()), pa.array([uid] * m, pa.int64()), pa.array(range(lo, lo + m), pa.int64())],
-                    ["h", "digest", "n", "doc_id", "uid", "s"],
-                )
+    Windows at distances a to b hold the a bytes before the anchor and the
+    span - b bytes behind it; strings that differ there share none of them.
+    """
+    kinds = {"parent": pa.binary(), **ITEM}
 
-    rows = cut.mapInArrow(digests, "h long, digest binary, n long, doc_id long, uid long, s long")
-    twice = rows.groupBy("h", "digest").agg(F.count("*").alias("runs")).where("runs > 1").select("h", "digest")
-    return rows.where("n = 1").join(twice, ["h", "digest"], "left_semi").select("doc_id", "uid", "s", (F.col("s") + span).alias("e"))
+    def split(batches):
+        for batch in chunked(batches):
+            rows = []
+            for x in batch.to_pylist():
+                for a in range(x["lo"] // width * width, x["hi"] + 1, width):
+                    b = a + width - 1
+                    lo, hi = max(a, x["lo"]), min(b, x["hi"])
+                    core = b"%s:%d:%s:%s" % (x["key"], a, x["left"][:a], x["right"][: max(0, span - b)])
+                    key = hashlib.blake2b(core, digest_size=16).digest()
+                    left, right = x["left"][:hi], x["right"][: span - lo]
+                    own = hashlib.blake2b(b"%s:%d:%d:%s:%s" % (key, lo, hi, left, right), digest_size=16).digest()
+                    rows.append((x["id"], own, key, x["n"], lo, hi, left, right))
+            yield _batch(rows, kinds)
+
+    return items.select(*ITEM).mapInArrow(split, f"parent binary, {ITEM_SCHEMA}")
+
+
+def repeats(items: DataFrame, span: int = SPAN, large: int = LARGE_GROUP, ranges: tuple[int, ...] = RANGES) -> DataFrame:
+    """``sorted_repeats``, with groups of more than ``large`` strings split."""
+    crowds = items.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > large).select("key")
+    crowds = stage_table(crowds, "suffix-crowds")
+    if not ranges or is_empty(crowds):
+        return sorted_repeats(items, span)
+    found = sorted_repeats(items.join(crowds, "key", "left_anti"), span)
+    parts = stage_table(split_groups(items.join(crowds, "key", "left_semi"), ranges[0], span), "suffix-parts")
+    # equal strings of a group are one string again
+    same = [c for c in ITEM if c != "n"]
+    fewer = stage_table(parts.groupBy(*same).agg(F.sum("n").alias("n")).select(*ITEM), "suffix-items")
+    below = stage_table(repeats(fewer, span, large, ranges[1:]), "suffix-below")
+    told = parts.select("parent", "id").join(below, "id").groupBy("parent").agg(F.flatten(F.collect_list("found")).alias("found"))
+    return found.unionByName(told.select(F.col("parent").alias("id"), "found"))
+
+
+def cut_items(docs: DataFrame, kinds: DataFrame, span: int = SPAN) -> DataFrame:
+    """The strings of ``kinds`` (h, r, n and one occurrence), cut from the texts."""
+
+    def cut(batches):
+        for batch in chunked(batches, 200):
+            rows = []
+            for text, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for c in cuts:
+                    at = c["lo"] + c["back"]
+                    key = c["h"].to_bytes(8, "big", signed=True)
+                    rows.append(
+                        (key + c["r"].to_bytes(8, "big", signed=True), key, c["n"], c["back"] - c["wide"], c["back"],
+                         text[c["lo"] : at][::-1], text[at : c["lo"] + c["wide"] + span])
+                    )
+            yield _batch(rows, ITEM)
+
+    # as many as one text has runs
+    by_doc = kinds.groupBy(F.col("doc_id").alias("c_id"), F.col("uid").alias("c_uid")).agg(F.collect_list(F.struct("h", "r", "n", "lo", "wide", "back")).alias("cuts"))
+    keyed = _keyed(docs).select("doc_id", "uid", F.col("text").cast("binary").alias("text"))
+    held = keyed.join(by_doc, keyed["doc_id"].eqNullSafe(by_doc["c_id"]) & (keyed["uid"] == by_doc["c_uid"]))
+    # repeated rows cut the same strings
+    return held.select("text", "cuts").mapInArrow(cut, ITEM_SCHEMA).dropDuplicates(["id"])
 
 
 def removal_spans(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, large: int = LARGE_GROUP) -> DataFrame:
     """doc_id, uid, text, spans (s, e of byte ranges, not yet merged) of the
     documents that lose something."""
     runs = anchored_runs(docs, span, gram)
-    seen = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("r").alias("r0"), F.max("r").alias("r1"))
-    twice = stage_table(seen.where("n > 1").select(F.col("h").alias("t_h"), (F.col("r0") != F.col("r1")).alias("mixed")), "suffix-anchors")
+    seen = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("t_h"))
+    twice = stage_table(seen, "suffix-anchors")
     again = stage_table(runs.join(twice, runs["h"] == twice["t_h"]).drop("t_h"), "suffix-runs")
     one = F.min(F.struct("uid", "lo", "doc_id", "wide", "back"))
-    kinds = again.where("mixed").groupBy("h", "r").agg(F.count("*").alias("n"), one.alias("one"))
-    kinds = stage_table(kinds.select("h", "r", "n", "one.*"), "suffix-kinds")
-    crowd = stage_table(kinds.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > large).select("h"), "suffix-crowds")
-    copied = kinds.where("n > 1").select(F.col("h").alias("k_h"), F.col("r").alias("k_r"))
-    settled = again.where("not mixed").drop("mixed").unionByName(
-        again.where("mixed").join(copied, (F.col("h") == F.col("k_h")) & (F.col("r") == F.col("k_r")), "left_semi").drop("mixed")
-    )
-    whole = F.struct(F.col("lo").cast("long").alias("s"), (F.col("lo") + F.col("wide") + span).cast("long").alias("e"))
-    marks = settled.select("doc_id", "uid", whole.alias("whole"), F.lit(None).cast("struct<h:bigint,n:bigint,lo:int,wide:smallint,back:smallint>").alias("cut")).unionByName(
-        kinds.select("doc_id", "uid", F.lit(None).cast("struct<s:bigint,e:bigint>").alias("whole"), F.struct("h", "n", "lo", "wide", "back").alias("cut"))
-    )
-    # As many marks as one text has runs.
-    by_doc = marks.groupBy(F.col("doc_id").alias("m_id"), F.col("uid").alias("m_uid")).agg(
-        F.collect_set("whole").alias("spans"), F.collect_list("cut").alias("cuts")
-    )
+    kinds = again.groupBy("h", "r").agg(F.count("*").alias("n"), one.alias("one")).select("h", "r", "n", "one.*")
+    items = stage_table(cut_items(docs, kinds, span), "suffix-items")
+    part = lambda at: F.conv(F.hex(F.substring("id", at, 8)), 16, -10).cast("long")
+    found = stage_table(repeats(items, span, large).select(part(1).alias("f_h"), part(9).alias("f_r"), "found"), "suffix-found")
+    told = again.join(found, (F.col("h") == F.col("f_h")) & (F.col("r") == F.col("f_r")))
+    at = F.col("lo").cast("long") + F.col("back")
+    places = F.transform("found", lambda x: F.struct((at - x["b"]).alias("s"), (at - x["a"] + span).alias("e")))
+    by_doc = told.select("doc_id", "uid", places.alias("spans")).groupBy(F.col("doc_id").alias("m_id"), F.col("uid").alias("m_uid")).agg(F.flatten(F.collect_set("spans")).alias("spans"))
     keyed = _keyed(docs)
-    touched = stage_table(
-        keyed.join(by_doc, keyed["doc_id"].eqNullSafe(by_doc["m_id"]) & (keyed["uid"] == by_doc["m_uid"])).select(
-            "doc_id", "uid", F.col("text").cast("binary").alias("text"), "spans", "cuts"
-        ),
-        "suffix-texts",
-    )
-    once = touched.where(F.size("cuts") > 0).dropDuplicates(["doc_id", "uid"])
-    c = F.col("cut")
-    cut = once.select("doc_id", "uid", "text", F.explode("cuts").alias("cut")).select(
-        c["h"].alias("h"), c["n"].alias("n"), "doc_id", "uid", c["lo"].alias("lo"), c["wide"].alias("wide"), c["back"].alias("back"),
-        F.substring("text", c["lo"] + 1, c["wide"] + span).alias("content"),
+    return keyed.join(by_doc, keyed["doc_id"].eqNullSafe(by_doc["m_id"]) & (keyed["uid"] == by_doc["m_uid"])).select(
+        "doc_id", "uid", F.col("text").cast("binary").alias("text"), "spans"
     )
-    cut = stage_table(cut, "suffix-cuts")
-    found = sorted_repeats(cut.join(crowd, "h", "left_anti"), span).unionByName(counted_repeats(cut.join(crowd, "h", "left_semi"), span))
-    more = found.groupBy(F.col("doc_id").alias("f_id"), F.col("uid").alias("f_uid")).agg(F.collect_list(F.struct("s", "e")).alias("found"))
-    more = stage_table(more, "suffix-found")
-    none = F.array().cast("array<struct<s:bigint,e:bigint>>")
-    return touched.join(more, touched["doc_id"].eqNullSafe(more["f_id"]) & (touched["uid"] == more["f_uid"]), "left").select(
-        "doc_id", "uid", "text", F.concat("spans", F.coalesce("found", none)).alias("spans")
-    ).where(F.size("spans") > 0)
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
