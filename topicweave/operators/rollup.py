@@ -21,7 +21,7 @@ EXACT = "decimal(38,18)"
 EXACT_MOST, EXACT_LEAST = 1e15, 1e-9
 
 
-def _plain(c: Column) -> Column:
+def is_plain_price(c: Column) -> Column:
     """Prices that sum exactly; false for NaN, infinities and extreme sizes."""
     size = F.abs(c)
     return ~F.isnan(c) & (size <= EXACT_MOST) & ((c == 0) | (size >= EXACT_LEAST))
@@ -30,10 +30,10 @@ def _plain(c: Column) -> Column:
 def mean_parts(price: Column) -> list[Column]:
     """A5: aggregates that ``mean_of`` combines; partial ones can be merged."""
     return [
-        F.try_sum(F.when(_plain(price), price).cast(EXACT)).alias("exact_sum"),
+        F.try_sum(F.when(is_plain_price(price), price).cast(EXACT)).alias("exact_sum"),
         F.sum(price).alias("double_sum"),
         F.count(price).alias("n_prices"),
-        F.bool_and(_plain(price)).alias("all_plain"),
+        F.bool_and(is_plain_price(price)).alias("all_plain"),
     ]
 
 
@@ -51,7 +51,9 @@ DESCRIPTION = "description"
 ROW_SALTS = 256
 
 
-def to_items(offers: DataFrame) -> DataFrame:
+def to_items(
+    offers: DataFrame, sets: Sequence[str] = SET_NAMES, described: bool = True, measured: bool = True
+) -> DataFrame:
     """A1: one row per ``product_name`` (null names form their own group).
 
     * codes / brands / retailers: distinct non-null values (A2), sorted.
@@ -68,18 +70,24 @@ def to_items(offers: DataFrame) -> DataFrame:
     salt in place of the value, so a hot product spreads over all reducers;
     the second gathers each product's distinct members and merges at most
     ``ROW_SALTS`` partial measures.
+
+    A caller that needs a part names it: ``sets``, the description, the
+    measures (price, purchase_count).  What is not named is not read.
     """
-    members = member_structs(
-        {
-            "codes": F.array("item_code"),
-            "brands": F.array("e_brand_formatted_slug"),
-            "retailers": F.array("retailer_code"),
-            "categories": F.col(CATEGORY_COL),
-            DESCRIPTION: F.array("long_description"),
-        }
-    )
-    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS)).cast("string")
+    held = {
+        "codes": F.array("item_code"),
+        "brands": F.array("e_brand_formatted_slug"),
+        "retailers": F.array("retailer_code"),
+        "categories": F.col(CATEGORY_COL),
+    }
+    held = {name: held[name] for name in SET_NAMES if name in sets}
+    if described:
+        held[DESCRIPTION] = F.array("long_description")
+    members = member_structs(held)
     null = F.lit(None)
+    if not measured:
+        return _gathered_sets(offers, members, list(held), described)
+    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS)).cast("string")
     blank = [null.cast("string").alias("code"), null.cast("double").alias("price")]
     wide = F.transform(members, lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"), *blank))
     row = F.array(
@@ -99,13 +107,14 @@ def to_items(offers: DataFrame) -> DataFrame:
             *mean_parts(F.col("price")),
         )
     )
+    names = [name for name in held if name != DESCRIPTION]
     merged = gather_sets(
         partial,
         "product_name",
-        SET_NAMES,
+        names,
         ("categories",),
         aggs=[
-            F.min(F.when(F.col("kind") == DESCRIPTION, F.col("value"))).alias("description"),
+            *_description(described),
             F.sum("purchase_count").alias("purchase_count"),
             F.try_sum("exact_sum").alias("exact_sum"),
             F.count(F.when(F.col("n_prices") > 0, F.col("exact_sum"))).alias("exact_parts"),
@@ -119,20 +128,61 @@ def to_items(offers: DataFrame) -> DataFrame:
     exact = F.when(F.col("exact_parts") == F.col("parts"), F.col("exact_sum"))
     return merged.select(
         "product_name",
-        "codes",
-        "brands",
-        "retailers",
-        "categories",
-        "description",
+        *names,
+        *(["description"] if described else []),
         mean_of(exact, F.col("double_sum"), F.col("n_prices"), F.col("all_plain")).alias("price"),
         "purchase_count",
-        F.size("retailers").alias("retrailer_count"),
-        F.size("categories").alias("category_count"),
-        F.size("brands").alias("brand_count"),
-        F.size("codes").alias("code_count"),
+        *_sizes(names),
     )
 
 
+# fixed values: the published names of the set sizes, in their order
+SIZE_NAMES = (("retailers", "retrailer_count"), ("categories", "category_count"), ("brands", "brand_count"), ("codes", "code_count"))
+
+
+def _sizes(names: Sequence[str]) -> list[Column]:
+    return [F.size(name).alias(size) for name, size in SIZE_NAMES if name in names]
+
+
+def _description(described: bool) -> list[Column]:
+    return [F.min(F.when(F.col("kind") == DESCRIPTION, F.col("value"))).alias("description")] if described else []
+
+
+def _gathered_sets(offers: DataFrame, members: Column, names: list[str], described: bool) -> DataFrame:
+    """The rollup without measures: distinct members only, and one entry that
+    stands for a product without any."""
+    row = F.array(F.struct(F.lit(ROW).alias("kind"), F.lit("").alias("value")))
+    entries = offers.select("product_name", F.explode(F.concat(row, members)).alias("m")).select("product_name", "m.*")
+    distinct = entries.where(F.col("value").isNotNull() | (F.col("kind") == "categories")).distinct()
+    names = [name for name in names if name != DESCRIPTION]
+    merged = gather_sets(distinct, "product_name", names, ("categories",), aggs=_description(described))
+    return merged.select("product_name", *names, *(["description"] if described else []), *_sizes(names))
+
+
+def offer_values(offers: DataFrame, *keep: str) -> DataFrame:
+    """``kind, value`` (and ``keep``): what the overview counts, as it stands in
+    the offers.  Nulls are left out except among the categories, where a null
+    is a value.  No other column is read."""
+    sets = {
+        "product": F.array("product_name"), "retailers": F.array("retailer_code"),
+        "categories": F.col(CATEGORY_COL), "brands": F.array("e_brand_formatted_slug"),
+    }
+    rows = offers.select(*keep, F.explode(member_structs(sets)).alias("m")).select(*keep, "m.kind", "m.value")
+    return rows.where(F.col("value").isNotNull() | (F.col("kind") == "categories"))
+
+
+def offers_overview(offers: DataFrame) -> DataFrame:
+    """A9 / A10 straight from the offers: the counts of ``item_overview``
+    without rolling anything up.  Values are made distinct map-side and by one
+    exchange keyed by (kind, value)."""
+    counts = offer_values(offers).distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+    def pick(kind: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).cast("long").alias(f"{kind}_distinct")
+
+    return counts.agg(*[pick(kind) for kind in ("product", "retailers", "categories", "brands")])
+
+
 def item_overview(items: DataFrame) -> DataFrame:
     """Distinct products, retailers, categories and brands.
 
