@@ -95,6 +95,26 @@ def term_stats(docs: DataFrame, words_col: str = "cleaned_words") -> DataFrame:
     )
 
 
+def counted_words(docs: DataFrame, words_col: str, *keep: str) -> DataFrame:
+    """``keep, word, n``: each document's distinct words with their counts,
+    made inside its row from the runs of the sorted list (no shuffle).
+
+    Every step is a projection of its own: an array that a lambda refers to
+    would be made again for each element otherwise.
+    """
+    ordered = docs.select(*keep, F.array_sort(words_col).alias("_o"))
+    last = F.size("_o") - 1
+    ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.get(F.col("_o"), i) != F.get(F.col("_o"), i + 1)))
+    ended = ordered.select(*keep, "_o", F.when(F.size("_o") > 0, ends).otherwise(F.array().cast("array<int>")).alias("_e"))
+
+    def run(end, k):
+        before = F.when(k == 0, F.lit(-1)).otherwise(F.get(F.col("_e"), k - 1))
+        return F.struct(F.get(F.col("_o"), end).alias("word"), (end - before).alias("n"))
+
+    opened = ended.select(*keep, F.explode_outer(F.transform("_e", run)).alias("_t"))
+    return opened.where(F.col("_t").isNotNull()).select(*keep, "_t.word", "_t.n")
+
+
 def df_band(stats: DataFrame, n_docs: int, min_df: float = MIN_DF, max_df: float = MAX_DF) -> DataFrame:
     """Keep terms with ``min_df <= df <= max_df`` (fractions of ``n_docs``
     below 1.0, absolute counts otherwise), like ``CountVectorizer``."""
@@ -239,18 +259,16 @@ def tfidf_long(
     max_df: float = MAX_DF,
     vocab_size: int | None = None,
 ) -> DataFrame:
-    """A13/A14 in long form, all in DataFrame ops: ``key, word, tfidf``.
+    """A13/A14 in long form, all in DataFrame ops: ``key, word, tfidf``; one
+    row a document.
 
-    The (doc, word) counts shuffle by (doc, word); the vocabulary join is
-    keyed by word with the vocabulary capped at ``vocab_size`` rows.
+    A document's words are counted inside its row and joined with the broadcast
+    vocabulary (at most ``vocab_size`` rows), so tokens are never shuffled by
+    document.
     """
     n_docs = docs.count()
     band = df_band(term_stats(docs, words_col), n_docs, min_df, max_df).withColumn("idf", idf_column(n_docs))
     rows = vocabulary_rows(band, vocab_size)
     vocab = docs.sparkSession.createDataFrame([(r["word"], r["idf"]) for r in rows], "word string, idf double")
-    # the vocabulary has at most vocab_size rows: broadcasting it drops
-    # out-of-band tokens map-side, before the (doc, word) shuffle
-    tokens = explode_words(docs, words_col, key)
-    kept = tokens.join(F.broadcast(vocab), "word")
-    tf = kept.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.first("idf").alias("idf"))
-    return tf.select(key, "word", (F.col("n").cast("double") * F.col("idf")).alias("tfidf"))
+    opened = counted_words(docs, words_col, key)
+    return opened.join(F.broadcast(vocab), "word").select(key, "word", (F.col("n").cast("double") * F.col("idf")).alias("tfidf"))
