@@ -1,0 +1,91 @@
+"""Topic distances and coordinates (V7) against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from topicweave.operators.distances import classical_scaling, topic_distances, topic_map
+
+
+def brute(dists):
+    def kl(p, m):
+        return sum(x * math.log(x / m[t]) for t, x in p.items() if x > 0)
+
+    out = {}
+    for a in dists:
+        for b in dists:
+            if a < b:
+                p, q = dists[a], dists[b]
+                m = {t: (p.get(t, 0) + q.get(t, 0)) / 2 for t in {*p, *q}}
+                out[a, b] = (kl(p, m) + kl(q, m)) / 2
+    return out
+
+
+def random_topics(seed, k, terms):
+    rnd = random.Random(seed)
+    out = {}
+    for t in range(k):
+        held = rnd.sample(range(terms), rnd.randrange(1, terms))
+        weights = [rnd.random() for _ in held]
+        out[t] = {i: w / sum(weights) for i, w in zip(held, weights)}
+    out[k] = dict(out[0])  # equal topics
+    out[k + 1] = {terms + 5: 1.0}  # one that shares no term
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_distances_equal_brute_force(spark, seed):
+    topics = random_topics(seed, 5, 40)
+    rows = [(t, i, p) for t, d in topics.items() for i, p in d.items()] + [(0, 99, 0.0), (1, 98, None)]
+    got = {(r.topic_a, r.topic_b): r.distance for r in topic_distances(spark.createDataFrame(rows, "topic int, term_idx int, prob double")).collect()}
+    want = brute(topics)
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
+    assert got[0, 5] < 1e-12 and abs(got[0, 6] - math.log(2)) < 1e-12
+
+
+def test_scaling_restores_planar_points():
+    rnd = np.random.default_rng(3)
+    points = rnd.normal(size=(9, 2))
+    gaps = np.linalg.norm(points[:, None] - points[None], axis=2)
+    got = classical_scaling(gaps)
+    assert np.allclose(np.linalg.norm(got[:, None] - got[None], axis=2), gaps)
+    assert np.allclose(classical_scaling(np.zeros((3, 3))), 0) and classical_scaling(np.zeros((1, 1))).shape == (1, 2)
+
+
+def test_scaling_is_the_best_plane():
+    """Against power iteration with deflation on the centred squares."""
+    rnd = np.random.default_rng(5)
+    a = rnd.random((6, 6))
+    gaps = (a + a.T) * (1 - np.eye(6))
+    centre = np.eye(6) - 1 / 6
+    b = centre @ (-0.5 * gaps**2) @ centre
+    shift = b + 100 * np.eye(6)  # the largest eigenvalues, not the largest in size
+    want = []
+    for _ in range(2):
+        v = np.ones(6) + np.arange(6)
+        for _ in range(20000):
+            v = shift @ v
+            v /= np.linalg.norm(v)
+        value = v @ shift @ v - 100
+        line = v * math.sqrt(max(value, 0))
+        want.append(line if line[np.argmax(np.abs(line))] > 0 else -line)
+        shift = shift - (value + 100) * np.outer(v, v)
+    assert np.allclose(classical_scaling(gaps), np.array(want).T, atol=1e-4)
+
+
+def test_map_ranks_topics_by_prevalence(spark):
+    topics = random_topics(4, 3, 20)
+    rows = [(t, i, p) for t, d in topics.items() for i, p in d.items()]
+    distances = topic_distances(spark.createDataFrame(rows, "topic int, term_idx int, prob double"))
+    share = spark.createDataFrame([(0, 0.1), (1, 0.4), (2, 0.1), (3, 0.3), (4, None)], "topic int, prevalence double")
+    got = {r.topic: r for r in topic_map(distances, share).collect()}
+    assert [got[t].size_rank for t in range(5)] == [3, 1, 4, 2, 5]
+    matrix = np.zeros((5, 5))
+    for (a, b), d in brute(topics).items():
+        matrix[a, b] = matrix[b, a] = d
+    assert np.allclose([[got[t].x, got[t].y] for t in range(5)], classical_scaling(matrix), atol=1e-9)
+    one = topic_map(distances.where("false"), share.where("topic = 1")).collect()
+    assert [(r.topic, r.x, r.y, r.size_rank) for r in one] == [(1, 0.0, 0.0, 1)]

@@ -1,0 +1,64 @@
+"""Successive halving on held-out documents."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from topicweave.operators import lda_table as lt
+from topicweave.operators.halving import halving_table, held_out, successive_halving
+from topicweave.operators.termtable import fit_terms, term_entries
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Four topics of 40 words each; a document is of one topic."""
+    rnd = random.Random(8)
+    words = [[f"{t}{i}" for i in range(40)] for t in "abcd"]
+    docs = [(i, [rnd.choice(words[i % 4]) for _ in range(60)]) for i in range(400)]
+    toks = spark.createDataFrame(docs, "doc_id long, cleaned_words array<string>")
+    model = fit_terms(toks, min_df=1, max_df=float(len(docs)))
+    entries = term_entries(toks, "doc_id", model).cache()
+    folder = str(tmp_path_factory.mktemp("halving"))
+    train = lt.topic_input(entries.where(~held_out("doc_id", 0.2)), "doc_id", F.col("n"), f"{folder}/train", 100)
+    held = lt.topic_input(entries.where(held_out("doc_id", 0.2)), "doc_id", F.col("n"), f"{folder}/held", 100)
+    yield model, train, held
+    train.release()
+    held.release()
+
+
+def test_same_winner_as_the_full_grid_with_fewer_steps(spark, planted):
+    model, train, held = planted
+    points = [(1, 5), (2, 5), (4, 5), (1, 6)]
+    state, record = successive_halving(train, held, model.terms, model.n_terms, points, first_steps=3)
+    full = {}
+    for k, seed in points:
+        end = lt.fit_topics(train, lt.first_state(model.terms, model.n_terms, k, seed), state.step)
+        full[k, seed] = lt.held_out_perplexity(held, end)
+    assert (state.k, state.seed) == min(full, key=full.get) == (4, 5)
+    spent = sum({(r.k, r.seed): r.steps for r in record}.values())
+    assert spent < state.step * len(points)
+    table = halving_table(record, spark)
+    assert table.where("rung = 0").count() == 4 and table.where("rung = 0 and kept").count() == 2
+
+
+def test_split_is_stable_and_disjoint(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    a = {r.k for r in df.where(held_out("k")).collect()}
+    b = {r.k for r in df.repartition(7).where(held_out("k")).collect()}
+    assert a == b and 350 < len(a) < 650
+    assert {r.k for r in df.where(held_out("k", seed=1)).collect()} != a
+
+
+def test_perplexity_judges_unseen_words(spark, planted):
+    """A uniform model's perplexity is the number of terms."""
+    model, _, held = planted
+    flat = model.terms.select("term_idx", F.array(F.lit(1.0), F.lit(1.0)).alias("weights"))
+    state = lt.TopicState(flat, 2, model.n_terms, 0, 0)
+    assert abs(lt.held_out_perplexity(held, state) - model.n_terms) < 1e-6 * model.n_terms
+
+
+def test_no_points(planted):
+    model, train, held = planted
+    with pytest.raises(ValueError):
+        successive_halving(train, held, model.terms, model.n_terms, [])
