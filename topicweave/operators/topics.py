@@ -8,13 +8,14 @@ the vocabulary order (see ``features``) and the canonical training layout
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import dist_array, top_index, top_score
@@ -24,6 +25,8 @@ from topicweave.functions.constants import (
     DEFAULT_SEED,
     DEFAULT_TOPIC_TERMS,
 )
+from topicweave.session import ensure_checkpoint_dir
+from topicweave.sources.io import save_model
 
 # Training partitions of a run, recorded with it.  Online LDA runs two small
 # jobs an iteration over them; raise it with the corpus (some 100 MB of
@@ -89,33 +92,51 @@ def assign_topics(model: LDAModel, features: DataFrame, keep: Iterable[str] = IT
     return with_assignment(model.transform(features), keep)
 
 
-def score_all(model: LDAModel, training: DataFrame, key: str = "product_name") -> DataFrame:
-    """M6: ``key, topicDistribution, doc_length`` of every document.
+def score_all(model: LDAModel, features: DataFrame, key: str = "product_name", keep: Iterable[str] = (), words_col: str = "cleaned_words") -> DataFrame:
+    """M6: ``key, keep, topicDistribution, doc_length`` of every document, in
+    the partitions that ``features`` has (the feature table's own ones: the
+    fixed layout is for the fit alone).
 
     Write it once and let every consumer read the table, so that none of them
     runs the per-document inference again.
     """
-    return model.transform(training).select(key, "topicDistribution", "doc_length")
+    length = F.col("doc_length") if "doc_length" in features.columns else F.size(words_col).alias("doc_length")
+    return model.transform(features.select(key, *keep, "features", length)).select(key, *keep, "topicDistribution", "doc_length")
+
+
+def topic_weights(spark: SparkSession, model_path: str) -> DataFrame:
+    """``term_idx, weights array<double>``: a saved model's matrix, one row a
+    term, read from the model's own table (the driver never holds it)."""
+    saved = spark.read.parquet(f"{model_path.rstrip('/')}/data").select(F.unwrap_udt("topicsMatrix").alias("m"))
+    shape = saved.select(F.col("m.numRows").alias("v"), F.col("m.numCols").alias("k"), F.col("m.isTransposed").alias("by_row"), F.col("m.values").alias("x"))
+
+    def place(i, t):
+        return F.when(F.col("by_row"), i * F.col("k") + t).otherwise(t * F.col("v") + i)
+
+    def row(i):
+        topics = F.sequence(F.lit(0), F.col("k") - 1)
+        return F.struct(i.alias("term_idx"), F.transform(topics, lambda t: F.get(F.col("x"), place(i, t))).alias("weights"))
 
+    return shape.select(F.explode(F.transform(F.sequence(F.lit(0), F.col("v") - 1), row)).alias("r")).select("r.*")
 
-def term_distribution(model: LDAModel, vocab_df: DataFrame) -> DataFrame:
-    """M9 / V4: ``topic, term_idx, word, weight, prob`` for every term.
 
-    ``weight`` is the ``topicsMatrix`` entry, ``prob`` its share of the topic as
-    ``describeTopics`` gives it.  Both are the model, k x vocabulary numbers
-    bounded by the vocabulary's bound; the matrix is sent out row by row.
+def term_shares(weights: DataFrame, vocab_df: DataFrame) -> DataFrame:
+    """M9 / V4: ``topic, term_idx, word, weight, prob`` for every term of a
+    given topic-term matrix (``term_idx, weights``); ``prob`` is the entry's
+    share of its topic.  What is broadcast has one row a topic.
     """
-    matrix = model.topicsMatrix().toArray()  # vocabulary x k
-    rows = vocab_df.sparkSession.createDataFrame(
-        ((i, [float(x) for x in r]) for i, r in enumerate(matrix)), "term_idx int, weights array<double>"
-    )
-    weights = rows.select("term_idx", F.posexplode("weights").alias("topic", "weight"))
-    shares = model.describeTopics(len(matrix)).select(
-        "topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t")
-    ).select("topic", F.col("t.termIndices").alias("term_idx"), F.col("t.termWeights").alias("prob"))
-    return weights.join(shares, ["topic", "term_idx"]).join(vocab_df.select("term_idx", "word"), "term_idx").select(
-        "topic", "term_idx", "word", "weight", "prob"
-    )
+    opened = weights.select("term_idx", F.posexplode("weights").alias("topic", "weight"))
+    totals = opened.groupBy("topic").agg(F.sum("weight").alias("total"))
+    joined = opened.join(F.broadcast(totals), "topic").join(vocab_df.select("term_idx", "word"), "term_idx")
+    return joined.select("topic", "term_idx", "word", "weight", (F.col("weight") / F.col("total")).alias("prob"))
+
+
+def term_distribution(model: LDAModel, vocab_df: DataFrame, model_path: str | None = None) -> DataFrame:
+    """M9 / V4 of a fitted model: ``term_shares`` of its matrix, as saved in
+    ``model_path`` (saved in the shared checkpoint folder without it)."""
+    spark = vocab_df.sparkSession
+    path = model_path or save_model(model, f"{ensure_checkpoint_dir(spark)}/lda-{uuid.uuid4().hex}")
+    return term_shares(topic_weights(spark, path), vocab_df)
 
 
 def leading_terms(terms: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
@@ -142,14 +163,14 @@ def described(top: DataFrame) -> DataFrame:
     return lists.select("topic", F.arrays_zip("words", "termWeights").alias("top_terms"))
 
 
-def topic_terms(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
+def topic_terms(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS, model_path: str | None = None) -> DataFrame:
     """M8 in long form: one row per (topic, rank) with the word and its weight."""
-    return leading_terms(term_distribution(model, vocab_df), n_terms)
+    return leading_terms(term_distribution(model, vocab_df, model_path), n_terms)
 
 
-def describe_topics(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS) -> DataFrame:
+def describe_topics(model: LDAModel, vocab_df: DataFrame, n_terms: int = DEFAULT_TOPIC_TERMS, model_path: str | None = None) -> DataFrame:
     """M8: ``topic, top_terms array<struct<words, termWeights>>`` in rank order."""
-    return described(topic_terms(model, vocab_df, n_terms))
+    return described(topic_terms(model, vocab_df, n_terms, model_path))
 
 
 @dataclass

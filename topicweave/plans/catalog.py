@@ -8,6 +8,7 @@ model have no SQL twin; they share one fit per (session, table folder).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ from topicweave.functions.arrays import (
 )
 from topicweave.functions.constants import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED, DEFAULT_TOPIC_TERMS
 from topicweave.functions.text import clean_markup, clean_tokens, ngrams
+from topicweave.operators.distances import topic_distances, topic_map
+from topicweave.operators.distincts import distinct_counts, extend_dictionary, merge_bitmaps, run_bitmaps
 from topicweave.operators.features import (
     FeatureModel,
     fit_features,
@@ -33,15 +36,21 @@ from topicweave.operators.features import (
     to_tf_idf_features,
     word_counts,
 )
+from topicweave.operators.halving import halving_table, held_out, successive_halving
+from topicweave.operators.incremental import apply_changes, items_of, member_counts
+from topicweave.operators.lda_table import first_state, fit_topics, score_documents, term_shares as table_term_shares, topic_input
 from topicweave.operators.lookup import ids_to_words, words_to_ids
+from topicweave.operators.moments import merge_moments, moment_stats, moments
 from topicweave.operators.report import (
     rank_within_topic_balanced,
     top_items_report,
     top_per_topic,
     topic_categories,
 )
-from topicweave.operators.rollup import describe_items, item_overview, summary_stats, to_items
+from topicweave.operators.rollup import describe_items, offer_values, offers_overview, summary_stats, to_items
+from topicweave.operators.sketch import filtered_band, frequency_sketch, merge_sketches
 from topicweave.operators.stats import complete_docs, doc_stats, term_relevance, topic_prevalence, vocab_stats
+from topicweave.operators.termtable import fit_terms, term_entries, term_vectors, word_ids
 from topicweave.operators.topics import (
     described,
     fit_lda,
@@ -49,13 +58,15 @@ from topicweave.operators.topics import (
     score_all,
     sweep_table,
     term_distribution,
+    term_shares,
     topic_terms,
     training_input,
     with_assignment,
 )
 from topicweave.plans import oracle
-from topicweave.session import cut_lineage, dealt
+from topicweave.session import cut_lineage, dealt, ensure_checkpoint_dir
 from topicweave.sources.adapters import document_items, offers, table
+from topicweave.sources.io import save_model
 
 ROUND = oracle.ROUND
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,18 +99,18 @@ def q_item_rollup(spark, sf_dir):
 
 
 def q_merge_categories(spark, sf_dir):
-    items = to_items(offers(spark, sf_dir))
+    items = to_items(offers(spark, sf_dir), sets=("categories",), described=False, measured=False)
     return items.select(
         "product_name", sorted_join("categories").alias("categories"), "category_count"
     )
 
 
 def q_item_overview(spark, sf_dir):
-    return item_overview(to_items(offers(spark, sf_dir)))
+    return offers_overview(offers(spark, sf_dir))
 
 
 def q_item_describe(spark, sf_dir):
-    s = summary_stats(to_items(offers(spark, sf_dir)))
+    s = summary_stats(to_items(offers(spark, sf_dir), described=False))
     return s.select(
         "column_name",
         "count",
@@ -247,10 +258,10 @@ def q_complete_dist_filter(spark, sf_dir):
 @dataclass
 class _Fit:
     vocab: FeatureModel
-    items: DataFrame
     training: DataFrame
     model: object
-    scored: DataFrame  # distributions and document lengths, scored once
+    model_path: str  # the saved model: its matrix is read from there
+    scored: DataFrame  # sets, distributions and document lengths, scored once
     version: tuple
 
 
@@ -281,26 +292,27 @@ def _doc_lda(spark: SparkSession, sf_dir: str, source: str = "documents") -> _Fi
     vocab, feats = to_tf_idf_features(items)
     training = training_input(feats)
     model = fit_lda(training, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SEED)
-    named = feats.select("product_name", "brands", "categories")
-    _FITS[key] = _Fit(vocab, named, training, model, cut_lineage(score_all(model, training)), version)
+    path = save_model(model, f"{ensure_checkpoint_dir(spark)}/lda-{uuid.uuid4().hex}")
+    scored = cut_lineage(score_all(model, feats, keep=("brands", "categories")))
+    _FITS[key] = _Fit(vocab, training, model, path, scored, version)
     return _FITS[key]
 
 
 def _assigned(f: _Fit) -> DataFrame:
-    """M7 with the item's sets joined back (they are not carried through the fit)."""
-    return with_assignment(f.scored, ["product_name"]).join(f.items, "product_name")
+    """M7 with the item's sets (they are scored along, not carried through the fit)."""
+    return with_assignment(f.scored)
 
 
 def q_lda_topics(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return topic_terms(f.model, f.vocab.vocab_df).select(
+    return topic_terms(f.model, f.vocab.vocab_df, model_path=f.model_path).select(
         "topic", F.col("term_rank").cast("int").alias("term_rank"), "word", "weight"
     )
 
 
 def q_lda_describe(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return described(topic_terms(f.model, f.vocab.vocab_df))
+    return described(topic_terms(f.model, f.vocab.vocab_df, model_path=f.model_path))
 
 
 def q_lda_assign(spark, sf_dir):
@@ -330,7 +342,7 @@ def q_lda_prevalence(spark, sf_dir):
 
 def q_lda_relevance(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return term_relevance(term_distribution(f.model, f.vocab.vocab_df), f.vocab.vocab_df)
+    return term_relevance(term_distribution(f.model, f.vocab.vocab_df, f.model_path), f.vocab.vocab_df)
 
 
 def q_lda_sweep(spark, sf_dir):
@@ -363,7 +375,7 @@ def q_lda_features_unpacked(spark, sf_dir):
 
 def q_lda_topic_term(spark, sf_dir):
     f = _doc_lda(spark, sf_dir)
-    return term_distribution(f.model, f.vocab.vocab_df)
+    return term_distribution(f.model, f.vocab.vocab_df, f.model_path)
 
 
 def q_item_describe_text(spark, sf_dir):
@@ -488,6 +500,165 @@ def q_item_describe_typed(spark, sf_dir):
     return d.select("summary", *[F.round(F.col(c).cast("double"), ROUND).alias(c) for c in d.columns[1:]])
 
 
+# --- state that grows: incremental rollup, mergeable counts and moments -----------
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The offers in two parts, by their price, and those of the suppliers whose
+    name ends in 0, 3, 6 or 9 (the ones that are withdrawn)."""
+    rows = offers(spark, sf_dir)
+    first = F.coalesce(F.floor("e_price").cast("long") % 2 == 0, F.lit(False))
+    return rows.where(first), rows.where(~first), rows.where(F.col("retailer_code").rlike("[0369]$"))
+
+
+def _rollup_text(items: DataFrame) -> DataFrame:
+    sets = [sorted_join(c).alias(c) for c in ("codes", "brands", "retailers", "categories")]
+    rest = ("description", "price", "purchase_count", "retrailer_count", "category_count", "brand_count", "code_count")
+    return items.select("product_name", *sets, *rest)
+
+
+def q_item_rollup_merged(spark, sf_dir):
+    """One half's state, then the other half and, twice, some suppliers' offers
+    as changes: added, and withdrawn again."""
+    first, second, some = _halves(spark, sf_dir)
+    state = cut_lineage(apply_changes(member_counts(first), added=second.unionByName(some)))
+    return _rollup_text(items_of(apply_changes(state, withdrawn=some)))
+
+
+def q_item_rollup_withdrawn(spark, sf_dir):
+    """The rollup after some suppliers have withdrawn their offers."""
+    first, second, some = _halves(spark, sf_dir)
+    state = cut_lineage(apply_changes(member_counts(second), added=first))
+    kept = items_of(apply_changes(state, withdrawn=some))
+    return kept.select("product_name", sorted_join("retailers").alias("retailers"), F.round("price", ROUND).alias("price"), "purchase_count")
+
+
+def q_overview_runs(spark, sf_dir):
+    """A9 / A10 of two runs and of their union, from bitmaps."""
+    first, second, _ = _halves(spark, sf_dir)
+    values = [cut_lineage(offer_values(part).distinct()) for part in (first, second)]
+    early = cut_lineage(extend_dictionary(values[0]))
+    names = cut_lineage(extend_dictionary(values[1], early))  # the second run only adds numbers
+    runs = [cut_lineage(run_bitmaps(values[0], early)), cut_lineage(run_bitmaps(values[1], names))]
+    parts = [*zip(("first", "second"), runs, strict=True), ("union", merge_bitmaps(runs))]
+    counted = [distinct_counts(bitmaps).select(F.lit(run).alias("run"), "kind", "n_distinct") for run, bitmaps in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def q_item_moments(spark, sf_dir):
+    """A11 from mergeable states: items in three parts, merged in order."""
+    items = cut_lineage(to_items(offers(spark, sf_dir), described=False))
+    part = F.pmod(F.xxhash64("product_name"), F.lit(3))
+    states = [moments(items.where(part == i)).withColumn("run", F.lit(i)) for i in range(3)]
+    merged = merge_moments(states[0].unionByName(states[1]).unionByName(states[2]), "run")
+    return moment_stats(merged).select("column_name", "count", *[F.round(c, ROUND).alias(c) for c in ("mean", "stddev", "min", "max")])
+
+
+# --- vocabulary and topics as tables ----------------------------------------------
+
+
+def _term_model(spark, sf_dir):
+    tokens = cut_lineage(_doc_tokens(spark, sf_dir))
+    return fit_terms(tokens), tokens
+
+
+def q_term_table(spark, sf_dir):
+    """T5 / M4 with the ids of the driver's vocabulary, from a table."""
+    model, _ = _term_model(spark, sf_dir)
+    return model.terms.select(F.col("term_idx").cast("int").alias("term_idx"), "word", "doc_freq", "term_frequency", F.round("idf", ROUND).alias("idf"))
+
+
+def q_term_band_sketched(spark, sf_dir):
+    """A13's band behind the count-min prefilter; two corpora's sketches are
+    merged."""
+    tokens = cut_lineage(_doc_tokens(spark, sf_dir))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    sketch = cut_lineage(merge_sketches(frequency_sketch(tokens.where(half)), frequency_sketch(tokens.where(~half))))
+    return filtered_band(tokens, tokens.count(), sketch=sketch).select("word", "doc_freq", "term_frequency")
+
+
+def q_term_vectors(spark, sf_dir):
+    """M1-M3 from the term table, opened again."""
+    model, tokens = _term_model(spark, sf_dir)
+    vectors = term_vectors(tokens, "doc_id", model, f"{ensure_checkpoint_dir(spark)}/vectors-{uuid.uuid4().hex}")
+    entries = vectors.select("doc_id", F.explode_outer(vector_entries("features")).alias("e")).where(F.col("e").isNotNull())
+    named = entries.join(model.terms.select("term_idx", "word"), F.col("e.idx") == F.col("term_idx"))
+    return named.select("doc_id", "word", F.round("e.value", ROUND).alias("tfidf"))
+
+
+def q_term_word_ids(spark, sf_dir):
+    """Tokens as ids of the term table, in token order."""
+    model, tokens = _term_model(spark, sf_dir)
+    ids = word_ids(tokens, "doc_id", model)
+    return ids.select("doc_id", F.size("term_ids").alias("n_ids"), F.array_join(F.transform("term_ids", lambda i: i.cast("string")), " ").alias("ids"))
+
+
+def _topic_input(spark, sf_dir, where=None):
+    model, tokens = _term_model(spark, sf_dir)
+    entries = term_entries(tokens if where is None else tokens.where(where), "doc_id", model)
+    folder = f"{ensure_checkpoint_dir(spark)}/topics-{uuid.uuid4().hex}"
+    return model, topic_input(entries, "doc_id", F.col("n") * F.col("idf"), folder)
+
+
+def q_table_lda_assign(spark, sf_dir):
+    """M5-M7 with the topic-term state as a table: 10 passes over all blocks."""
+    model, data = _topic_input(spark, sf_dir)
+    state = fit_topics(data, first_state(model.terms, model.n_terms), 10)
+    scored = cut_lineage(score_documents(data, state, "doc_id"))
+    data.release()
+    return scored.select("doc_id", top_score("topicDistribution").alias("score"), top_index("topicDistribution").alias("topic"))
+
+
+def q_table_lda_terms(spark, sf_dir):
+    """M9 of the table-based fit (3 passes): every term's share of every topic."""
+    model, data = _topic_input(spark, sf_dir)
+    state = fit_topics(data, first_state(model.terms, model.n_terms), 3)
+    data.release()
+    return table_term_shares(state).join(model.terms.select("term_idx", "word"), "term_idx").select("topic", "term_idx", "word", "prob")
+
+
+def q_topic_halving(spark, sf_dir):
+    """K from 3 to 8 by successive halving on held-out documents."""
+    model, tokens = _term_model(spark, sf_dir)
+    entries = cut_lineage(term_entries(tokens, "doc_id", model))
+    folder = f"{ensure_checkpoint_dir(spark)}/halving-{uuid.uuid4().hex}"
+    weight = F.col("n") * F.col("idf")
+    train = topic_input(entries.where(~held_out("doc_id")), "doc_id", weight, f"{folder}/train")
+    held = topic_input(entries.where(held_out("doc_id")), "doc_id", weight, f"{folder}/held")
+    _, record = successive_halving(train, held, model.terms, model.n_terms, [(k, DEFAULT_SEED) for k in (3, 5, 6, 8)], first_steps=2)
+    train.release()
+    held.release()
+    return halving_table(record, spark)
+
+
+def q_language_distances(spark, sf_dir):
+    """V7: Jensen-Shannon distances between the languages' word shares."""
+    terms, _ = _language_terms(spark, sf_dir)
+    return topic_distances(terms).select("topic_a", "topic_b", F.round("distance", 9).alias("distance"))
+
+
+def q_language_map(spark, sf_dir):
+    """V7: the languages' map, circles sized by their share of the words."""
+    terms, _ = _language_terms(spark, sf_dir)
+    docs = dealt(table(spark, sf_dir, "documents")).select("lang", F.size(clean_tokens("text")).alias("n"))
+    sizes = docs.groupBy("lang").agg(F.sum("n").alias("n"))
+    # a handful of languages, numbered like the topics
+    ranked = sizes.withColumn("topic", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("lang")) - 1)
+    share = ranked.select("topic", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias("prevalence"))
+    return topic_map(topic_distances(terms), share)
+
+
+def q_language_term_shares(spark, sf_dir):
+    """M9 / V4 over a given matrix: word counts by term and language."""
+    terms, vocab = _language_terms(spark, sf_dir)
+    k = terms.agg(F.max("topic")).first()[0] + 1
+    held = terms.groupBy("term_idx").agg(F.map_from_entries(F.collect_list(F.struct("topic", "prob"))).alias("by"))
+    every = vocab.select("term_idx").join(held, "term_idx", "left")
+    row = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda t: F.coalesce(F.try_element_at(F.col("by"), t), F.lit(0.0)))
+    shares = term_shares(every.select("term_idx", row.alias("weights")), vocab)
+    return shares.select("topic", "term_idx", "word", F.round("weight", 9).alias("weight"), F.round("prob", 9).alias("prob"))
+
+
 QUERIES: dict[str, Query] = {
     "item_rollup": q_item_rollup,
     "merge_categories": q_merge_categories,
@@ -535,6 +706,20 @@ QUERIES: dict[str, Query] = {
     "merged_sets": q_merged_sets,
     "top_items": q_top_items,
     "item_describe_typed": q_item_describe_typed,
+    "item_rollup_merged": q_item_rollup_merged,
+    "item_rollup_withdrawn": q_item_rollup_withdrawn,
+    "overview_runs": q_overview_runs,
+    "item_moments": q_item_moments,
+    "term_table": q_term_table,
+    "term_band_sketched": q_term_band_sketched,
+    "term_vectors": q_term_vectors,
+    "term_word_ids": q_term_word_ids,
+    "table_lda_assign": q_table_lda_assign,
+    "table_lda_terms": q_table_lda_terms,
+    "topic_halving": q_topic_halving,
+    "language_distances": q_language_distances,
+    "language_map": q_language_map,
+    "language_term_shares": q_language_term_shares,
 }
 
 ORACLE: dict[str, str] = {
@@ -573,4 +758,14 @@ ORACLE: dict[str, str] = {
     "merged_sets": oracle.merged_sets(),
     "top_items": oracle.top_items(10),
     "item_describe_typed": oracle.item_describe_typed(),
+    "item_rollup_merged": oracle.item_rollup(),
+    "item_rollup_withdrawn": oracle.item_rollup_withdrawn(),
+    "overview_runs": oracle.overview_runs(),
+    "item_moments": oracle.item_describe(),
+    "term_table": oracle.vocab_band(),
+    "term_band_sketched": oracle.band_words(),
+    "term_vectors": oracle.tfidf_long(),
+    "term_word_ids": oracle.word_ids(),
+    "language_distances": oracle.language_distances(),
+    "language_term_shares": oracle.language_term_shares(),
 }

@@ -357,3 +357,62 @@ def item_describe_typed() -> str:
 it as (select price, len(codes) as code_count, len(categories) as category_count,
               len(retailers) as retrailer_count, len(brands) as brand_count from items)
 {union}"""
+
+
+# --- state that grows; vocabulary and topics as tables --------------------------
+
+
+def item_rollup_withdrawn() -> str:
+    return f"""with {OFFERS_CTE}
+select product_name, array_to_string(list_sort(list_distinct(list(retailer))), ',') as retailers,
+       round((cast(sum(cast(round(e_price * 1000000) as hugeint)) as double) / 1000000.0::double) / count(e_price), {ROUND}) as price,
+       count(item_code) as purchase_count
+from offers where not regexp_matches(retailer, '[0369]$') group by product_name"""
+
+
+def overview_runs() -> str:
+    kinds = {"product": "product_name", "retailers": "retailer", "brands": "brand", "categories": "unnest(cats)"}
+    parts = {"first": "where cast(floor(e_price) as bigint) % 2 = 0", "second": "where cast(floor(e_price) as bigint) % 2 <> 0", "union": ""}
+    rows = [
+        f"select '{run}' as run, '{kind}' as kind, count(distinct v) as n_distinct from (select {expr} as v from offers {where})"
+        for run, where in parts.items()
+        for kind, expr in kinds.items()
+    ]
+    return f"with {OFFERS_CTE}\n" + "\nunion all\n".join(rows)
+
+
+def band_words() -> str:
+    return f"with {_tokens_cte()},\n{_band_cte()}\nselect w as word, df as doc_freq, tf as term_frequency from vocab"
+
+
+def word_ids() -> str:
+    return f"""with {_tokens_cte()},
+{_band_cte()},
+pos as (select doc_id, unnest(toks) as w, unnest(generate_series(1, len(toks))) as p from tok),
+kept as (select doc_id, list(term_idx order by p) as ids from pos join vocab using (w) group by doc_id)
+select doc_id, cast(coalesce(len(ids), 0) as integer) as n_ids,
+       coalesce(array_to_string(list_transform(ids, lambda i: i::varchar), ' '), '') as ids
+from tok left join kept using (doc_id)"""
+
+
+def language_distances() -> str:
+    """Every pair over every term, absent shares as zero."""
+    return f"""with {_language_cte()},
+ids as (select distinct topic from terms),
+pairs as (select a.topic as topic_a, b.topic as topic_b from ids a join ids b on a.topic < b.topic),
+shared as (
+  select p.topic_a, p.topic_b, v.term_idx, coalesce(x.prob, 0) as p, coalesce(y.prob, 0) as q
+  from pairs p, vocab v
+  left join terms x on x.topic = p.topic_a and x.term_idx = v.term_idx
+  left join terms y on y.topic = p.topic_b and y.term_idx = v.term_idx)
+select topic_a, topic_b,
+       round(sum(case when p > 0 then p * ln(2 * p / (p + q)) else 0 end + case when q > 0 then q * ln(2 * q / (p + q)) else 0 end) / 2, 9) as distance
+from shared group by topic_a, topic_b"""
+
+
+def language_term_shares() -> str:
+    return f"""with {_language_cte()},
+ids as (select distinct topic from terms)
+select i.topic, cast(v.term_idx as integer) as term_idx, v.w as word,
+       round(coalesce(t.prob, 0), 9) as weight, round(coalesce(t.prob, 0) / sum(coalesce(t.prob, 0)) over (partition by i.topic), 9) as prob
+from ids i cross join vocab v left join terms t on t.topic = i.topic and t.term_idx = v.term_idx"""

@@ -54,6 +54,7 @@ from topicweave.sources.io import (
     save_model,
     write_table,
 )
+from topicweave.sources.publish import new_attempt, publish, resolve_run
 from topicweave.sources.schemas import ROLLUP_COLUMNS
 
 
@@ -114,9 +115,14 @@ def _land_offers(spark: SparkSession, config: JobConfig, out: str, paths: dict[s
 
 
 def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | None = None) -> dict[str, str]:
-    """Run the whole job and return the written paths by output name."""
+    """Run the whole job and return the written paths by output name.
+
+    Everything goes into an attempt's own folder; the run's readers see it when
+    the last table is there (``sources.publish``).
+    """
     version = config.version or str(int(time.time()))
-    out = run_path(config.output_base, version, config.k, config.max_iter, config.seed)
+    run_dir = run_path(config.output_base, version, config.k, config.max_iter, config.seed)
+    out = new_attempt(run_dir)
     paths: dict[str, str] = {}
     said = spark.createDataFrame([(json.dumps({**asdict(config), "version": version}),)], "config string")
     paths["config"] = write_table(said, f"{out}/config.parquet")
@@ -138,18 +144,17 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     training = training_input(features, "product_name", config.layout_partitions)
     model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
     paths["model"] = save_model(model, f"{out}/lda_model")
-    # the per-document inference runs once, into a table
-    paths["scored"] = write_table(score_all(model, training), f"{out}/scored.parquet")
     training.unpersist()
+    # the per-document inference runs once, into a table, in the feature
+    # table's own partitions; the items' sets go along, so nothing is joined
+    paths["scored"] = write_table(score_all(model, features, keep=("brands", "categories")), f"{out}/scored.parquet")
 
     scored = read_table(spark, paths["scored"])
-    sets = features.select("product_name", "brands", "categories")
-    named = scored.join(sets, scored["product_name"].eqNullSafe(sets["product_name"])).select(sets["*"], "topicDistribution")
     stats = doc_stats(scored, exact=config.exact_filter)
-    terms = term_distribution(model, vocab_model.vocab_df)
+    terms = term_distribution(model, vocab_model.vocab_df, paths["model"])
     relevance = term_relevance(terms, vocab_model.vocab_df, config.relevance_lambda, config.relevance_terms)
     outputs = {
-        "item_topics": (with_assignment(named), f"{out}/item_topic_df.parquet"),
+        "item_topics": (with_assignment(scored), f"{out}/item_topic_df.parquet"),
         "topics": (described(leading_terms(terms, config.topic_terms)), f"{out}/topics_df.parquet"),
         "doc_stats": (complete_docs(stats), f"{out}/lda_vis/doc_stats.parquet"),
         "doc_rejects": (complete_docs(stats, rejects=True), f"{out}/lda_vis/doc_rejects.parquet"),
@@ -163,13 +168,14 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
         futures = {name: pool.submit(write_table, df, path) for name, (df, path) in outputs.items()}
         for name, fut in futures.items():
             paths[name] = fut.result()
+    publish(spark, run_dir, out, paths)
     return paths
 
 
 def score_items(spark: SparkSession, run_dir: str, items: DataFrame) -> DataFrame:
     """``product_name, topicDistribution, score, topic`` of raw items
     (``product_name, description``) by a finished run's saved stages."""
-    base = run_dir.rstrip("/")
+    base = resolve_run(spark, run_dir)
     config = json.loads(read_table(spark, f"{base}/config.parquet").first()["config"])
     features = load_features(spark, f"{base}/feature_model")
     tokens = with_tokens(items, replacement=config["replacement"], ngram=config["ngram"])
@@ -182,19 +188,22 @@ def run_sweep(spark: SparkSession, config: JobConfig, run_dir: str, grid: list[t
     """M10 from the job: for each (k, iterations, seed) a model, its scored
     items and its topics, each in a folder of its own, from the features of a
     finished run; returns the folders."""
-    base = run_dir.rstrip("/")
+    base = resolve_run(spark, run_dir)
     features = read_table(spark, f"{base}/item_tf_idf_df.parquet")
     vocab = read_table(spark, f"{base}/feature_model/vocabulary.parquet")
     training = training_input(features, "product_name", config.layout_partitions)
     version = config.version or str(int(time.time()))
     out = {}
     for r in sweep(training, grid):
-        folder = run_path(config.output_base, version, r.k, r.max_iter, r.seed)
-        save_model(r.model, f"{folder}/lda_model")
-        write_table(with_assignment(score_all(r.model, training), ["product_name"]), f"{folder}/item_topic_df.parquet")
-        write_table(described(leading_terms(term_distribution(r.model, vocab), config.topic_terms)), f"{folder}/topics_df.parquet")
+        point = run_path(config.output_base, version, r.k, r.max_iter, r.seed)
+        folder = new_attempt(point)
+        paths = {"model": save_model(r.model, f"{folder}/lda_model")}
+        paths["item_topics"] = write_table(with_assignment(score_all(r.model, features), ["product_name"]), f"{folder}/item_topic_df.parquet")
+        terms = term_distribution(r.model, vocab, paths["model"])
+        paths["topics"] = write_table(described(leading_terms(terms, config.topic_terms)), f"{folder}/topics_df.parquet")
         scores = spark.createDataFrame([(r.log_likelihood, r.log_perplexity)], "log_likelihood double, log_perplexity double")
-        write_table(scores, f"{folder}/scores.parquet")
+        paths["scores"] = write_table(scores, f"{folder}/scores.parquet")
+        publish(spark, point, folder, paths)
         out[(r.k, r.max_iter, r.seed)] = folder
     training.unpersist()
     return out

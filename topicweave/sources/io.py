@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from topicweave.sources.publish import resolve_run
 from topicweave.sources.schemas import RAW_OFFER_SCHEMA
 
 if TYPE_CHECKING:
@@ -117,5 +118,5 @@ VIS_TABLES = ("doc_stats", "vocab", "topic_term", "prevalence", "relevance")
 def read_vis_stats(spark: SparkSession, run_dir: str) -> dict[str, DataFrame]:
     """The visualization statistics of one run, one DataFrame per table
     (replaces unpickling a driver-side dict)."""
-    base = run_dir.rstrip("/")
+    base = resolve_run(spark, run_dir)
     return {name: spark.read.parquet(f"{base}/lda_vis/{name}.parquet") for name in VIS_TABLES}
