@@ -97,5 +97,24 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+HOT_ROWS = 1_000_000
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, key: str | list[str], count: str, how: str = "inner", hot: int = HOT_ROWS) -> DataFrame:
+    """``rows`` joined with ``groups``, which holds each ``key`` (columns of
+    both) once and, in its column ``count``, how many rows have it.
+
+    Keys of more than ``hot`` rows are broadcast: there is at most one of them
+    for every ``hot`` rows, and their rows stay where they are.  The others
+    meet in a shuffle in which no key has more than ``hot`` rows.  ``how`` is
+    inner or left; ``rows`` is read twice, so give a written table or a scan.
+    """
+    keys = [key] if isinstance(key, str) else key
+    large = groups.where(F.col(count) > hot)
+    first = rows.join(F.broadcast(large), keys)
+    rest = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(groups.where(F.col(count) <= hot), keys, how)
+    return first.select(*rest.columns).unionByName(rest)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
