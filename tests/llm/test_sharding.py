@@ -1,9 +1,10 @@
-from collections import Counter
-
 import hashlib
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from topicweave.llm import sharding as sh
 
@@ -72,3 +73,23 @@ def test_bad_tables_and_empty(spark, empty):
         with pytest.raises(ValueError):
             sh.lookup_table(names, slots, weights)
     assert sh.assign_shards(empty, "doc_id", ["a"], 7).count() == 0
+
+
+def test_a_hot_key_fills_many_files(spark, scratch):
+    """One key holds a third of all rows: its shard's files are as large as others'."""
+    rows = [(7 if i % 3 == 0 else i, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    names = sh.shard_names(4)
+    shard = sh.write_shards(docs, "doc_id", names, scratch + "/hot", slots=101, rows_per_file=100)
+    back = spark.read.parquet(scratch + "/hot").withColumn("file", F.input_file_name())
+    assert sorted((r.doc_id, r.text) for r in back.collect()) == sorted(rows)
+    hot = back.where("doc_id = 7").select(shard).first()[0]
+    files = Counter(r.file for r in back.where(F.col(shard) == hot).collect())
+    assert len(files) >= 8 and max(files.values()) < 1000
+
+
+def test_query_writes_whole_documents(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = sh.op6_table_shards(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: r.text_crc32 for r in rows} == {i: None if t is None else zlib.crc32(t.encode()) for i, t in docs.items()}
+    assert all(r.file.startswith("part-") for r in rows) and len({r.file for r in rows}) > 1

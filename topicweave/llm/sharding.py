@@ -5,7 +5,7 @@ table; shards take turns (a shard of weight w takes w turns a round) claiming
 their next free slot until the table is full.  The table's size is a
 parameter, so it is broadcast; a row's slot is its key's hash modulo the size,
 so placement takes constant time and no shuffle.  When a shard comes or goes,
-few other slots change hands.
+few other slots change hands.  Writing shuffles rows once, by shard and a salt.
 
 Defined cases: a null key is placed like the empty string; equal keys share a
 shard; an empty table gives no rows; other columns are kept by
@@ -22,10 +22,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import fresh_name, read_table
+from topicweave.llm.common import fresh_name, read_table, scratch_path
 
 SLOTS = 65537  # prime
 SHARDS = 64
+ROWS_PER_FILE = 200_000
 
 
 def _draw(name: str, salt: str, modulus: int) -> int:
@@ -81,12 +82,31 @@ def assign_shards(df: DataFrame, key: str, shards: Sequence[str], slots: int = S
     return df.withColumn(slot, slot_of(F.col(key), slots)).join(F.broadcast(table), slot, "left")
 
 
-def write_shards(df: DataFrame, key: str, shards: Sequence[str], folder: str, files_per_shard: int = 1, slots: int = SLOTS) -> None:
-    """One folder per shard, each written by ``files_per_shard`` tasks."""
+def write_shards(
+    df: DataFrame, key: str, shards: Sequence[str], folder: str, files_per_shard: int | None = None, slots: int = SLOTS, rows_per_file: int = ROWS_PER_FILE
+) -> str:
+    """Place every row: one folder per shard, its files sized by its rows
+    (``files_per_shard`` fixes their number instead); returns the shard column.
+
+    A shard's rows are dealt out to its files by a row number, not by the key,
+    so a key that most rows have fills many files of its shard.  The counts that
+    reach the driver are one a shard.
+    """
     placed = assign_shards(df, key, shards, slots)
-    name = next(c for c in reversed(placed.columns) if c.startswith("shard"))
-    part = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_shard))
-    placed.repartition(len(shards) * files_per_shard, F.col(name), part).write.partitionBy(name).parquet(folder)
+    name = next(c for c in reversed(placed.columns) if c.lower().startswith("shard"))
+    if files_per_shard is None:
+        counts = {r[0]: r[1] for r in assign_shards(df.select(key), key, shards, slots).groupBy("shard").count().collect()}
+        files = {s: max(1, -(-n // rows_per_file)) for s, n in counts.items()}
+    else:
+        files = dict.fromkeys(range(len(shards)), files_per_shard)
+    salt, number = fresh_name(placed, "file_salt"), fresh_name(placed, "row_number")
+    of_shard = F.element_at(F.array(*[F.lit(files.get(s, 1)) for s in range(len(shards))]), F.col(name) + 1)
+    # the scan's own numbering: the same again when a lost task is repeated
+    numbered = placed.withColumn(number, F.monotonically_increasing_id())
+    dealt = numbered.withColumn(salt, F.pmod(F.xxhash64(number), of_shard)).drop(number)
+    tasks = max(1, sum(files.values()))
+    dealt.repartition(tasks, F.col(name), F.col(salt)).drop(salt).write.option("compression", "zstd").partitionBy(name).parquet(folder)
+    return name
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
@@ -94,5 +114,12 @@ def shard_names(n: int = SHARDS) -> list[str]:
 
 
 def op6_table_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id")
-    return assign_shards(docs, "doc_id", shard_names()).select("doc_id", "slot", "shard")
+    """Whole documents placed into their shards' files, and what is found there:
+    doc_id, slot, shard, the file in the shard's folder and its text's CRC-32."""
+    folder = scratch_path(spark, "shards")
+    docs = read_table(spark, sf_dir, "documents")
+    shard = write_shards(docs, "doc_id", shard_names(), folder)
+    back = spark.read.parquet(folder)
+    slot = next(c for c in reversed(back.columns) if c.lower().startswith("slot"))
+    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return back.select("doc_id", F.col(slot).alias("slot"), F.col(shard).alias("shard"), file.alias("file"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
