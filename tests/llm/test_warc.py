@@ -1,5 +1,7 @@
 import base64
+import glob
 import hashlib
+import os
 from collections import Counter
 
 import pytest
@@ -83,3 +85,36 @@ def test_small_payloads_can_stay_responses(spark, scratch):
 def test_empty(spark, scratch):
     warc.write_warc(spark.createDataFrame([], "page_id long, html string"), scratch + "/w")
     assert warc.read_warc(spark, scratch + "/w").count() == 0
+
+
+def test_archives_are_bounded_in_bytes(spark, scratch):
+    """Long records go into archives of their own; the round trip holds."""
+    rows = [(i, "x" * (10 * i) + str(i)) for i in range(60)] + [(100 + i, f"{i}" + "long" * 5000) for i in range(7)] + [(200, "y" * 100_000)]
+    df = spark.createDataFrame(rows, "page_id long, html string").coalesce(1)
+    warc.write_warc(df, scratch + "/w", tiers=((1000, 10), (50_000, 3), (None, 1)))
+    sizes = [os.path.getsize(f) for f in glob.glob(scratch + "/w/part-*")]
+    assert max(sizes) < 110_000 and len([n for n in sizes if n > 20_000]) == 4  # 3 + 3 + 1 long ones, and the longest
+    got = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_warc(spark, scratch + "/w").collect())
+    assert got == brute(rows)
+
+
+def test_record_headers(spark, scratch):
+    rows = [(1, "http://a.example/x y\r\nEvil: 1", "same"), (2, "http://b.example/", "same"), (3, None, "other")]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), scratch + "/w", written="2024-02-29T01:02:03Z")
+    data = b"".join(open(f, "rb").read() for f in glob.glob(scratch + "/w/part-*"))
+    heads = [r.split(b"\r\n\r\n")[0].decode().split("\r\n") for r in data.split(b"WARC/1.1\r\n")[1:]]
+    heads = [dict(line.split(": ", 1) for line in h) for h in heads]
+    by_id = {h["WARC-Record-ID"]: h for h in heads}
+    assert all(h["WARC-Date"] == "2024-02-29T01:02:03Z" and "Evil" not in h for h in heads)
+    assert by_id["<urn:page:1>"]["WARC-Target-URI"] == "http://a.example/x%20y%20%20Evil:%201"
+    assert by_id["<urn:page:3>"]["WARC-Target-URI"] == "urn:page:3"
+    assert by_id["<urn:page:2>"]["WARC-Type"] == "revisit" and by_id["<urn:page:2>"]["WARC-Profile"] == warc.REVISIT_PROFILE
+    assert by_id["<urn:page:2>"]["WARC-Refers-To"] == "<urn:page:1>" and "WARC-Profile" not in by_id["<urn:page:1>"]
+
+
+def test_hot_payloads_are_joined_apart(spark, scratch):
+    df = pages(spark)
+    for hot in (0, 2):
+        warc.write_warc(df, f"{scratch}/{hot}", hot=hot)
+        got = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_warc(spark, f"{scratch}/{hot}").collect())
+        assert got == brute([(r.page_id, r.html) for r in df.collect()])

@@ -19,17 +19,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import read_table, scratch_path, stage_table
+from topicweave.llm.common import HOT_ROWS, join_counted, read_table, scratch_path, stage_table
 
 MAGIC = b"WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+# Payload bytes at most, and records a file: 128 MB, 512 MB, and one record.
+TIERS = ((1 << 16, 2000), (1 << 22, 128), (None, 1))
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
@@ -46,45 +50,59 @@ def base32_sha1(data: Column) -> Column:
     return F.concat(*letters)
 
 
-def record_roles(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
-    """``pages`` as (id, payload, digest, shared, first_id); first_id is the
+def record_roles(
+    pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url", hot: int = HOT_ROWS,
+    observed: Observation | None = None, tiers: Sequence[Column] = (),
+) -> DataFrame:
+    """``pages`` as (id, uri, payload, digest, shared, first_id); first_id is the
     smallest id of a group of equal payloads.
 
     Only groups of equal payloads take part in the join, as a written table
-    whose size Spark knows: small, it is broadcast and no payload moves.
+    whose size Spark knows: small, it is broadcast and no payload moves; a
+    payload of more than ``hot`` pages is broadcast in any case.  ``observed``
+    counts the rows of each of ``tiers`` on the way.
     """
     payload = F.coalesce(F.col(payload_col), F.lit(""))
+    own = F.concat(F.lit("urn:page:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    uri = F.coalesce(F.col(url_col), own) if url_col in pages.columns else own
     rows = pages.select(
-        F.col(id_col).cast("long").alias("id"), payload.alias("payload"), base32_sha1(payload.cast("binary")).alias("digest")
+        F.col(id_col).cast("long").alias("id"),
+        F.regexp_replace(uri, r"[\x00-\x20\x7F]", "%20").alias("uri"),  # a header is one line
+        payload.alias("payload"),
+        base32_sha1(payload.cast("binary")).alias("digest"),
     )
-    groups = rows.groupBy("digest").agg(
+    seen = rows if observed is None else rows.observe(observed, *[F.count(F.when(tier, 1)).alias(f"tier{i}") for i, tier in enumerate(tiers)])
+    groups = seen.groupBy("digest").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("best"), F.count("*").alias("n")
     )
-    shared = stage_table(
-        groups.where("n > 1").select(F.col("digest").alias("g_digest"), F.col("best.id").alias("first_id")), "warc-groups"
-    )
-    return rows.join(shared, rows["digest"] == shared["g_digest"], "left").select(
-        "id", "payload", "digest", F.col("g_digest").isNotNull().alias("shared"), "first_id"
+    shared = stage_table(groups.where("n > 1").select("digest", F.col("best.id").alias("first_id"), "n"), "warc-groups")
+    return join_counted(rows, shared, "digest", "n", "left", hot).select(
+        "id", "uri", "payload", "digest", F.col("n").isNotNull().alias("shared"), "first_id"
     )
 
 
-def record_text(rows: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
+def record_text(rows: DataFrame, min_revisit_bytes: int = 0, written: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """One text value per row: the WARC record without its closing line ends.
 
-    Payloads of fewer bytes than ``min_revisit_bytes`` are always responses.
+    Payloads of fewer bytes than ``min_revisit_bytes`` are always responses;
+    ``written`` is the records' date.
     """
     n = F.octet_length("payload")
     revisit = F.col("shared") & (n >= min_revisit_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit(HTTP_HEAD), n.cast("string"), F.lit("\r\n\r\n"))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
+    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    refers = F.concat(F.lit("\r\nWARC-Refers-To: "), urn("first_id"), F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}"))
     head = F.concat(
         F.lit(MAGIC.decode() + "WARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
-        F.lit("\r\nWARC-Record-ID: <urn:page:"),
-        F.coalesce(F.col("id").cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Payload-Digest: sha1:"),
+        F.lit("\r\nWARC-Record-ID: "),
+        urn("id"),
+        F.lit(f"\r\nWARC-Date: {written}\r\nWARC-Target-URI: "),
+        F.col("uri"),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"),
         F.col("digest"),
-        F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.coalesce(F.col("first_id").cast("string"), F.lit("")), F.lit(">"))).otherwise(F.lit("")),
+        F.when(revisit, refers).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(block).cast("string"),
         F.lit("\r\n\r\n"),
@@ -92,15 +110,35 @@ def record_text(rows: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     return rows.select(F.concat(head, block).alias("value"))
 
 
-def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", records_per_file: int = 2000, min_revisit_bytes: int = 0) -> None:
-    """Write one record per row to archives of at most ``records_per_file``."""
-    rows = record_roles(pages, id_col, payload_col)
-    (
-        record_text(rows, min_revisit_bytes)
-        .write.option("lineSep", RECORD_END)
-        .option("maxRecordsPerFile", records_per_file)
-        .text(folder)
-    )
+def write_warc(
+    pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", records_per_file: int = 2000, min_revisit_bytes: int = 0,
+    tiers: Sequence[tuple[int | None, int]] = TIERS, written: str | None = None, url_col: str = "url", hot: int = HOT_ROWS,
+) -> None:
+    """Write one record per row to archives of at most ``records_per_file``.
+
+    ``tiers`` are (payload bytes at most, records a file at most), the last one
+    without a bound in bytes.  Each tier that has rows is a write of its own;
+    which ones have is counted while the payloads' groups are made.
+    """
+    n, least, sizes = F.octet_length("payload"), -1, []
+    for most, _ in tiers:
+        sizes.append((n > least) & (n <= most) if most is not None else n > least)
+        least = most
+    seen = Observation("warc-tiers")
+    rows = record_roles(pages, id_col, payload_col, url_col, hot, seen, sizes)
+    written = written or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    held = [seen.get[f"tier{i}"] > 0 for i in range(len(tiers))]
+    if not any(held):
+        held[0] = True  # an archive folder without records
+    for i, (_, records) in enumerate(tiers):
+        if held[i]:
+            (
+                record_text(rows.where(sizes[i]), min_revisit_bytes, written)
+                .write.mode("append")
+                .option("lineSep", RECORD_END)
+                .option("maxRecordsPerFile", min(records, records_per_file))
+                .text(folder)
+            )
 
 
 SCAN_SCHEMA = (
