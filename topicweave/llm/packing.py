@@ -29,7 +29,8 @@ from topicweave.llm.common import read_table, stage_table
 
 CAPACITY = 2048
 END_ID = 0
-RANK_BUCKETS = 1024
+RANK_BUCKETS = 1024  # at least; more where a bucket would hold over RANK_ROWS pieces
+RANK_ROWS = 100_000
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -219,7 +220,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # pieces' ids pass through no Python step again.
     kinds = "p_length long, first_rank long, end_rank long, copies long, first_bin long, first_offset long"
     known = pieces.sparkSession.createDataFrame(places.tolist(), kinds)
-    rows = ranked(pieces)
+    rows = ranked(pieces, max(RANK_BUCKETS, -(-int(counts.sum()) // RANK_ROWS)))
     here = (rows["length"] == known["p_length"]) & (rows["rank"] >= known["first_rank"]) & (rows["rank"] < known["end_rank"])
     return rows.join(F.broadcast(known), here).select(
         *pieces.columns,
