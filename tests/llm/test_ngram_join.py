@@ -109,3 +109,69 @@ def test_a_larger_sample_by_shared_shingles(spark):
     want = {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
     got = {r.doc_id: r.component_id for r in nj.shingle_components(spark, docs).collect()}
     assert got == want
+
+
+def long_lists(n=260, clusters=40):
+    """Many clusters of one size that share rare shingles, so lists hold
+    entries of many components."""
+    rnd = random.Random(21)
+    shared = [["s%d_%d" % (g, i) for i in range(9)] for g in range(3)]
+    texts = []
+    for c in range(clusters):
+        base = shared[c % 3] + ["c%d_%d" % (c, i) for i in range(60)]
+        for _ in range(n // clusters):
+            t = list(base)
+            t[rnd.randrange(9, len(t))] = "x%d" % rnd.randrange(10**6)
+            texts.append(" ".join(t))
+    return list(enumerate(texts))
+
+
+def test_blocks_of_a_list_meet_each_other(spark, monkeypatch):
+    """Lists dealt out in blocks of a few entries give the same components."""
+    real = nj.open_pairs
+    monkeypatch.setattr(nj, "open_pairs", lambda entries: real(entries, 3))
+    monkeypatch.setattr(nj, "MEET_AT_ONCE", 5)
+    check(spark, spark.createDataFrame(long_lists(120, 12), "doc_id long, text string").repartition(3))
+
+
+def test_open_pairs_equal_brute_force(spark):
+    rnd = random.Random(22)
+    rows = []
+    for token in range(6):
+        for cid in rnd.sample(range(200), 40):
+            n = rnd.randrange(5, 60)
+            rows.append((token, cid // 3, cid, n, rnd.randrange(0, max(1, n // 5)), cid % rnd.choice([2, 5, 9])))
+    want = set()
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[2] < b[2] and a[5] != b[5] and min(a[3], b[3]) * 100 >= 80 * max(a[3], b[3]):
+                if (1 + min(a[3] - a[4] - 1, b[3] - b[4] - 1)) * 180 >= 80 * (a[3] + b[3]):
+                    want.add((a[2], b[2], a[1], b[1]))
+    entries = spark.createDataFrame(rows, "token long, gid long, cid long, n int, pos int, comp long").repartition(4)
+    for block in (2000, 4, 1):
+        assert {tuple(r) for r in nj.open_pairs(entries, block).collect()} == want
+
+
+def test_postings_keep_what_has_a_partner(spark):
+    rnd = random.Random(23)
+    groups = [(g, rnd.randrange(1, 400), [rnd.randrange(60) for _ in range(rnd.randrange(1, 4))]) for g in range(120)]
+    groups = [(g, n, list(dict.fromkeys(p))) for g, n, p in groups]
+    rows = [(t, g, n, i) for g, n, p in groups for i, t in enumerate(p)]
+    want = {r for r in rows if any(o[0] == r[0] and o[1] != r[1] and min(o[2], r[2]) * 100 >= 80 * max(o[2], r[2]) for o in rows)}
+    got = nj.postings(spark.createDataFrame(groups, "gid long, n int, prefix array<bigint>").repartition(3))
+    assert {(r.token, r.gid, r.n, r.pos) for r in got.collect()} == want
+    near = nj.size_neighbours(got).collect()
+    assert {(r.token, r.gid) for r in near} == {(r[0], r[1]) for r in want}
+    by = {}
+    for t, g, n, _ in sorted(want, key=lambda r: (r[0], r[2], r[1])):
+        by.setdefault(t, []).append(g)
+    for r in near:  # the one before it, or none at a partition's edge
+        k = by[r.token].index(r.gid)
+        assert r.o_gid is None or r.o_gid == by[r.token][k - 1]
+    assert sum(r.o_gid is not None for r in near) >= sum(len(x) - 1 for x in by.values()) - 8
+
+
+def test_sketch_grows_with_the_corpus(spark, sample):
+    assert nj.sketch_bits(sample) == nj.SKETCH_BITS
+    big = spark.range(1 << 40).selectExpr("id as doc_id", "cast(id as string) as text")
+    assert nj.SKETCH_BITS < nj.sketch_bits(big) <= nj.MOST_SKETCH_BITS

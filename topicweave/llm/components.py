@@ -12,19 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import stage_table
+from topicweave.llm.common import join_counted, stage_table
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else edges
     # u's smallest neighbour, itself included
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("c", "m").alias("m"))
-    joined = both.join(low, F.col("u") == F.col("c"))
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    joined = join_counted(both, low, "u", "n")  # a hub's links stay where they are
     if larger:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select(F.col("c").alias("u"), F.col("m").alias("v"))
+            low.select("u", F.col("m").alias("v"))
         )
     return out.where(F.col("u") != F.col("v")).distinct()
 
@@ -43,7 +43,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
 
     before, step = state(edges), 0
     while before[0]:
-        edges = stage_table(_star(_star(edges, True), False), f"{name}-{step}")
+        edges = stage_table(_star(stage_table(_star(edges, True), f"{name}-{step}-large"), False), f"{name}-{step}")
         now, step = state(edges), step + 1
         if now == before:
             break
