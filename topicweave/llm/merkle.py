@@ -172,7 +172,8 @@ def extract(forest: Forest, paths: DataFrame, emit) -> DataFrame:
     above = paths.select(F.col("tree").alias("a_tree"), F.lit(0).cast("long").alias("a_pos"), "path")
     for k in reversed(range(len(forest.stored))):
         level = with_levels(forest.stored[k], forest.every)
-        joined = level.join(above, level["tree"].eqNullSafe(above["a_tree"]) & (level["block"] == above["a_pos"]))
+        # a path compresses well on disk, so Spark would take it for a small table
+        joined = level.join(above.hint("merge"), level["tree"].eqNullSafe(above["a_tree"]) & (level["block"] == above["a_pos"]))
 
         columns = (lambda m, path: [m["pos"].alias("a_pos"), path.alias("path")]) if k else emit
         found = joined.select("tree", F.explode(_reported(forest.every, columns)).alias("x"))
