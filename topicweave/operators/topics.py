@@ -77,8 +77,10 @@ ITEM_KEYS = ("product_name", "brands", "categories")
 
 def with_assignment(scored: DataFrame, keep: Iterable[str] = ITEM_KEYS) -> DataFrame:
     """M7 + P2: from rows holding ``topicDistribution``, the arg-max ``score``
-    (float) and ``topic`` (int); an all-zero distribution gives 0.0 / 0."""
-    dist = dist_array("topicDistribution")
+    (float) and ``topic`` (int); an all-zero distribution gives 0.0 / 0.  The
+    distribution is an ML vector or an ``array<double>``."""
+    plain = scored.schema["topicDistribution"].dataType.typeName() == "array"
+    dist = F.col("topicDistribution") if plain else dist_array("topicDistribution")
     return scored.select(
         *keep,
         "topicDistribution",

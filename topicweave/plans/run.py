@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
@@ -23,7 +24,10 @@ from topicweave.functions.constants import (
     MAX_DF,
     MIN_DF,
 )
+from topicweave.operators.distances import topic_distances, topic_map
 from topicweave.operators.features import to_tf_idf_features, with_tokens
+from topicweave.operators.lda_table import TopicInput, TopicState, first_state, fit_topics, score_documents, topic_input
+from topicweave.operators.lda_table import term_shares as table_term_shares
 from topicweave.operators.rollup import to_items
 from topicweave.operators.stats import (
     DEFAULT_LAMBDA,
@@ -33,6 +37,7 @@ from topicweave.operators.stats import (
     topic_prevalence,
     vocab_stats,
 )
+from topicweave.operators.termtable import TermTable, fit_terms, term_entries, term_vectors
 from topicweave.operators.topics import (
     LAYOUT_PARTITIONS,
     described,
@@ -44,6 +49,7 @@ from topicweave.operators.topics import (
     training_input,
     with_assignment,
 )
+from topicweave.session import ensure_checkpoint_dir
 from topicweave.sources.io import (
     load_features,
     load_model,
@@ -55,7 +61,7 @@ from topicweave.sources.io import (
     write_table,
 )
 from topicweave.sources.publish import new_attempt, publish, resolve_run
-from topicweave.sources.schemas import ROLLUP_COLUMNS
+from topicweave.sources.schemas import FEATURE_COLUMNS, ROLLUP_COLUMNS
 
 
 class MalformedFeed(ValueError):
@@ -70,7 +76,10 @@ class JobConfig:
     vocabulary when given; without it a vocabulary beyond the default bound is
     an error.  ``relevance_lambda`` and ``relevance_terms`` (None: all) shape
     the relevance table.  ``fail_on_rejects`` makes malformed feed lines an
-    error; they are written apart in either case.
+    error; they are written apart in either case.  ``term_table`` keeps the
+    vocabulary and the topic-term state as tables, for a vocabulary of any size
+    (``max_iter`` passes over the documents, or mini-batches of
+    ``topic_batches``).
     """
 
     output_base: str
@@ -91,6 +100,8 @@ class JobConfig:
     relevance_lambda: float = DEFAULT_LAMBDA
     relevance_terms: int | None = None
     fail_on_rejects: bool = False
+    term_table: bool = False
+    topic_batches: int = 1
 
     def with_overrides(self, **kw) -> "JobConfig":
         """Apply CLI-style overrides; a value is used when it is not None."""
@@ -132,27 +143,10 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     paths["items"] = write_table(to_items(offers), f"{out}/item_df.parquet")
     items = read_table(spark, paths["items"])
 
-    paths["tokens"] = f"{out}/tokens.parquet"
-    vocab_model, feats = to_tf_idf_features(
-        items, config.replacement, config.ngram, config.min_df, config.max_df, config.vocab_size, paths["tokens"]
-    )
-    paths["features"] = write_table(feats, f"{out}/item_tf_idf_df.parquet")
-    features = read_table(spark, paths["features"])
-    paths["feature_model"] = save_features(vocab_model, f"{out}/feature_model")
-    paths["vocab"] = write_table(vocab_stats(vocab_model.vocab_df), f"{out}/lda_vis/vocab.parquet")
-
-    training = training_input(features, "product_name", config.layout_partitions)
-    model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
-    paths["model"] = save_model(model, f"{out}/lda_model")
-    training.unpersist()
-    # the per-document inference runs once, into a table, in the feature
-    # table's own partitions; the items' sets go along, so nothing is joined
-    paths["scored"] = write_table(score_all(model, features, keep=("brands", "categories")), f"{out}/scored.parquet")
-
-    scored = read_table(spark, paths["scored"])
+    stage = _table_topics if config.term_table else _stock_topics
+    scored, terms, vocab = stage(spark, config, items, out, paths)
     stats = doc_stats(scored, exact=config.exact_filter)
-    terms = term_distribution(model, vocab_model.vocab_df, paths["model"])
-    relevance = term_relevance(terms, vocab_model.vocab_df, config.relevance_lambda, config.relevance_terms)
+    relevance = term_relevance(terms, vocab, config.relevance_lambda, config.relevance_terms)
     outputs = {
         "item_topics": (with_assignment(scored), f"{out}/item_topic_df.parquet"),
         "topics": (described(leading_terms(terms, config.topic_terms)), f"{out}/topics_df.parquet"),
@@ -161,6 +155,7 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
         "topic_term": (terms, f"{out}/lda_vis/topic_term.parquet"),
         "prevalence": (topic_prevalence(stats), f"{out}/lda_vis/prevalence.parquet"),
         "relevance": (relevance, f"{out}/lda_vis/relevance.parquet"),
+        "distances": (topic_distances(terms), f"{out}/lda_vis/distances.parquet"),
     }
     # independent outputs of one scoring pass: submitted as concurrent Spark
     # jobs so small ones do not leave the cluster idle
@@ -168,15 +163,84 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
         futures = {name: pool.submit(write_table, df, path) for name, (df, path) in outputs.items()}
         for name, fut in futures.items():
             paths[name] = fut.result()
+    placed = topic_map(read_table(spark, paths["distances"]), read_table(spark, paths["prevalence"]))
+    paths["topic_map"] = write_table(placed, f"{out}/lda_vis/topic_map.parquet")
     publish(spark, run_dir, out, paths)
     return paths
 
 
+def _stock_topics(spark: SparkSession, config: JobConfig, items: DataFrame, out: str, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Spark ML's vectorizer and LDA: scored items, topic-term table, vocabulary."""
+    paths["tokens"] = f"{out}/tokens.parquet"
+    vocab_model, feats = to_tf_idf_features(
+        items, config.replacement, config.ngram, config.min_df, config.max_df, config.vocab_size, paths["tokens"]
+    )
+    paths["features"] = write_table(feats, f"{out}/item_tf_idf_df.parquet")
+    features = read_table(spark, paths["features"])
+    paths["feature_model"] = save_features(vocab_model, f"{out}/feature_model")
+    paths["vocab"] = write_table(vocab_stats(vocab_model.vocab_df), f"{out}/lda_vis/vocab.parquet")
+
+    training = training_input(features, "product_name", config.layout_partitions)
+    model = fit_lda(training, config.k, config.max_iter, config.seed, optimizer=config.optimizer)
+    paths["model"] = save_model(model, f"{out}/lda_model")
+    training.unpersist()
+    # the per-document inference runs once, into a table, in the feature
+    # table's own partitions; the items' sets go along, so nothing is joined
+    paths["scored"] = write_table(score_all(model, features, keep=SETS), f"{out}/scored.parquet")
+    terms = term_distribution(model, vocab_model.vocab_df, paths["model"])
+    return read_table(spark, paths["scored"]), terms, vocab_model.vocab_df
+
+
+SETS = ("brands", "categories")
+
+
+def _table_topics(spark: SparkSession, config: JobConfig, items: DataFrame, out: str, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same three tables with the vocabulary and the topic-term state as
+    tables of the run: no term list and no matrix on the driver."""
+    tokens = with_tokens(items, replacement=config.replacement, ngram=config.ngram).select("product_name", *SETS, "cleaned_words")
+    paths["tokens"] = write_table(tokens, f"{out}/tokens.parquet")
+    tokens = read_table(spark, paths["tokens"])
+    fitted = fit_terms(tokens, min_df=config.min_df, max_df=config.max_df, vocab_size=config.vocab_size)
+    paths["term_table"] = fitted.save(f"{out}/term_table")
+    terms = TermTable.load(spark, paths["term_table"])
+    paths["vocab"] = write_table(vocab_stats(terms.terms), f"{out}/lda_vis/vocab.parquet")
+    vectors = term_vectors(tokens, "product_name", terms, f"{out}/term_vectors.parquet", keep=(*SETS, "cleaned_words"))
+    # written once more as vectors, so that any reader of the table gets them
+    paths["features"] = write_table(vectors.select(*FEATURE_COLUMNS), f"{out}/item_tf_idf_df.parquet")
+    data = _term_input(tokens, terms, f"{out}/topic_input")
+    state = fit_topics(data, first_state(terms.terms, terms.n_terms, config.k, config.seed), config.max_iter, f"{out}/topic_states", config.topic_batches)
+    paths["topic_state"] = state.save(f"{out}/topic_state")
+    state = TopicState.load(spark, paths["topic_state"])
+    paths["scored"] = write_table(_scored_by_state(tokens, data, state, SETS), f"{out}/scored.parquet")
+    data.release()
+    named = table_term_shares(state).join(terms.terms.select("term_idx", "word"), "term_idx")
+    return read_table(spark, paths["scored"]), named.select("topic", "term_idx", "word", "weight", "prob"), terms.terms
+
+
+def _term_input(tokens: DataFrame, terms: TermTable, folder: str) -> TopicInput:
+    return topic_input(term_entries(tokens, "product_name", terms), "product_name", F.col("n") * F.col("idf"), folder)
+
+
+def _scored_by_state(tokens: DataFrame, data: TopicInput, state: TopicState, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``product_name, keep, topicDistribution array<double>, doc_length`` of
+    every item; all zeros for one without terms of the vocabulary."""
+    found = score_documents(data, state, "s_name")
+    zeros = F.array_repeat(F.lit(0.0), state.k)
+    joined = tokens.join(found, F.col("product_name").eqNullSafe(F.col("s_name")), "left")
+    length = F.size(F.coalesce("cleaned_words", F.array().cast("array<string>")))
+    return joined.select("product_name", *keep, F.coalesce("topicDistribution", zeros).alias("topicDistribution"), length.alias("doc_length"))
+
+
 def score_items(spark: SparkSession, run_dir: str, items: DataFrame) -> DataFrame:
     """``product_name, topicDistribution, score, topic`` of raw items
     (``product_name, description``) by a finished run's saved stages."""
     base = resolve_run(spark, run_dir)
     config = json.loads(read_table(spark, f"{base}/config.parquet").first()["config"])
+    if config.get("term_table"):
+        tokens = with_tokens(items, replacement=config["replacement"], ngram=config["ngram"]).select("product_name", "cleaned_words")
+        terms, state = TermTable.load(spark, f"{base}/term_table"), TopicState.load(spark, f"{base}/topic_state")
+        data = _term_input(tokens, terms, f"{ensure_checkpoint_dir(spark)}/score-{uuid.uuid4().hex}")
+        return with_assignment(_scored_by_state(tokens, data, state), ["product_name"])
     features = load_features(spark, f"{base}/feature_model")
     tokens = with_tokens(items, replacement=config["replacement"], ngram=config["ngram"])
     vectors = features.transform(tokens.select("product_name", F.col("cleaned_words").alias(features.words_col)))

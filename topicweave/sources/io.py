@@ -120,3 +120,9 @@ def read_vis_stats(spark: SparkSession, run_dir: str) -> dict[str, DataFrame]:
     (replaces unpickling a driver-side dict)."""
     base = resolve_run(spark, run_dir)
     return {name: spark.read.parquet(f"{base}/lda_vis/{name}.parquet") for name in VIS_TABLES}
+
+
+def read_topic_map(spark: SparkSession, run_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The topics' pairwise distances and their map of one run."""
+    base = resolve_run(spark, run_dir)
+    return read_table(spark, f"{base}/lda_vis/distances.parquet"), read_table(spark, f"{base}/lda_vis/topic_map.parquet")
