@@ -1,10 +1,13 @@
 """Secret scans with corpus-wide ownership frequency (native).
 
 Patterns propose candidates in every text.  Each candidate value is hashed and
-counted over the corpus by distinct repositories and distinct owners: a value
-that many owners hold is a copied example, a value of one or two owners that
-does not look like a placeholder is live-looking.  Base kinds report every
-span; the method's own kinds report live-looking ones only.
+counted over the corpus by distinct repositories and distinct owners (a
+repository belongs to its owner).  Both counts decide how far a value has
+spread: ``copied`` (an example) where many owners hold it, or several owners in
+many repositories; ``shared`` where one owner uses it in several repositories;
+else ``own``.  A value that is not copied and does not look like a placeholder
+is live-looking.  Base kinds report every span; the method's own kinds report
+live-looking ones only.
 
 Offsets come from built-in functions: ``split`` gives the gaps between the
 matches that ``regexp_extract_all`` lists, and a running sum over one
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import read_table, stage_table, text_or_empty
+from topicweave.llm.common import HOT_ROWS, join_counted, read_table, stage_table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,9 @@ OWN_KINDS = (
     Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
 )
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 4  # of a value that more than one owner holds
 MIN_DISTINCT_CHARS = 8
+SPREAD_COUNTS = ("n_live", "n_shared", "n_copied")  # live spans, live ones of a shared value, spans of a copied one
 PLACEHOLDER = r"(?i)example|sample|changeme|placeholder|your|xxxx|test|dummy|123456"
 
 
@@ -102,54 +107,67 @@ def candidate_spans(docs: DataFrame, kinds: Sequence[Kind], owner: Column, repos
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """value_hash, n_owners, n_repositories, over the whole corpus.
+    """value_hash, n_owners, n_repositories, n_spans, over the whole corpus.
 
     Distinct (value, owner, repository) triples collapse in the map tasks, so
     a value that a third of all rows hold costs one row per task and owner.
     """
     triples = spans.select("value_hash", "owner", "repository").groupBy("value_hash", "owner", "repository").agg(F.count("*").alias("n"))
-    per_owner = triples.groupBy("value_hash", "owner").agg(F.count("*").alias("repos"))
-    return per_owner.groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repositories"))
+    per_owner = triples.groupBy("value_hash", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
+    return per_owner.groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repositories"), F.sum("n").alias("n_spans"))
 
 
-def live_looking(value: Column, n_owners: Column, max_owners: int = MAX_OWNERS) -> Column:
-    """Few owners, no placeholder, varied characters with a digit."""
+def spread(n_owners: Column, n_repositories: Column, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> Column:
+    """copied, shared or own."""
+    copied = (n_owners > max_owners) | ((n_owners > 1) & (n_repositories > max_repositories))
+    return F.when(copied, "copied").when((n_owners == 1) & (n_repositories > 1), "shared").otherwise("own")
+
+
+def live_looking(value: Column, spread_: Column) -> Column:
+    """Not copied, no placeholder, varied characters with a digit."""
     varied = F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT_CHARS
-    return (n_owners <= max_owners) & ~value.rlike(PLACEHOLDER) & value.rlike("[0-9]") & varied
+    return (spread_ != "copied") & ~value.rlike(PLACEHOLDER) & value.rlike("[0-9]") & varied
 
 
-def scan_secrets(docs: DataFrame, owner: Column, repository: Column, kinds: Sequence[Kind] = BASE_KINDS + OWN_KINDS, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, owner: Column, repository: Column, kinds: Sequence[Kind] = BASE_KINDS + OWN_KINDS, max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES, hot: int = HOT_ROWS,
+) -> DataFrame:
     """All reported spans: doc_id, text_key, kind, kind_name, base, start, end,
-    value_hash, n_owners, n_repositories, live."""
+    value_hash, n_owners, n_repositories, spread, live."""
     spans = stage_table(
         candidate_spans(docs, kinds, owner, repository).withColumn("value_hash", F.unhex(F.sha2("value", 256))), "secret-spans"
     )
     counted = stage_table(ownership(spans), "secret-owners")
     names = F.array(*[F.lit(k.name) for k in kinds])
     base = F.array(*[F.lit(k.base) for k in kinds])
-    rows = spans.join(counted, "value_hash").select(
+    told = spread(F.col("n_owners"), F.col("n_repositories"), max_owners, max_repositories)
+    joined = join_counted(spans, counted, "value_hash", "n_spans", hot=hot).withColumn("spread", told)
+    rows = joined.select(
         "doc_id", "text_key", "owner", "repository", "kind",
         F.element_at(names, F.col("kind") + 1).alias("kind_name"),
         F.element_at(base, F.col("kind") + 1).alias("base"),
-        "start", "end", "value_hash", "n_owners", "n_repositories",
-        live_looking(F.col("value"), F.col("n_owners"), max_owners).alias("live"),
+        "start", "end", "value_hash", "n_owners", "n_repositories", "spread",
+        live_looking(F.col("value"), F.col("spread")).alias("live"),
     )
     return rows.where("base or live")
 
 
-def document_report(docs: DataFrame, owner: Column, repository: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
+def document_report(docs: DataFrame, owner: Column, repository: Column, max_owners: int = MAX_OWNERS, hot: int = HOT_ROWS) -> DataFrame:
     """One row per document with its counts and spans."""
-    spans = scan_secrets(docs, owner, repository, max_owners=max_owners)
+    spans = scan_secrets(docs, owner, repository, max_owners=max_owners, hot=hot)
     place = F.struct("start", "kind", "end", "kind_name", "base")
     grouped = spans.groupBy("doc_id", "text_key", "owner", "repository").agg(
         *[F.count(F.when(F.col("kind_name") == k.name, 1)).alias(f"n_{k.name}") for k in BASE_KINDS],
         F.count(F.when(F.col("live"), 1)).alias("n_live"),
+        F.count(F.when(F.col("live") & (F.col("spread") == "shared"), 1)).alias("n_shared"),
+        F.count(F.when(F.col("spread") == "copied", 1)).alias("n_copied"),
         F.sort_array(F.collect_list(place)).alias("places"),
     )
     said = lambda x: F.concat_ws(":", x["kind_name"], x["start"].cast("string"), x["end"].cast("string"))
     grouped = grouped.select(
         F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key"), F.col("owner").alias("g_owner"), F.col("repository").alias("g_repo"),
-        *[f"n_{k.name}" for k in BASE_KINDS], "n_live",
+        *[f"n_{k.name}" for k in BASE_KINDS], *SPREAD_COUNTS,
         F.array_join(F.transform(F.filter("places", lambda x: x["base"]), said), ",").alias("base_spans"),
         F.array_join(F.transform("places", said), ",").alias("all_spans"),
     )
@@ -167,7 +185,7 @@ def document_report(docs: DataFrame, owner: Column, repository: Column, max_owne
         *[F.coalesce(f"n_{k.name}", F.lit(0)).cast("long").alias(f"n_{k.name}") for k in BASE_KINDS],
         F.sha2(F.coalesce("base_spans", none), 256).alias("base_sha256"),
         F.coalesce("all_spans", none).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in SPREAD_COUNTS],
     )
 
 
