@@ -93,3 +93,12 @@ def test_query_writes_whole_documents(spark):
     rows = sh.op6_table_shards(spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id: r.text_crc32 for r in rows} == {i: None if t is None else zlib.crc32(t.encode()) for i, t in docs.items()}
     assert all(r.file.startswith("part-") for r in rows) and len({r.file for r in rows}) > 1
+
+
+def test_files_are_bounded_in_bytes(spark, scratch):
+    rows = [(i, "x" * 1000) for i in range(400)] + [(None, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    shard = sh.write_shards(docs, "doc_id", ["a"], scratch + "/b", slots=101, bytes_per_file=40_000)
+    back = spark.read.parquet(scratch + "/b").withColumn("file", F.input_file_name())
+    files = back.groupBy("file").agg(F.sum(F.length("text")).alias("n")).collect()
+    assert back.count() == 402 and shard in back.columns and len(files) > 4 and max(r.n for r in files) < 160_000

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +28,8 @@ from topicweave.llm.common import fresh_name, read_table, scratch_path
 
 SLOTS = 65537  # prime
 SHARDS = 64
-ROWS_PER_FILE = 200_000
+ROWS_PER_FILE = 1_000_000
+BYTES_PER_FILE = 128 << 20  # of text, before compression
 
 
 def _draw(name: str, salt: str, modulus: int) -> int:
@@ -83,10 +86,12 @@ def assign_shards(df: DataFrame, key: str, shards: Sequence[str], slots: int = S
 
 
 def write_shards(
-    df: DataFrame, key: str, shards: Sequence[str], folder: str, files_per_shard: int | None = None, slots: int = SLOTS, rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame, key: str, shards: Sequence[str], folder: str, files_per_shard: int | None = None, slots: int = SLOTS, rows_per_file: int = ROWS_PER_FILE,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> str:
-    """Place every row: one folder per shard, its files sized by its rows
-    (``files_per_shard`` fixes their number instead); returns the shard column.
+    """Place every row: one folder per shard, as many files as its rows and
+    their text need (``files_per_shard`` fixes the number instead); returns the
+    shard column.
 
     A shard's rows are dealt out to its files by a row number, not by the key,
     so a key that most rows have fills many files of its shard.  The counts that
@@ -95,8 +100,10 @@ def write_shards(
     placed = assign_shards(df, key, shards, slots)
     name = next(c for c in reversed(placed.columns) if c.lower().startswith("shard"))
     if files_per_shard is None:
-        counts = {r[0]: r[1] for r in assign_shards(df.select(key), key, shards, slots).groupBy("shard").count().collect()}
-        files = {s: max(1, -(-n // rows_per_file)) for s, n in counts.items()}
+        text = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c, kind in df.dtypes if kind in ("string", "binary")]
+        sized = df.select(F.col(key).alias("key"), reduce(add, text, F.lit(0).cast("long")).alias("size"))
+        counts = assign_shards(sized, "key", shards, slots).groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+        files = {r["shard"]: max(1, -(-r["n"] // rows_per_file), -(-r["size"] // bytes_per_file)) for r in counts}
     else:
         files = dict.fromkeys(range(len(shards)), files_per_shard)
     salt, number = fresh_name(placed, "file_salt"), fresh_name(placed, "row_number")
