@@ -204,17 +204,19 @@ def chained(links: DataFrame, start: int = 0) -> DataFrame:
     """Rows of ``links`` (file, at, next) that a chain from ``start`` reaches.
 
     Pointer jumping: each round doubles both the known chain and the jump
-    length, so a chain of n records takes log2(n) rounds.
+    length, so a chain of n records takes log2(n) rounds.  Offsets compress
+    well on disk, so the joins ask for sorting: by file size Spark would take
+    these tables for small ones and broadcast them.
     """
     longest = links.groupBy("file").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     jump = links.select("file", "at", "next")
     reached = jump.where(F.col("at") == start).select("file", "at")
     for step in range(math.ceil(math.log2(longest)) if longest > 1 else 0):
-        ahead = reached.join(jump, ["file", "at"]).select("file", F.col("next").alias("at"))
-        reached = stage_table(reached.unionByName(ahead.join(links.select("file", "at"), ["file", "at"], "left_semi")).distinct(), f"warc-reached-{step}")
+        ahead = reached.join(jump.hint("merge"), ["file", "at"]).select("file", F.col("next").alias("at"))
+        reached = stage_table(reached.unionByName(ahead.join(links.select("file", "at").hint("merge"), ["file", "at"], "left_semi")).distinct(), f"warc-reached-{step}")
         far = jump.select("file", F.col("at").alias("mid"), F.col("next").alias("far"))
         near = jump.select("file", "at", F.col("next").alias("mid"))
-        jump = stage_table(near.join(far, ["file", "mid"]).select("file", "at", F.col("far").alias("next")), f"warc-jump-{step}")
+        jump = stage_table(near.join(far.hint("merge"), ["file", "mid"]).select("file", "at", F.col("far").alias("next")), f"warc-jump-{step}")
     return reached
 
 
@@ -223,7 +225,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     record_type, refers_to, file, at."""
     found = stage_table(scan_archives(spark, folder).withColumn("key", F.unhex(F.md5("file"))), "warc-candidates")
     real = chained(found.select(F.col("key").alias("file"), "at", "next"))
-    return found.join(real.withColumnRenamed("file", "key"), ["key", "at"], "left_semi").select(
+    return found.join(real.withColumnRenamed("file", "key").hint("merge"), ["key", "at"], "left_semi").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "file", "at"
     )
 
