@@ -30,7 +30,7 @@ from topicweave.llm.common import read_table, stage_table
 CAPACITY = 2048
 END_ID = 0
 RANK_BUCKETS = 1024  # at least; more where a bucket would hold over RANK_ROWS pieces
-RANK_ROWS = 100_000
+RANK_ROWS = 10_000
 VOCABULARY = "byte_bpe_50k.json"
 
 
