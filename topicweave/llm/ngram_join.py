@@ -212,28 +212,47 @@ def size_band(n):
     return F.floor(F.log(n) / float(np.log(DENOMINATOR / NUMERATOR))).cast("int")
 
 
+def _beside(batches):
+    """Rows in order of (token, n, gid), each with whether it has a neighbour of
+    fitting size in its list; the rows at both ends of a task count as having one."""
+    names = ["token", "gid", "n", "pos"]
+    held = None  # the last row waits for the next one
+
+    def told(cols, first, last):
+        near = np.zeros(len(cols[0]), bool)
+        near[0], near[-1] = first, last
+        n = cols[2].astype(np.int64)
+        beside = (cols[0][:-1] == cols[0][1:]) & (n[:-1] * DENOMINATOR >= n[1:] * NUMERATOR)
+        near[1:] |= beside
+        near[:-1] |= beside
+        return near
+
+    before = True  # of the row before the held ones: none
+    for batch in batches:
+        cols = [batch.column(c).to_numpy() for c in names]
+        if not len(cols[0]):
+            continue
+        if held is not None:
+            cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
+        near = told(cols, before, False)
+        if len(near) > 1:
+            yield pa.RecordBatch.from_arrays([pa.array(c[:-1][near[:-1]]) for c in cols], names)
+            before = bool(near[-1])
+        held = [c[-1:] for c in cols]
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names)
+
+
 def postings(groups: DataFrame) -> DataFrame:
-    """token, gid, n, pos: entries that have a partner of fitting size.
+    """token, gid, n, pos: entries that have a partner of fitting size, and the
+    two at the ends of each task.
 
-    Whether one has is told by the largest size in the band below, the smallest
-    one in the band above and the number in its own, all of them sums.
+    In order of size an entry has such a partner if it has one beside it.  The
+    range sort cuts long lists, so no task holds a list.
     """
-    rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")).withColumn("band", size_band(F.col("n")))
-    rows = stage_table(rows, "jaccard-entries")
-    bands = rows.groupBy("token", "band").agg(F.count("*").alias("held"), F.min("n").alias("least"), F.max("n").alias("most"))
-    none = F.lit(None)
-    told = F.array(
-        F.struct(F.col("band").alias("band"), F.col("held").alias("held"), none.cast("int").alias("below"), none.cast("int").alias("above")),
-        F.struct((F.col("band") + 1).alias("band"), none.cast("long").alias("held"), F.col("most").alias("below"), none.cast("int").alias("above")),
-        F.struct((F.col("band") - 1).alias("band"), none.cast("long").alias("held"), none.cast("int").alias("below"), F.col("least").alias("above")),
-    )
-    around = bands.select("token", F.explode(told).alias("x")).select("token", "x.*").groupBy("token", "band").agg(
-        F.max("held").alias("held"), F.max("below").alias("below"), F.max("above").alias("above")
-    )
-    some = around.where("held is not null and (held > 1 or below is not null or above is not null)")
-    near = join_counted(rows, some, ["token", "band"], "held")
-    fits = (F.col("held") > 1) | (F.col("below") * DENOMINATOR >= F.col("n") * NUMERATOR) | (F.col("n") * DENOMINATOR >= F.col("above") * NUMERATOR)
-    return near.where(fits).select("token", "gid", "n", "pos")
+    rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "gid", "n", "pos")
+    order = ["token", "n", "gid"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_beside, "token long, gid long, n int, pos int")
 
 
 def size_neighbours(posted: DataFrame) -> DataFrame:
@@ -314,10 +333,11 @@ def open_pairs(entries: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
     and of the two around it, so a task holds one block, and asking entries
     stream by.
     """
-    entries = stage_table(entries.withColumn("band", size_band(F.col("n"))), "jaccard-lists")
+    several = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
+    entries = stage_table(entries.join(several, "token", "left_semi").withColumn("band", size_band(F.col("n"))), "jaccard-lists")
     by_comp = entries.groupBy("token", "comp").agg(F.count("*").alias("held"))
-    lists = by_comp.groupBy("token").agg(F.max(F.struct("held", "comp"))["comp"].alias("top"), F.sum("held").alias("listed"), F.count("*").alias("comps"))
-    open_ = join_counted(entries, lists.where("comps > 1").drop("comps"), "token", "listed").drop("listed")
+    lists = by_comp.groupBy("token").agg(F.max(F.struct("held", "comp"))["comp"].alias("top"), F.sum("held").alias("listed"))
+    open_ = join_counted(entries, lists, "token", "listed").drop("listed")
     open_ = stage_table(open_.withColumn("asks", F.col("comp") != F.col("top")).drop("top"), "jaccard-open")
     blocks = open_.groupBy("token", "band").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / block).cast("int"))
     blocks = stage_table(blocks, "jaccard-blocks")
@@ -458,6 +478,7 @@ def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -
     classes = stage_table(classes, "jaccard-classes")
     group_of = classes.groupBy("n", "prefix_key").agg(F.min("cid").alias("gid"))
     groups = group_of.join(sized.select(F.col("row_no").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix")
+    groups = stage_table(groups, "jaccard-groups")  # the range sort of its postings samples it first
     posted = stage_table(postings(groups), "jaccard-postings")
     members = stage_table(classes.join(group_of, ["n", "prefix_key"]).select("gid", "cid", "doc_id", "text_key"), "jaccard-members")
     crowded = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1").select("gid")
