@@ -3,8 +3,8 @@
 Two documents link when their sets of five-word shingles have a Jaccard
 similarity of at least 0.8.  Rarest shingles first, a linked pair shares one
 of its first ``n - ceil(0.8 n) + 1`` shingles (its prefix).  Rarity comes from
-a sketch of all shingle counts whose size is a parameter; any order gives
-right results, so the sketch's error costs time only.
+a sketch of all shingle counts, sized by the corpus; any order gives right
+results, so the sketch's error costs time only.
 
 * Equal sets are one class.  Classes with the same prefix and size are one
   group, and only groups are posted under their prefix shingles.
@@ -12,10 +12,6 @@ right results, so the sketch's error costs time only.
   rarer shingles (a cluster's original) and to the neighbour in size; these
   few pairs, where the prefixes share enough, are verified, and their
   components found.
-* Lists are never held whole.  What a list's entries need to know of it (sizes
-  in it, its hub, its largest component) comes from sums with map-side parts;
-  neighbours in size come from a range sort that cuts long lists; and in the
-  second round a list is dealt out in blocks by size band.
 * Second round: posting entries are expanded to their members, and every pair
   of different components that passes the size, position and count filters
   is verified.  So nothing is lost, and a large cluster of near copies does not
@@ -34,10 +30,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import join_counted, read_table, small_batches, stage_table, text_or_empty
+from topicweave.llm.common import read_table, small_batches, stage_table, text_or_empty
 from topicweave.llm.components import connected_components
 from topicweave.llm.textscan import LOWER, SHINGLE_CODE, buffer_of, chunked, mix, slices, windows, word_hashes, words
 
@@ -47,8 +43,6 @@ SKETCH_BITS = 21  # at least; see sketch_bits
 MOST_SKETCH_BITS = 27
 BYTES_A_COUNTER = 256  # of stored text
 UNKNOWN_BYTES = 1 << 60  # Spark's default for a size that it cannot estimate is larger
-MEET_AT_ONCE = 1 << 18  # comparisons made at a time
-LIST_BLOCK = 2000  # entries of a posting list that one task holds in the second round
 SKETCH_BLOCK = 1 << 15
 FILTER_BITS = 24
 PAIRS_PER_SALT = 2000
@@ -207,90 +201,35 @@ def _position_allows(n1, p1, n2, p2):
     return most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n1 + n2)
 
 
-def size_band(n):
-    """Bands of sizes: a set fits sets of its own band and of the next ones only."""
-    return F.floor(F.log(n) / float(np.log(DENOMINATOR / NUMERATOR))).cast("int")
-
-
-def _beside(batches):
-    """Rows in order of (token, n, gid), each with whether it has a neighbour of
-    fitting size in its list; the rows at both ends of a task count as having one."""
-    names = ["token", "gid", "n", "pos"]
-    held = None  # the last row waits for the next one
-
-    def told(cols, first, last):
-        near = np.zeros(len(cols[0]), bool)
-        near[0], near[-1] = first, last
-        n = cols[2].astype(np.int64)
-        beside = (cols[0][:-1] == cols[0][1:]) & (n[:-1] * DENOMINATOR >= n[1:] * NUMERATOR)
-        near[1:] |= beside
-        near[:-1] |= beside
-        return near
-
-    before = True  # of the row before the held ones: none
-    for batch in batches:
-        cols = [batch.column(c).to_numpy() for c in names]
-        if not len(cols[0]):
-            continue
-        if held is not None:
-            cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
-        near = told(cols, before, False)
-        if len(near) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(c[:-1][near[:-1]]) for c in cols], names)
-            before = bool(near[-1])
-        held = [c[-1:] for c in cols]
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names)
-
-
 def postings(groups: DataFrame) -> DataFrame:
-    """token, gid, n, pos: entries that have a partner of fitting size, and the
-    two at the ends of each task.
-
-    In order of size an entry has such a partner if it has one beside it.  The
-    range sort cuts long lists, so no task holds a list.
-    """
-    rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "gid", "n", "pos")
-    order = ["token", "n", "gid"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_beside, "token long, gid long, n int, pos int")
-
-
-def size_neighbours(posted: DataFrame) -> DataFrame:
-    """token, gid, n, pos and the entry before by size (o_gid, o_n, o_pos; null
-    for the first).  A range sort cuts long lists, so at most one neighbour a
-    partition is missed; the second round does not need it."""
-    kinds = "token long, gid long, n int, pos int, o_gid long, o_n int, o_pos int"
-
-    def neighbours(batches):
-        last = None
-        for batch in batches:
-            cols = [batch.column(c).to_numpy() for c in ("token", "gid", "n", "pos")]
-            if not len(cols[0]):
-                continue
-            before = [np.concatenate([[x[0] if last is None else last[i]], x[:-1]]).astype(x.dtype) for i, x in enumerate(cols)]
-            alone = before[0] != cols[0]
-            if last is None:
-                alone[0] = True
-            last = [x[-1] for x in cols]
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, cols), *[pa.array(x, mask=alone) for x in before[1:]]], ["token", "gid", "n", "pos", "o_gid", "o_n", "o_pos"]
-            )
-
-    order = ["token", "n", "gid"]
-    ordered = posted.select("token", "gid", "n", "pos").repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.mapInArrow(neighbours, kinds)
+    """token, gid, n, pos: entries that have a partner of fitting size."""
+    rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    along = Window.partitionBy("token").orderBy("n", "gid")
+    before, after = F.lag("n").over(along), F.lead("n").over(along)
+    near = rows.withColumn("before", before).withColumn("after", after)
+    return near.where(
+        (F.col("before") * DENOMINATOR >= F.col("n") * NUMERATOR) | (F.col("n") * DENOMINATOR >= F.col("after") * NUMERATOR)
+    ).select("token", "gid", "n", "pos")
 
 
 def sparse_pairs(posted: DataFrame) -> DataFrame:
     """First round: each entry with its list's hub and with its neighbour in size."""
-    hubs = posted.groupBy("token").agg(F.min(F.struct("pos", "gid", "n")).alias("hub"), F.count("*").alias("held"))
-    to_hub = join_counted(posted, hubs.select("token", F.col("hub.gid").alias("o_gid"), F.col("hub.n").alias("o_n"), F.col("hub.pos").alias("o_pos"), "held"), "token", "held")
+    hub = Window.partitionBy("token").orderBy("pos", "gid")
+    by_size = Window.partitionBy("token").orderBy("n", "gid")
+    rows = posted.select(
+        "gid", "n", "pos",
+        F.first(F.struct("gid", "n", "pos")).over(hub).alias("hub"),
+        F.lag(F.struct("gid", "n", "pos")).over(by_size).alias("near"),
+    )
 
-    def pairs(rows: DataFrame) -> DataFrame:
-        fits = _long_enough(F.col("n"), F.col("o_n")) & _position_allows(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
-        return rows.where((F.col("o_gid") != F.col("gid")) & fits).select(F.least("gid", "o_gid").alias("a"), F.greatest("gid", "o_gid").alias("b"))
+    def pairs(other: str) -> DataFrame:
+        o = F.col(other)
+        fits = _long_enough(F.col("n"), o["n"]) & _position_allows(F.col("n"), F.col("pos"), o["n"], o["pos"])
+        return rows.where((o["gid"] != F.col("gid")) & fits).select(
+            F.least("gid", o["gid"]).alias("a"), F.greatest("gid", o["gid"]).alias("b")
+        )
 
-    return pairs(to_hub).unionByName(pairs(size_neighbours(posted))).distinct()
+    return pairs("hub").unionByName(pairs("near")).distinct()
 
 
 def _enough_common(common, n1, last1, n2, last2):
@@ -322,81 +261,65 @@ def plausible(pairs: DataFrame, posted: DataFrame) -> DataFrame:
     return shared.where(_enough_common(F.col("common"), *map(F.col, SHARED))).select("a", "b")
 
 
-def open_pairs(entries: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
+def open_pairs(entries: DataFrame) -> DataFrame:
     """Second round: all pairs of one posting list that lie in different
     components and pass the size and position filters: a, b and their groups
     ga, gb.  ``entries``: token, gid, cid, n, pos, comp.
 
-    The entries of a list's largest component need not meet each other: only
-    the rest ask.  A list is dealt out by size band, a long band in blocks of
-    about ``block`` entries; an asking entry goes to the blocks of its own band
-    and of the two around it, so a task holds one block, and asking entries
-    stream by.
+    Lists within one component are dropped before; the rest are read in order
+    of size, so an entry meets only entries of fitting size.
     """
     several = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    entries = stage_table(entries.join(several, "token", "left_semi").withColumn("band", size_band(F.col("n"))), "jaccard-lists")
-    by_comp = entries.groupBy("token", "comp").agg(F.count("*").alias("held"))
-    lists = by_comp.groupBy("token").agg(F.max(F.struct("held", "comp"))["comp"].alias("top"), F.sum("held").alias("listed"))
-    open_ = join_counted(entries, lists, "token", "listed").drop("listed")
-    open_ = stage_table(open_.withColumn("asks", F.col("comp") != F.col("top")).drop("top"), "jaccard-open")
-    blocks = open_.groupBy("token", "band").agg(F.count("*").alias("held")).withColumn("blocks", F.ceil(F.col("held") / block).cast("int"))
-    blocks = stage_table(blocks, "jaccard-blocks")
-    fields = ["token", "gid", "cid", "n", "pos", "comp", "asks"]
-    home = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    stored = join_counted(open_, blocks, ["token", "band"], "held").select(*fields, "band", home.alias("block"), F.lit(0).alias("kind"))
-    around = open_.where("asks").select(*fields, F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    asking = around.join(blocks.drop("held"), ["token", "band"]).select(
-        *fields, "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind")
-    )
-    keys = ["token", "band", "block"]
-    rows = stored.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "kind", "n")
+    rows = entries.join(several, "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "cid")
 
-    def meet(batches):
-        at, held = None, None
+    def pair_up(batches):
+        carry = None
         for batch in batches:
-            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*keys, "kind", *fields)}
-            if not batch.num_rows:
+            cols = [batch.column(c).to_numpy() for c in ("token", "cid", "n", "pos", "comp", "gid")]
+            if carry is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(carry, cols, strict=True)]
+            if not len(cols[0]):
                 continue
-            new = np.ones(batch.num_rows, bool)
-            for i, c in enumerate((*keys, "kind")):
-                new[1:] = new[1:] | (cols[c][1:] != cols[c][:-1]) if i else cols[c][1:] != cols[c][:-1]
-            bounds = [*np.flatnonzero(new).tolist(), batch.num_rows]
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                where = tuple(cols[c][lo] for c in keys)
-                part = {c: cols[c][lo:hi] for c in fields}
-                if cols["kind"][lo] == 0:
-                    held = {c: np.concatenate([held[c], part[c]]) for c in fields} if where == at else part
-                    at = where
-                elif where == at:
-                    yield from _met(part, held)
-
-    whole = rows.select(*keys, "kind", "gid", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", "asks")
-    return whole.mapInArrow(meet, "a long, b long, ga long, gb long").distinct()
-
-
-def _met(asking: dict, held: dict):
-    """Pairs of asking entries with a block's entries (sorted by size), a
-    bounded number of comparisons at a time."""
-    sizes = held["n"]
-    first = np.searchsorted(sizes, -(-asking["n"] * NUMERATOR // DENOMINATOR), "left")
-    last = np.searchsorted(sizes, asking["n"] * DENOMINATOR // NUMERATOR, "right")
-    begin = 0
-    ends = np.cumsum(last - first)
-    while begin < len(ends):
-        done = int(ends[begin - 1]) if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, done + MEET_AT_ONCE, "right")))
-        width = (last - first)[begin:end]
-        i = np.repeat(np.arange(begin, end), width)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first[begin:end], width)
-        a, b = {c: asking[c][i] for c in asking}, {c: held[c][j] for c in held}
-        most = 1 + np.minimum(a["n"] - a["pos"] - 1, b["n"] - b["pos"] - 1)
-        # two asking entries meet twice; the smaller one reports
-        ok = (a["comp"] != b["comp"]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (a["n"] + b["n"])) & (~b["asks"] | (a["cid"] < b["cid"]))
-        if ok.any():
-            low = a["cid"][ok] < b["cid"][ok]
-            pick = lambda c, x, y: pa.array(np.where(low, x[c][ok], y[c][ok]))
-            yield pa.RecordBatch.from_arrays([pick("cid", a, b), pick("cid", b, a), pick("gid", a, b), pick("gid", b, a)], ["a", "b", "ga", "gb"])
-        begin = end
+            last = int(np.searchsorted(cols[0], cols[0][-1], "left"))
+            carry = [c[last:] for c in cols]
+            if last:
+                yield from emit([c[:last] for c in cols])
+        if carry is not None:
+            yield from emit(carry)
+
+    def emit(cols):
+        token, cid, n, pos, comp, gid = cols
+        # In each list the largest component's entries need not meet each other:
+        # only the rest look for partners, behind them and, in the largest, before.
+        run = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
+        by = np.lexsort((comp, run))
+        new = np.concatenate([[True], (run[by][1:] != run[by][:-1]) | (comp[by][1:] != comp[by][:-1])])
+        block = np.cumsum(new) - 1
+        size = np.bincount(block)[block]
+        top = np.zeros(run[-1] + 1, np.int64)
+        np.maximum.at(top, run[by], size * np.int64(len(by) + 1) + block)
+        largest = np.empty(len(by), bool)
+        largest[by] = block == top[run[by]] % (len(by) + 1)
+        for step in (1, -1):
+            at, lag = np.flatnonzero(~largest), step
+            while len(at):
+                at = at[(at + lag < len(token)) & (at + lag >= 0)]
+                to = at + lag
+                low, high = np.minimum(n[at], n[to]), np.maximum(n[at], n[to])
+                at = at[(token[at] == token[to]) & (low * DENOMINATOR >= high * NUMERATOR)]
+                to = at + lag
+                most = 1 + np.minimum(n[at] - pos[at] - 1, n[to] - pos[to] - 1)
+                ok = (comp[at] != comp[to]) & (most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n[at] + n[to]))
+                if step < 0:
+                    ok &= largest[to]
+                if ok.any():
+                    i, j = at[ok], to[ok]
+                    i, j = np.where(cid[i] < cid[j], i, j), np.where(cid[i] < cid[j], j, i)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cid[i], cid[j], gid[i], gid[j])], ["a", "b", "ga", "gb"])
+                lag += step
+
+    whole = rows.select("token", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", "gid")
+    return whole.mapInArrow(pair_up, "a long, b long, ga long, gb long").distinct()
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE, bits: int = FILTER_BITS) -> DataFrame:
@@ -478,7 +401,6 @@ def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -
     classes = stage_table(classes, "jaccard-classes")
     group_of = classes.groupBy("n", "prefix_key").agg(F.min("cid").alias("gid"))
     groups = group_of.join(sized.select(F.col("row_no").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix")
-    groups = stage_table(groups, "jaccard-groups")  # the range sort of its postings samples it first
     posted = stage_table(postings(groups), "jaccard-postings")
     members = stage_table(classes.join(group_of, ["n", "prefix_key"]).select("gid", "cid", "doc_id", "text_key"), "jaccard-members")
     crowded = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1").select("gid")
