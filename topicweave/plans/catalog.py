@@ -66,6 +66,7 @@ from topicweave.operators.topics import (
 from topicweave.plans import oracle
 from topicweave.session import cut_lineage, dealt, ensure_checkpoint_dir
 from topicweave.sources.adapters import document_items, offers, table
+from topicweave.sources.bucketed import join_buckets, write_bucketed
 from topicweave.sources.io import save_model
 
 ROUND = oracle.ROUND
@@ -77,6 +78,9 @@ def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", clean_tokens("text").alias("cleaned_words"))
 
 
+PAIRING_BUCKETS = 64
+
+
 # --- rollup (A1-A11) ---------------------------------------------------------
 
 
@@ -533,6 +537,16 @@ def q_item_rollup_withdrawn(spark, sf_dir):
     return kept.select("product_name", sorted_join("retailers").alias("retailers"), F.round("price", ROUND).alias("price"), "purchase_count")
 
 
+def q_bucketed_pairing(spark, sf_dir):
+    """Lengths of documents beside the topics of vectors of the same number,
+    two bucketed tables joined without an exchange."""
+    folder = f"{ensure_checkpoint_dir(spark)}/paired-{uuid.uuid4().hex}"
+    lengths = write_bucketed(q_doc_lengths(spark, sf_dir), f"{folder}/lengths", "doc_id", PAIRING_BUCKETS)
+    scored = _argmax_embeddings(spark, sf_dir).withColumnRenamed("vec_id", "doc_id")
+    topics = write_bucketed(scored, f"{folder}/topics", "doc_id", PAIRING_BUCKETS)
+    return join_buckets(spark, topics, lengths)
+
+
 def q_overview_runs(spark, sf_dir):
     """A9 / A10 of two runs and of their union, from bitmaps."""
     first, second, _ = _halves(spark, sf_dir)
@@ -708,6 +722,7 @@ QUERIES: dict[str, Query] = {
     "item_describe_typed": q_item_describe_typed,
     "item_rollup_merged": q_item_rollup_merged,
     "item_rollup_withdrawn": q_item_rollup_withdrawn,
+    "bucketed_pairing": q_bucketed_pairing,
     "overview_runs": q_overview_runs,
     "item_moments": q_item_moments,
     "term_table": q_term_table,
@@ -760,6 +775,7 @@ ORACLE: dict[str, str] = {
     "item_describe_typed": oracle.item_describe_typed(),
     "item_rollup_merged": oracle.item_rollup(),
     "item_rollup_withdrawn": oracle.item_rollup_withdrawn(),
+    "bucketed_pairing": oracle.bucketed_pairing(),
     "overview_runs": oracle.overview_runs(),
     "item_moments": oracle.item_describe(),
     "term_table": oracle.vocab_band(),

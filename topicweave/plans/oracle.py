@@ -166,6 +166,13 @@ def doc_lengths() -> str:
 select doc_id, cast(len(toks) as integer) as doc_length from tok"""
 
 
+def bucketed_pairing() -> str:
+    return f"""with {_tokens_cte()},
+{ARGMAX_CTE}
+select doc_id, score, topic, cast(len(toks) as integer) as doc_length
+from scored join tok on vec_id is not distinct from doc_id"""
+
+
 def vocab_band() -> str:
     return f"""with {_tokens_cte()},
 {_band_cte()}

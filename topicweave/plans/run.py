@@ -50,6 +50,7 @@ from topicweave.operators.topics import (
     with_assignment,
 )
 from topicweave.session import ensure_checkpoint_dir
+from topicweave.sources.bucketed import join_buckets, write_bucketed
 from topicweave.sources.io import (
     load_features,
     load_model,
@@ -79,7 +80,9 @@ class JobConfig:
     error; they are written apart in either case.  ``term_table`` keeps the
     vocabulary and the topic-term state as tables, for a vocabulary of any size
     (``max_iter`` passes over the documents, or mini-batches of
-    ``topic_batches``).
+    ``topic_batches``).  ``buckets`` writes the items, their vectors, scores and
+    topics in that many buckets by product name (``sources.bucketed``), so that
+    ``run_side_by_side`` joins them without an exchange.
     """
 
     output_base: str
@@ -102,6 +105,7 @@ class JobConfig:
     fail_on_rejects: bool = False
     term_table: bool = False
     topic_batches: int = 1
+    buckets: int | None = None
 
     def with_overrides(self, **kw) -> "JobConfig":
         """Apply CLI-style overrides; a value is used when it is not None."""
@@ -125,6 +129,27 @@ def _land_offers(spark: SparkSession, config: JobConfig, out: str, paths: dict[s
     return read_table(spark, paths["offers"])
 
 
+def _write_items(df: DataFrame, path: str, config: JobConfig) -> str:
+    """A table of one row a product: in buckets when the config says so."""
+    if config.buckets:
+        return write_bucketed(df, path, "product_name", config.buckets)
+    return write_table(df, path)
+
+
+def run_side_by_side(spark: SparkSession, run_dir: str, left: str = "items", right: str = "item_topics") -> DataFrame:
+    """Two of the tables that a run with ``buckets`` keeps by product
+    (``items features scored item_topics``), joined without an exchange; columns
+    of both are the left one's."""
+    base = resolve_run(spark, run_dir)
+    return join_buckets(spark, *(f"{base}/{ITEM_TABLES[name]}" for name in (left, right)))
+
+
+ITEM_TABLES = {
+    "items": "item_df.parquet", "features": "item_tf_idf_df.parquet",
+    "scored": "scored.parquet", "item_topics": "item_topic_df.parquet",
+}
+
+
 def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | None = None) -> dict[str, str]:
     """Run the whole job and return the written paths by output name.
 
@@ -140,7 +165,7 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     if offers is None:
         offers = _land_offers(spark, config, out, paths)
     # items: written once, every later step reads the table
-    paths["items"] = write_table(to_items(offers), f"{out}/item_df.parquet")
+    paths["items"] = _write_items(to_items(offers), f"{out}/item_df.parquet", config)
     items = read_table(spark, paths["items"])
 
     stage = _table_topics if config.term_table else _stock_topics
@@ -148,7 +173,6 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     stats = doc_stats(scored, exact=config.exact_filter)
     relevance = term_relevance(terms, vocab, config.relevance_lambda, config.relevance_terms)
     outputs = {
-        "item_topics": (with_assignment(scored), f"{out}/item_topic_df.parquet"),
         "topics": (described(leading_terms(terms, config.topic_terms)), f"{out}/topics_df.parquet"),
         "doc_stats": (complete_docs(stats), f"{out}/lda_vis/doc_stats.parquet"),
         "doc_rejects": (complete_docs(stats, rejects=True), f"{out}/lda_vis/doc_rejects.parquet"),
@@ -159,8 +183,9 @@ def run_topic_job(spark: SparkSession, config: JobConfig, offers: DataFrame | No
     }
     # independent outputs of one scoring pass: submitted as concurrent Spark
     # jobs so small ones do not leave the cluster idle
-    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+    with ThreadPoolExecutor(max_workers=len(outputs) + 1) as pool:
         futures = {name: pool.submit(write_table, df, path) for name, (df, path) in outputs.items()}
+        futures["item_topics"] = pool.submit(_write_items, with_assignment(scored), f"{out}/item_topic_df.parquet", config)
         for name, fut in futures.items():
             paths[name] = fut.result()
     placed = topic_map(read_table(spark, paths["distances"]), read_table(spark, paths["prevalence"]))
@@ -175,7 +200,7 @@ def _stock_topics(spark: SparkSession, config: JobConfig, items: DataFrame, out:
     vocab_model, feats = to_tf_idf_features(
         items, config.replacement, config.ngram, config.min_df, config.max_df, config.vocab_size, paths["tokens"]
     )
-    paths["features"] = write_table(feats, f"{out}/item_tf_idf_df.parquet")
+    paths["features"] = _write_items(feats, f"{out}/item_tf_idf_df.parquet", config)
     features = read_table(spark, paths["features"])
     paths["feature_model"] = save_features(vocab_model, f"{out}/feature_model")
     paths["vocab"] = write_table(vocab_stats(vocab_model.vocab_df), f"{out}/lda_vis/vocab.parquet")
@@ -186,7 +211,7 @@ def _stock_topics(spark: SparkSession, config: JobConfig, items: DataFrame, out:
     training.unpersist()
     # the per-document inference runs once, into a table, in the feature
     # table's own partitions; the items' sets go along, so nothing is joined
-    paths["scored"] = write_table(score_all(model, features, keep=SETS), f"{out}/scored.parquet")
+    paths["scored"] = _write_items(score_all(model, features, keep=SETS), f"{out}/scored.parquet", config)
     terms = term_distribution(model, vocab_model.vocab_df, paths["model"])
     return read_table(spark, paths["scored"]), terms, vocab_model.vocab_df
 
@@ -206,12 +231,12 @@ def _table_topics(spark: SparkSession, config: JobConfig, items: DataFrame, out:
     paths["vocab"] = write_table(vocab_stats(terms.terms), f"{out}/lda_vis/vocab.parquet")
     vectors = term_vectors(tokens, "product_name", terms, f"{out}/term_vectors.parquet", keep=(*SETS, "cleaned_words"))
     # written once more as vectors, so that any reader of the table gets them
-    paths["features"] = write_table(vectors.select(*FEATURE_COLUMNS), f"{out}/item_tf_idf_df.parquet")
+    paths["features"] = _write_items(vectors.select(*FEATURE_COLUMNS), f"{out}/item_tf_idf_df.parquet", config)
     data = _term_input(tokens, terms, f"{out}/topic_input")
     state = fit_topics(data, first_state(terms.terms, terms.n_terms, config.k, config.seed), config.max_iter, f"{out}/topic_states", config.topic_batches)
     paths["topic_state"] = state.save(f"{out}/topic_state")
     state = TopicState.load(spark, paths["topic_state"])
-    paths["scored"] = write_table(_scored_by_state(tokens, data, state, SETS), f"{out}/scored.parquet")
+    paths["scored"] = _write_items(_scored_by_state(tokens, data, state, SETS), f"{out}/scored.parquet", config)
     data.release()
     named = table_term_shares(state).join(terms.terms.select("term_idx", "word"), "term_idx")
     return read_table(spark, paths["scored"]), named.select("topic", "term_idx", "word", "weight", "prob"), terms.terms

@@ -22,7 +22,8 @@ class NoPublishedRun(FileNotFoundError):
     """The folder holds no finished run."""
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system and the path object of ``path``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf), p
@@ -34,7 +35,7 @@ def new_attempt(run_dir: str) -> str:
 
 
 def _manifests(spark: SparkSession, run_dir: str) -> list[str]:
-    fs, p = _fs(spark, f"{run_dir.rstrip('/')}/{MANIFESTS}")
+    fs, p = hadoop_path(spark, f"{run_dir.rstrip('/')}/{MANIFESTS}")
     if not fs.exists(p):
         return []
     return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().endswith(".json"))
@@ -47,13 +48,13 @@ def publish(spark: SparkSession, run_dir: str, attempt: str, paths: Mapping[str,
     folder, names = f"{run_dir.rstrip('/')}/{MANIFESTS}", _manifests(spark, run_dir)
     number = int(names[-1].split("-")[0]) + 1 if names else 1
     name = f"{number:06d}-{uuid.uuid4().hex}.json"
-    fs, aside = _fs(spark, f"{folder}/_{name}.tmp")
+    fs, aside = hadoop_path(spark, f"{folder}/_{name}.tmp")
     out = fs.create(aside, False)
     try:
         out.write(bytearray(json.dumps({"attempt": attempt, "paths": dict(paths)}, sort_keys=True).encode()))
     finally:
         out.close()
-    target = _fs(spark, f"{folder}/{name}")[1]
+    target = hadoop_path(spark, f"{folder}/{name}")[1]
     if not fs.rename(aside, target):
         raise OSError(f"cannot publish {attempt}: {folder}/{name} was not renamed")
     return f"{folder}/{name}"
@@ -83,7 +84,7 @@ def resolve_run(spark: SparkSession, run_dir: str) -> str:
 
 def published_runs(spark: SparkSession, base: str) -> list[str]:
     """Run folders under ``base`` (``io.run_path``) with a finished attempt."""
-    fs, pattern = _fs(spark, f"{base.rstrip('/')}/run=*/k=*/iter=*/seed=*/{MANIFESTS}/*.json")
+    fs, pattern = hadoop_path(spark, f"{base.rstrip('/')}/run=*/k=*/iter=*/seed=*/{MANIFESTS}/*.json")
     found = fs.globStatus(pattern) or []
     return sorted({f.getPath().getParent().getParent().toString() for f in found})
 
@@ -95,7 +96,7 @@ def drop_unpublished(spark: SparkSession, run_dir: str) -> list[str]:
     for name in _manifests(spark, run_dir):
         rows = spark.read.option("wholetext", True).text(f"{run_dir.rstrip('/')}/{MANIFESTS}/{name}").collect()
         named.add(json.loads("\n".join(r["value"] for r in rows))["attempt"].rpartition("/")[2])
-    fs, p = _fs(spark, run_dir)
+    fs, p = hadoop_path(spark, run_dir)
     gone = []
     for f in fs.listStatus(p):
         name = f.getPath().getName()
