@@ -130,6 +130,35 @@ def test_lists_of_many_components(spark):
     check(spark, spark.createDataFrame(long_lists(120, 12), "doc_id long, text string").repartition(3))
 
 
+def test_long_lists_are_dealt_out(spark):
+    """Lists of more than five entries are long here: the rows stay the same."""
+    rows = long_lists(120, 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, _ = brute(rows)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in nj.shingle_components(spark, docs, hot=5).collect()) == want
+
+
+def test_a_hub_holds_a_long_list_together(spark):
+    """Each entry of a list in several parts still meets the list's one hub."""
+    groups = [(g, 100, [7, 1000 + g]) for g in range(200)]
+    posted = nj.postings(spark.createDataFrame(groups, "gid long, n int, prefix array<bigint>").repartition(4), hot=20)
+    assert {r.parts for r in posted.collect()} == {10}  # the other lists hold one entry and are gone
+    met = {(r.a, r.b) for r in nj.sparse_pairs(posted).collect()}
+    assert {(0, g) for g in range(1, 200)} <= met
+    assert len(met) < 2 * 200
+
+
+def test_a_long_list_is_read_in_blocks(spark):
+    """A list that holds every entry, in blocks of 100: each pair once, and
+    only entries outside the largest component look for partners."""
+    rows = [(1, c, c, 50, 0, 0 if c % 50 else c) for c in range(4000)]
+    entries = spark.createDataFrame(rows, "token long, gid long, cid long, n int, pos int, comp long").repartition(4)
+    long = spark.createDataFrame([(1, len(rows))], "token long, listed long")
+    want = {(min(a, b), max(a, b)) for a in range(0, 4000, 50) for b in range(4000) if rows[a][5] != rows[b][5]}
+    got = [(r.a, r.b) for r in nj.block_pairs(entries, long, 100).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_open_pairs_equal_brute_force(spark):
     rnd = random.Random(22)
     rows = []
@@ -145,6 +174,7 @@ def test_open_pairs_equal_brute_force(spark):
                     want.add((a[2], b[2], a[1], b[1]))
     entries = spark.createDataFrame(rows, "token long, gid long, cid long, n int, pos int, comp long").repartition(4)
     assert {tuple(r) for r in nj.open_pairs(entries).collect()} == want
+    assert {tuple(r) for r in nj.open_pairs(entries, hot=7).collect()} == want
 
 
 def test_postings_keep_what_has_a_partner(spark):
@@ -155,6 +185,9 @@ def test_postings_keep_what_has_a_partner(spark):
     want = {r for r in rows if any(o[0] == r[0] and o[1] != r[1] and min(o[2], r[2]) * 100 >= 80 * max(o[2], r[2]) for o in rows)}
     got = nj.postings(spark.createDataFrame(groups, "gid long, n int, prefix array<bigint>").repartition(3))
     assert {(r.token, r.gid, r.n, r.pos) for r in got.collect()} == want
+    dealt = nj.postings(spark.createDataFrame(groups, "gid long, n int, prefix array<bigint>").repartition(3), hot=2)
+    kept = {(r.token, r.gid, r.n, r.pos) for r in dealt.collect()}
+    assert want <= kept <= set(rows)
 
 
 def test_sketch_grows_with_the_corpus(spark, sample):

@@ -16,6 +16,10 @@ results, so the sketch's error costs time only.
   of different components that passes the size, position and count filters
   is verified.  So nothing is lost, and a large cluster of near copies does not
   cost all of its pairs.
+* No list is held whole.  One of more than ``HOT_LIST`` entries is dealt out:
+  its neighbours in size are taken part by part, its hub is an aggregate, and
+  in the second round a task holds one block of it, past which the entries
+  outside its largest component stream.
 
 Defined cases: A-Z is lower-cased, words are runs without white space; fewer
 than five words count as one shingle; null and empty texts have an empty set
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import read_table, small_batches, stage_table, text_or_empty
+from topicweave.llm.common import is_empty, read_table, small_batches, stage_table, text_or_empty
 from topicweave.llm.components import connected_components
 from topicweave.llm.textscan import LOWER, SHINGLE_CODE, buffer_of, chunked, mix, slices, windows, word_hashes, words
 
@@ -46,6 +50,8 @@ UNKNOWN_BYTES = 1 << 60  # Spark's default for a size that it cannot estimate is
 SKETCH_BLOCK = 1 << 15
 FILTER_BITS = 24
 PAIRS_PER_SALT = 2000
+HOT_LIST = 100_000  # entries; a longer posting list is dealt out in parts of this size
+MEET_AT_ONCE = 1 << 18  # comparisons made at a time
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE):
@@ -201,26 +207,40 @@ def _position_allows(n1, p1, n2, p2):
     return most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (n1 + n2)
 
 
-def postings(groups: DataFrame) -> DataFrame:
-    """token, gid, n, pos: entries that have a partner of fitting size."""
+def postings(groups: DataFrame, hot: int = HOT_LIST) -> DataFrame:
+    """token, gid, n, pos, part, parts: entries that have a partner of fitting size.
+
+    A list of more than ``hot`` entries has several parts, drawn by group; all
+    of its entries stay, as a part does not show every partner.  The table of
+    such lists has at most one row for ``hot`` entries and is broadcast.
+    """
     rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    along = Window.partitionBy("token").orderBy("n", "gid")
+    listed = rows.groupBy("token").agg(F.count("*").alias("listed")).where(F.col("listed") > hot)
+    listed = stage_table(listed.select("token", F.ceil(F.col("listed") / hot).cast("int").alias("parts")), "jaccard-hot")
+    rows = rows.join(F.broadcast(listed), "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int"))
+    along = Window.partitionBy("token", "part").orderBy("n", "gid")
     before, after = F.lag("n").over(along), F.lead("n").over(along)
     near = rows.withColumn("before", before).withColumn("after", after)
     return near.where(
-        (F.col("before") * DENOMINATOR >= F.col("n") * NUMERATOR) | (F.col("n") * DENOMINATOR >= F.col("after") * NUMERATOR)
-    ).select("token", "gid", "n", "pos")
+        (F.col("parts") > 1)
+        | (F.col("before") * DENOMINATOR >= F.col("n") * NUMERATOR)
+        | (F.col("n") * DENOMINATOR >= F.col("after") * NUMERATOR)
+    ).select("token", "gid", "n", "pos", "part", "parts")
 
 
 def sparse_pairs(posted: DataFrame) -> DataFrame:
-    """First round: each entry with its list's hub and with its neighbour in size."""
-    hub = Window.partitionBy("token").orderBy("pos", "gid")
-    by_size = Window.partitionBy("token").orderBy("n", "gid")
+    """First round: each entry with its list's hub and with its neighbour in
+    size (in its part of a list in several parts, whose hub is an aggregate)."""
+    hub = Window.partitionBy("token", "part").orderBy("pos", "gid")
+    by_size = Window.partitionBy("token", "part").orderBy("n", "gid")
+    top = posted.where("parts > 1").groupBy("token").agg(F.min(F.struct("pos", "gid", "n")).alias("top"))
+    top = top.select("token", F.struct("top.gid", "top.n", "top.pos").alias("top"))  # a row for each long list
     rows = posted.select(
-        "gid", "n", "pos",
-        F.first(F.struct("gid", "n", "pos")).over(hub).alias("hub"),
+        "token", "gid", "n", "pos",
+        F.first(F.struct("gid", "n", "pos")).over(hub).alias("first"),
         F.lag(F.struct("gid", "n", "pos")).over(by_size).alias("near"),
-    )
+    ).join(F.broadcast(top), "token", "left").withColumn("hub", F.coalesce("top", "first"))
 
     def pairs(other: str) -> DataFrame:
         o = F.col(other)
@@ -261,16 +281,102 @@ def plausible(pairs: DataFrame, posted: DataFrame) -> DataFrame:
     return shared.where(_enough_common(F.col("common"), *map(F.col, SHARED))).select("a", "b")
 
 
-def open_pairs(entries: DataFrame) -> DataFrame:
+def open_pairs(entries: DataFrame, hot: int = HOT_LIST) -> DataFrame:
     """Second round: all pairs of one posting list that lie in different
     components and pass the size and position filters: a, b and their groups
     ga, gb.  ``entries``: token, gid, cid, n, pos, comp.
 
     Lists within one component are dropped before; the rest are read in order
-    of size, so an entry meets only entries of fitting size.
+    of size, so an entry meets only entries of fitting size.  A list of more
+    than ``hot`` entries goes to ``block_pairs``; there is at most one of them
+    for ``hot`` entries, so their names are broadcast.
+    """
+    sums = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("listed"))
+    several = stage_table(sums.where("lo != hi").select("token", "listed"), "jaccard-several")
+    long = several.where(F.col("listed") > hot)
+    if is_empty(long):
+        return _list_pairs(entries.join(several, "token", "left_semi")).distinct()
+    few = several.where(F.col("listed") <= hot)
+    # The short lists alone meet in a shuffle by token.
+    short = entries.join(F.broadcast(long), "token", "left_anti").join(few, "token", "left_semi")
+    return _list_pairs(short).unionByName(block_pairs(entries, long, hot)).distinct()
+
+
+def block_pairs(entries: DataFrame, long: DataFrame, block: int) -> DataFrame:
+    """The pairs of ``open_pairs`` for the lists in ``long`` (token, listed).
+
+    Each list is dealt out in blocks of about ``block`` entries.  Entries of its
+    largest component need not meet each other, so only the others ask: an
+    asking entry goes to every block, and a task holds one block.
     """
-    several = entries.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    rows = entries.join(several, "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "cid")
+    rows = stage_table(entries.join(F.broadcast(long), "token"), "jaccard-long")
+    held = rows.groupBy("token", "comp").agg(F.count("*").alias("held"))
+    top = held.groupBy("token").agg(F.max(F.struct("held", "comp"))["comp"].alias("top"))
+    blocks = F.ceil(F.col("listed") / block).cast("int")
+    rows = rows.join(F.broadcast(top), "token").select(
+        "token", "gid", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp",
+        (F.col("comp") != F.col("top")).alias("asks"), blocks.alias("blocks"),
+    )
+    fields = ["gid", "cid", "n", "pos", "comp", "asks"]
+    keys = ["token", "block", "kind"]
+    home = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    stored = rows.select("token", home.alias("block"), F.lit(0).alias("kind"), *fields)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asking = rows.where("asks").select("token", every.alias("block"), F.lit(1).alias("kind"), *fields)
+    dealt = stored.unionByName(asking).repartition("token", "block").sortWithinPartitions(*keys, "n")
+
+    def meet(batches):
+        at, held = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*keys, *fields)}
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.any([cols[c][1:] != cols[c][:-1] for c in keys], axis=0)
+            bounds = [*np.flatnonzero(new).tolist(), batch.num_rows]
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                where = (cols["token"][lo], cols["block"][lo])
+                part = {c: cols[c][lo:hi] for c in fields}
+                if cols["kind"][lo] == 0:
+                    held = {c: np.concatenate([held[c], part[c]]) for c in fields} if where == at else part
+                    at = where
+                elif where == at:  # else the block is empty
+                    yield from _met(part, held)
+
+    return dealt.mapInArrow(meet, PAIRS)
+
+
+def _met(asking: dict, held: dict):
+    """Pairs of asking entries with a block's entries (sorted by size), a
+    bounded number of comparisons at a time."""
+    first = np.searchsorted(held["n"], -(-asking["n"] * NUMERATOR // DENOMINATOR), "left")
+    last = np.searchsorted(held["n"], asking["n"] * DENOMINATOR // NUMERATOR, "right")
+    ends, begin = np.cumsum(last - first), 0
+    while begin < len(ends):
+        done = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + MEET_AT_ONCE, "right")))
+        width = (last - first)[begin:end]
+        i = np.repeat(np.arange(begin, end), width)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(first[begin:end], width)
+        a, b = {c: asking[c][i] for c in asking}, {c: held[c][j] for c in held}
+        most = 1 + np.minimum(a["n"] - a["pos"] - 1, b["n"] - b["pos"] - 1)
+        # two asking entries meet twice; the smaller one reports
+        ok = (a["comp"] != b["comp"]) & (~b["asks"] | (a["cid"] < b["cid"]))
+        ok &= most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (a["n"] + b["n"])
+        if ok.any():
+            a, b = {c: a[c][ok] for c in a}, {c: b[c][ok] for c in b}
+            low = a["cid"] < b["cid"]
+            cols = [np.where(low, x, y) for x, y in ((a["cid"], b["cid"]), (b["cid"], a["cid"]), (a["gid"], b["gid"]), (b["gid"], a["gid"]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "ga", "gb"])
+        begin = end
+
+
+PAIRS = "a long, b long, ga long, gb long"
+
+
+def _list_pairs(entries: DataFrame) -> DataFrame:
+    """The pairs of ``open_pairs`` for lists that a task can hold."""
+    rows = entries.repartition("token").sortWithinPartitions("token", "n", "cid")
 
     def pair_up(batches):
         carry = None
@@ -319,7 +425,7 @@ def open_pairs(entries: DataFrame) -> DataFrame:
                 lag += step
 
     whole = rows.select("token", "cid", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", "gid")
-    return whole.mapInArrow(pair_up, "a long, b long, ga long, gb long").distinct()
+    return whole.mapInArrow(pair_up, PAIRS)
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, k: int = SHINGLE, bits: int = FILTER_BITS) -> DataFrame:
@@ -384,9 +490,10 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return ordered.mapInArrow(check, "u long, v long")
 
 
-def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, hot: int = HOT_LIST) -> DataFrame:
     """One row per document: doc_id, text_key, n_shingles, component_id, keep.
 
+    Posting lists of more than ``hot`` entries are dealt out in parts.
     ``keep`` marks the rows of the component's first document (all documents
     without words; repeated rows share the mark).
     """
@@ -401,7 +508,7 @@ def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -
     classes = stage_table(classes, "jaccard-classes")
     group_of = classes.groupBy("n", "prefix_key").agg(F.min("cid").alias("gid"))
     groups = group_of.join(sized.select(F.col("row_no").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix")
-    posted = stage_table(postings(groups), "jaccard-postings")
+    posted = stage_table(postings(groups, hot), "jaccard-postings")
     members = stage_table(classes.join(group_of, ["n", "prefix_key"]).select("gid", "cid", "doc_id", "text_key"), "jaccard-members")
     crowded = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1").select("gid")
 
@@ -421,8 +528,8 @@ def shingle_components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE) -
     )
     # A crowded group's members meet under the group's first shingle as well.
     alone = groups.join(crowded, "gid", "left_semi").select(F.element_at("prefix", 1).alias("token"), "gid", "n", F.lit(0).alias("pos"))
-    entries = posted.unionByName(alone).distinct().join(labelled, "gid").select("token", "gid", "cid", "n", "pos", "comp")
-    met = stage_table(open_pairs(entries), "jaccard-met")
+    entries = posted.select("token", "gid", "n", "pos").unionByName(alone).distinct().join(labelled, "gid").select("token", "gid", "cid", "n", "pos", "comp")
+    met = stage_table(open_pairs(entries, hot), "jaccard-met")
     # Pairs of groups, smaller first, whose prefixes share enough.
     by_group = met.select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")).where("a != b").distinct()
     sound = plausible(by_group, posted).select(F.col("a").alias("sa"), F.col("b").alias("sb"))
