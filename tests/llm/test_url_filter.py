@@ -147,3 +147,18 @@ def test_query_runs_without_python(spark):
     for r in rows:
         verdict, rule = stated(pages[r.page_id])
         assert ((r.host, r.path), r.rule) == (parts(pages[r.page_id]), rule) and r.verdict in (verdict, "block" if r.mined else "allow")
+
+
+def test_no_cap_on_tokens_urls_or_rules(spark):
+    """More frequent tokens than 256, URLs of more than 8 of them that come
+    together, and more rules than 2,000: all of them are mined."""
+    rows = [([f"p=bad{i}", "h=example"], True) for i in range(300) for _ in range(12)]
+    rows += [(["h=example", f"p=good{i % 5}"], False) for i in range(4000)]
+    twins = [f"q=twin{i}" for i in range(14)]
+    rows += [([*twins, "h=example", "p=x"], True) for _ in range(30)] + [(["h=example", "p=x"], False) for _ in range(30)]
+    rows += [([f"h=a{i % 50}", f"p=b{i // 50 % 45}"], True) for i in range(2250 * 12)]
+    rows += [([f"h=a{i % 50}"], False) for i in range(50 * 800)] + [([f"p=b{i % 45}"], False) for i in range(45 * 800)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    got = {tuple(r.tokens) for r in uf.mine_rules(labelled, min_rows=10, min_support=1e-5).collect()}
+    want = {(f"p=bad{i}",) for i in range(300)} | {(t,) for t in twins} | {(f"h=a{i}", f"p=b{j}") for i in range(50) for j in range(45)}
+    assert got == want

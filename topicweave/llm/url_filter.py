@@ -11,10 +11,14 @@ end of its confidence's interval passes a threshold, and when no rule with
 fewer of its tokens stays.  Each rule is listed in an inverted index under its
 rarest token; a URL looks up its own tokens and verifies the rules it finds.
 
-The learner is bounded by parameters: ``MAX_TOKENS`` tokens (the most telling
-ones over all labelled rows), ``TOKENS_A_URL`` of them in one transaction,
-``MAX_RULES`` rules.  The index has one entry a rule, so it goes to every task.
-Every labelled row is counted; every URL is judged by all of its tokens.
+The learner is bounded by its support alone: every token that enough labelled
+rows hold (at most ``1 / MIN_SUPPORT`` times a URL's mean number of them) is an
+item of every transaction that has it, and every rule that passes stays.  Tokens
+that occur in exactly the same labelled rows (a query's fixed parameters, say)
+are one item while FP-growth runs, since any two of them add nothing to one; a
+rule found with the item is then written out for each of them.  The index has one
+entry a rule and goes to every task.  Every labelled row is counted; every URL is
+judged by all of its tokens.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path
 and no tokens; it fits no rule and is allowed.  Repeated labels of one id count
@@ -40,9 +44,6 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-MAX_TOKENS = 256  # tokens that rules are made of
-TOKENS_A_URL = 8  # most telling tokens of one labelled URL
-MAX_RULES = 2000  # strongest rules kept before the redundant ones go
 MIN_ROWS = 10  # labelled rows that a rule covers
 MIN_SUPPORT = 0.0005  # ... as a share of all labelled rows
 MIN_CONFIDENCE = 0.5  # lower end of the confidence's interval
@@ -110,13 +111,32 @@ def labelled_urls(urls: DataFrame, labels: DataFrame, key: str = "page_id") -> D
     return own.join(known, own["url_id"] == known["label_id"]).select(url_tokens(F.col("url")).alias("tokens"), "bad")
 
 
-def telling_tokens(rows: DataFrame, n: int, n_bad: int, least: int) -> list[str]:
-    """At most ``MAX_TOKENS`` tokens, the most telling first (by chi-square)."""
-    seen = rows.select("bad", F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull())
-    counts = seen.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("b")).where(F.col("n") >= least)
-    off = F.col("b") * float(n) - F.col("n") * float(n_bad)
-    score = off * off / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(n_bad) * float(n - n_bad), F.lit(1.0))
-    return [r["token"] for r in counts.orderBy(score.desc(), "token").limit(MAX_TOKENS).collect()]
+def frequent_tokens(rows: DataFrame, least: float) -> list[str]:
+    """The tokens of at least ``least`` rows: as many at most as all rows'
+    tokens over ``least``."""
+    seen = rows.select(F.explode_outer("tokens").alias("token")).where(F.col("token").isNotNull())
+    return sorted(r["token"] for r in seen.groupBy("token").count().where(F.col("count") >= least).collect())
+
+
+def twin_tokens(rows: DataFrame) -> dict[str, list[str]]:
+    """The tokens of ``rows`` (``tokens``) by the first of those that occur in
+    the same rows; counted over the distinct lists."""
+    lists = rows.groupBy("tokens").count()
+    pairs = lists.select(F.explode("tokens").alias("a"), "tokens", "count").select("a", F.explode("tokens").alias("b"), "count")
+    both = pairs.groupBy("a", "b").agg(F.sum("count").alias("n"))
+    alone = both.where(F.col("a") == F.col("b"))
+    of = both.join(alone.select("a", F.col("n").alias("n_a")), "a").join(alone.select("b", F.col("n").alias("n_b")), "b")
+    same = of.where((F.col("n") == F.col("n_a")) & (F.col("n") == F.col("n_b"))).groupBy("a").agg(F.array_sort(F.collect_list("b")).alias("twins"))
+    return {r["a"]: r["twins"] for r in same.where(F.col("a") == F.col("twins")[0]).collect()}
+
+
+def written_out(rules: DataFrame, twins: dict[str, list[str]]) -> DataFrame:
+    """``rules`` over first twins as the rules over every choice of twins."""
+    of = F.map_from_arrays(F.array(*map(F.lit, twins)), F.array(*[F.array(*map(F.lit, t)) for t in twins.values()]))
+    none = F.array(F.array().cast("array<string>"))
+    more = lambda found, token: F.flatten(F.transform(F.element_at(of, token), lambda t: F.transform(found, lambda f: F.array_append(f, t))))
+    chosen = F.explode(F.aggregate("tokens", none, more)).alias("tokens")
+    return rules.select(chosen, "hits", "rows", "confidence", "strength").withColumn("tokens", F.array_sort("tokens"))
 
 
 def interval_floor(hits: Column, rows: Column, z: float = Z) -> Column:
@@ -141,11 +161,13 @@ def mine_rules(
     if not n_bad:
         return none
     least = max(min_rows, min_support * n)
-    chosen = telling_tokens(labelled, n, n_bad, least)
+    chosen = frequent_tokens(labelled, least)
     if not chosen:
         return none
-    own = F.slice(F.array_intersect(F.array(*map(F.lit, chosen)), "tokens"), 1, TOKENS_A_URL)
-    items = stage_table(labelled.select(F.concat(own, F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")), "url-items")
+    held = labelled.select(F.array_intersect(F.array(*map(F.lit, chosen)), "tokens").alias("tokens"), "bad")
+    twins = twin_tokens(held)
+    own = F.array_intersect(F.array(*map(F.lit, twins)), "tokens")
+    items = stage_table(held.select(F.concat(own, F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")), "url-items")
     # a combination with the label has at least this share of the rows
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, least * min_confidence / n), minConfidence=min_confidence).fit(items)
     sets = model.freqItemsets
@@ -155,8 +177,8 @@ def mine_rules(
     alone = sets.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("a_tokens"), F.col("freq").alias("rows"))
     rules = with_label.join(alone, F.col("tokens") == F.col("a_tokens")).where(F.col("rows") >= least)
     rules = rules.select("tokens", "hits", "rows", (F.col("hits") / F.col("rows")).alias("confidence"), interval_floor(F.col("hits"), F.col("rows")).alias("strength"))
-    strong = rules.where(F.col("strength") >= min_confidence).orderBy(F.col("strength").desc(), F.size("tokens"), "tokens").limit(MAX_RULES)
-    return pruned(stage_table(strong, "url-strong"))
+    kept = pruned(stage_table(rules.where(F.col("strength") >= min_confidence), "url-strong"))
+    return stage_table(written_out(kept, twins), "url-written")
 
 
 def pruned(rules: DataFrame) -> DataFrame:
@@ -173,7 +195,7 @@ def pruned(rules: DataFrame) -> DataFrame:
 
 def inverted_index(rules: DataFrame) -> Column:
     """map<token, array<struct<tokens, strength>>> with each rule under its
-    rarest token, as a scalar: at most ``MAX_RULES`` entries."""
+    rarest token, as a scalar: one entry a rule."""
     uses = rules.select(F.explode("tokens").alias("token"), "rows").groupBy("token").agg(F.max("rows").alias("most"))
     rarest = rules.select("tokens", "strength", F.explode("tokens").alias("token")).join(uses, "token").groupBy("tokens", "strength").agg(
         F.min(F.struct("most", "token"))["token"].alias("token")
