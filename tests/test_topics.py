@@ -258,3 +258,24 @@ def test_balanced_rank_equals_window_rank(spark):
     a = {r["vec_id"]: r["rank"] for r in rank_within_topic(scored, tie_col="vec_id").collect()}
     b = {r["vec_id"]: r["rank"] for r in rank_within_topic_balanced(scored, tie_col="vec_id", partitions=7).collect()}
     assert len(a) == scored.count() and a == b
+
+
+def test_layout_grows_with_the_corpus():
+    from topicweave.operators.topics import DOCS_A_PARTITION, LAYOUT_PARTITIONS, layout_partitions
+
+    assert layout_partitions(0) == layout_partitions(LAYOUT_PARTITIONS * DOCS_A_PARTITION) == LAYOUT_PARTITIONS
+    assert layout_partitions(520_000) == 52
+
+
+def test_sweep_infers_the_documents_once_a_model(spark, monkeypatch):
+    from pyspark.ml.clustering import LDAModel
+    from pyspark.ml.linalg import Vectors
+
+    from topicweave.operators.topics import sweep
+
+    rows = [(str(i), Vectors.sparse(6, {i % 3: 1.5 + i, 3 + i % 2: 2.0})) for i in range(30)]
+    data = spark.createDataFrame(rows, ["product_name", "features"])
+    plain = LDAModel.logPerplexity
+    monkeypatch.setattr(LDAModel, "logPerplexity", lambda *a: pytest.fail("inferred again"))
+    got = sweep(data, [(2, 3, 1)])[0]
+    assert got.log_perplexity == pytest.approx(plain(got.model, data), rel=1e-9)
