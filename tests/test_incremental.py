@@ -93,3 +93,8 @@ def test_empty(spark):
     none = _offers(spark, random_offers(9, 5)).where(F.lit(False))
     assert items_of(member_counts(none)).count() == 0
     assert tuple(offers_overview(none).first()) == (0, 0, 0, 0)
+
+
+def test_single_members_are_not_made_by_lambdas(spark):
+    plan = member_counts(_offers(spark, random_offers(9, 20)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") == 1

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicweave.operators.rollup import CATEGORY_COL, DESCRIPTION, EXACT, ROW, ROW_SALTS, SET_NAMES, is_plain_price
-from topicweave.operators.sets import gather_sets, member_structs
+from topicweave.operators.sets import gather_sets
 
 ODD_PRICE = "odd_price"  # a price that does not sum exactly is a member of its own
 KEYS = ("product_name", "kind", "value")
@@ -24,24 +24,19 @@ def _entries(offers: DataFrame) -> DataFrame:
     """An offer as its members and one ``row`` entry with the measures."""
     price = F.col("e_price").cast("double")
     odd = F.when(price.isNotNull() & ~is_plain_price(price), price.cast("string"))
-    members = member_structs(
-        {
-            "codes": F.array("item_code"),
-            "brands": F.array("e_brand_formatted_slug"),
-            "retailers": F.array("retailer_code"),
-            "categories": F.array_distinct(CATEGORY_COL),  # an offer holds a category once
-            DESCRIPTION: F.array("long_description"),
-            ODD_PRICE: F.array(odd),
-        }
-    )
-    none = F.lit(None)
-    plain = F.transform(
-        members,
-        lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"), none.cast("string").alias("code"), none.cast("double").alias("price")),
+    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS))
+
+    def entry(kind, value, code=F.lit(None).cast("string"), price=F.lit(None).cast("double")):
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), code.alias("code"), price.alias("price"))
+
+    # single members are plain structs: only the categories need a lambda
+    single = F.array(
+        entry(ROW, salt, F.col("item_code"), price), entry("codes", F.col("item_code")), entry("brands", F.col("e_brand_formatted_slug")),
+        entry("retailers", F.col("retailer_code")), entry(DESCRIPTION, F.col("long_description")), entry(ODD_PRICE, odd),
     )
-    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS)).cast("string")
-    row = F.array(F.struct(F.lit(ROW).alias("kind"), salt.alias("value"), F.col("item_code").alias("code"), price.alias("price")))
-    opened = offers.select("product_name", F.explode(F.concat(row, plain)).alias("m")).select("product_name", "m.*")
+    # an offer holds a category once
+    categories = F.transform(F.coalesce(F.array_distinct(CATEGORY_COL), F.array().cast("array<string>")), lambda v: entry("categories", v))
+    opened = offers.select("product_name", F.explode(F.concat(single, categories)).alias("m")).select("product_name", "m.*")
     return opened.where(F.col("value").isNotNull() | (F.col("kind") == "categories"))
 
 
