@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicweave.operators import lda_table as lt
-from topicweave.operators.halving import halving_table, held_out, successive_halving
+from topicweave.operators.halving import halving_table, held_out, rung_totals, successive_halving
 from topicweave.operators.termtable import fit_terms, term_entries
 
 
@@ -62,3 +62,34 @@ def test_no_points(planted):
     model, train, held = planted
     with pytest.raises(ValueError):
         successive_halving(train, held, model.terms, model.n_terms, [])
+
+
+def test_rungs_share_out_the_whole_run(spark, planted):
+    assert rung_totals(6, 4, steps=50) == [7, 21, 50] and rung_totals(1, 4, steps=50) == [50]
+    assert rung_totals(4, 3) == [3, 9] and rung_totals(5, 2, 3) == [2, 8]
+    model, train, held = planted
+    state, record = successive_halving(train, held, model.terms, model.n_terms, [(2, 5), (4, 5), (1, 5)], steps=6)
+    assert state.step == 6 and [r.steps for r in record] == [2, 2, 2, 6, 6]
+
+
+def test_query_gives_the_winner_a_default_run(spark, monkeypatch):
+    """Every K from 3 to 8 is tried and the one chosen has had 50 steps."""
+    from topicweave.functions.constants import DEFAULT_MAX_ITER
+    from topicweave.operators import halving
+    from topicweave.plans import catalog
+
+    class Part:
+        def release(self):
+            pass
+
+    def fit(train, state, steps, path, batches):
+        return lt.TopicState(state.table, state.k, state.n_terms, state.step + steps, state.seed)
+
+    docs = spark.createDataFrame([(i, ["a", "b"]) for i in range(4)], "doc_id long, cleaned_words array<string>")
+    monkeypatch.setattr(catalog, "_term_model", lambda spark, sf_dir: (fit_terms(docs, min_df=1, max_df=4.0), docs))
+    monkeypatch.setattr(catalog, "topic_input", lambda *a: Part())
+    monkeypatch.setattr(halving, "fit_topics", fit)
+    monkeypatch.setattr(halving, "held_out_perplexity", lambda held, state: abs(state.k - 4.4))
+    rows = catalog.q_topic_halving(spark, "").orderBy("rung", "k").collect()
+    assert [r.k for r in rows if r.rung == 0] == [3, 4, 5, 6, 7, 8]
+    assert [(r.k, r.steps) for r in rows if r.rung == 2 and r.kept] == [(4, DEFAULT_MAX_ITER)]
