@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_rollup import CAT, _offers
 from topicweave.operators.incremental import apply_changes, items_of, member_counts, unmatched
 from topicweave.operators.rollup import offers_overview, item_overview, to_items
+from topicweave.plans import catalog
 
 
 def random_offers(seed, n=400):
@@ -98,3 +99,48 @@ def test_empty(spark):
 def test_single_members_are_not_made_by_lambdas(spark):
     plan = member_counts(_offers(spark, random_offers(9, 20)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lambdafunction(") == 1
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(")
+
+
+def test_members_are_exchanged_once(spark):
+    """Offers' members (whole texts among them) go through one exchange, and a
+    state that is dealt out by its members is not moved again."""
+    a, b = _offers(spark, random_offers(10, 40)), _offers(spark, random_offers(11, 40))
+    assert exchanges(member_counts(a)) == 1
+    state = apply_changes(member_counts(a), added=b)
+    assert exchanges(state) == 2 and exchanges(apply_changes(state, withdrawn=b)) == 3
+    assert exchanges(apply_changes(state.checkpoint(), withdrawn=b)) == 2
+
+
+@pytest.fixture()
+def odd_tables(spark, scratch):
+    """Offers with repeated and null keys, and one document of two parts."""
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/{name}.parquet")
+
+    parts = [(1, "p", "b", "t", 5), (1, "p", "b", "t", 5), (2, "p", None, "t", 6), (None, "q", "b", "t", 7), (3, None, "b", None, None)]
+    put("lineitem", [(k, s, x) for k in (1, 2, 3, 4, None) for s in (10, 13, None, 99) for x in (2.5, 3.25, None)] * 2, "l_partkey long, l_suppkey long, l_extendedprice double")
+    put("part", parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    put("supplier", [(10, "s0"), (10, "s0"), (13, "s4"), (None, "s9"), (12, None)], "s_suppkey long, s_name string")
+    put("documents", [(1, "text b"), (1, "text a"), (2, None), (5, "none")], "doc_id long, text string")
+    return scratch
+
+
+def test_offers_carry_no_text_through_the_supplier_join(spark, odd_tables):
+    rows = catalog.offers(spark, odd_tables)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_partkey" in plan[plan.index("Join Inner"):].splitlines()[0]
+    # part 1 twice with two texts, part 2 and 3 once; supplier 10 twice, 13 once; three prices, all rows twice
+    assert rows.count() == (2 * 2 + 1 + 1) * 3 * 3 * 2
+
+
+def test_rollup_queries_on_odd_rows(spark, odd_tables):
+    whole = catalog._rollup_text(to_items(catalog.offers(spark, odd_tables)))
+    assert table(catalog.q_item_rollup_merged(spark, odd_tables)) == table(whole)
+    kept = catalog.offers(spark, odd_tables).where(~F.col("retailer_code").rlike("[0369]$"))
+    names = ["product_name", "retailers", "price", "purchase_count"]
+    want = to_items(kept).withColumn("retailers", catalog.sorted_join("retailers")).withColumn("price", F.round("price", catalog.ROUND))
+    assert table(catalog.q_item_rollup_withdrawn(spark, odd_tables)) == table(want.select(*names))

@@ -2,9 +2,10 @@
 
 A state is a table of counted members: for each product, kind and value the
 number of offers that hold it, and for each product its offers and the exact
-sum of its prices.  New offers add to the counts and withdrawn ones subtract,
-so a day's changes touch no old offer; items are read off the state by the same
-gathering step as the full rollup.
+sum of its prices.  A state is dealt out by product, kind and value, and changes
+dealt alike are added without another exchange.  New offers add to the counts
+and withdrawn ones subtract, so a day's changes touch no old offer; items are
+read off the state by the same gathering step as the full rollup.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.operators.rollup import CATEGORY_COL, DESCRIPTION, EXACT, ROW, ROW_SALTS, SET_NAMES, is_plain_price
+from topicweave.operators.rollup import CATEGORY_COL, DESCRIPTION, EXACT, ROW, SET_NAMES, is_plain_price
 from topicweave.operators.sets import gather_sets
 
 ODD_PRICE = "odd_price"  # a price that does not sum exactly is a member of its own
@@ -24,34 +25,32 @@ def _entries(offers: DataFrame) -> DataFrame:
     """An offer as its members and one ``row`` entry with the measures."""
     price = F.col("e_price").cast("double")
     odd = F.when(price.isNotNull() & ~is_plain_price(price), price.cast("string"))
-    salt = F.pmod(F.xxhash64("item_code", "retailer_code", "e_price"), F.lit(ROW_SALTS))
 
     def entry(kind, value, code=F.lit(None).cast("string"), price=F.lit(None).cast("double")):
         return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), code.alias("code"), price.alias("price"))
 
     # single members are plain structs: only the categories need a lambda
     single = F.array(
-        entry(ROW, salt, F.col("item_code"), price), entry("codes", F.col("item_code")), entry("brands", F.col("e_brand_formatted_slug")),
+        entry(ROW, F.lit(None), F.col("item_code"), price), entry("codes", F.col("item_code")), entry("brands", F.col("e_brand_formatted_slug")),
         entry("retailers", F.col("retailer_code")), entry(DESCRIPTION, F.col("long_description")), entry(ODD_PRICE, odd),
     )
     # an offer holds a category once
     categories = F.transform(F.coalesce(F.array_distinct(CATEGORY_COL), F.array().cast("array<string>")), lambda v: entry("categories", v))
     opened = offers.select("product_name", F.explode(F.concat(single, categories)).alias("m")).select("product_name", "m.*")
-    return opened.where(F.col("value").isNotNull() | (F.col("kind") == "categories"))
+    return opened.where(F.col("value").isNotNull() | F.col("kind").isin("categories", ROW))
 
 
 def member_counts(offers: DataFrame, sign: int = 1) -> DataFrame:
     """The state of ``offers`` alone (``sign`` -1: of their withdrawal).
 
-    Two aggregations: by member, the ``row`` entries by a salt, so a hot
-    product spreads; then a product's at most ``ROW_SALTS`` parts are one row.
+    One aggregation, so a member (a description is a whole text) is exchanged
+    once.  A hot product's ``row`` entries become one row in each map task.
     """
     exact = F.sum(F.when(is_plain_price(F.col("price")), F.col("price")).cast(EXACT))
-    counted = _entries(offers).groupBy(*KEYS).agg(
+    return _entries(offers).groupBy(*KEYS).agg(
         (F.count(F.lit(1)) * sign).alias("n"), (F.count("code") * sign).alias("codes_n"), (F.count("price") * sign).alias("n_prices"),
         (F.coalesce(exact, F.lit(0).cast(EXACT)) * sign).cast(EXACT).alias("exact_sum"),
     )
-    return _summed(counted.withColumn("value", F.when(F.col("kind") != ROW, F.col("value"))))
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -60,8 +59,11 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 def apply_changes(state: DataFrame, added: DataFrame | None = None, withdrawn: DataFrame | None = None) -> DataFrame:
     """The state after new and withdrawn offers: one aggregation of the state
-    with the changes' own counts.  Members that no offer holds any more go."""
-    rows = state.select(*KEYS, *MEASURES)
+    with the changes' own counts.  Members that no offer holds any more go.
+
+    All parts are dealt out by the members, so the sums need no exchange of
+    their own; a state that is dealt so already is not moved."""
+    rows = state.select(*KEYS, *MEASURES).repartition(*KEYS)
     for offers, sign in ((added, 1), (withdrawn, -1)):
         if offers is not None:
             rows = rows.unionByName(member_counts(offers, sign))

@@ -65,7 +65,7 @@ from topicweave.operators.topics import (
     with_assignment,
 )
 from topicweave.plans import oracle
-from topicweave.session import cut_lineage, dealt, ensure_checkpoint_dir
+from topicweave.session import cut_lineage, dealt, ensure_checkpoint_dir, release_shuffles
 from topicweave.sources.adapters import document_items, offers, table
 from topicweave.sources.bucketed import join_buckets, write_bucketed
 from topicweave.sources.io import save_model
@@ -534,6 +534,7 @@ def q_item_rollup_withdrawn(spark, sf_dir):
     """The rollup after some suppliers have withdrawn their offers."""
     first, second, some = _halves(spark, sf_dir)
     state = cut_lineage(apply_changes(member_counts(second), added=first))
+    release_shuffles(spark)
     kept = items_of(apply_changes(state, withdrawn=some))
     return kept.select("product_name", sorted_join("retailers").alias("retailers"), F.round("price", ROUND).alias("price"), "purchase_count")
 

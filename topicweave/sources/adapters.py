@@ -22,7 +22,8 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     One offer per line item.  Dimension joins are plain equi-joins: a side is
     broadcast only when its size is under
     ``spark.sql.autoBroadcastJoinThreshold``.  The
-    description is carried per offer, as in the real feed.
+    description is carried per offer, as in the real feed; it is joined last, so
+    no exchange of the joins holds a text per offer.
     """
     li = dealt(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -31,9 +32,8 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("d_partkey"), F.col("text").alias("long_description")
     )
     described = part.join(docs, part.p_partkey == docs.d_partkey, "left")
-    joined = li.join(described, li.l_partkey == described.p_partkey, "inner").join(
-        supp, li.l_suppkey == supp.s_suppkey, "inner"
-    )
+    supplied = li.join(supp, li.l_suppkey == supp.s_suppkey, "inner")
+    joined = supplied.join(described, li.l_partkey == described.p_partkey, "inner")
     return joined.select(
         F.col("p_name").alias("product_name"),
         F.col("p_partkey").cast("string").alias("item_code"),
