@@ -10,6 +10,7 @@ from tests.test_rollup import CAT, _offers
 from topicweave.operators.incremental import apply_changes, items_of, member_counts, unmatched
 from topicweave.operators.rollup import offers_overview, item_overview, to_items
 from topicweave.plans import catalog
+from topicweave.plans.catalog import _together
 
 
 def random_offers(seed, n=400):
@@ -115,6 +116,14 @@ def test_members_are_exchanged_once(spark):
     assert exchanges(apply_changes(state.checkpoint(), withdrawn=b)) == 2
 
 
+def test_together_is_the_union(spark):
+    rows = random_offers(12, 80) * 2
+    offers = _offers(spark, rows)
+    of = [F.coalesce(F.col("e_price") > 2, F.lit(False)), F.coalesce(F.col("retailer_code") == "r1", F.lit(False))]
+    got = _together(offers, *of)
+    assert got.columns == offers.columns and table(got) == table(offers.where(of[0]).unionByName(offers.where(of[1])))
+
+
 @pytest.fixture()
 def odd_tables(spark, scratch):
     """Offers with repeated and null keys, and one document of two parts."""

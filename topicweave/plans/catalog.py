@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions.arrays import (
@@ -508,12 +508,26 @@ def q_item_describe_typed(spark, sf_dir):
 # --- state that grows: incremental rollup, mergeable counts and moments -----------
 
 
+def _in_first() -> Column:
+    return F.coalesce(F.floor("e_price").cast("long") % 2 == 0, F.lit(False))
+
+
+def _of_some() -> Column:
+    return F.coalesce(F.col("retailer_code").rlike("[0369]$"), F.lit(False))
+
+
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The offers in two parts, by their price, and those of the suppliers whose
     name ends in 0, 3, 6 or 9 (the ones that are withdrawn)."""
     rows = offers(spark, sf_dir)
-    first = F.coalesce(F.floor("e_price").cast("long") % 2 == 0, F.lit(False))
-    return rows.where(first), rows.where(~first), rows.where(F.col("retailer_code").rlike("[0369]$"))
+    return rows.where(_in_first()), rows.where(~_in_first()), rows.where(_of_some())
+
+
+def _together(rows: DataFrame, *parts: Column) -> DataFrame:
+    """The union of ``rows.where(part)`` for each of ``parts``, in one reading:
+    a row comes as often as parts hold it."""
+    times = sum((part.cast("int") for part in parts), F.lit(0))
+    return rows.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("_again")).drop("_again")
 
 
 def _rollup_text(items: DataFrame) -> DataFrame:
@@ -525,8 +539,10 @@ def _rollup_text(items: DataFrame) -> DataFrame:
 def q_item_rollup_merged(spark, sf_dir):
     """One half's state, then the other half and, twice, some suppliers' offers
     as changes: added, and withdrawn again."""
-    first, second, some = _halves(spark, sf_dir)
-    state = cut_lineage(apply_changes(member_counts(first), added=second.unionByName(some)))
+    first, _, some = _halves(spark, sf_dir)
+    second_and_some = _together(offers(spark, sf_dir), ~_in_first(), _of_some())
+    state = cut_lineage(apply_changes(member_counts(first), added=second_and_some))
+    release_shuffles(spark)
     return _rollup_text(items_of(apply_changes(state, withdrawn=some)))
 
 
