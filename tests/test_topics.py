@@ -279,3 +279,37 @@ def test_sweep_infers_the_documents_once_a_model(spark, monkeypatch):
     monkeypatch.setattr(LDAModel, "logPerplexity", lambda *a: pytest.fail("inferred again"))
     got = sweep(data, [(2, 3, 1)])[0]
     assert got.log_perplexity == pytest.approx(plain(got.model, data), rel=1e-9)
+
+
+def test_sweep_does_not_repeat_a_fit(fitted, monkeypatch):
+    from topicweave.operators import topics
+
+    vocab, feats, training, model = fitted
+    plain, points = topics.fit_lda, []
+    monkeypatch.setattr(topics, "fit_lda", lambda df, *point: points.append(point[:3]) or plain(df, *point))
+    grid = [(3, ITERS, SEED), (K, ITERS, SEED)]
+    held = sweep(training, grid, fitted={(K, ITERS, SEED): model})
+    assert points == [(3, ITERS, SEED)] and [r.k for r in held] == [3, K] and held[1].model is model
+    again = sweep(training, grid[1:])[0]
+    assert np.array_equal(again.model.topicsMatrix().toArray(), model.topicsMatrix().toArray())
+    assert held[1].log_likelihood == pytest.approx(again.log_likelihood, rel=1e-12)
+
+
+def test_sweep_query_fits_each_point_once(spark, monkeypatch):
+    """The shared fit is the grid's point of the default K; no document is
+    scored for the sweep."""
+    from topicweave.operators import topics
+    from topicweave.plans import catalog
+
+    plain, points = topics.fit_lda, []
+
+    def fit(df, k, it, seed, *rest):
+        points.append((k, it, seed))
+        return plain(df, k, 2, seed, *rest)
+
+    monkeypatch.setattr(topics, "fit_lda", fit)
+    monkeypatch.setattr(catalog, "fit_lda", fit)
+    monkeypatch.setattr(catalog, "_FITS", {})
+    monkeypatch.setattr(catalog, "score_all", lambda *a, **b: pytest.fail("scored"))
+    assert [r.k for r in catalog.q_lda_sweep(spark, SF_SMALL).orderBy("k").collect()] == [5, 6, 7, 8]
+    assert sorted(points) == [(k, 50, 100) for k in (5, 6, 7, 8)]
